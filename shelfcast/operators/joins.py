@@ -1,0 +1,17 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast-hint ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check runs ``limit(max_rows + 1).count()``, which stops reading as
+    soon as the bound is exceeded.  Above the bound the frame is returned
+    unhinted and the planner chooses a shuffle join from measured sizes.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
