@@ -25,7 +25,7 @@ def parse_date(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     if isinstance(dtype, T.StringType):
-        return F.try_to_date(F.trim(c), F.lit("yyyy-M-d"))
+        return F.try_to_date(F.trim(c), "yyyy-M-d")
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return F.date_add(F.lit("1970-01-01").cast("date"), c.cast("int"))
     return c.cast("date")

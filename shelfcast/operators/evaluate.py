@@ -62,17 +62,21 @@ def residual_histogram(resid: DataFrame, column: str = "residual", bins: int = D
     of an edge, and the last bin is closed.  A constant input widens the
     range to ``[v - 0.5, v + 0.5]``.
 
-    min/max are scalar subqueries; per-bin counts are a grouped count with
-    map-side partial aggregation (a hot bin is pre-counted in every task);
-    the bin axis (``range(1, bins + 1)``) is joined on ``bin``, an equi-join
+    Two passes, like any equal-width histogram: one aggregate job returns
+    min and max (two numbers reach the driver), then a grouped count with
+    map-side partial aggregation (a hot bin is pre-counted in every task).
+    The bin axis (``range(1, bins + 1)``) is joined on ``bin``: an equi-join
     of at most ``bins`` rows per side.
     """
     nb = int(bins)
     x = F.col(column).cast("double")
-    mn = resid.select(F.min(x)).scalar()
-    mx = resid.select(F.max(x)).scalar()
-    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
-    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    row = resid.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
+    mn, mx = row["mn"], row["mx"]
+    spark = resid.sparkSession
+    if mn is None:  # no values: every bin empty over numpy's default [0, 1]
+        mn, mx = 0.0, 1.0
+    lo_v, hi_v = (mn - 0.5, mx + 0.5) if mn == mx else (float(mn), float(mx))
+    lo, hi = F.lit(lo_v), F.lit(hi_v)
     step = (hi - lo) / nb
 
     def edge(i):
@@ -89,7 +93,7 @@ def residual_histogram(resid: DataFrame, column: str = "residual", bins: int = D
         .agg(F.count(F.lit(1)).alias("n"))
     )
     axis = (
-        resid.sparkSession.range(1, nb + 1, numPartitions=1)
+        spark.range(1, nb + 1, numPartitions=1)
         .select(F.col("id").cast("int").alias("bin"))
         .select("bin", edge(F.col("bin") - 1).alias("bin_lo"), edge(F.col("bin")).alias("bin_hi"))
     )

@@ -15,7 +15,7 @@ the aggregated statistics and the coefficient vector.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,20 +56,40 @@ def test_set(features: DataFrame) -> DataFrame:
     return _split(features, test=True)
 
 
-def ridge_pipeline(reg_param: float, solver: str) -> Pipeline:
+def ridge_pipeline(
+    reg_param: float,
+    solver: str,
+    numeric: list[str] | None = None,
+    categorical: list[str] | None = None,
+    centers: dict[str, float] | None = None,
+) -> Pipeline:
     """One-hot (all known levels kept, unseen -> all zeros) + numeric
-    pass-through + linear regression with an L2 penalty only (M1-M3)."""
-    idx = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
-    onehot = [f"{c}__oh" for c in CATEGORICAL_FEATURES]
-    indexer = StringIndexer(
-        inputCols=CATEGORICAL_FEATURES, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"
-    )
-    # dropLast drops the extra "unseen" slot that handleInvalid="keep" adds,
-    # so every training level keeps its own column and an unseen level
-    # encodes as the empty vector.
-    encoder = OneHotEncoder(inputCols=idx, outputCols=onehot, dropLast=True, handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=NUMERIC_FEATURES + onehot, outputCol="features")
-    lr = LinearRegression(
+    pass-through + linear regression with an L2 penalty only (M1-M3).
+
+    ``centers`` subtracts a constant from each numeric feature first (the
+    training mean): the same coefficients in exact arithmetic, but the normal
+    equations no longer form E[x^2] - E[x]^2 from large raw values (``year``,
+    ``wm_yr_wk``), which cost about six digits.
+    """
+    numeric = NUMERIC_FEATURES if numeric is None else numeric
+    categorical = CATEGORICAL_FEATURES if categorical is None else categorical
+    stages = []
+    if centers:
+        shifted = ", ".join(f"(`{c}` - ({centers[c]!r})) AS `{c}__c`" for c in numeric)
+        stages.append(SQLTransformer(statement=f"SELECT *, {shifted} FROM __THIS__"))
+        numeric = [f"{c}__c" for c in numeric]
+    onehot = [f"{c}__oh" for c in categorical]
+    if categorical:
+        idx = [f"{c}__idx" for c in categorical]
+        stages.append(StringIndexer(
+            inputCols=categorical, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"
+        ))
+        # dropLast drops the extra "unseen" slot that handleInvalid="keep"
+        # adds, so every training level keeps its own column and an unseen
+        # level encodes as the empty vector.
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=onehot, dropLast=True))
+    stages.append(VectorAssembler(inputCols=numeric + onehot, outputCol="features"))
+    stages.append(LinearRegression(
         featuresCol="features",
         labelCol="label",
         predictionCol="prediction",
@@ -80,29 +100,41 @@ def ridge_pipeline(reg_param: float, solver: str) -> Pipeline:
         solver=solver,
         maxIter=1000,
         tol=1e-12,
-    )
-    return Pipeline(stages=[indexer, encoder, assembler, lr])
+    ))
+    return Pipeline(stages=stages)
 
 
 def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> PipelineModel:
-    """Fit the ridge baseline (X5's core).  One aggregate job for n and sigma_y,
-    one distributed job per StringIndexer fit, then the solver."""
+    """Fit the ridge baseline (X5's core).
+
+    One aggregate job gives n, sigma_y, each numeric column's range and each
+    categorical's level count; then the indexer fit and the solver run
+    distributed.  Zero-variance features (a constant numeric column, a
+    single-level categorical) are left out of the design: ridge with an
+    intercept gives them a zero coefficient anyway, and Spark's normal
+    equations would turn singular on them (no penalty on a zero-variance
+    column) and fall back to a slower quasi-Newton solve.
+    """
     stats = train.agg(
         F.count(F.lit(1)).alias("n"),
         F.stddev_pop("label").alias("sd_pop"),
         F.stddev_samp("label").alias("sd_samp"),
-        *[F.count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES],
+        *[F.count_distinct(c).alias(f"nd_{c}") for c in CATEGORICAL_FEATURES],
+        *[(F.max(c) > F.min(c)).alias(f"var_{c}") for c in NUMERIC_FEATURES],
+        *[F.avg(c).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
     ).first()
     n = int(stats["n"])
     if n == 0:
         raise ValueError("Train set is empty after dropping rows with NULL lag features")
-    width = len(NUMERIC_FEATURES) + sum(int(stats[c]) for c in CATEGORICAL_FEATURES)
+    numeric = [c for c in NUMERIC_FEATURES if stats[f"var_{c}"]]
+    categorical = [c for c in CATEGORICAL_FEATURES if int(stats[f"nd_{c}"]) > 1]
+    width = len(numeric) + sum(int(stats[f"nd_{c}"]) for c in categorical)
     solver = "normal" if width <= NORMAL_SOLVER_MAX_FEATURES else "l-bfgs"
-    sigma = stats["sd_pop"] if solver == "normal" else stats["sd_samp"]
-    sigma = float(sigma or 0.0)
+    sigma = float((stats["sd_pop"] if solver == "normal" else stats["sd_samp"]) or 0.0)
     # A constant label gets zero coefficients and the mean as intercept.
     reg = float(alpha) * sigma / n if sigma > 0 else 0.0
-    return ridge_pipeline(reg, solver).fit(train)
+    centers = {c: float(stats[f"mean_{c}"]) for c in numeric}
+    return ridge_pipeline(reg, solver, numeric, categorical, centers).fit(train)
 
 
 def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -113,17 +145,44 @@ def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def coefficients(model: PipelineModel) -> list[tuple[str, float]]:
-    """(feature name, coefficient) pairs plus ``(intercept)``; names follow
-    the assembled vector's metadata (``<column>__oh_<level>`` for one-hots)."""
+    """(feature, coefficient) for every model feature plus ``(intercept)``.
+
+    One-hot coefficients are named ``<column>=<level>``; features left out
+    of the design as zero-variance report 0.0.
+    """
     lr = model.stages[-1]
-    indexers = model.stages[0]
-    names: list[str] = list(NUMERIC_FEATURES)
-    for col, labels in zip(CATEGORICAL_FEATURES, indexers.labelsArray, strict=True):
-        names.extend(f"{col}={lab}" for lab in labels)
-    coefs = lr.coefficients.toArray().tolist()
-    if len(names) != len(coefs):
-        names = [f"f{i}" for i in range(len(coefs))]
-    return [*zip(names, coefs, strict=True), ("(intercept)", float(lr.intercept))]
+    assembler = model.stages[-2]
+    indexers = [st for st in model.stages if hasattr(st, "labelsArray")]
+    indexer = indexers[0] if indexers else None
+    centers: dict[str, float] = {}
+    for st in model.stages:
+        if isinstance(st, SQLTransformer):
+            centers = _parse_centers(st.getStatement())
+    names: list[str] = []
+    for col in assembler.getInputCols():
+        if col.endswith("__oh"):
+            base = col[: -len("__oh")]
+            labels = indexer.labelsArray[indexer.getInputCols().index(base)]
+            names.extend(f"{base}={lab}" for lab in labels)
+        else:
+            names.append(col[: -len("__c")] if col.endswith("__c") else col)
+    coefs = dict(zip(names, lr.coefficients.toArray().tolist(), strict=True))
+    out = [(c, float(coefs.get(c, 0.0))) for c in NUMERIC_FEATURES]
+    used_cat = {n.split("=", 1)[0] for n in names if "=" in n}
+    for c in CATEGORICAL_FEATURES:
+        if c in used_cat:
+            out.extend((n, coefs[n]) for n in names if n.startswith(c + "="))
+        else:
+            out.append((f"{c}=*", 0.0))
+    # back to raw feature scale: b_raw = b - sum_j w_j * center_j
+    intercept = float(lr.intercept) - sum(coefs.get(c, 0.0) * m for c, m in centers.items())
+    return [*out, ("(intercept)", intercept)]
+
+
+def _parse_centers(statement: str) -> dict[str, float]:
+    import re
+
+    return {m.group(1): float(m.group(2)) for m in re.finditer(r"\(`(\w+)` - \(([^)]+)\)\)", statement)}
 
 
 def train_summary(features: DataFrame, horizon: int) -> DataFrame:

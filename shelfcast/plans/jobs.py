@@ -86,7 +86,9 @@ def land_raw_tables(spark: SparkSession, sf_dir: str, lake: Lake, force: bool =
         "calendar": rf.calendar(spark, sf_dir),
         "sell_prices": rf.sell_prices(spark, sf_dir),
         "sales_train_validation": rf.sales_wide(spark, sf_dir, labels),
-        "sales_train_evaluation": rf.sales_wide(spark, sf_dir, labels),
+        # the fixture's evaluation table equals the validation table: copy the
+        # landed text line by line instead of pivoting a second time
+        "sales_train_evaluation": None,
         "sample_submission": rf.submission(spark, sf_dir),
     }
     out = []
@@ -94,15 +96,32 @@ def land_raw_tables(spark: SparkSession, sf_dir: str, lake: Lake, force: bool =
         started = utc_now()
         path = lake.landing(name)
         if force or not path_exists(spark, path):
-            write_csv(df, path, mode="overwrite")
+            if df is None:
+                src = lake.landing("sales_train_validation")
+                spark.read.text(src).write.mode("overwrite").option("compression", "none").text(path)
+                _rename_parts(spark, path)
+            else:
+                write_csv(df, path, mode="overwrite")
             status = "ok"
         else:
             status = "exists"
-        out.append(_entry(name, status, path, n_columns=len(df.columns), started=started))
+        ncols = len(df.columns) if df is not None else len(labels) + len(rf.META_COLUMNS)
+        out.append(_entry(name, status, path, n_columns=ncols, started=started))
     append_audit(audit_rows(spark, "landing", out), lake.audit)
     return out
 
 
+def _rename_parts(spark: SparkSession, folder: str) -> None:
+    """Give text part files a ``.csv`` suffix so CSV globbing finds them."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(hpath):
+        p = st.getPath()
+        if p.getName().startswith("part-") and not p.getName().endswith(".csv"):
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.toString() + ".csv"))
+
+
 def run_bronze(spark: SparkSession, lake: Lake, force: bool = False, strict: bool = True) -> list[dict]:
     """Every expected raw CSV table -> Parquet, skipping finished outputs.
 
@@ -239,7 +258,7 @@ def run_train(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, f
     md.save_model(model, lake.model)
     summary = md.train_summary(feats, horizon).first().asDict()
     append_audit(audit_rows(spark, "train", [_entry("model", "ok", lake.model, summary["n_train_used"], None,
-                                                    None, n_rows=summary["n_rows"], horizon=horizon)]),
+                                                    None, total_rows=summary["n_rows"], horizon=horizon)]),
                  lake.audit)
     return summary
 
