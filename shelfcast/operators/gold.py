@@ -38,17 +38,18 @@ def fact_sell_prices(prices: DataFrame) -> DataFrame:
 def unpivot_days(wide: DataFrame, day_columns: list[str], meta_columns: list[str] | None = None) -> DataFrame:
     """Wide -> long (R1): one row per (series, day column).
 
-    ``posexplode`` over an array of the day columns, with the day name looked
-    up from a literal array by position.  The rows stream out of a generator
-    in the same task that read the wide row -- no shuffle -- and the plan
-    stays a single Generate node however many day columns there are
-    (``DataFrame.unpivot`` plans an Expand with one projection per column).
+    The ``stack`` generator emits (day name, value) pairs from each wide row
+    in the task that read it -- no shuffle -- and the plan is a single
+    Generate node however many day columns there are.  It is written as one
+    SQL expression string: with ~2,000 columns, building the equivalent
+    ``Column`` objects one py4j call at a time, or ``DataFrame.unpivot``'s
+    Expand, costs seconds to tens of seconds of planning alone.
     """
+    from shelfcast.functions.columns import quote
+
     meta = meta_columns if meta_columns is not None else SERIES_COLUMNS
-    names = F.array(*[F.lit(c) for c in day_columns])
-    values = F.array(*[F.col(c).cast("int") for c in day_columns])
-    exploded = wide.select(*meta, F.posexplode(values).alias("pos", "sales"))
-    return exploded.select(*meta, F.element_at(names, F.col("pos") + 1).alias("d"), "sales")
+    pairs = ", ".join(f"'{c}', CAST({quote(c)} AS INT)" for c in day_columns)
+    return wide.selectExpr(*[quote(c) for c in meta], f"stack({len(day_columns)}, {pairs}) AS (d, sales)")
 
 
 def sales_long(
@@ -65,8 +66,10 @@ def sales_long(
     merges at most N per task).  ``None`` keeps everything (the full fact,
     no sort, no single-task step).
     """
+    from shelfcast.functions.columns import quote
+
     days = last_day_columns(sales_wide.columns, sample_days)
-    wide = sales_wide.select(*SERIES_COLUMNS, *days)
+    wide = sales_wide.selectExpr(*[quote(c) for c in SERIES_COLUMNS + days])
     if sample_n_series is not None:
         wide = wide.orderBy("id").limit(int(sample_n_series))
     return unpivot_days(wide, days)

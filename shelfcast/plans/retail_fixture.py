@@ -237,13 +237,23 @@ def day_labels(spark: SparkSession, sf_dir: str) -> list[str]:
 
 def sales_wide(spark: SparkSession, sf_dir: str, labels: list[str] | None = None) -> DataFrame:
     """The WIDE daily sales table (one ``d_*`` int column per day), M5's
-    ``sales_train_validation`` shape."""
+    ``sales_train_validation`` shape.
+
+    Each series' days are gathered into one array sorted by day number (a
+    wide row holds every day of its series by definition, so the group is
+    bounded by the calendar) and the day columns are picked by position:
+    the dense table has every day of ``labels`` for every series.  The
+    projection is one SQL expression list (see ``unpivot_days``).
+    """
     labels = labels or day_labels(spark, sf_dir)
-    return (
-        dense_sales(spark, sf_dir)
-        .groupBy(*META_COLUMNS)
-        .pivot("d", labels)
-        .agg(F.max("sales"))
+    first = int(labels[0][2:])
+    dense = dense_sales(spark, sf_dir).select(
+        *META_COLUMNS, F.struct(F.replace("d", F.lit("d_"), F.lit("")).cast("int").alias("n"), "sales").alias("v")
+    )
+    grouped = dense.groupBy(*META_COLUMNS).agg(F.sort_array(F.collect_list("v")).alias("days"))
+    return grouped.selectExpr(
+        *META_COLUMNS,
+        *[f"CAST(days[{int(lab[2:]) - first}].sales AS INT) AS {lab}" for lab in labels],
     )
 
 
