@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +116,17 @@ def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> PipelineModel:
     equations would turn singular on them (no penalty on a zero-variance
     column) and fall back to a slower quasi-Newton solve.
     """
+    # The fit reads the training rows several times (statistics, indexer fit,
+    # solver): keep them in executor memory/disk for the duration.  A lost
+    # executor's blocks are recomputed from lineage.
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(train, alpha)
+    finally:
+        train.unpersist()
+
+
+def _fit(train: DataFrame, alpha: float) -> PipelineModel:
     stats = train.agg(
         F.count(F.lit(1)).alias("n"),
         F.stddev_pop("label").alias("sd_pop"),

@@ -358,12 +358,23 @@ def q_ridge_coefficients(spark, sf_dir):
     return spark.createDataFrame(pairs, "feature string, coefficient double")
 
 
-@query("ridge_predictions")
-def q_ridge_predictions(spark, sf_dir):
-    """M4 + M5: ``id, d, y_true, y_pred`` of the stored model on test rows."""
+@query("predictions")
+def q_predictions(spark, sf_dir):
+    """M5: ``id, d, y_true, y_pred`` of the stored ridge model on test rows."""
     return _ridge_predictions(spark, sf_dir)
 
 
+@query("ridge_predict")
+def q_ridge_predict(spark, sf_dir):
+    """M4: the fitted pipeline applied to the test rows (one-hot + assembly +
+    linear predictor), with the assembled feature-vector width."""
+    model = md.load_model(model_path(spark, sf_dir))
+    from pyspark.ml.functions import vector_to_array
+
+    out = model.transform(md.test_set(features(spark, sf_dir)))
+    return out.select("id", "d", "label", "prediction", F.size(vector_to_array("features")).alias("n_features"))
+
+
 @query("ridge_eval_metrics")
 def q_ridge_eval_metrics(spark, sf_dir):
     return ev.metrics_long(ev.regression_metrics(_ridge_predictions(spark, sf_dir)))
@@ -380,11 +391,11 @@ def q_predictions_csv(spark, sf_dir):
 
 @query("medallion_run")
 def q_medallion_run(spark, sf_dir):
-    """Landing -> bronze -> silver -> gold -> features -> dq in a fresh
-    lake; one summary row per stage."""
+    """Landing -> bronze -> silver -> gold -> features -> dq -> train ->
+    eval in a fresh lake; one summary row per stage."""
     lk = Lake(scratch_path(spark, "medallion"))
     jobs.land_raw_tables(spark, sf_dir, lk)
-    return jobs.run_medallion(spark, lk, through="dq")
+    return jobs.run_medallion(spark, lk, through="eval")
 
 
 def queries() -> dict[str, Query]:
