@@ -105,7 +105,11 @@ def ridge_pipeline(
     return Pipeline(stages=stages)
 
 
-def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> PipelineModel:
+def fit_ridge(
+    train: DataFrame,
+    alpha: float = DEFAULT_ALPHA,
+    normal_max_features: int = NORMAL_SOLVER_MAX_FEATURES,
+) -> PipelineModel:
     """Fit the ridge baseline (X5's core).
 
     One aggregate job gives n, sigma_y, each numeric column's range and each
@@ -121,12 +125,12 @@ def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> PipelineModel:
     # executor's blocks are recomputed from lineage.
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(train, alpha)
+        return _fit(train, alpha, normal_max_features)
     finally:
         train.unpersist()
 
 
-def _fit(train: DataFrame, alpha: float) -> PipelineModel:
+def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineModel:
     stats = train.agg(
         F.count(F.lit(1)).alias("n"),
         F.stddev_pop("label").alias("sd_pop"),
@@ -141,7 +145,10 @@ def _fit(train: DataFrame, alpha: float) -> PipelineModel:
     numeric = [c for c in NUMERIC_FEATURES if stats[f"var_{c}"]]
     categorical = [c for c in CATEGORICAL_FEATURES if int(stats[f"nd_{c}"]) > 1]
     width = len(numeric) + sum(int(stats[f"nd_{c}"]) for c in categorical)
-    solver = "normal" if width <= NORMAL_SOLVER_MAX_FEATURES else "l-bfgs"
+    # The normal equations hold a width x width matrix on the driver (Spark
+    # caps them at 4,096 features); wider designs (M5: ~30k series one-hots)
+    # use distributed L-BFGS, whose internal label scaling is the sample sigma.
+    solver = "normal" if width <= normal_max_features else "l-bfgs"
     sigma = float((stats["sd_pop"] if solver == "normal" else stats["sd_samp"]) or 0.0)
     # A constant label gets zero coefficients and the mean as intercept.
     reg = float(alpha) * sigma / n if sigma > 0 else 0.0

@@ -35,7 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def features(spark: SparkSession, sf_dir: str, horizon: int = DEFAULT_HORIZON) -> DataFrame:
-    return build_features(rf.dense_sales(spark, sf_dir), rf.calendar(spark, sf_dir), horizon)
+    """The feature table over the stored dense sales and calendar."""
+    return build_features(rf.landed_dense_sales(spark, sf_dir), rf.landed_calendar(spark, sf_dir), horizon)
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}
@@ -138,7 +139,7 @@ def q_train_test_split(spark, sf_dir):
 @query("day_number")
 def q_day_number(spark, sf_dir):
     from shelfcast.functions.columns import day_number
-    return rf.dense_sales(spark, sf_dir).select("id", "d", day_number("d").alias("d_num"))
+    return rf.landed_dense_sales(spark, sf_dir).select("id", "d", day_number("d").alias("d_num"))
 
 
 @query("features_calendar_join")
@@ -150,8 +151,8 @@ def q_features_calendar_join(spark, sf_dir):
 
 @query("features_missing_snap")
 def q_features_missing_snap(spark, sf_dir):
-    cal = rf.calendar(spark, sf_dir).drop(*SNAP_COLUMNS)
-    return build_features(rf.dense_sales(spark, sf_dir), cal).select("id", "d", *SNAP_COLUMNS)
+    cal = rf.landed_calendar(spark, sf_dir).drop(*SNAP_COLUMNS)
+    return build_features(rf.landed_dense_sales(spark, sf_dir), cal).select("id", "d", *SNAP_COLUMNS)
 
 
 @query("dq_summary")

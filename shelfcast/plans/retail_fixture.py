@@ -126,23 +126,37 @@ def store_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LANDED: dict[tuple[str, str], str] = {}
-_LOCK = threading.Lock()
+_LANDED: dict[tuple[str, str, str], str] = {}
+_LOCK = threading.RLock()
 
 
-def landed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``store_daily`` written once per application and test-data folder
-    under the shared checkpoint folder, then read back."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def _landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """``build(spark, sf_dir)`` written once per application, test-data folder
+    and table name under the shared checkpoint folder, then read back."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
         path = _LANDED.get(key)
         if path is None:
-            path = scratch_path(spark, "store_daily")
-            store_daily(spark, sf_dir).write.mode("overwrite").parquet(path)
+            path = scratch_path(spark, name)
+            build(spark, sf_dir).write.mode("overwrite").parquet(path)
             _LANDED[key] = path
     return spark.read.parquet(path)
 
 
+def landed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (item, store, state, day) aggregate of the line items."""
+    return _landed(spark, sf_dir, "store_daily", store_daily)
+
+
+def landed_dense_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dense_sales`` as a stored table (the long sales input of the features)."""
+    return _landed(spark, sf_dir, "dense_sales", dense_sales)
+
+
+def landed_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "calendar", calendar)
+
+
 def observed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales per series and ship day, only days with at least one line."""
     return landed_daily(spark, sf_dir).select(*SERIES_KEYS, "dt", F.col("qty").cast("int").alias("sales"))

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.operators import evaluate as ev
 from shelfcast.operators import model as md
@@ -107,3 +108,28 @@ def test_histogram_constant_values(spark):
     counts, _ = np.histogram([2.0] * 7, bins=50)
     assert sorted((r["bin"], r["n"]) for r in got) == [(i + 1, int(c)) for i, c in enumerate(counts)]
     assert sum(1 for r in got if r["n"]) == 1
+
+
+def test_lbfgs_path_matches_closed_form(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        sid = f"S{i % 7}"
+        lags = rng.normal(5, 2, 5)
+        y = 3 + 0.5 * lags[0] - 0.2 * lags[3] + (i % 7) * 0.3 + rng.normal(0, 0.5)
+        rows.append((sid, f"d_{i}", float(y), i, False, f"I{i % 3}", "D", "C", f"T{i % 2}", "ST",
+                     *[float(v) for v in lags], 11101 + i // 7, i % 7 + 1, i % 12 + 1, 2011 + i // 365,
+                     i % 2, 0, i % 3 == 0))
+    schema = ("id string, d string, sales double, d_num bigint, is_test boolean, item_id string, "
+              "dept_id string, cat_id string, store_id string, state_id string, lag_1 double, lag_7 double, "
+              "lag_28 double, roll_mean_7 double, roll_mean_28 double, wm_yr_wk int, wday int, month int, "
+              "year int, snap_CA int, snap_TX int, snap_WI boolean")
+    feats = spark.createDataFrame(rows, schema).withColumn("snap_WI", F.col("snap_WI").cast("int"))
+    train = md.train_set(feats)
+    exp_w, exp_b = _closed_form(train.toPandas())
+    for limit in (md.NORMAL_SOLVER_MAX_FEATURES, 1):  # normal equations, then forced L-BFGS
+        got = dict(md.coefficients(md.fit_ridge(train, normal_max_features=limit)))
+        for name, val in exp_w.items():
+            key = name if name in got else name.split("=")[0] + "=*"
+            assert got[key] == pytest.approx(val, rel=1e-5, abs=1e-6), (limit, name)
+        assert got["(intercept)"] == pytest.approx(exp_b, rel=1e-5, abs=1e-6)
