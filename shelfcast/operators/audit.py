@@ -15,6 +15,8 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("n_rows", T.LongType()),
     T.StructField("n_columns", T.IntegerType()),
+    T.StructField("bytes", T.LongType()),
+    T.StructField("fingerprint", T.StringType()),
     T.StructField("path", T.StringType()),
     T.StructField("started_at_utc", T.StringType()),
     T.StructField("finished_at_utc", T.StringType()),
@@ -45,6 +47,23 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+FINGERPRINT_MODULUS = 1_000_000_007
+
+
+def fingerprint_aggregates(columns: list[str]) -> list:
+    """``n_rows``, ``xor_hash``, ``sum_hash`` aggregate columns over a 64-bit
+    row hash of ``columns`` (written as one SQL expression so that a
+    ~2,000-column table costs one JVM call to plan)."""
+    from shelfcast.functions.columns import quote
+
+    h = F.expr("xxhash64(" + ", ".join(quote(c) for c in columns) + ")")
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bit_xor(h).alias("xor_hash"),
+        F.sum(F.pmod(h, F.lit(FINGERPRINT_MODULUS))).alias("sum_hash"),
+    ]
+
+
 def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """An order-independent content fingerprint of a table.
 
@@ -52,13 +71,31 @@ def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFr
     ``sum_hash`` = sum of the row hash modulo a prime (xor alone cancels
     duplicate row pairs).  One aggregate pass with map-side partial results.
     """
-    cols = columns or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.bit_xor(h).alias("xor_hash"),
-        F.sum(F.pmod(h, F.lit(1_000_000_007))).alias("sum_hash"),
-    )
+    return df.agg(*fingerprint_aggregates(columns or df.columns))
+
+
+def fingerprint_text(n_rows, xor_hash, sum_hash) -> str:
+    return f"{int(n_rows)}:{int(xor_hash or 0) & 0xFFFFFFFFFFFFFFFF:016x}:{int(sum_hash or 0)}"
+
+
+def observed_write(writer_fn, df: DataFrame, name: str) -> tuple[int, str]:
+    """Run ``writer_fn(observed_df)`` and return the rows written and their
+    fingerprint, gathered by ``DataFrame.observe`` during the write itself
+    (no second pass over the data)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    writer_fn(df.observe(obs, *fingerprint_aggregates(df.columns)))
+    m = obs.get
+    return int(m["n_rows"]), fingerprint_text(m["n_rows"], m["xor_hash"], m["sum_hash"])
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop content summary)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
 
 
 def audit_rows(
@@ -77,6 +114,8 @@ def audit_rows(
             e.get("status"),
             e.get("n_rows"),
             e.get("n_columns"),
+            e.get("bytes"),
+            e.get("fingerprint"),
             e.get("path"),
             e.get("started_at_utc"),
             e.get("finished_at_utc"),

@@ -309,7 +309,7 @@ def q_stage_audit(spark, sf_dir):
     """The stage audit log of the lake (bronze/silver/gold entries)."""
     lk = lake(spark, sf_dir, "gold")
     return spark.read.schema(au.AUDIT_SCHEMA).json(lk.audit).select(
-        "pipeline", "table_name", "status", "n_rows", "n_columns"
+        "pipeline", "table_name", "status", "n_rows", "n_columns", "bytes", "fingerprint"
     )
 
 

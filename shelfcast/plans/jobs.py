@@ -8,14 +8,14 @@ instead of recomputing earlier stages.  Each stage returns its audit entries
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.operators import evaluate as ev
 from shelfcast.operators import gold as gd
 from shelfcast.operators import model as md
-from shelfcast.operators.audit import append_audit, audit_rows, utc_now
+from shelfcast.operators.audit import append_audit, audit_rows, observed_write, stored_bytes, utc_now
 from shelfcast.operators.features import DEFAULT_HORIZON, build_features, features_for_write
 from shelfcast.operators.quality import run_gate
 from shelfcast.operators.typing import type_table
@@ -65,12 +65,15 @@ def bronze_schema(spark: SparkSession, table: str, csv_path: str) -> T.StructTyp
     return wide_schema(header, int_prefix="d_")
 
 
-def _entry(table: str, status: str, path: str, n_rows=None, n_columns=None, started=None, **notes) -> dict:
+def _entry(table: str, status: str, path: str, n_rows=None, n_columns=None, started=None,
+           fingerprint=None, nbytes=None, **notes) -> dict:
     return {
         "table_name": table,
         "status": status,
         "n_rows": n_rows,
         "n_columns": n_columns,
+        "bytes": nbytes,
+        "fingerprint": fingerprint,
         "path": path,
         "started_at_utc": started,
         "finished_at_utc": utc_now(),
@@ -139,10 +142,10 @@ def run_bronze(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
             df = spark.read.parquet(dst)
             out.append(_entry(name, "exists", dst, df.count(), len(df.columns), started))
             continue
-        obs = Observation(f"bronze_{name}")
         df = read_csv(spark, src, schema=bronze_schema(spark, name, src))
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(dst)
-        out.append(_entry(name, "ok", dst, int(obs.get["rows"]), len(df.columns), started))
+        n, fp = observed_write(lambda d: d.write.mode("overwrite").parquet(dst), df, f"bronze_{name}")
+        out.append(_entry(name, "ok", dst, n, len(df.columns), started, fp, stored_bytes(spark, dst),
+                          input_bytes=stored_bytes(spark, src)))
     append_audit(audit_rows(spark, "bronze", out), lake.audit)
     if strict and any(e["status"] == "missing" for e in out):
         missing = [e["table_name"] for e in out if e["status"] == "missing"]
@@ -166,9 +169,8 @@ def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
             continue
         try:
             typed = type_table(name, spark.read.parquet(src))
-            obs = Observation(f"silver_{name}")
-            typed.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(dst)
-            out.append(_entry(name, "ok", dst, int(obs.get["rows"]), len(typed.columns), started))
+            n, fp = observed_write(lambda d: d.write.mode("overwrite").parquet(dst), typed, f"silver_{name}")
+            out.append(_entry(name, "ok", dst, n, len(typed.columns), started, fp, stored_bytes(spark, dst)))
         except Exception as exc:  # recorded per table, the stage goes on
             out.append(_entry(name, "error", dst, started=started, error=str(exc).splitlines()[0][:500]))
     append_audit(audit_rows(spark, "silver", out), lake.audit)
@@ -211,9 +213,17 @@ def run_gold(
     for name, df in gold_tables(spark, lake, sample_n_series, sample_days).items():
         started = utc_now()
         dst = lake.gold(name)
-        status = guarded_write(df, dst, policy="skip", force=force)
-        n_rows = spark.read.parquet(dst).count()
-        out.append(_entry(name, status, dst, n_rows, len(df.columns), started))
+        result = {}
+
+        def write(d, dst=dst, result=result):
+            result["status"] = guarded_write(d, dst, policy="skip", force=force)
+
+        if path_exists(spark, dst) and not force:
+            out.append(_entry(name, "exists", dst, spark.read.parquet(dst).count(), len(df.columns), started,
+                              nbytes=stored_bytes(spark, dst)))
+            continue
+        n, fp = observed_write(write, df, f"gold_{name}")
+        out.append(_entry(name, result["status"], dst, n, len(df.columns), started, fp, stored_bytes(spark, dst)))
     append_audit(audit_rows(spark, "gold", out), lake.audit)
     return out
 

@@ -75,3 +75,19 @@ def test_medallion_run(spark):
     rows = {r["stage"]: r for r in queries()["medallion_run"](spark, SF).collect()}
     assert [rows[s]["status"] for s in ["bronze", "silver", "gold", "features", "dq", "train", "eval"]] == ["ok"] * 7
     assert rows["gold"]["n_tables"] == 4
+
+
+def test_audit_fingerprints_chain(spark):
+    """Stage fingerprints are observed during the writes: gold's price fact is
+    an identity copy of silver's, and each equals a fresh aggregate pass."""
+    from shelfcast.operators.audit import fingerprint_text, table_fingerprint
+    from shelfcast.plans.catalog import lake
+
+    lk = lake(spark, SF, "gold")
+    audit = {(r["pipeline"], r["table_name"]): r for r in queries()["stage_audit"](spark, SF).collect()}
+    silver = audit[("silver", "sell_prices")]
+    gold = audit[("gold", "fact_sell_prices")]
+    assert silver["fingerprint"] == gold["fingerprint"] and silver["bytes"] > 0
+    row = table_fingerprint(spark.read.parquet(lk.gold("fact_sell_prices"))).first()
+    assert fingerprint_text(row["n_rows"], row["xor_hash"], row["sum_hash"]) == gold["fingerprint"]
+    assert audit[("bronze", "sales_train_validation")]["n_columns"] > 1000
