@@ -23,16 +23,18 @@ def _missing(df: DataFrame, cols: list[str]) -> list[str]:
     return sorted(set(cols) - set(df.columns))
 
 
-def dq_stats(features: DataFrame, horizon: int = DEFAULT_HORIZON) -> DataFrame:
+def dq_stats(features: DataFrame, horizon: int = DEFAULT_HORIZON, null_columns: list[str] | None = None) -> DataFrame:
     """One row: ``n_rows, n_series, n_test, horizon, expected_test`` and the
-    per-feature NULL counts within test rows (``na_<feature>``)."""
+    NULL count within test rows of each of ``null_columns`` (default: the
+    five engineered features) as ``na_<feature>``."""
     h = int(horizon)
+    cols = FEATURE_COLUMNS if null_columns is None else null_columns
     is_test = F.col("is_test")
     agg = features.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("id").alias("n_series"),
         F.count_if(is_test).alias("n_test"),
-        *[F.count_if(is_test & F.col(c).isNull()).alias(f"na_{c}") for c in FEATURE_COLUMNS],
+        *[F.count_if(is_test & F.col(c).isNull()).alias(f"na_{c}") for c in cols],
     )
     return agg.select(
         "n_rows",
@@ -40,13 +42,13 @@ def dq_stats(features: DataFrame, horizon: int = DEFAULT_HORIZON) -> DataFrame:
         "n_test",
         F.lit(h).cast("bigint").alias("horizon"),
         (F.col("n_series") * h).alias("expected_test"),
-        *[f"na_{c}" for c in FEATURE_COLUMNS],
+        *[f"na_{c}" for c in cols],
     )
 
 
 def dq_summary(features: DataFrame, horizon: int = DEFAULT_HORIZON) -> DataFrame:
     """A2-A4 and D3's inputs: ``n_rows, n_series, n_test, horizon, expected_test``."""
-    return dq_stats(features, horizon).select("n_rows", "n_series", "n_test", "horizon", "expected_test")
+    return dq_stats(features, horizon, null_columns=[])
 
 
 def test_null_counts(features: DataFrame) -> DataFrame:
@@ -155,3 +157,17 @@ def not_null_tests(df: DataFrame, columns: list[str] | None = None) -> DataFrame
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_null"), (F.col(c) == 0).alias("passed"))
         for c in cols
     ])))
+
+
+def duplicate_series_days(sales: DataFrame) -> DataFrame:
+    """(``id``, ``d``) keys that occur more than once, with their count.
+
+    Row-based lags over duplicated days would depend on row order, so the
+    feature job refuses such input.  One grouped count with map-side partial
+    aggregation: a hot key is pre-counted in every task before the shuffle.
+    """
+    return (
+        sales.groupBy("id", "d")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
+    )

@@ -17,7 +17,7 @@ from shelfcast.operators import gold as gd
 from shelfcast.operators import model as md
 from shelfcast.operators.audit import append_audit, audit_rows, observed_write, stored_bytes, utc_now
 from shelfcast.operators.features import DEFAULT_HORIZON, build_features, features_for_write
-from shelfcast.operators.quality import run_gate
+from shelfcast.operators.quality import duplicate_series_days, run_gate
 from shelfcast.operators.typing import type_table
 from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import GOLD_TABLES, RAW_TABLES, Lake
@@ -228,11 +228,23 @@ def run_gold(
     return out
 
 
-def run_features(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, force: bool = False) -> list[dict]:
+def run_features(
+    spark: SparkSession,
+    lake: Lake,
+    horizon: int = DEFAULT_HORIZON,
+    force: bool = False,
+    check_unique: bool = True,
+) -> list[dict]:
     """Gold long sales + calendar -> stored feature table, clustered by
-    series and ordered by day inside each file."""
+    series and ordered by day inside each file.  With ``check_unique`` a
+    repeated (``id``, ``d``) is an error (it would make lags depend on row
+    order)."""
     started = utc_now()
     sales = spark.read.parquet(lake.gold("fact_sales_long"))
+    if check_unique:
+        dup = duplicate_series_days(sales).limit(5).collect()
+        if dup:
+            raise ValueError(f"duplicate (id, d) rows in sales, e.g. {[tuple(r) for r in dup]}")
     cal = spark.read.parquet(lake.gold("dim_calendar"))
     feats = build_features(sales, cal, horizon, check_calendar_rows=True)
     mode = "overwrite" if force else "errorifexists"
