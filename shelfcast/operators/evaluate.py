@@ -65,8 +65,8 @@ def residual_histogram(resid: DataFrame, column: str = "residual", bins: int = D
     Two passes, like any equal-width histogram: one aggregate job returns
     min and max (two numbers reach the driver), then a grouped count with
     map-side partial aggregation (a hot bin is pre-counted in every task).
-    The bin axis (``range(1, bins + 1)``) is joined on ``bin``: an equi-join
-    of at most ``bins`` rows per side.
+    The bin axis (``range(1, bins + 1)``) is joined on ``bin`` with the
+    counts broadcast: an equi-join of at most ``bins`` rows per side.
     """
     nb = int(bins)
     x = F.col(column).cast("double")
@@ -97,6 +97,8 @@ def residual_histogram(resid: DataFrame, column: str = "residual", bins: int = D
         .select(F.col("id").cast("int").alias("bin"))
         .select("bin", edge(F.col("bin") - 1).alias("bin_lo"), edge(F.col("bin")).alias("bin_hi"))
     )
-    return axis.join(counts, "bin", "left").select(
+    # counts holds at most ``bins`` rows by construction (bin is clamped to
+    # 1..bins): a proven bound, so it is broadcast to the axis.
+    return axis.join(F.broadcast(counts), "bin", "left").select(
         "bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
