@@ -131,11 +131,18 @@ def fit_ridge(
 
 
 def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineModel:
+    # Exact category levels come from the indexer fit itself (a distributed
+    # count per value); six count_distinct aggregates instead would make
+    # Spark replicate every training row six times (Expand) before the shuffle.
+    idx_cols = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
+    indexer = StringIndexer(
+        inputCols=CATEGORICAL_FEATURES, outputCols=idx_cols, handleInvalid="keep", stringOrderType="alphabetAsc"
+    ).fit(train)
+    levels = dict(zip(CATEGORICAL_FEATURES, (len(a) for a in indexer.labelsArray), strict=True))
     stats = train.agg(
         F.count(F.lit(1)).alias("n"),
         F.stddev_pop("label").alias("sd_pop"),
         F.stddev_samp("label").alias("sd_samp"),
-        *[F.count_distinct(c).alias(f"nd_{c}") for c in CATEGORICAL_FEATURES],
         *[(F.max(c) > F.min(c)).alias(f"var_{c}") for c in NUMERIC_FEATURES],
         *[F.avg(c).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
     ).first()
@@ -143,8 +150,8 @@ def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineMo
     if n == 0:
         raise ValueError("Train set is empty after dropping rows with NULL lag features")
     numeric = [c for c in NUMERIC_FEATURES if stats[f"var_{c}"]]
-    categorical = [c for c in CATEGORICAL_FEATURES if int(stats[f"nd_{c}"]) > 1]
-    width = len(numeric) + sum(int(stats[f"nd_{c}"]) for c in categorical)
+    categorical = [c for c in CATEGORICAL_FEATURES if levels[c] > 1]
+    width = len(numeric) + sum(levels[c] for c in categorical)
     # The normal equations hold a width x width matrix on the driver (Spark
     # caps them at 4,096 features); wider designs (M5: ~30k series one-hots)
     # use distributed L-BFGS, whose internal label scaling is the sample sigma.
@@ -153,7 +160,10 @@ def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineMo
     # A constant label gets zero coefficients and the mean as intercept.
     reg = float(alpha) * sigma / n if sigma > 0 else 0.0
     centers = {c: float(stats[f"mean_{c}"]) for c in numeric}
-    return ridge_pipeline(reg, solver, numeric, categorical, centers).fit(train)
+    stages = ridge_pipeline(reg, solver, numeric, categorical, centers).getStages()
+    # reuse the fitted indexer (it indexes all six; single-level ones are not encoded)
+    stages = [indexer if isinstance(st, StringIndexer) else st for st in stages]
+    return Pipeline(stages=stages).fit(train)
 
 
 def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
