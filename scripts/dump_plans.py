@@ -32,8 +32,10 @@ def main() -> None:
            "- store_daily: the lineitem scan reads 5 columns; a partial aggregate on (item, supplier, day)",
            "  precedes the first shuffle; the supplier join happens on the pre-aggregated rows (AQE turns",
            "  it into a broadcast join at this size; at scale it stays a sort-merge join).",
-           "- features: exactly one `Exchange hashpartitioning(id)` feeds both Window nodes; the calendar",
-           "  is a broadcast hash join, so the window output is not reshuffled.",
+           "- features: the dense sales table is stored bucketed by `id`, so the scan already satisfies",
+           "  the windows' distribution: no exchange at all, one sort, two Window nodes; the calendar is a",
+           "  broadcast hash join, so the window output is not reshuffled.  (Over an unbucketed input the",
+           "  same operator plans exactly one `Exchange hashpartitioning(id)`; tests/test_features.py.)",
            "- dq_report: the exact distinct count reuses the `id` partitioning of the windows (no extra",
            "  exchange before the per-id merge); one single-row aggregate feeds all five check rows.",
            "- sales_long_full: a single Generate (`stack`) over the wide scan, no exchange.",
