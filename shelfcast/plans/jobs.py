@@ -22,7 +22,7 @@ from shelfcast.operators.typing import type_table
 from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import GOLD_TABLES, RAW_TABLES, Lake
 from shelfcast.sources.csv import csv_header, read_csv, wide_schema, write_csv
-from shelfcast.sources.files import guarded_write, path_exists
+from shelfcast.sources.files import guarded_write, is_committed
 
 # Bronze schemas: what CSV type inference yields for the raw M5 files, fixed
 # up front so bronze never pays an inference pass.
@@ -98,7 +98,7 @@ def land_raw_tables(spark: SparkSession, sf_dir: str, lake: Lake, force: bool =
     for name, df in tables.items():
         started = utc_now()
         path = lake.landing(name)
-        if force or not path_exists(spark, path):
+        if force or not is_committed(spark, path):
             if df is None:
                 src = lake.landing("sales_train_validation")
                 spark.read.text(src).write.mode("overwrite").option("compression", "none").text(path)
@@ -135,10 +135,10 @@ def run_bronze(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
     for name in RAW_TABLES:
         started = utc_now()
         src, dst = lake.landing(name), lake.bronze(name)
-        if not path_exists(spark, src):
+        if not is_committed(spark, src):
             out.append(_entry(name, "missing", dst, started=started))
             continue
-        if path_exists(spark, dst) and not force:
+        if is_committed(spark, dst) and not force:
             df = spark.read.parquet(dst)
             out.append(_entry(name, "exists", dst, df.count(), len(df.columns), started))
             continue
@@ -161,10 +161,10 @@ def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
     for name in RAW_TABLES:
         started = utc_now()
         src, dst = lake.bronze(name), lake.silver(name)
-        if not path_exists(spark, src):
+        if not is_committed(spark, src):
             out.append(_entry(name, "missing", dst, started=started))
             continue
-        if path_exists(spark, dst) and not force:
+        if is_committed(spark, dst) and not force:
             out.append(_entry(name, "exists", dst, started=started))
             continue
         try:
@@ -218,7 +218,7 @@ def run_gold(
         def write(d, dst=dst, result=result):
             result["status"] = guarded_write(d, dst, policy="skip", force=force)
 
-        if path_exists(spark, dst) and not force:
+        if is_committed(spark, dst) and not force:
             out.append(_entry(name, "exists", dst, spark.read.parquet(dst).count(), len(df.columns), started,
                               nbytes=stored_bytes(spark, dst)))
             continue
@@ -247,10 +247,9 @@ def run_features(
             raise ValueError(f"duplicate (id, d) rows in sales, e.g. {[tuple(r) for r in dup]}")
     cal = spark.read.parquet(lake.gold("dim_calendar"))
     feats = build_features(sales, cal, horizon, check_calendar_rows=True)
-    mode = "overwrite" if force else "errorifexists"
-    if path_exists(spark, lake.features) and not force:
+    if is_committed(spark, lake.features) and not force:
         raise FileExistsError(f"Exists: {lake.features}. Use force to overwrite.")
-    features_for_write(feats).write.mode(mode).parquet(lake.features)
+    features_for_write(feats).write.mode("overwrite").parquet(lake.features)
     stored = spark.read.parquet(lake.features)
     stats = stored.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).first()
     out = [_entry("fact_sales_features", "ok", lake.features, int(stats["n"]), len(stored.columns), started,
@@ -273,7 +272,7 @@ def run_train(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, f
               alpha: float = md.DEFAULT_ALPHA) -> dict:
     """Fit the ridge baseline on the training rows and store the model.
     The output check happens BEFORE fitting."""
-    if path_exists(spark, lake.model) and not force:
+    if is_committed(spark, lake.model) and not force:
         raise FileExistsError(f"Model exists: {lake.model}. Use force to overwrite.")
     feats = spark.read.parquet(lake.features)
     model = md.fit_ridge(md.train_set(feats), alpha)

@@ -22,6 +22,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a COMMITTED Spark output.
+
+    Spark's commit protocol writes ``_SUCCESS`` only when the whole job
+    commits, so a folder left behind by a job that died half-way (lost
+    driver, executors lost past the retry limit) is not mistaken for a
+    finished output.  Spark ML models commit their ``metadata`` folder last.
+    """
+    base = path.rstrip("/")
+    return path_exists(spark, f"{base}/_SUCCESS") or path_exists(spark, f"{base}/metadata/_SUCCESS")
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Parquet sink (S8): snappy and dictionary encoding are the defaults."""
     df.write.mode(mode).parquet(path)
@@ -40,6 +52,9 @@ def guarded_write(
     * exists and ``skip``  -> keep the existing output, status ``exists``
     * exists and ``fail``  -> ``FileExistsError``
     * otherwise            -> write, status ``ok``
+
+    "Exists" means a committed output (``is_committed``); an uncommitted
+    leftover of a failed run is overwritten, so a re-run resumes cleanly.
     """
     if policy not in ("skip", "fail"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -48,11 +63,11 @@ def guarded_write(
     if force:
         writer.mode("overwrite").save(path)
         return "ok"
-    if path_exists(spark, path):
+    if is_committed(spark, path):
         if policy == "fail":
             raise FileExistsError(f"Exists: {path}. Use force to overwrite.")
         return "exists"
-    writer.mode("errorifexists").save(path)
+    writer.mode("overwrite").save(path)
     return "ok"
 
 

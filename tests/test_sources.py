@@ -125,3 +125,16 @@ def test_write_csv_sink(spark):
     path = scratch_path(spark, "csv_sink")
     write_csv(spark.createDataFrame([("a,b", 1.5)], "id string, y double"), path)
     assert [tuple(r) for r in read_csv(spark, path, schema="id string, y double").collect()] == [("a,b", 1.5)]
+
+
+def test_guarded_write_redoes_uncommitted_leftover(spark):
+    from shelfcast.sources.files import is_committed
+
+    path = scratch_path(spark, "leftover")
+    spark.range(3).write.parquet(path)
+    assert is_committed(spark, path)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.remove(os.path.join(local, "_SUCCESS"))  # as if the job died before commit
+    assert not is_committed(spark, path)
+    assert guarded_write(spark.range(7), path, policy="skip") == "ok"
+    assert spark.read.parquet(path).count() == 7 and is_committed(spark, path)
