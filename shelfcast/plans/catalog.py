@@ -292,14 +292,14 @@ def q_table_fingerprint(spark, sf_dir):
 def q_file_manifest(spark, sf_dir):
     """Path, size and sha256 of every landed raw file."""
     lk = lake(spark, sf_dir, "landing")
-    return file_manifest(spark, f"{lk.root}/landing", pattern="*.csv")
+    return file_manifest(spark, lk.landing_dir, pattern="*.csv")
 
 
 @query("input_completeness")
 def q_input_completeness(spark, sf_dir):
     """Expected raw tables against the landing manifest."""
     lk = lake(spark, sf_dir, "landing")
-    man = file_manifest(spark, f"{lk.root}/landing", pattern="*.csv")
+    man = file_manifest(spark, lk.landing_dir, pattern="*.csv")
     tables = man.select(F.regexp_extract("rel_path", r"^([^/]+)\.csv/", 1).alias("table_name"))
     return input_completeness(tables, RAW_TABLES)
 
@@ -392,10 +392,11 @@ def q_predictions_csv(spark, sf_dir):
 
 @query("medallion_run")
 def q_medallion_run(spark, sf_dir):
-    """Landing -> bronze -> silver -> gold -> features -> dq -> train ->
-    eval in a fresh lake; one summary row per stage."""
-    lk = Lake(scratch_path(spark, "medallion"))
-    jobs.land_raw_tables(spark, sf_dir, lk)
+    """Bronze -> silver -> gold -> features -> dq -> train -> eval in a
+    fresh lake over the shared landing zone (raw tables landed once per
+    application); one summary row per stage."""
+    shared = lake(spark, sf_dir, "landing")
+    lk = Lake(scratch_path(spark, "medallion"), landing_root=shared.landing_dir)
     return jobs.run_medallion(spark, lk, through="eval")
 
 

@@ -12,9 +12,15 @@ GOLD_TABLES = ["dim_calendar", "dim_series", "fact_sell_prices", "fact_sales_lon
 @dataclass(frozen=True)
 class Lake:
     root: str
+    # raw tables may live outside the lake (a shared landing zone)
+    landing_root: str | None = None
+
+    @property
+    def landing_dir(self) -> str:
+        return self.landing_root or f"{self.root}/landing"
 
     def landing(self, table: str) -> str:
-        return f"{self.root}/landing/{table}.csv"
+        return f"{self.landing_dir}/{table}.csv"
 
     def bronze(self, table: str) -> str:
         return f"{self.root}/bronze/{table}.parquet"
