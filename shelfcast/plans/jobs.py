@@ -8,6 +8,8 @@ instead of recomputing earlier stages.  Each stage returns its audit entries
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -334,22 +336,25 @@ def run_medallion(
     failed = False
     for stage in STAGES[: last + 1]:
         if failed:
-            rows.append((stage, "skipped", None, None, None))
+            rows.append((stage, "skipped", None, None, None, None))
             continue
+        t0 = time.perf_counter()
         try:
             res = runners[stage]()
+            secs = round(time.perf_counter() - t0, 3)
             if isinstance(res, list):
                 bad = [e for e in res if e["status"] not in ("ok", "exists")]
                 n_rows = sum(int(e["n_rows"] or 0) for e in res)
-                rows.append((stage, "failed" if bad else "ok", len(res), n_rows, None))
+                rows.append((stage, "failed" if bad else "ok", len(res), n_rows, None, secs))
                 failed = bool(bad)
             else:
-                rows.append((stage, res.get("status", "ok"), 1, res.get("n_rows"), None))
+                rows.append((stage, res.get("status", "ok"), 1, res.get("n_rows"), None, secs))
                 failed = res.get("status", "ok") not in ("ok", "exists")
         except Exception as exc:
-            rows.append((stage, "failed", None, None, str(exc).splitlines()[0][:500]))
+            secs = round(time.perf_counter() - t0, 3)
+            rows.append((stage, "failed", None, None, str(exc).splitlines()[0][:500], secs))
             failed = True
-    schema = "stage string, status string, n_tables int, n_rows bigint, error string"
+    schema = "stage string, status string, n_tables int, n_rows bigint, error string, seconds double"
     return spark.createDataFrame(rows, schema)
 
 

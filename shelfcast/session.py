@@ -75,24 +75,9 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/shelfcast/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or "://" not in path
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for the few driver-side checks on local paths)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 __all__ = [
     "DEFAULT_CONF",
     "build_session",
     "ensure_checkpoint_dir",
     "scratch_path",
-    "is_local_path",
-    "local_fs_path",
 ]
