@@ -30,3 +30,16 @@ def test_dense_sales_has_no_cartesian_product(spark, sf_small):
     plan = _plan(rf.dense_sales(spark, sf_small))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Generate explode(sequence(" in plan
+
+
+def test_stored_features_filter_pushdown_and_pruning(spark, sf_small):
+    from shelfcast.operators import model as md
+    from shelfcast.operators.quality import dq_summary
+    from shelfcast.plans.catalog import lake
+
+    feats = spark.read.parquet(lake(spark, sf_small, "features").features)
+    plan = md.test_set(feats)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(is_test), EqualTo(is_test,true)" in plan
+    summary_plan = dq_summary(feats)._jdf.queryExecution().executedPlan().toString()
+    read_schema = summary_plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert read_schema == "struct<id:string,is_test:boolean>"
