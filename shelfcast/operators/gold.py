@@ -56,20 +56,35 @@ def sales_long(
     sales_wide: DataFrame,
     sample_n_series: int | None = DEFAULT_SAMPLE_SERIES,
     sample_days: int | None = DEFAULT_SAMPLE_DAYS,
+    sample_order: str = "id",
 ) -> DataFrame:
     """Long sales fact from the wide table.
 
     ``sample_days`` keeps the last N day columns (numeric order, capped at
-    what exists); ``sample_n_series`` keeps the first N series ordered by
-    ``id`` -- a deterministic stand-in for "first N rows of the file", planned
-    as a top-N (``TakeOrderedAndProject``: each task keeps N rows, the driver
-    merges at most N per task).  ``None`` keeps everything (the full fact,
-    no sort, no single-task step).
+    what exists); ``sample_n_series`` keeps the first N series, planned as a
+    top-N (``TakeOrderedAndProject``: each task keeps N rows, the driver
+    merges at most N per task).  ``sample_order="id"`` (default) orders by
+    ``id``, a deterministic stand-in for file order; ``"file"`` takes the
+    first N rows of the stored files exactly, ordered by Parquet's hidden
+    ``_metadata.file_path`` / ``_metadata.row_index`` (``sales_wide`` must be
+    a direct file scan).  ``None`` keeps everything (the full fact, no sort,
+    no single-task step).
     """
     from shelfcast.functions.columns import quote
 
     days = last_day_columns(sales_wide.columns, sample_days)
-    wide = sales_wide.selectExpr(*[quote(c) for c in SERIES_COLUMNS + days])
-    if sample_n_series is not None:
-        wide = wide.orderBy("id").limit(int(sample_n_series))
+    cols = [quote(c) for c in SERIES_COLUMNS + days]
+    if sample_n_series is None:
+        wide = sales_wide.selectExpr(*cols)
+    elif sample_order == "file":
+        wide = (
+            sales_wide.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+            .orderBy("_f", "_r")
+            .limit(int(sample_n_series))
+            .selectExpr(*cols)
+        )
+    elif sample_order == "id":
+        wide = sales_wide.selectExpr(*cols).orderBy("id").limit(int(sample_n_series))
+    else:
+        raise ValueError(f"unknown sample_order {sample_order!r}")
     return unpivot_days(wide, days)

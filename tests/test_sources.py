@@ -138,3 +138,15 @@ def test_guarded_write_redoes_uncommitted_leftover(spark):
     assert not is_committed(spark, path)
     assert guarded_write(spark.range(7), path, policy="skip") == "ok"
     assert spark.read.parquet(path).count() == 7 and is_committed(spark, path)
+
+
+def test_sample_in_file_order(spark):
+    cols = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "d_1", "d_2"]
+    rows = [(f"S{k}", "i", "x", "c", "s", "t", k, k + 1) for k in (5, 3, 9, 1)]
+    path = scratch_path(spark, "wide_file_order")
+    spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c.startswith('d_') else 'string'}" for c in cols)) \
+        .coalesce(1).write.parquet(path)
+    wide = spark.read.parquet(path)
+    by_file = {r["id"] for r in gd.sales_long(wide, 2, None, sample_order="file").collect()}
+    by_id = {r["id"] for r in gd.sales_long(wide, 2, None).collect()}
+    assert by_file == {"S5", "S3"} and by_id == {"S1", "S3"}
