@@ -42,6 +42,10 @@ class Lake:
     def output(self, name: str) -> str:
         return f"{self.root}/outputs/{name}"
 
+    def checkpoint(self, name: str) -> str:
+        """Streaming checkpoint folder of one incremental job."""
+        return f"{self.root}/_checkpoints/{name}"
+
     @property
     def audit(self) -> str:
         return f"{self.root}/audit/stages.json"

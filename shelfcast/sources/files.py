@@ -28,10 +28,15 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     Spark's commit protocol writes ``_SUCCESS`` only when the whole job
     commits, so a folder left behind by a job that died half-way (lost
     driver, executors lost past the retry limit) is not mistaken for a
-    finished output.  Spark ML models commit their ``metadata`` folder last.
+    finished output.  Spark ML models commit their ``metadata`` folder last;
+    a streaming file sink commits through its ``_spark_metadata`` log.
     """
     base = path.rstrip("/")
-    return path_exists(spark, f"{base}/_SUCCESS") or path_exists(spark, f"{base}/metadata/_SUCCESS")
+    return (
+        path_exists(spark, f"{base}/_SUCCESS")
+        or path_exists(spark, f"{base}/metadata/_SUCCESS")
+        or path_exists(spark, f"{base}/_spark_metadata/0")
+    )
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

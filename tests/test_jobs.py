@@ -30,3 +30,29 @@ def test_medallion_stops_at_first_failure(spark):
     rows = {r["stage"]: (r["status"], r["error"]) for r in jobs.run_medallion(spark, lk, through="eval").collect()}
     assert rows["bronze"][0] == "failed" and "missing raw tables" in rows["bronze"][1]
     assert all(rows[s][0] == "skipped" for s in ["silver", "gold", "features", "dq", "train", "eval"])
+
+
+def test_incremental_bronze_picks_up_only_new_files(spark):
+    import os
+
+    from shelfcast.sources.csv import read_csv
+
+    lk = Lake(scratch_path(spark, "jobs_incremental"))
+    land = lk.landing("sell_prices")
+    local = land[len("file:"):] if land.startswith("file:") else land
+    os.makedirs(local)
+    with open(os.path.join(local, "part-0.csv"), "w") as f:
+        f.write("store_id,item_id,wm_yr_wk,sell_price\nS,I,11101,1.5\nS,J,11101,2.5\n")
+    open(os.path.join(local, "_SUCCESS"), "w").close()
+    first = {e["table_name"]: e for e in jobs.run_bronze(spark, lk, strict=False, incremental=True)}
+    assert first["sell_prices"]["n_rows"] == 2 and first["calendar"]["status"] == "missing"
+    with open(os.path.join(local, "part-1.csv"), "w") as f:
+        f.write("store_id,item_id,wm_yr_wk,sell_price\nS,K,11102,3.0\n")
+    second = {e["table_name"]: e for e in jobs.run_bronze(spark, lk, strict=False, incremental=True)}
+    assert second["sell_prices"]["n_rows"] == 3
+    got = sorted(tuple(r) for r in spark.read.parquet(lk.bronze("sell_prices")).collect())
+    want = sorted(tuple(r) for r in read_csv(spark, land, schema=jobs.BRONZE_SELL_PRICES).collect())
+    assert got == want
+    # a third run with nothing new appends nothing
+    third = {e["table_name"]: e for e in jobs.run_bronze(spark, lk, strict=False, incremental=True)}
+    assert third["sell_prices"]["n_rows"] == 3
