@@ -31,10 +31,17 @@ def _digest(rows, cols):
     return hashlib.sha256("\n".join(sorted("|".join(norm(r[i]) for i in order) for r in rows)).encode()).hexdigest()
 
 
+DUCKDB_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT",
+               "tinyint": "TINYINT", "double": "DOUBLE", "float": "FLOAT", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(oracle_sql()[name])
+    types = {c: str(t) for c, t in zip(rel.columns, rel.types, strict=True)}
+    assert {f.name: DUCKDB_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields} == types
     cur = con.execute(oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
