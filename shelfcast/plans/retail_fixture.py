@@ -170,6 +170,8 @@ def landed_dense_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
             (
                 dense_sales(spark, sf_dir)
+                # same hash as bucketing: each bucket is written by one task, as one file
+                .repartition(n_buckets, "id")
                 .write.mode("overwrite")
                 .bucketBy(n_buckets, "id")
                 .sortBy("id", "d")
