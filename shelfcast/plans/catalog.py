@@ -91,9 +91,21 @@ def model_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+_LOADED: dict[str, object] = {}
+
+
+def loaded_model(spark: SparkSession, sf_dir: str):
+    """The stored ridge model, loaded from storage once (S15 source) and
+    kept: a written model folder never changes."""
+    path = model_path(spark, sf_dir)
+    with _LAKE_LOCK:
+        if path not in _LOADED:
+            _LOADED[path] = md.load_model(path)
+        return _LOADED[path]
+
+
 def _ridge_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = md.load_model(model_path(spark, sf_dir))
-    return md.predict(model, md.test_set(features(spark, sf_dir)))
+    return md.predict(loaded_model(spark, sf_dir), md.test_set(features(spark, sf_dir)))
 
 
 def _lag7_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,7 +381,7 @@ def q_predictions(spark, sf_dir):
 def q_ridge_predict(spark, sf_dir):
     """M4: the fitted pipeline applied to the test rows (one-hot + assembly +
     linear predictor), with the assembled feature-vector width."""
-    model = md.load_model(model_path(spark, sf_dir))
+    model = loaded_model(spark, sf_dir)
     from pyspark.ml.functions import vector_to_array
 
     out = model.transform(md.test_set(features(spark, sf_dir)))
