@@ -144,12 +144,14 @@ def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineMo
         F.stddev_pop("label").alias("sd_pop"),
         F.stddev_samp("label").alias("sd_samp"),
         *[(F.max(c) > F.min(c)).alias(f"var_{c}") for c in NUMERIC_FEATURES],
+        *[F.count(c).alias(f"nn_{c}") for c in NUMERIC_FEATURES],
         *[F.avg(c).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
     ).first()
     n = int(stats["n"])
     if n == 0:
         raise ValueError("Train set is empty after dropping rows with NULL lag features")
-    numeric = [c for c in NUMERIC_FEATURES if stats[f"var_{c}"]]
+    # a column with NULLs is never pruned: the assembler must reject it (Q8)
+    numeric = [c for c in NUMERIC_FEATURES if stats[f"var_{c}"] or int(stats[f"nn_{c}"]) < n]
     categorical = [c for c in CATEGORICAL_FEATURES if levels[c] > 1]
     width = len(numeric) + sum(levels[c] for c in categorical)
     # The normal equations hold a width x width matrix on the driver (Spark
@@ -159,7 +161,7 @@ def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineMo
     sigma = float((stats["sd_pop"] if solver == "normal" else stats["sd_samp"]) or 0.0)
     # A constant label gets zero coefficients and the mean as intercept.
     reg = float(alpha) * sigma / n if sigma > 0 else 0.0
-    centers = {c: float(stats[f"mean_{c}"]) for c in numeric}
+    centers = {c: float(stats[f"mean_{c}"] or 0.0) for c in numeric}
     stages = ridge_pipeline(reg, solver, numeric, categorical, centers).getStages()
     # reuse the fitted indexer (it indexes all six; single-level ones are not encoded)
     stages = [indexer if isinstance(st, StringIndexer) else st for st in stages]

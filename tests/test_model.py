@@ -133,3 +133,26 @@ def test_lbfgs_path_matches_closed_form(spark):
             key = name if name in got else name.split("=")[0] + "=*"
             assert got[key] == pytest.approx(val, rel=1e-5, abs=1e-6), (limit, name)
         assert got["(intercept)"] == pytest.approx(exp_b, rel=1e-5, abs=1e-6)
+
+
+def test_null_calendar_feature_fails_fit(spark):
+    """Q8: a training row whose day had no calendar match keeps NULL time
+    features; assembling them is an error, as the original model rejects NaN."""
+    feats = _smoke_fixture(spark).withColumn(
+        "wm_yr_wk", F.when(F.col("d") == "d_3", F.lit(None).cast("int")).otherwise(F.col("wm_yr_wk"))
+    )
+    with pytest.raises(Exception, match="(?i)null|nan|invalid"):
+        md.fit_ridge(md.train_set(feats))
+
+
+def test_train_checks_existing_model_before_fitting(spark, monkeypatch):
+    """Q13: an existing model without force is refused before any fit runs."""
+    from shelfcast.plans import jobs
+    from shelfcast.plans.lake import Lake
+    from shelfcast.session import scratch_path
+
+    lk = Lake(scratch_path(spark, "train_guard"))
+    md.save_model(md.fit_ridge(md.train_set(_smoke_fixture(spark))), lk.model)
+    monkeypatch.setattr(md, "fit_ridge", lambda *a, **k: pytest.fail("fit ran before the exists check"))
+    with pytest.raises(FileExistsError):
+        jobs.run_train(spark, lk)
