@@ -19,11 +19,10 @@ def spark():
     builder = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # tests only: a checkpoint folder of our own when the session has none
-        builder = builder.config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    # the session's spark.checkpoint.dir is used when set; tests only make
+    # a folder of their own when it is not
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfcast-test-ckpt-"))
     ensure_checkpoint_dir(s)
