@@ -290,7 +290,9 @@ def sales_wide(spark: SparkSession, sf_dir: str, labels: list[str] | None = None
     """
     labels = labels or day_labels(spark, sf_dir)
     first = int(labels[0][2:])
-    dense = dense_sales(spark, sf_dir).select(
+    # the stored table is bucketed by id: grouping by keys that include id
+    # needs no shuffle
+    dense = landed_dense_sales(spark, sf_dir).select(
         *META_COLUMNS, F.struct(F.replace("d", F.lit("d_"), F.lit("")).cast("int").alias("n"), "sales").alias("v")
     )
     grouped = dense.groupBy(*META_COLUMNS).agg(F.sort_array(F.collect_list("v")).alias("days"))
@@ -302,7 +304,9 @@ def sales_wide(spark: SparkSession, sf_dir: str, labels: list[str] | None = None
 
 def submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, F1 .. F28`` (float): the last 28 days of each series."""
-    dense = dense_sales(spark, sf_dir).select("id", F.replace("d", F.lit("d_"), F.lit("")).cast("int").alias("n"), "sales")
+    dense = landed_dense_sales(spark, sf_dir).select(
+        "id", F.replace("d", F.lit("d_"), F.lit("")).cast("int").alias("n"), "sales"
+    )
     last = dense.select(F.max("n")).scalar()
     labels = [f"F{k}" for k in range(1, SUBMISSION_DAYS + 1)]
     return (
