@@ -150,3 +150,17 @@ def test_sample_in_file_order(spark):
     by_file = {r["id"] for r in gd.sales_long(wide, 2, None, sample_order="file").collect()}
     by_id = {r["id"] for r in gd.sales_long(wide, 2, None).collect()}
     assert by_file == {"S5", "S3"} and by_id == {"S1", "S3"}
+
+
+def test_stack_unpivot_equals_builtin_unpivot(spark):
+    import random
+
+    rnd = random.Random(5)
+    days = [f"d_{k}" for k in (1, 2, 3, 10, 11, 25, 100)]
+    meta = list(gd.SERIES_COLUMNS)
+    rows = [tuple([f"S{i}", "i", "x", "c", "s", "t"] + [rnd.choice([None, rnd.randint(0, 9)]) for _ in days])
+            for i in range(12)]
+    wide = spark.createDataFrame(rows, ", ".join([f"{c} string" for c in meta] + [f"{d} int" for d in days]))
+    ours = sorted(tuple(r) for r in gd.unpivot_days(wide, days).collect())
+    builtin = sorted(tuple(r) for r in wide.unpivot(meta, days, "d", "sales").select(*meta, "d", "sales").collect())
+    assert ours == builtin and len(ours) == 12 * len(days)
