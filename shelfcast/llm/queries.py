@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, lines, token_counts
+from shelfcast.llm import bpe, lines, quality, secrets, tiling, token_counts
 from shelfcast.llm.common import read
 
 TOKEN_LIMIT = 4096
@@ -39,8 +39,26 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+    return found.select(
+        "doc_id", *(secrets.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op6_bpe, op8_line_dedup)
+    f.__name__: f for f in (op2_token_counts, op6_bpe, op7_quality, op8_line_dedup, op9_secrets, op10_decontamination)
 }
 
 ORACLE_SQL: dict[str, str] = {
