@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, lines, quality, secrets, tiling, token_counts
+from shelfcast.llm import bpe, jaccard, lines, quality, secrets, tiling, token_counts, warc
 from shelfcast.llm.common import read
+from shelfcast.session import scratch_path
 
 TOKEN_LIMIT = 4096
 
@@ -24,6 +25,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive, index = scratch_path(spark, "warc"), scratch_path(spark, "cdx")
+    captures = warc.write(read(spark, sf_dir, "pages"), archive)
+    back = warc.look_up(captures, warc.build_index(captures, index), index, archive)
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(read(spark, sf_dir, "documents"))
+
+
 def encode_documents(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
@@ -58,10 +70,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op6_bpe, op7_quality, op8_line_dedup, op9_secrets, op10_decontamination)
+    f.__name__: f for f in (op2_token_counts, op4_warc, op5_jaccard, op6_bpe, op7_quality, op8_line_dedup, op9_secrets, op10_decontamination)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # base32 of the digest by its five-bit groups
+    "op4_warc": r"""
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+        ), first AS (
+            SELECT hex, max(page_id) AS last FROM p GROUP BY hex
+        ), bits AS (
+            SELECT DISTINCT hex, array_to_string([right('000' || bin(strpos('0123456789abcdef', c) - 1), 4) FOR c IN string_split(hex, '')], '') AS b FROM p
+        ), base32 AS (
+            SELECT hex, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(list_sum([CAST(substr(b, 5 * i + j + 1, 1) AS INT) * (16 >> j) FOR j IN range(5)]) AS INT) + 1, 1) FOR i IN range(32)], '') AS digest FROM bits
+        )
+        SELECT page_id, octet_length(payload) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM p JOIN first USING (hex) JOIN base32 USING (hex)""",
     "op8_line_dedup": r"""
         WITH split AS (
             SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
