@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, extraction, jaccard, lines, quality, secrets, tiling, token_counts, warc
+from shelfcast.llm import bpe, extraction, jaccard, lines, pii, quality, secrets, tiling, token_counts, warc
 from shelfcast.llm.common import read
 from shelfcast.session import scratch_path
 
@@ -29,6 +29,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive, index = scratch_path(spark, "warc"), scratch_path(spark, "cdx")
     captures = warc.write(read(spark, sf_dir, "pages"), archive)
@@ -74,7 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_extraction, op2_token_counts, op4_warc, op5_jaccard, op6_bpe, op7_quality, op8_line_dedup, op9_secrets, op10_decontamination)
+    f.__name__: f for f in (op1_extraction, op2_token_counts, op3_pii, op4_warc, op5_jaccard, op6_bpe, op7_quality, op8_line_dedup, op9_secrets, op10_decontamination)
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -191,3 +191,22 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
         out = out.unionByName(by_batch(rows, scan, schema))
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_tokens", "n_covered",
                       F.round(F.col("n_covered") / F.col("n_tokens"), 6).alias("coverage"))
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min_match: int = MIN_MATCH, text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """The rows of ``docs`` that are contaminated by no item, unchanged.
+
+    Rows are judged where they are, block after block, without a shuffle.
+    """
+    out = docs
+    for block in _blocks(items, item_col, item_text_col, min_match, block_tokens):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def keep(batches, shared=shared):
+            for batch in batches:
+                covered = [shared.value.covered(tokens((t or "").lower())) for t in batch.column(text_col).to_pylist()]
+                yield batch.filter(pa.array([not any(n >= threshold * of for _, of, n in c) for c in covered], pa.bool_()))
+
+        out = out.mapInArrow(keep, docs.schema)
+    return out
