@@ -13,8 +13,8 @@ blocks of pages without an article, and article blocks that are mostly links.
 For these the token streams of the host's pages (all blocks but an article's
 running text) are concatenated, and a suffix array finds the runs of
 ``MIN_RUN`` tokens or more that at least ``MIN_PAGES`` pages with different
-streams share.  Tokens covered by such runs are boilerplate; a block keeps its
-other runs.
+streams share.  Tokens covered by such runs are boilerplate: a block that is
+all covered goes, others lose covered runs of that length and keep the rest.
 
 A host may have any share of all pages, so its streams are dealt to shards of
 about ``SHARD_TOKENS`` tokens; each shard sorts its suffixes to depth
@@ -180,13 +180,29 @@ def kept_text(blocks: Blocks, covered: set[int]) -> str:
     for (zone, text, _), is_open in zip(blocks, open_blocks(blocks)):
         words = text.split(" ")
         if is_open:
-            text = " ".join(w for i, w in enumerate(words) if at + i not in covered)
+            text = " ".join(_unique(words, [at + i in covered for i in range(len(words))]))
         if text and zone != "chrome" and (zone == "article" or not article):
             out.append(text)
         at += len(words) if _streamed(zone, is_open) else 0
     return "\n\n".join(out)
 
 
+def _unique(words: list[str], covered: list[bool]) -> list[str]:
+    """The words without covered runs of the least length; fewer covered words
+    beside a block's own are the end of a run of its neighbour's."""
+    if all(covered):
+        return []
+    out: list[str] = []
+    run: list[str] = []
+    for word, c in zip([*words, ""], [*covered, False]):
+        if c:
+            run.append(word)
+            continue
+        out += run * (len(run) < MIN_RUN) + [word]
+        run = []
+    return out[:-1]
+
+
 def _streamed(zone: str, is_open: bool) -> bool:
     return zone != "article" or is_open
 

@@ -104,7 +104,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         for a in ALPHABET:
             for b in ALPHABET:
                 chance[kind, a, b] = (pair[a + b] + 0.5) / (total[a] + 0.5 * n)
-    return [round(math.log(chance[True, a, b] / chance[False, a, b]), 4) for a in ALPHABET for b in ALPHABET]
+    # signs between the parts of a token are no evidence, both kinds have too few
+    parts = set(ALPHABET) - set("+/_=-")
+    return [round(math.log(chance[True, a, b] / chance[False, a, b]), 4) if {a, b} <= parts else 0.0 for a in ALPHABET for b in ALPHABET]
 
 
 def _score(token: Column, ratios: list[float]) -> Column:

@@ -21,7 +21,8 @@ pyarrow's file systems, so local, HDFS and object stores work alike.
 
 A null payload counts as empty, a null URL as the empty one; rows with the
 same URL or page id are captures of their own (the copy number tells rows with
-equal keys apart), a null page id is smaller than all others.  An empty table
+equal keys apart).  Rows that repeat the largest page id of a payload are
+responses like it, and a null page id is smaller than all others.  An empty table
 gives an empty archive.  Other columns are ignored.  A payload must fit in a
 task's memory, as its row does.
 """
@@ -109,14 +110,12 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     """Write the archives below ``folder``; the captures: key, id, copy, file,
     offset and size of every record.  Payloads of fewer than ``smallest``
     bytes are never deduplicated."""
-    rows = pages.select(F.monotonically_increasing_id().alias("copy"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
-                        F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
     # one count per task and digest is shuffled, so a very common payload is no large group
-    some = F.struct(F.col("id").isNotNull().alias("known"), "id", (-F.col("copy")).alias("earlier"))
-    equal = rows.where(F.octet_length("payload") >= smallest).groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.max(some).alias("first"))
-    equal = equal.where("n > 1").select("sha", F.col("first.id").alias("first_id"), (-F.col("first.earlier")).alias("first_copy"))
-    marked = rows.join(equal, "sha", "left").withColumn("revisit", F.col("first_copy").isNotNull() & (F.col("copy") != F.col("first_copy"))).drop("sha", "first_copy")
+    equal = rows.where(F.octet_length("payload") >= smallest).groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("first"))
+    marked = rows.join(equal.where("n > 1").drop("n").withColumn("dup", F.lit(True)), "sha", "left").withColumn("revisit", F.col("dup").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")))
+    marked = marked.select(F.monotonically_increasing_id().alias("copy"), "id", "url", "payload", "first", "revisit")
     arrow = pa.schema([("key", pa.string()), ("id", pa.int64()), ("copy", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("size", pa.int64())])
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +131,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
                             out.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = fs.open_output_stream(f"{top}/{name}", compression=None)
-                    member = record(r["url"], r["id"], r["payload"], r["first_id"], r["revisit"])
+                    member = record(r["url"], r["id"], r["payload"], r["first"], r["revisit"])
                     out.write(member)
                     lines.append({"key": _key(r["url"], r["id"], r["copy"]), "id": r["id"], "copy": r["copy"], "file": name, "at": at, "size": len(member)})
                     at += len(member)
@@ -141,7 +140,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             if out:
                 out.close()
 
-    return stored(marked.select("copy", "id", "url", "payload", "first_id", "revisit").mapInArrow(archive, CAPTURE), "warc-captures")
+    return stored(marked.mapInArrow(archive, CAPTURE), "warc-captures")
 
 
 def build_index(captures: DataFrame, folder: str) -> DataFrame:
