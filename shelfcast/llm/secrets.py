@@ -96,17 +96,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     if not counts[True]:
         return None
     n = len(ALPHABET)
-    chance = {}
+    first, second = ({kind: Counter() for kind in counts} for _ in range(2))
     for kind, pair in counts.items():
-        total = Counter()
         for p, k in pair.items():
-            total[p[0]] += k
-        for a in ALPHABET:
-            for b in ALPHABET:
-                chance[kind, a, b] = (pair[a + b] + 0.5) / (total[a] + 0.5 * n)
+            first[kind][p[0]] += k
+            second[kind][p[1]] += k
+    every = max(1, sum(second[False].values()))
+
+    def random_chance(a: str, b: str) -> float:
+        # half of the weight on any character, as most random strings use more than the sample's
+        own = counts[True][a + b] / first[True][a] if first[True][a] else 1 / n
+        return 0.5 * own + 0.5 / n
+
+    def plain_chance(a: str, b: str) -> float:
+        # pairs that the sample lacks have the chance of their second character
+        own = counts[False][a + b] / first[False][a] if first[False][a] else 1 / n
+        return 0.8 * own + 0.19 * second[False][b] / every + 0.01 / n
+
     # signs between the parts of a token are no evidence, both kinds have too few
     parts = set(ALPHABET) - set("+/_=-")
-    return [round(math.log(chance[True, a, b] / chance[False, a, b]), 4) if {a, b} <= parts else 0.0 for a in ALPHABET for b in ALPHABET]
+    return [round(math.log(random_chance(a, b) / plain_chance(a, b)), 4) if {a, b} <= parts else 0.0 for a in ALPHABET for b in ALPHABET]
 
 
 def _score(token: Column, ratios: list[float]) -> Column:
