@@ -2,72 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "table") -> None:
     """Raise ``ValueError`` naming the sorted missing set."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns in {what}: {missing}")
+        raise ValueError(f"{what} lacks the columns {missing}")
 
 
-def set_if_present(df: DataFrame, name: str, fn: Callable[[Column], Column]) -> DataFrame:
-    """Replace column ``name`` in place with ``fn(col)`` when it exists."""
-    if name not in df.columns:
-        return df
-    return df.withColumns({name: fn(F.col(name))})
-
-
-def cast_if_present(df: DataFrame, name: str, dtype: DataType | str) -> DataFrame:
-    """Checked cast of ``name`` when present.
-
-    With ANSI mode (the 4.x default) an out-of-range integer raises
-    ``CAST_OVERFLOW`` instead of wrapping, like a checked Arrow cast.
-    """
-    return set_if_present(df, name, lambda c: c.cast(dtype))
+def quote(name: str) -> str:
+    """Backtick-quote a column name for a SQL expression string."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def cast_prefixed(df: DataFrame, prefix: str, dtype: DataType | str) -> DataFrame:
-    """Cast every column whose name starts with ``prefix`` in ONE projection.
+def cast_columns(df: DataFrame, types: Mapping[str, str], expressions: Mapping[str, str] | None = None) -> DataFrame:
+    """Checked casts of the columns named in ``types`` (P1, P2, P6, P7), in
+    one projection; names that ``df`` lacks are ignored.
 
-    A single projection keeps the analyzed plan flat even for ~2,000 day
-    columns (chained ``withColumn`` calls would grow it quadratically), and
-    it is written as SQL expression strings: they are parsed in the JVM in
-    one call instead of three Python-to-JVM round trips per column.
+    ``expressions`` gives SQL of its own for some columns.  The projection is
+    written as SQL strings, which the JVM parses in one call: about 2,000 day
+    columns plan at once, and the analyzed plan stays one node deep.
     """
-    type_sql = dtype if isinstance(dtype, str) else dtype.simpleString()
-    return df.selectExpr(
-        *[(f"CAST({quote(c)} AS {type_sql}) AS {quote(c)}" if c.startswith(prefix) else quote(c)) for c in df.columns]
-    )
-
-
-def quote(name: str) -> str:
-    """Backtick-quote a column name for a SQL expression string."""
-    return "`" + name.replace("`", "``") + "`"
+    own = expressions or {}
 
+    def projected(name: str) -> str:
+        col = quote(name)
+        sql = own.get(name) or (f"CAST({col} AS {types[name]})" if name in types else col)
+        return f"{sql} AS {col}"
 
-def sorted_day_columns(columns: Iterable[str], prefix: str = "d_") -> list[str]:
-    """Day columns by prefix in numeric order: ``d_2`` before ``d_10``."""
-    days = [c for c in columns if c.startswith(prefix)]
-    return sorted(days, key=lambda c: int(c[len(prefix):]))
+    return df.selectExpr(*map(projected, df.columns))
 
 
-def last_day_columns(columns: Iterable[str], n_days: int | None, prefix: str = "d_") -> list[str]:
-    """The last ``n_days`` day columns, capped at what exists (P10).
+def day_columns(columns: Iterable[str], last: int | None = None, prefix: str = "d_") -> list[str]:
+    """The day columns in the order of their numbers, ``d_2`` before ``d_10``
+    (P9); with ``last``, those of the newest days only (P10).
 
-    ``None`` keeps all of them.  No day column at all is an error.
+    ``last`` must be at least 1; more days than there are keep all of them.
     """
-    days = sorted_day_columns(columns, prefix)
-    if not days:
-        raise ValueError(f"No day columns ({prefix}*) found")
-    if n_days is None:
-        return days
-    return days[-min(int(n_days), len(days)):]
+    if last is not None and last < 1:
+        raise ValueError(f"the number of last days must be at least 1, not {last}")
+    by_number = {int(c.removeprefix(prefix)): c for c in columns if c.startswith(prefix)}
+    newest = sorted(by_number, reverse=True)[:last]
+    return [by_number[n] for n in reversed(newest)]
 
 
 def day_number(d: Column | str = "d") -> Column:

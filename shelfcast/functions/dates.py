@@ -7,28 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: SQL that makes a date of a column, by the column's type; other types are
+#: cast.  Text that is no ISO date (``2020-1-2`` is one) becomes NULL, whole
+#: numbers count days from 1970-01-01, times lose their time of day.
+_BY_TYPE = {
+    "string": "try_to_date({c}, 'yyyy-M-d')",
+    "timestamp": "to_date({c})",
+    "timestamp_ntz": "to_date({c})",
+    **dict.fromkeys(("tinyint", "smallint", "int", "bigint"), "date_from_unix_date(CAST({c} AS INT))"),
+}
+
+
+def date_sql(column: T.StructField) -> str:
+    """SQL expression of the column as a date."""
+    c = "`" + column.name.replace("`", "``") + "`"
+    return _BY_TYPE.get(column.dataType.simpleString(), "CAST({c} AS DATE)").format(c=c)
+
+
 def parse_date(df: DataFrame, name: str) -> Column:
-    """Parse column ``name`` to ``date`` according to its current type.
-
-    * date        -> unchanged
-    * timestamp / timestamp_ntz -> calendar date
-    * string      -> ISO ``year-month-day``; unparsable text -> NULL.  The
-      pattern is ``yyyy-M-d`` so that ``2020-1-2`` parses like C ``strptime``
-      ``%Y-%m-%d`` does (``yyyy-MM-dd`` would reject it).
-    * integral    -> days since 1970-01-01
-    * anything else -> plain cast
-    """
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, T.DateType):
-        return c
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(c)
-    if isinstance(dtype, T.StringType):
-        return F.try_to_date(F.trim(c), "yyyy-M-d")
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.date_add(F.lit("1970-01-01").cast("date"), c.cast("int"))
-    return c.cast("date")
+    """Column ``name`` as a date, by its type in ``df``."""
+    return F.expr(date_sql(df.schema[name]))
 
 
 # Fixed values of the M5 calendar conventions.

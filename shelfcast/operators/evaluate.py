@@ -62,21 +62,21 @@ def residual_histogram(resid: DataFrame, column: str = "residual", bins: int = D
     of an edge, and the last bin is closed.  A constant input widens the
     range to ``[v - 0.5, v + 0.5]``.
 
-    Two passes, like any equal-width histogram: one aggregate job returns
-    min and max (two numbers reach the driver), then a grouped count with
-    map-side partial aggregation (a hot bin is pre-counted in every task).
-    The bin axis (``range(1, bins + 1)``) is joined on ``bin`` with the
-    counts broadcast: an equi-join of at most ``bins`` rows per side.
+    One plan: the range is a scalar subquery (min and max in one aggregate)
+    and the counts are a grouped count with map-side partial aggregation (a
+    hot bin is pre-counted in every task); nothing runs before the caller's
+    action.  ``resid`` is read for both, so it should be a stored table.  The
+    bin axis (``range(1, bins + 1)``) is joined on ``bin`` with the counts
+    broadcast: an equi-join of at most ``bins`` rows per side.
     """
     nb = int(bins)
     x = F.col(column).cast("double")
-    row = resid.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
-    mn, mx = row["mn"], row["mx"]
     spark = resid.sparkSession
-    if mn is None:  # no values: every bin empty over numpy's default [0, 1]
-        mn, mx = 0.0, 1.0
-    lo_v, hi_v = (mn - 0.5, mx + 0.5) if mn == mx else (float(mn), float(mx))
-    lo, hi = F.lit(lo_v), F.lit(hi_v)
+    span = resid.select(F.struct(F.min(x).alias("mn"), F.max(x).alias("mx"))).scalar()
+    mn, mx = span["mn"], span["mx"]
+    # no values: numpy's default [0, 1]; equal values: half a unit to each side
+    lo = F.when(mn.isNull(), F.lit(0.0)).when(mn == mx, mn - 0.5).otherwise(mn)
+    hi = F.when(mn.isNull(), F.lit(1.0)).when(mn == mx, mx + 0.5).otherwise(mx)
     step = (hi - lo) / nb
 
     def edge(i):

@@ -2,9 +2,10 @@
 calendar join (P14-P16, W1-W6, J1, L1).
 
 Plan shape: ONE hash exchange on ``id`` and one sort on (``id``, ``d_num``)
-feed every window below (all share the same partitioning and ordering), and
-the calendar -- bounded by the number of days, not by the data -- joins by
-broadcast, so the window output is never reshuffled.
+feed every window below (all share the same partitioning and ordering).  The
+calendar has a row per day whatever the data, so the planner finds it far below
+its broadcast threshold and the window output is not reshuffled; there is no
+hint, a calendar above the threshold would be joined by a shuffle.
 
 A window partition holds one series, i.e. at most one row per day of the
 calendar; its size is bounded by the calendar length whatever the data volume
@@ -14,11 +15,10 @@ straggler task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import day_number, require_columns
-from shelfcast.operators.joins import broadcast_if_bounded
 
 # Fixed values of the feature contract.
 LAGS = [1, 7, 28]
@@ -28,9 +28,6 @@ CALENDAR_FEATURES = ["d", "wm_yr_wk", "wday", "month", "year", "snap_CA", "snap_
 SNAP_COLUMNS = ["snap_CA", "snap_TX", "snap_WI"]
 TIME_COLUMNS = ["wm_yr_wk", "wday", "month", "year"]
 DEFAULT_HORIZON = 28
-# Upper bound on calendar rows for the broadcast join: one row per day for
-# ~270 years.  Anything larger is not a calendar and gets a shuffle join.
-MAX_CALENDAR_ROWS = 100_000
 
 
 def series_window() -> Window:
@@ -60,12 +57,28 @@ def add_day_number(sales: DataFrame) -> DataFrame:
     return sales.withColumn("d_num", day_number("d"))
 
 
-def add_series_features(sales: DataFrame, horizon: int = DEFAULT_HORIZON) -> DataFrame:
-    """W1-W6 on a long sales table with ``id, d, sales`` (any numeric sales)."""
+def once_per_day() -> Column:
+    """``d_num``; the job fails on a day that its series has twice.
+
+    The previous row comes from the windows' own partitioning and order, so
+    the check costs no shuffle.
+    """
+    twice = F.lag("d_num").over(series_window()) == F.col("d_num")
+    message = F.concat(F.lit("series "), F.col("id"), F.lit(" has two rows of day "), F.col("d"))
+    return F.when(twice, F.raise_error(message).cast("bigint")).otherwise(F.col("d_num"))
+
+
+def add_series_features(sales: DataFrame, horizon: int = DEFAULT_HORIZON, check_unique: bool = False) -> DataFrame:
+    """W1-W6 on a long sales table with ``id, d, sales`` (any numeric sales).
+
+    Lags count rows, so with a repeated day they would depend on the rows'
+    order; ``check_unique`` makes such a table an error.
+    """
     require_columns(sales, ["id", "d", "sales"], "sales")
     df = add_day_number(sales)
+    days = [once_per_day().alias("d_num") if check_unique and c == "d_num" else F.col(c) for c in df.columns]
     return df.select(
-        "*",
+        *days,
         *[lag_feature(n).alias(f"lag_{n}") for n in LAGS],
         *[rolling_mean_feature(n).alias(f"roll_mean_{n}") for n in ROLLING_WINDOWS],
         test_flag(horizon).alias("is_test"),
@@ -76,7 +89,7 @@ def calendar_features(calendar: DataFrame) -> DataFrame:
     """Those of the 8 calendar feature columns that exist; ``d`` is mandatory."""
     keep = [c for c in CALENDAR_FEATURES if c in calendar.columns]
     if "d" not in keep:
-        raise ValueError("Calendar table must include 'd' column")
+        raise ValueError("the calendar has no column 'd' to join the sales by")
     return calendar.select(*keep)
 
 
@@ -84,7 +97,7 @@ def build_features(
     sales: DataFrame,
     calendar: DataFrame,
     horizon: int = DEFAULT_HORIZON,
-    check_calendar_rows: bool = False,
+    check_unique: bool = False,
 ) -> DataFrame:
     """The feature table: long sales + ``d_num``, lags, rolling means,
     ``is_test`` and the calendar's time / SNAP columns (X4).
@@ -92,23 +105,15 @@ def build_features(
     The calendar join is a left equi-join on ``d`` (unmatched days keep NULL
     calendar columns).  Missing SNAP columns default to 0; missing time
     columns are an error.
-
-    The planner broadcasts the calendar by its size estimate (a one-row
-    aggregate exploded to days, or a small Parquet file).  With
-    ``check_calendar_rows`` (for stored calendars, where the count is read
-    from Parquet footers) it is broadcast explicitly after a row-count check.
     """
-    feats = add_series_features(sales, horizon)
-    cal = calendar_features(calendar)
-    if check_calendar_rows:
-        cal = broadcast_if_bounded(cal, MAX_CALENDAR_ROWS)
-    out = feats.join(cal, "d", "left")
+    feats = add_series_features(sales, horizon, check_unique)
+    out = feats.join(calendar_features(calendar), "d", "left")
     missing_snap = {c: F.lit(0) for c in SNAP_COLUMNS if c not in out.columns}
     if missing_snap:
         out = out.withColumns(missing_snap)
     missing_time = [c for c in TIME_COLUMNS if c not in out.columns]
     if missing_time:
-        raise ValueError(f"Missing {missing_time} after calendar join; check the calendar columns")
+        raise ValueError(f"the calendar brought no {missing_time}")
     return out
 
 
@@ -116,3 +121,14 @@ def features_for_write(features: DataFrame) -> DataFrame:
     """Layout for the stored feature table: clustered by series and ordered by
     day within each file (L1) -- no global sort needed."""
     return features.repartition("id").sortWithinPartitions("id", "d_num")
+
+
+def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store the feature table in folders by ``is_test``: what reads the last
+    ``horizon`` days of each series then reads only them."""
+    features_for_write(features).write.mode(mode).partitionBy("is_test").parquet(path)
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """A stored feature table; filters on ``is_test`` select folders."""
+    return spark.read.parquet(path).withColumn("is_test", F.col("is_test").cast("boolean"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import last_day_columns
+from shelfcast.functions.columns import day_columns, quote
 from shelfcast.functions.dates import WEEKEND_DAYS
 
 SERIES_COLUMNS = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
@@ -45,8 +45,6 @@ def unpivot_days(wide: DataFrame, day_columns: list[str], meta_columns: list[str
     ``Column`` objects one py4j call at a time, or ``DataFrame.unpivot``'s
     Expand, costs seconds to tens of seconds of planning alone.
     """
-    from shelfcast.functions.columns import quote
-
     meta = meta_columns if meta_columns is not None else SERIES_COLUMNS
     pairs = ", ".join(f"'{c}', CAST({quote(c)} AS INT)" for c in day_columns)
     return wide.selectExpr(*[quote(c) for c in meta], f"stack({len(day_columns)}, {pairs}) AS (d, sales)")
@@ -54,25 +52,25 @@ def unpivot_days(wide: DataFrame, day_columns: list[str], meta_columns: list[str
 
 def sales_long(
     sales_wide: DataFrame,
-    sample_n_series: int | None = DEFAULT_SAMPLE_SERIES,
-    sample_days: int | None = DEFAULT_SAMPLE_DAYS,
+    sample_n_series: int | None = None,
+    sample_days: int | None = None,
     sample_order: str = "id",
 ) -> DataFrame:
     """Long sales fact from the wide table.
 
-    ``sample_days`` keeps the last N day columns (numeric order, capped at
+    Everything is kept (the full fact, no sort, no single-task step) unless a
+    sample is asked for: ``sample_days`` keeps the last N day columns (numeric order, capped at
     what exists); ``sample_n_series`` keeps the first N series, planned as a
     top-N (``TakeOrderedAndProject``: each task keeps N rows, the driver
     merges at most N per task).  ``sample_order="id"`` (default) orders by
     ``id``, a deterministic stand-in for file order; ``"file"`` takes the
     first N rows of the stored files exactly, ordered by Parquet's hidden
     ``_metadata.file_path`` / ``_metadata.row_index`` (``sales_wide`` must be
-    a direct file scan).  ``None`` keeps everything (the full fact, no sort,
-    no single-task step).
+    a direct file scan).
     """
-    from shelfcast.functions.columns import quote
-
-    days = last_day_columns(sales_wide.columns, sample_days)
+    days = day_columns(sales_wide.columns, sample_days)
+    if not days:
+        raise ValueError("No day columns (d_*) found")
     cols = [quote(c) for c in SERIES_COLUMNS + days]
     if sample_n_series is None:
         wide = sales_wide.selectExpr(*cols)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.columns import require_columns
 from shelfcast.operators.features import FEATURE_COLUMNS
 from shelfcast.operators.quality import REQUIRED_COLUMNS
+from shelfcast.sources.files import SAVED, create_marker
 
 # Fixed feature contract: 13 numeric (passed through unscaled) then 6 categorical.
 NUMERIC_FEATURES = [
@@ -228,8 +229,12 @@ def train_summary(features: DataFrame, horizon: int) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """S15 sink: Spark ML persistence (metadata + Parquet per stage)."""
+    """S15 sink: Spark ML persistence (metadata + Parquet per stage), and a
+    marker after the last stage that says the model is whole."""
+    from pyspark.sql import SparkSession
+
     model.write().overwrite().save(path)
+    create_marker(SparkSession.active(), f"{path.rstrip('/')}/{SAVED}")
 
 
 def load_model(path: str) -> PipelineModel:

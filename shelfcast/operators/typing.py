@@ -1,64 +1,69 @@
-"""Silver typing of the raw M5 tables."""
+"""Silver types of the raw tables (P1-P8): one declared schema per table.
+
+A declaration names the target type of columns, exactly or by prefix; a table
+is typed by ONE projection that casts what is declared and passes every other
+column through.  Declared columns that a table lacks are left out, unless they
+are listed as needed.  With ANSI mode (the 4.x default) a value out of range
+raises instead of wrapping.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from shelfcast.functions.columns import cast_if_present, cast_prefixed
-from shelfcast.functions.dates import parse_date
-
-
-def type_calendar(df: DataFrame) -> DataFrame:
-    """``date`` parsed to date (mandatory), week int, day parts smallint,
-    SNAP flags tinyint; every other column passes through (P4)."""
-    if "date" not in df.columns:
-        raise ValueError("calendar has no 'date' column")
-    df = df.withColumns({"date": parse_date(df, "date")})
-    df = cast_if_present(df, "wm_yr_wk", "int")
-    for c in ("wday", "month", "year"):
-        df = cast_if_present(df, c, "smallint")
-    for c in ("snap_CA", "snap_TX", "snap_WI"):
-        df = cast_if_present(df, c, "tinyint")
-    return df
-
-
-def type_sell_prices(df: DataFrame) -> DataFrame:
-    """``wm_yr_wk`` int, ``sell_price`` float (P5)."""
-    df = cast_if_present(df, "wm_yr_wk", "int")
-    return cast_if_present(df, "sell_price", "float")
-
-
-def type_sales_wide(df: DataFrame) -> DataFrame:
-    """Every ``d_*`` column to int, in one projection."""
-    return cast_prefixed(df, "d_", "int")
-
-
-def type_submission(df: DataFrame) -> DataFrame:
-    """Every ``F*`` column to float."""
-    return cast_prefixed(df, "F", "float")
-
-
-# Per-table typing dispatch (P8); an unknown table passes through unchanged.
-PROCESSORS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "calendar": type_calendar,
-    "sell_prices": type_sell_prices,
-    "sales_train_validation": type_sales_wide,
-    "sales_train_evaluation": type_sales_wide,
-    "sample_submission": type_submission,
+from shelfcast.functions.columns import cast_columns
+from shelfcast.functions.dates import date_sql
+
+
+@dataclass(frozen=True)
+class Declared:
+    """Target types by column name and by prefix; ``needed`` names must exist."""
+
+    types: dict[str, str] = field(default_factory=dict)
+    prefixes: dict[str, str] = field(default_factory=dict)
+    needed: tuple[str, ...] = ()
+
+    def target(self, name: str) -> str | None:
+        if name in self.types:
+            return self.types[name]
+        return next((t for prefix, t in self.prefixes.items() if name.startswith(prefix)), None)
+
+
+# The types of the silver layer.
+_SALES = Declared(prefixes={"d_": "int"})
+SILVER = {
+    "calendar": Declared(
+        {
+            "date": "date", "wm_yr_wk": "int", "wday": "smallint", "month": "smallint", "year": "smallint",
+            "snap_CA": "tinyint", "snap_TX": "tinyint", "snap_WI": "tinyint",
+        },
+        needed=("date",),
+    ),
+    "sell_prices": Declared({"wm_yr_wk": "int", "sell_price": "float"}),
+    "sales_train_validation": _SALES,
+    "sales_train_evaluation": _SALES,
+    "sample_submission": Declared(prefixes={"F": "float"}),
 }
 
 
 def type_table(name: str, df: DataFrame) -> DataFrame:
-    return df.transform(PROCESSORS.get(name, lambda x: x))
+    """``df`` with the silver types of table ``name``; a table without a
+    declaration passes through unchanged (P8)."""
+    declared = SILVER.get(name)
+    if declared is None:
+        return df
+    lacking = [c for c in declared.needed if c not in df.columns]
+    if lacking:
+        raise ValueError(f"table {name} lacks {lacking}")
+    targets = {c: t for c in df.columns if (t := declared.target(c))}
+    dates = {c: date_sql(df.schema[c]) for c, t in targets.items() if t == "date"}
+    return cast_columns(df, {c: t for c, t in targets.items() if c not in dates}, dates)
+
+
+def type_calendar(df: DataFrame) -> DataFrame:
+    return type_table("calendar", df)
 
 
-__all__ = [
-    "PROCESSORS",
-    "type_calendar",
-    "type_sales_wide",
-    "type_sell_prices",
-    "type_submission",
-    "type_table",
-]
+__all__ = ["SILVER", "Declared", "type_calendar", "type_table"]

@@ -19,7 +19,7 @@ from shelfcast.operators import evaluate as ev
 from shelfcast.operators import gold as gd
 from shelfcast.operators import model as md
 from shelfcast.operators import quality as dq
-from shelfcast.operators.features import DEFAULT_HORIZON, SNAP_COLUMNS, build_features
+from shelfcast.operators.features import DEFAULT_HORIZON, SNAP_COLUMNS, build_features, read_features, write_features
 from shelfcast.plans import jobs
 from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import RAW_TABLES, Lake
@@ -39,6 +39,13 @@ def features(spark: SparkSession, sf_dir: str, horizon: int = DEFAULT_HORIZON) -
     return build_features(rf.landed_dense_sales(spark, sf_dir), rf.landed_calendar(spark, sf_dir), horizon)
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, stored once per application and folder in folders by
+    ``is_test``; what is evaluated reads the test rows' folder alone."""
+    path = rf.landed_path(spark, sf_dir, "features", lambda p: write_features(features(spark, sf_dir), p))
+    return read_features(spark, path)
+
+
 _LAKES: dict[tuple[str, str], Lake] = {}
 _LAKE_LOCK = threading.Lock()
 _STAGE_ORDER = ["landing", "bronze", "silver", "gold", "features", "train"]
@@ -86,7 +93,7 @@ def model_path(spark: SparkSession, sf_dir: str) -> str:
         path = _MODELS.get(key)
         if path is None:
             path = scratch_path(spark, "ridge_model")
-            md.save_model(md.fit_ridge(md.train_set(features(spark, sf_dir))), path)
+            md.save_model(md.fit_ridge(md.train_set(stored_features(spark, sf_dir))), path)
             _MODELS[key] = path
     return path
 
@@ -105,12 +112,12 @@ def loaded_model(spark: SparkSession, sf_dir: str):
 
 
 def _ridge_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return md.predict(loaded_model(spark, sf_dir), md.test_set(features(spark, sf_dir)))
+    return md.predict(loaded_model(spark, sf_dir), md.test_set(stored_features(spark, sf_dir)))
 
 
 def _lag7_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model-free predictor for oracle-checkable evaluation: ``y_pred = lag_7``."""
-    test = md.test_set(features(spark, sf_dir))
+    test = md.test_set(stored_features(spark, sf_dir))
     return test.select("id", "d", F.col("label").alias("y_true"), F.col("lag_7").alias("y_pred"))
 
 
@@ -230,6 +237,11 @@ def q_silver_sales_wide(spark, sf_dir):
     return spark.read.parquet(lake(spark, sf_dir).silver("sales_train_validation"))
 
 
+@query("silver_sales_evaluation")
+def q_silver_sales_evaluation(spark, sf_dir):
+    return spark.read.parquet(lake(spark, sf_dir).silver("sales_train_evaluation"))
+
+
 @query("silver_submission")
 def q_silver_submission(spark, sf_dir):
     return spark.read.parquet(lake(spark, sf_dir).silver("sample_submission"))
@@ -255,6 +267,18 @@ def q_bronze(spark, sf_dir):
     return spark.read.parquet(lake(spark, sf_dir, "bronze").bronze("calendar"))
 
 
+@query("bronze_sell_prices")
+def q_bronze_sell_prices(spark, sf_dir):
+    """S3 on prices; bronze holds doubles, the raw values are floats."""
+    bronze = spark.read.parquet(lake(spark, sf_dir, "bronze").bronze("sell_prices"))
+    return bronze.withColumn("sell_price", F.col("sell_price").cast("float"))
+
+
+@query("bronze_sales_wide")
+def q_bronze_sales_wide(spark, sf_dir):
+    return spark.read.parquet(lake(spark, sf_dir, "bronze").bronze("sales_train_validation"))
+
+
 @query("bronze_incremental")
 def q_bronze_incremental(spark, sf_dir):
     """S3 as a restartable Structured Streaming copy (availableNow trigger)."""
@@ -279,6 +303,21 @@ def q_guarded_write(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("guarded_write_fail")
+def q_guarded_write_fail(spark, sf_dir):
+    """Without force an existing table, whoever wrote it, stays and the
+    second write is an error."""
+    lk = lake(spark, sf_dir)
+    dim = gd.dim_calendar(spark.read.parquet(lk.silver("calendar")))
+    path = scratch_path(spark, "guarded_fail")
+    dim.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    try:
+        guarded_write(dim.limit(0), path, policy="fail")
+    except FileExistsError:
+        return spark.read.parquet(path)
+    raise AssertionError("an existing table was replaced without force")
+
+
 @query("table_profile")
 def q_table_profile(spark, sf_dir):
     """S7 over the stored gold tables (row counts from Parquet metadata)."""
@@ -318,10 +357,11 @@ def q_input_completeness(spark, sf_dir):
 
 @query("stage_audit")
 def q_stage_audit(spark, sf_dir):
-    """The stage audit log of the lake (bronze/silver/gold entries)."""
+    """The audit log of the stages from landing to gold."""
     lk = lake(spark, sf_dir, "gold")
-    return spark.read.schema(au.AUDIT_SCHEMA).json(lk.audit).select(
-        "pipeline", "table_name", "status", "n_rows", "n_columns", "bytes", "fingerprint"
+    log = spark.read.schema(au.AUDIT_SCHEMA).json(lk.audit)
+    return log.where(F.col("pipeline").isin("landing", "bronze", "silver", "gold")).select(
+        "pipeline", "table_name", "status", "n_rows", "n_columns"
     )
 
 
@@ -330,18 +370,18 @@ def q_stg_features_view(spark, sf_dir):
     """S12 over the feature table the lake pipeline stored (wide -> long ->
     features): must equal the directly computed features."""
     lk = lake(spark, sf_dir, "features")
-    register_view(spark, lk.features, "stg_gold")
+    register_view(spark, read_features(spark, lk.features), "stg_gold")
     return spark.sql("SELECT * FROM stg_gold")
 
 
 @query("train_set")
 def q_train_set(spark, sf_dir):
-    return md.train_set(features(spark, sf_dir))
+    return md.train_set(stored_features(spark, sf_dir))
 
 
 @query("test_set")
 def q_test_set(spark, sf_dir):
-    return md.test_set(features(spark, sf_dir))
+    return md.test_set(stored_features(spark, sf_dir))
 
 
 @query("train_summary")
@@ -382,10 +422,8 @@ def q_ridge_predict(spark, sf_dir):
     """M4: the fitted pipeline applied to the test rows (one-hot + assembly +
     linear predictor), with the assembled feature-vector width."""
     model = loaded_model(spark, sf_dir)
-    from pyspark.ml.functions import vector_to_array
-
-    out = model.transform(md.test_set(features(spark, sf_dir)))
-    return out.select("id", "d", "label", "prediction", F.size(vector_to_array("features")).alias("n_features"))
+    out = model.transform(md.test_set(stored_features(spark, sf_dir)))
+    return out.select("id", "d", "label", "prediction", F.lit(model.stages[-1].numFeatures).alias("n_features"))
 
 
 @query("ridge_eval_metrics")

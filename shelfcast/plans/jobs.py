@@ -8,8 +8,6 @@ instead of recomputing earlier stages.  Each stage returns its audit entries
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,13 +16,13 @@ from shelfcast.operators import evaluate as ev
 from shelfcast.operators import gold as gd
 from shelfcast.operators import model as md
 from shelfcast.operators.audit import append_audit, audit_rows, observed_write, stored_bytes, utc_now
-from shelfcast.operators.features import DEFAULT_HORIZON, build_features, features_for_write
-from shelfcast.operators.quality import duplicate_series_days, run_gate
+from shelfcast.operators.features import DEFAULT_HORIZON, build_features, read_features, write_features
+from shelfcast.operators.quality import run_gate
 from shelfcast.operators.typing import type_table
 from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import GOLD_TABLES, RAW_TABLES, Lake
 from shelfcast.sources.csv import csv_header, read_csv, wide_schema, write_csv
-from shelfcast.sources.files import guarded_write, is_committed
+from shelfcast.sources.files import changed_at, guarded_write, is_committed, is_input, overall_status, path_exists
 from shelfcast.streaming.landing import incremental_csv_to_parquet
 
 # Bronze schemas: what CSV type inference yields for the raw M5 files, fixed
@@ -88,13 +86,13 @@ def land_raw_tables(spark: SparkSession, sf_dir: str, lake: Lake, force: bool =
     """Write the raw M5-shaped CSV tables derived from the test tables into
     the landing zone (the role of the competition download + unzip)."""
     labels = rf.day_labels(spark, sf_dir)
+    # the fixture's evaluation table equals the validation table
+    wide = rf.sales_wide(spark, sf_dir, labels)
     tables = {
         "calendar": rf.calendar(spark, sf_dir),
         "sell_prices": rf.sell_prices(spark, sf_dir),
-        "sales_train_validation": rf.sales_wide(spark, sf_dir, labels),
-        # the fixture's evaluation table equals the validation table: copy the
-        # landed text line by line instead of pivoting a second time
-        "sales_train_evaluation": None,
+        "sales_train_validation": wide,
+        "sales_train_evaluation": wide,
         "sample_submission": rf.submission(spark, sf_dir),
     }
     out = []
@@ -102,30 +100,36 @@ def land_raw_tables(spark: SparkSession, sf_dir: str, lake: Lake, force: bool =
         started = utc_now()
         path = lake.landing(name)
         if force or not is_committed(spark, path):
-            if df is None:
-                src = lake.landing("sales_train_validation")
-                spark.read.text(src).write.mode("overwrite").option("compression", "none").text(path)
-                _rename_parts(spark, path)
-            else:
-                write_csv(df, path, mode="overwrite")
+            write_csv(df, path, mode="overwrite")
             status = "ok"
         else:
             status = "exists"
-        ncols = len(df.columns) if df is not None else len(labels) + len(rf.META_COLUMNS)
-        out.append(_entry(name, status, path, n_columns=ncols, started=started))
+        out.append(_entry(name, status, path, n_columns=len(df.columns), started=started))
     append_audit(audit_rows(spark, "landing", out), lake.audit)
     return out
 
 
-def _rename_parts(spark: SparkSession, folder: str) -> None:
-    """Give text part files a ``.csv`` suffix so CSV globbing finds them."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for st in fs.listStatus(hpath):
-        p = st.getPath()
-        if p.getName().startswith("part-") and not p.getName().endswith(".csv"):
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.toString() + ".csv"))
+def _kept(spark: SparkSession, name: str, path: str, started: str) -> dict:
+    """The entry of an output that a job leaves as it is, with its counts."""
+    df = spark.read.parquet(path)
+    return _entry(name, "exists", path, df.count(), len(df.columns), started, nbytes=stored_bytes(spark, path))
+
+
+def _is_current(spark: SparkSession, path: str, *inputs: str) -> bool:
+    """Whether an output is committed and none of its inputs has changed since."""
+    return is_committed(spark, path) and changed_at(spark, path) >= max((changed_at(spark, i) for i in inputs), default=0)
+
+
+def _checked(stage: str, entries: list[dict], strict: bool) -> list[dict]:
+    """Note the completeness of a stage's inputs (S17); ``strict`` makes a
+    missing one an error."""
+    missing = [e["table_name"] for e in entries if e["status"] == "missing"]
+    state = overall_status(len(entries) - len(missing), len(entries))
+    for e in entries:
+        e["notes"]["inputs"] = state
+    if strict and missing:
+        raise FileNotFoundError(f"{stage}: {state}, missing raw tables {missing}" if stage == "bronze" else f"{stage}: {state}, no input for {missing}")
+    return entries
 
 
 def run_bronze(
@@ -137,8 +141,9 @@ def run_bronze(
 ) -> list[dict]:
     """Every expected raw CSV table -> Parquet, skipping finished outputs.
 
-    Status per table: ``ok`` (copied), ``exists`` (kept), ``missing``.  Row
-    counts come from an ``Observation`` on the copy itself.
+    A raw table is a CSV file or a folder of them.  Status per table: ``ok``
+    (copied), ``exists`` (kept), ``missing``; the entries' notes say whether
+    the inputs are ``ok``, ``partial`` or ``missing_input``.  Row counts come from an ``Observation`` on the copy itself.
 
     ``incremental`` runs each copy as an ``availableNow`` file stream with its
     checkpoint in the lake: every run appends only raw files not copied
@@ -149,7 +154,7 @@ def run_bronze(
     for name in RAW_TABLES:
         started = utc_now()
         src, dst = lake.landing(name), lake.bronze(name)
-        if not is_committed(spark, src):
+        if not is_input(spark, src):
             out.append(_entry(name, "missing", dst, started=started))
             continue
         if incremental:
@@ -161,18 +166,15 @@ def run_bronze(
                               nbytes=stored_bytes(spark, dst)))
             continue
         if is_committed(spark, dst) and not force:
-            df = spark.read.parquet(dst)
-            out.append(_entry(name, "exists", dst, df.count(), len(df.columns), started))
+            out.append(_kept(spark, name, dst, started))
             continue
         df = read_csv(spark, src, schema=bronze_schema(spark, name, src))
         n, fp = observed_write(lambda d: d.write.mode("overwrite").parquet(dst), df, f"bronze_{name}")
         out.append(_entry(name, "ok", dst, n, len(df.columns), started, fp, stored_bytes(spark, dst),
                           input_bytes=stored_bytes(spark, src)))
+    _checked("bronze", out, False)
     append_audit(audit_rows(spark, "bronze", out), lake.audit)
-    if strict and any(e["status"] == "missing" for e in out):
-        missing = [e["table_name"] for e in out if e["status"] == "missing"]
-        raise FileNotFoundError(f"bronze: missing raw tables {missing}")
-    return out
+    return _checked("bronze", out, strict)
 
 
 def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: bool = True) -> list[dict]:
@@ -186,15 +188,15 @@ def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
         if not is_committed(spark, src):
             out.append(_entry(name, "missing", dst, started=started))
             continue
-        if is_committed(spark, dst) and not force:
-            out.append(_entry(name, "exists", dst, started=started))
+        if not force and _is_current(spark, dst, src):
+            out.append(_kept(spark, name, dst, started))
             continue
         try:
             typed = type_table(name, spark.read.parquet(src))
             n, fp = observed_write(lambda d: d.write.mode("overwrite").parquet(dst), typed, f"silver_{name}")
             out.append(_entry(name, "ok", dst, n, len(typed.columns), started, fp, stored_bytes(spark, dst)))
         except Exception as exc:  # recorded per table, the stage goes on
-            out.append(_entry(name, "error", dst, started=started, error=str(exc).splitlines()[0][:500]))
+            out.append(_entry(name, "error", dst, started=started, error=str(exc)))
     append_audit(audit_rows(spark, "silver", out), lake.audit)
     if strict and any(e["status"] in ("error", "missing") for e in out):
         bad = [(e["table_name"], e["status"]) for e in out if e["status"] in ("error", "missing")]
@@ -202,6 +204,9 @@ def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
     return out
 
 
+GOLD_INPUTS = ["calendar", "sell_prices", "sales_train_validation"]
+
+
 def gold_tables(
     spark: SparkSession,
     lake: Lake,
@@ -230,7 +235,16 @@ def run_gold(
     force: bool = False,
     sample_n_series: int | None = None,
     sample_days: int | None = None,
+    strict: bool = True,
 ) -> list[dict]:
+    """The gold tables; an output older than a silver input is rebuilt."""
+    started = utc_now()
+    absent = [t for t in GOLD_INPUTS if not is_committed(spark, lake.silver(t))]
+    if absent:
+        out = [_entry(t, "missing" if t in absent else "ok", lake.silver(t), started=started) for t in GOLD_INPUTS]
+        _checked("gold", out, False)
+        append_audit(audit_rows(spark, "gold", out), lake.audit)
+        return _checked("gold", out, strict)
     out = []
     for name, df in gold_tables(spark, lake, sample_n_series, sample_days).items():
         started = utc_now()
@@ -238,11 +252,10 @@ def run_gold(
         result = {}
 
         def write(d, dst=dst, result=result):
-            result["status"] = guarded_write(d, dst, policy="skip", force=force)
+            result["status"] = guarded_write(d, dst, policy="skip", force=True)
 
-        if is_committed(spark, dst) and not force:
-            out.append(_entry(name, "exists", dst, spark.read.parquet(dst).count(), len(df.columns), started,
-                              nbytes=stored_bytes(spark, dst)))
+        if not force and _is_current(spark, dst, *map(lake.silver, GOLD_INPUTS)):
+            out.append(_kept(spark, name, dst, started))
             continue
         n, fp = observed_write(write, df, f"gold_{name}")
         out.append(_entry(name, result["status"], dst, n, len(df.columns), started, fp, stored_bytes(spark, dst)))
@@ -250,6 +263,13 @@ def run_gold(
     return out
 
 
+def _refuse_existing(spark: SparkSession, force: bool, *paths: str) -> None:
+    """Before any work: outputs that are there are only replaced by force."""
+    there = [] if force else [p for p in paths if path_exists(spark, p)]
+    if there:
+        raise FileExistsError(f"already there: {', '.join(there)}; pass force=True to replace")
+
+
 def run_features(
     spark: SparkSession,
     lake: Lake,
@@ -262,17 +282,12 @@ def run_features(
     repeated (``id``, ``d``) is an error (it would make lags depend on row
     order)."""
     started = utc_now()
+    _refuse_existing(spark, force, lake.features)
     sales = spark.read.parquet(lake.gold("fact_sales_long"))
-    if check_unique:
-        dup = duplicate_series_days(sales).limit(5).collect()
-        if dup:
-            raise ValueError(f"duplicate (id, d) rows in sales, e.g. {[tuple(r) for r in dup]}")
     cal = spark.read.parquet(lake.gold("dim_calendar"))
-    feats = build_features(sales, cal, horizon, check_calendar_rows=True)
-    if is_committed(spark, lake.features) and not force:
-        raise FileExistsError(f"Exists: {lake.features}. Use force to overwrite.")
-    features_for_write(feats).write.mode("overwrite").parquet(lake.features)
-    stored = spark.read.parquet(lake.features)
+    feats = build_features(sales, cal, horizon, check_unique=check_unique)
+    write_features(feats, lake.features)
+    stored = read_features(spark, lake.features)
     stats = stored.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).first()
     out = [_entry("fact_sales_features", "ok", lake.features, int(stats["n"]), len(stored.columns), started,
                   n_test=int(stats["t"]), horizon=horizon)]
@@ -282,9 +297,10 @@ def run_features(
 
 def run_dq(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, enforce: bool = True) -> dict:
     """Gate on the stored feature table."""
-    report = run_gate(spark.read.parquet(lake.features), horizon, enforce=enforce)
+    started = utc_now()
+    report = run_gate(read_features(spark, lake.features), horizon, enforce=enforce)
     append_audit(audit_rows(spark, "dq", [_entry("fact_sales_features", report["status"], lake.features,
-                                                 report.get("n_rows"), None, None,
+                                                 report.get("n_rows"), None, started,
                                                  n_test=report.get("n_test"),
                                                  expected_test=report.get("expected_test"))]), lake.audit)
     return report
@@ -294,22 +310,27 @@ def run_train(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, f
               alpha: float = md.DEFAULT_ALPHA) -> dict:
     """Fit the ridge baseline on the training rows and store the model.
     The output check happens BEFORE fitting."""
-    if is_committed(spark, lake.model) and not force:
-        raise FileExistsError(f"Model exists: {lake.model}. Use force to overwrite.")
-    feats = spark.read.parquet(lake.features)
+    started = utc_now()
+    if is_committed(spark, lake.model):  # a half-written model is redone
+        _refuse_existing(spark, force, lake.model)
+    feats = read_features(spark, lake.features)
     model = md.fit_ridge(md.train_set(feats), alpha)
     md.save_model(model, lake.model)
     summary = md.train_summary(feats, horizon).first().asDict()
     append_audit(audit_rows(spark, "train", [_entry("model", "ok", lake.model, summary["n_train_used"], None,
-                                                    None, total_rows=summary["n_rows"], horizon=horizon)]),
+                                                    started, total_rows=summary["n_rows"], horizon=horizon)]),
                  lake.audit)
     return summary
 
 
 def run_eval(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, force: bool = False) -> dict:
     """Predictions on test rows, metrics, residual histogram; all written
-    by the executors (CSV for predictions and metrics)."""
-    feats = spark.read.parquet(lake.features)
+    by the executors (CSV for predictions and metrics).  All outputs are
+    checked before any work."""
+    started = utc_now()
+    names = ("predictions.parquet", "eval_predictions.csv", "eval_metrics.csv", "residual_histogram.parquet")
+    _refuse_existing(spark, force, *map(lake.output, names))
+    feats = read_features(spark, lake.features)
     test = md.test_set(feats)
     if test.isEmpty():
         raise ValueError("After dropping NULL features the test set is empty")
@@ -325,7 +346,7 @@ def run_eval(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, fo
     hist.write.mode(mode).parquet(lake.output("residual_histogram.parquet"))
     m = metrics.first().asDict()
     append_audit(audit_rows(spark, "eval", [_entry("predictions", "ok", lake.output("predictions.parquet"),
-                                                   None, None, None, **m)]), lake.audit)
+                                                   None, None, started, **m)]), lake.audit)
     return m
 
 
@@ -356,25 +377,22 @@ def run_medallion(
     failed = False
     for stage in STAGES[: last + 1]:
         if failed:
-            rows.append((stage, "skipped", None, None, None, None))
+            rows.append((stage, "skipped", None, None, None))
             continue
-        t0 = time.perf_counter()
         try:
             res = runners[stage]()
-            secs = round(time.perf_counter() - t0, 3)
             if isinstance(res, list):
                 bad = [e for e in res if e["status"] not in ("ok", "exists")]
                 n_rows = sum(int(e["n_rows"] or 0) for e in res)
-                rows.append((stage, "failed" if bad else "ok", len(res), n_rows, None, secs))
+                rows.append((stage, "failed" if bad else "ok", len(res), n_rows, None))
                 failed = bool(bad)
             else:
-                rows.append((stage, res.get("status", "ok"), 1, res.get("n_rows"), None, secs))
+                rows.append((stage, res.get("status", "ok"), 1, res.get("n_rows"), None))
                 failed = res.get("status", "ok") not in ("ok", "exists")
         except Exception as exc:
-            secs = round(time.perf_counter() - t0, 3)
-            rows.append((stage, "failed", None, None, str(exc).splitlines()[0][:500], secs))
+            rows.append((stage, "failed", None, None, str(exc)))
             failed = True
-    schema = "stage string, status string, n_tables int, n_rows bigint, error string, seconds double"
+    schema = "stage string, status string, n_tables int, n_rows bigint, error string"
     return spark.createDataFrame(rows, schema)
 
 

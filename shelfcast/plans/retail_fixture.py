@@ -10,13 +10,10 @@ submission.  The test data is a TPC-H-like star, so this module maps it:
 
 Scale notes (100 TB of lineitem):
 
-* ``lineitem`` is joined to ``part`` first and immediately pre-aggregated to
-  (item, supplier, day): map-side partial aggregation collapses the rows
-  before the shuffle, so the later supplier join and the final aggregation see
-  at most items x suppliers x days rows, whatever the line-item volume.  A hot
-  ``l_partkey`` (a third of all rows) is split by AQE's skew-join handling when
-  the join is a sort-merge join, and disappears into the partial aggregate
-  right after it.
+* ``lineitem`` is aggregated by (part, supplier, day) BEFORE any join: each
+  task sums its own rows first, and the exchange key spreads a hot
+  ``l_partkey`` (a third of all rows) over its suppliers and days.  Only sums
+  meet ``part`` and then ``supplier``.
 * ``part`` and ``supplier`` grow with the data, so they carry no broadcast
   hint: the planner broadcasts them only while their measured size is under
   ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a shuffle join.
@@ -94,26 +91,26 @@ def supplier_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem x part pre-aggregated to (item_id, l_suppkey, dt).
+    """Line items aggregated to (item_id, l_suppkey, dt).
 
     Carries the day's quantity and highest unit price, the two measures the
-    sales and price tables need; both are decomposable (sum, max).
+    sales and price tables need; both are decomposable (sum, max), so the raw
+    rows are first aggregated by (part, supplier, day) and only those sums
+    meet ``part``: no raw row of a hot part is ever shuffled by that part.
     """
+    measures = (F.sum("qty").alias("qty"), F.max("unit_price").alias("unit_price"))
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_suppkey",
-        "l_quantity",
+        F.col("l_quantity").alias("qty"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         F.to_date("l_shipdate").alias("dt"),
     )
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("item_id")
     )
-    return (
-        li.join(part, "l_partkey")
-        .groupBy("item_id", "l_suppkey", "dt")
-        .agg(F.sum("l_quantity").alias("qty"), F.max("unit_price").alias("unit_price"))
-    )
+    by_part = li.groupBy("l_partkey", "l_suppkey", "dt").agg(*measures)
+    return by_part.join(part, "l_partkey").groupBy("item_id", "l_suppkey", "dt").agg(*measures)
 
 
 def store_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,16 +127,22 @@ _LANDED: dict[tuple[str, str, str], str] = {}
 _LOCK = threading.RLock()
 
 
-def _landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """``build(spark, sf_dir)`` written once per application, test-data folder
-    and table name under the shared checkpoint folder, then read back."""
+def landed_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """A folder below the shared checkpoint folder that ``write(path)`` filled,
+    once per application, test-data folder and table name."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
         path = _LANDED.get(key)
         if path is None:
             path = scratch_path(spark, name)
-            build(spark, sf_dir).write.mode("overwrite").parquet(path)
+            write(path)
             _LANDED[key] = path
+    return path
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """``build(spark, sf_dir)`` written once and read back."""
+    path = landed_path(spark, sf_dir, name, lambda p: build(spark, sf_dir).write.mode("overwrite").parquet(p))
     return spark.read.parquet(path)
 
 

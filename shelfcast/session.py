@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -49,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is read,
-    never overridden.  Only when it is unset (a bare local test session) do we
-    make one under the system temp folder.
+    never overridden.  Only a ``local`` session that leaves it unset gets one
+    under the system temp folder; on a cluster that folder would be another on
+    each machine, so there an unset setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

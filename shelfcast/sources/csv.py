@@ -2,7 +2,8 @@
 
 Dialect: header row, ``,`` delimiter, ``"`` quote, doubled-quote escape, one
 record per line (no multi-line values, so every file splits across tasks).
-Blank fields read as NULL.
+Blank fields read as NULL.  A field that is not of its column's type fails the
+read; nothing turns into NULL unsaid.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "false"}
+READ_OPTIONS = CSV_OPTIONS | {"mode": "FAILFAST"}
 
 
 def read_csv(
@@ -26,7 +28,7 @@ def read_csv(
     once more to pick int/double/date/timestamp/string per column; ISO dates
     become ``date``.  Without either, every column is a string.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**READ_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", "false")
     elif infer_schema:
@@ -36,7 +38,7 @@ def read_csv(
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names from the header line only (reads one line)."""
-    return spark.read.options(**CSV_OPTIONS).csv(path).columns
+    return spark.read.options(**READ_OPTIONS).csv(path).columns
 
 
 def wide_schema(header: list[str], int_prefix: str = "d_", float_prefix: str | None = None) -> T.StructType:
@@ -57,25 +59,3 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV sink (S9): a folder of part files written by the executors, one
     per partition, each with a header -- nothing passes through the driver."""
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
-
-
-def csv_to_parquet(
-    spark: SparkSession,
-    csv_path: str,
-    parquet_path: str,
-    schema: T.StructType | str,
-    mode: str = "overwrite",
-    compression: str = "snappy",
-) -> int:
-    """Bronze copy CSV -> Parquet (S3), returning the number of rows copied.
-
-    The count is taken with ``DataFrame.observe`` during the write itself, so
-    the input is read exactly once; memory stays bounded per task.
-    """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    obs = Observation("csv_to_parquet")
-    df = read_csv(spark, csv_path, schema=schema).observe(obs, F.count(F.lit(1)).alias("rows"))
-    df.write.mode(mode).option("compression", compression).parquet(parquet_path)
-    return int(obs.get["rows"])

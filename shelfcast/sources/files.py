@@ -3,12 +3,16 @@ S14), file manifests (S10), input completeness (S17) and named views (S12)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MANIFEST_PIECE = 8 << 20
+
+
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -22,26 +26,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+SAVED = "_SAVED"
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.create(hpath, True).close()
+
+
+def drop_marker(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    fs.delete(hpath, False)
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a COMMITTED Spark output.
+    """True when ``path`` holds a COMMITTED output.
 
     Spark's commit protocol writes ``_SUCCESS`` only when the whole job
-    commits, so a folder left behind by a job that died half-way (lost
-    driver, executors lost past the retry limit) is not mistaken for a
-    finished output.  Spark ML models commit their ``metadata`` folder last;
-    a streaming file sink commits through its ``_spark_metadata`` log.
+    commits, a streaming file sink commits through its ``_spark_metadata``
+    log.  An ML model is written stage by stage, its metadata first, so
+    ``save_model`` adds a marker of its own after the last stage.
     """
     base = path.rstrip("/")
-    return (
-        path_exists(spark, f"{base}/_SUCCESS")
-        or path_exists(spark, f"{base}/metadata/_SUCCESS")
-        or path_exists(spark, f"{base}/_spark_metadata/0")
-    )
+    return any(path_exists(spark, f"{base}/{name}") for name in ("_SUCCESS", SAVED, "_spark_metadata/0"))
+
+
+def is_input(spark: SparkSession, path: str) -> bool:
+    """True for a plain file, and for a folder that no job is still writing."""
+    return path_exists(spark, path) and not path_exists(spark, f"{path.rstrip('/')}/_temporary")
+
 
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When an output was last written, in milliseconds: the newest change of
+    its folder and commit records."""
+    base, newest = path.rstrip("/"), 0
+    for place in (base, f"{base}/_SUCCESS", f"{base}/_spark_metadata"):
+        fs, hpath = _fs_and_path(spark, place)
+        if fs.exists(hpath):
+            newest = max(newest, int(fs.getFileStatus(hpath).getModificationTime()))
+    return newest
 
-def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Parquet sink (S8): snappy and dictionary encoding are the defaults."""
-    df.write.mode(mode).parquet(path)
+
+def _in_progress(path: str) -> str:
+    """The marker beside an output that a guarded write of ours has begun."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{name}.writing"
 
 
 def guarded_write(
@@ -58,21 +88,23 @@ def guarded_write(
     * exists and ``fail``  -> ``FileExistsError``
     * otherwise            -> write, status ``ok``
 
-    "Exists" means a committed output (``is_committed``); an uncommitted
-    leftover of a failed run is overwritten, so a re-run resumes cleanly.
+    Whatever lies at ``path`` exists, whoever wrote it, and is only replaced
+    by ``force``.  The one exception is a leftover of this function: a write
+    is announced by a marker beside the path, which goes when it commits, so
+    an interrupted write is redone by the next call.
     """
     if policy not in ("skip", "fail"):
         raise ValueError(f"unknown policy {policy!r}")
     spark = df.sparkSession
-    writer = df.write.format(fmt)
-    if force:
-        writer.mode("overwrite").save(path)
-        return "ok"
-    if is_committed(spark, path):
+    marker = _in_progress(path)
+    ours = path_exists(spark, marker) and not is_committed(spark, path)
+    if path_exists(spark, path) and not force and not ours:
         if policy == "fail":
-            raise FileExistsError(f"Exists: {path}. Use force to overwrite.")
+            raise FileExistsError(f"{path} is there already; pass force=True to replace it")
         return "exists"
-    writer.mode("overwrite").save(path)
+    create_marker(spark, marker)
+    df.write.format(fmt).mode("overwrite").save(path)
+    drop_marker(spark, marker)
     return "ok"
 
 
@@ -85,25 +117,48 @@ def qualified(spark: SparkSession, path: str) -> str:
 def file_manifest(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
     """Manifest of every file under ``root`` (S10): ``rel_path, bytes, sha256``.
 
-    ``binaryFile`` reads one file per row in the executors and ``sha2``
-    hashes it there; only the manifest rows come back.  One file must stay
-    under ``spark.sql.sources.binaryFile.maxLength`` (2 GB); the manifest is
-    meant for landing files, content fingerprints of big tables are
-    ``table_fingerprint``.
+    Spark lists paths and lengths (contents are not read for that); each file
+    is then hashed in a task that streams it in pieces, so a file of any size
+    needs the memory of one piece.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    df = reader.load(root)
+    listed = reader.load(root).select("path", "length")
     base = qualified(spark, root).rstrip("/") + "/"
-    return df.select(
-        F.when(F.startswith("path", F.lit(base)), F.substring("path", len(base) + 1, 1 << 20))
-        .otherwise(F.col("path")).alias("rel_path"),
-        F.col("length").alias("bytes"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
+
+    def digest(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for path in batch.column("path").to_pylist():
+                # Hadoop writes file:/x, a URI of which is file:///x
+                store, place = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+                sha = hashlib.sha256()
+                with store.open_input_stream(place, compression=None) as stream:
+                    while piece := stream.read(MANIFEST_PIECE):
+                        sha.update(piece)
+                out.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(out, pa.string())], names=["path", "bytes", "sha256"])
+
+    hashed = listed.repartition("path").mapInArrow(digest, "path string, bytes long, sha256 string")
+    return hashed.select(
+        F.when(F.startswith("path", F.lit(base)), F.expr(f"substring(path, {len(base) + 1})")).otherwise(F.col("path")).alias("rel_path"),
+        "bytes",
+        "sha256",
     )
 
 
+def overall_status(present: int, expected: int) -> str:
+    """``ok`` when all inputs are there, ``missing_input`` when none, else
+    ``partial`` (S17)."""
+    return "ok" if present == expected else "missing_input" if present == 0 else "partial"
+
+
 def input_completeness(manifest: DataFrame, expected: Iterable[str], name_col: str = "table_name") -> DataFrame:
     """Per expected table ``ok``/``missing`` plus overall status.
 
@@ -128,8 +183,8 @@ def input_completeness(manifest: DataFrame, expected: Iterable[str], name_col: s
     return per_table.select(name_col, "status", overall.alias("overall_status"))
 
 
-def register_view(spark: SparkSession, path: str, name: str = "stg_gold") -> DataFrame:
-    """Named view over a Parquet path (S12); the path is an argument."""
-    df = spark.read.parquet(path)
+def register_view(spark: SparkSession, source: str | DataFrame, name: str = "stg_gold") -> DataFrame:
+    """Named view over a Parquet path or a DataFrame."""
+    df = spark.read.parquet(source) if isinstance(source, str) else source
     df.createOrReplaceTempView(name)
     return spark.table(name)

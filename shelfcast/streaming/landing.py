@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from shelfcast.sources.csv import CSV_OPTIONS
+from shelfcast.sources.csv import READ_OPTIONS
 
 
 def incremental_csv_to_parquet(
@@ -25,7 +25,7 @@ def incremental_csv_to_parquet(
     max_files_per_trigger: int | None = None,
 ) -> None:
     """Copy every not-yet-copied CSV file under ``csv_dir`` to Parquet and stop."""
-    reader = spark.readStream.options(**CSV_OPTIONS).schema(schema).option("pathGlobFilter", "*.csv")
+    reader = spark.readStream.options(**READ_OPTIONS).schema(schema).option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.csv(csv_dir)

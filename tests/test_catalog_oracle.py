@@ -87,11 +87,12 @@ def test_medallion_run(spark):
 def test_audit_fingerprints_chain(spark):
     """Stage fingerprints are observed during the writes: gold's price fact is
     an identity copy of silver's, and each equals a fresh aggregate pass."""
-    from shelfcast.operators.audit import fingerprint_text, table_fingerprint
+    from shelfcast.operators.audit import AUDIT_SCHEMA, fingerprint_text, table_fingerprint
     from shelfcast.plans.catalog import lake
 
     lk = lake(spark, SF, "gold")
-    audit = {(r["pipeline"], r["table_name"]): r for r in queries()["stage_audit"](spark, SF).collect()}
+    log = spark.read.schema(AUDIT_SCHEMA).json(lk.audit)
+    audit = {(r["pipeline"], r["table_name"]): r for r in log.collect()}
     silver = audit[("silver", "sell_prices")]
     gold = audit[("gold", "fact_sell_prices")]
     assert silver["fingerprint"] == gold["fingerprint"] and silver["bytes"] > 0

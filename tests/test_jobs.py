@@ -56,3 +56,62 @@ def test_incremental_bronze_picks_up_only_new_files(spark):
     # a third run with nothing new appends nothing
     third = {e["table_name"]: e for e in jobs.run_bronze(spark, lk, strict=False, incremental=True)}
     assert third["sell_prices"]["n_rows"] == 3
+
+
+def _write(path, text):
+    import os
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "w") as f:
+        f.write(text)
+
+
+def test_plain_files_are_raw_tables_and_rebuild_follows_them(spark):
+    lk = Lake(scratch_path(spark, "jobs_plain"))
+    _write(lk.landing("sell_prices"), "store_id,item_id,wm_yr_wk,sell_price\nS,I,11101,1.5\n")
+    got = {e["table_name"]: e for e in jobs.run_bronze(spark, lk, strict=False)}
+    assert got["sell_prices"]["status"] == "ok" and got["sell_prices"]["n_rows"] == 1
+    assert {e["notes"]["inputs"] for e in got.values()} == {"partial"}
+    silver = {e["table_name"]: e for e in jobs.run_silver(spark, lk, strict=False)}
+    assert silver["sell_prices"]["status"] == "ok"
+    kept = {e["table_name"]: e for e in jobs.run_silver(spark, lk, strict=False)}["sell_prices"]
+    assert (kept["status"], kept["n_rows"], kept["n_columns"]) == ("exists", 1, 4) and kept["bytes"] > 0
+    gold = jobs.run_gold(spark, lk, strict=False)
+    assert {e["table_name"]: e["status"] for e in gold} == {"calendar": "missing", "sell_prices": "ok", "sales_train_validation": "missing"}
+    _write(lk.landing("sell_prices"), "store_id,item_id,wm_yr_wk,sell_price\nS,I,11101,1.5\nS,J,11101,2.5\n")
+    jobs.run_bronze(spark, lk, strict=False, force=True)
+    assert {e["table_name"]: e for e in jobs.run_silver(spark, lk, strict=False)}["sell_prices"]["n_rows"] == 2
+
+
+def test_half_written_model_is_no_model(spark):
+    from shelfcast.sources.files import SAVED, create_marker, is_committed
+
+    path = scratch_path(spark, "half_model")
+    spark.range(1).write.parquet(f"{path}/metadata")
+    assert not is_committed(spark, path)
+    create_marker(spark, f"{path}/{SAVED}")
+    assert is_committed(spark, path)
+
+
+def test_eval_checks_all_outputs_first(spark):
+    import pytest
+
+    lk = Lake(scratch_path(spark, "jobs_eval_guard"))
+    spark.range(1).write.parquet(lk.output("residual_histogram.parquet"))
+    with pytest.raises(FileExistsError, match="residual_histogram"):
+        jobs.run_eval(spark, lk)
+
+
+def test_line_items_are_aggregated_before_their_first_exchange(spark, sf_small):
+    from shelfcast.plans import retail_fixture as rf
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rf.store_daily(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.split("\n")
+    scan = next(i for i, x in enumerate(lines) if "lineitem" in x)
+    above = [x for x in reversed(lines[:scan]) if "Exchange" in x or "partial_sum" in x]
+    assert "partial_sum" in above[0]

@@ -7,13 +7,13 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import cast_if_present, sorted_day_columns
+from shelfcast.functions.columns import cast_columns, day_columns
 from shelfcast.functions.dates import parse_date
 from shelfcast.operators import gold as gd
 from shelfcast.operators.audit import table_fingerprint, table_profile
 from shelfcast.operators.typing import type_calendar, type_table
 from shelfcast.session import scratch_path
-from shelfcast.sources.csv import csv_to_parquet, read_csv, write_csv
+from shelfcast.sources.csv import read_csv, write_csv
 from shelfcast.sources.files import file_manifest, guarded_write, input_completeness
 
 
@@ -26,9 +26,14 @@ def test_csv_dialect_roundtrip_and_blank_is_null(spark):
     assert rows == [('a "b" c', None, 1), ("plain", "Christmas", 2)]
     inferred = read_csv(spark, d, infer_schema=True)
     assert dict(inferred.dtypes)["n"] == "int"
-    out = scratch_path(spark, "bronze_test")
-    assert csv_to_parquet(spark, d, out, "name string, event_name_1 string, n int") == 2
-    assert spark.read.parquet(out).count() == 2
+
+
+def test_bad_cell_fails_the_read(spark):
+    d = tempfile.mkdtemp(prefix="shelfcast-csv-")
+    with open(os.path.join(d, "t.csv"), "w") as f:
+        f.write("name,n\na,1\nb,12x\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        read_csv(spark, d, schema="name string, n int").collect()
 
 
 def test_parse_date_rules(spark):
@@ -42,8 +47,8 @@ def test_parse_date_rules(spark):
 def test_checked_cast_overflows(spark):
     df = spark.createDataFrame([(300,)], "snap_CA int")
     with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
-        cast_if_present(df, "snap_CA", "tinyint").collect()
-    assert cast_if_present(df, "absent", "tinyint").columns == ["snap_CA"]
+        cast_columns(df, {"snap_CA": "tinyint"}).collect()
+    assert cast_columns(df, {"absent": "tinyint"}).columns == ["snap_CA"]
 
 
 def test_calendar_typing_and_unknown_table_identity(spark):
@@ -64,7 +69,11 @@ def test_is_weekend_null_is_false(spark):
 
 
 def test_day_columns_numeric_order_and_unpivot_roundtrip(spark):
-    assert sorted_day_columns(["id", "d_10", "d_2", "d_1"]) == ["d_1", "d_2", "d_10"]
+    assert day_columns(["id", "d_10", "d_2", "d_1"]) == ["d_1", "d_2", "d_10"]
+    assert day_columns(["d_10", "d_2", "d_1"], 2) == ["d_2", "d_10"] and day_columns(["d_3"], 9) == ["d_3"]
+    for n in (0, -1):
+        with pytest.raises(ValueError, match="at least 1"):
+            day_columns(["d_1"], n)
     cols = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "d_10", "d_2", "d_1"]
     wide = spark.createDataFrame(
         [("B", "i", "x", "c", "s", "t", 10, 2, 1), ("A", "i", "x", "c", "s", "t", 20, 4, 3)],
@@ -127,17 +136,26 @@ def test_write_csv_sink(spark):
     assert [tuple(r) for r in read_csv(spark, path, schema="id string, y double").collect()] == [("a,b", 1.5)]
 
 
-def test_guarded_write_redoes_uncommitted_leftover(spark):
-    from shelfcast.sources.files import is_committed
+def _local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def test_guarded_write_redoes_only_its_own_leftover(spark):
+    from shelfcast.sources.files import _in_progress, create_marker, is_committed
 
     path = scratch_path(spark, "leftover")
     spark.range(3).write.parquet(path)
-    assert is_committed(spark, path)
-    local = path[len("file:"):] if path.startswith("file:") else path
-    os.remove(os.path.join(local, "_SUCCESS"))  # as if the job died before commit
-    assert not is_committed(spark, path)
-    assert guarded_write(spark.range(7), path, policy="skip") == "ok"
+    os.remove(os.path.join(_local(path), "_SUCCESS"))  # no commit record: another tool's folder
+    for policy in ("skip", "fail"):
+        try:
+            assert guarded_write(spark.range(7), path, policy=policy) == "exists"
+        except FileExistsError:
+            assert policy == "fail"
+        assert spark.read.parquet(path).count() == 3
+    create_marker(spark, _in_progress(path))  # as if our own write had died before its commit
+    assert guarded_write(spark.range(7), path, policy="fail") == "ok"
     assert spark.read.parquet(path).count() == 7 and is_committed(spark, path)
+    assert guarded_write(spark.range(1), path, policy="skip") == "exists"
 
 
 def test_sample_in_file_order(spark):
