@@ -1,29 +1,39 @@
-"""Ridge baseline with Spark ML.
-
-sklearn's ``Ridge(alpha)`` minimises ||y - Xw||^2 + alpha ||w||^2 with an
-unpenalised intercept.  Spark's ``LinearRegression`` minimises
-RSS / 2n + lambda ||w||^2 / 2 and, with ``standardization=False``, still
-scales lambda by the label's standard deviation.  Hence
-``regParam = alpha * sigma_y / n`` -- population sigma for the normal-
-equation solver, sample sigma for L-BFGS (each matches the closed form).
-
-Training is distributed: the normal solver builds X'X with one tree
-aggregate; L-BFGS runs tree aggregates per iteration.  The driver only sees
-the aggregated statistics and the coefficient vector.
+"""Ridge baseline.
+
+Minimises ``||y - Xw - b||^2 + alpha ||w||^2`` with an unpenalised intercept
+over 13 numeric features and the one-hot levels of six categorical columns.
+
+The series column ``id`` has as many levels as there are series, so its part
+of the normal equations is never formed.  Given all other coefficients, the
+effect of a series with ``n`` rows is ``(sum of its residuals) / (n + alpha)``:
+the block is diagonal and is eliminated.  What is left is a dense system over
+the numeric features and the levels of the small columns,
+
+    (Z'Z + alpha I - sum_i s_i s_i' / (n_i + alpha)) w = Z'y - sum_i s_i t_i / (n_i + alpha)
+
+where ``s_i`` and ``t_i`` are the sums of features and label over series
+``i``.  Spark computes both sums of products by grouped aggregates with
+map-side partials, the driver solves the system, and the effects of the
+series are computed from it as a table.  One method serves any number of
+series.  Scoring joins the effects by ``id``.
+
+Numeric features are centred by their training means, and columns without
+variance (a constant number, a single level) are left out; ridge gives them a
+zero coefficient.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import require_columns
 from shelfcast.operators.features import FEATURE_COLUMNS
 from shelfcast.operators.quality import REQUIRED_COLUMNS
+from shelfcast.session import scratch_path
 from shelfcast.sources.files import SAVED, create_marker
 
 # Fixed feature contract: 13 numeric (passed through unscaled) then 6 categorical.
@@ -34,7 +44,12 @@ NUMERIC_FEATURES = [
 CATEGORICAL_FEATURES = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
 MODEL_FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 DEFAULT_ALPHA = 1.0
-NORMAL_SOLVER_MAX_FEATURES = 4096
+SERIES = "id"
+SMALL = [c for c in CATEGORICAL_FEATURES if c != SERIES]
+#: Levels that the columns of SMALL may have together; the driver solves a
+#: dense system of about this width.
+MAX_LEVELS = 8_192
+INTERCEPT = "(intercept)"
 
 
 def _split(features: DataFrame, test: bool) -> DataFrame:
@@ -58,163 +73,208 @@ def test_set(features: DataFrame) -> DataFrame:
     return _split(features, test=True)
 
 
-def ridge_pipeline(
-    reg_param: float,
-    solver: str,
-    numeric: list[str] | None = None,
-    categorical: list[str] | None = None,
-    centers: dict[str, float] | None = None,
-) -> Pipeline:
-    """One-hot (all known levels kept, unseen -> all zeros) + numeric
-    pass-through + linear regression with an L2 penalty only (M1-M3).
-
-    ``centers`` subtracts a constant from each numeric feature first (the
-    training mean): the same coefficients in exact arithmetic, but the normal
-    equations no longer form E[x^2] - E[x]^2 from large raw values (``year``,
-    ``wm_yr_wk``), which cost about six digits.
-    """
-    numeric = NUMERIC_FEATURES if numeric is None else numeric
-    categorical = CATEGORICAL_FEATURES if categorical is None else categorical
-    stages = []
-    if centers:
-        shifted = ", ".join(f"(`{c}` - ({centers[c]!r})) AS `{c}__c`" for c in numeric)
-        stages.append(SQLTransformer(statement=f"SELECT *, {shifted} FROM __THIS__"))
-        numeric = [f"{c}__c" for c in numeric]
-    onehot = [f"{c}__oh" for c in categorical]
-    if categorical:
-        idx = [f"{c}__idx" for c in categorical]
-        stages.append(StringIndexer(
-            inputCols=categorical, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"
-        ))
-        # dropLast drops the extra "unseen" slot that handleInvalid="keep"
-        # adds, so every training level keeps its own column and an unseen
-        # level encodes as the empty vector.
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=onehot, dropLast=True))
-    stages.append(VectorAssembler(inputCols=numeric + onehot, outputCol="features"))
-    stages.append(LinearRegression(
-        featuresCol="features",
-        labelCol="label",
-        predictionCol="prediction",
-        regParam=reg_param,
-        elasticNetParam=0.0,
-        standardization=False,
-        fitIntercept=True,
-        solver=solver,
-        maxIter=1000,
-        tol=1e-12,
-    ))
-    return Pipeline(stages=stages)
-
-
-def fit_ridge(
-    train: DataFrame,
-    alpha: float = DEFAULT_ALPHA,
-    normal_max_features: int = NORMAL_SOLVER_MAX_FEATURES,
-) -> PipelineModel:
-    """Fit the ridge baseline (X5's core).
-
-    One aggregate job gives n, sigma_y, each numeric column's range and each
-    categorical's level count; then the indexer fit and the solver run
-    distributed.  Zero-variance features (a constant numeric column, a
-    single-level categorical) are left out of the design: ridge with an
-    intercept gives them a zero coefficient anyway, and Spark's normal
-    equations would turn singular on them (no penalty on a zero-variance
-    column) and fall back to a slower quasi-Newton solve.
-    """
-    # The fit reads the training rows several times (statistics, indexer fit,
-    # solver): keep them in executor memory/disk for the duration.  A lost
-    # executor's blocks are recomputed from lineage.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _fit(train, alpha, normal_max_features)
-    finally:
-        train.unpersist()
-
-
-def _fit(train: DataFrame, alpha: float, normal_max_features: int) -> PipelineModel:
-    # Exact category levels come from the indexer fit itself (a distributed
-    # count per value); six count_distinct aggregates instead would make
-    # Spark replicate every training row six times (Expand) before the shuffle.
-    idx_cols = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
-    indexer = StringIndexer(
-        inputCols=CATEGORICAL_FEATURES, outputCols=idx_cols, handleInvalid="keep", stringOrderType="alphabetAsc"
-    ).fit(train)
-    levels = dict(zip(CATEGORICAL_FEATURES, (len(a) for a in indexer.labelsArray), strict=True))
-    stats = train.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.stddev_pop("label").alias("sd_pop"),
-        F.stddev_samp("label").alias("sd_samp"),
-        *[(F.max(c) > F.min(c)).alias(f"var_{c}") for c in NUMERIC_FEATURES],
-        *[F.count(c).alias(f"nn_{c}") for c in NUMERIC_FEATURES],
-        *[F.avg(c).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
-    ).first()
-    n = int(stats["n"])
-    if n == 0:
-        raise ValueError("Train set is empty after dropping rows with NULL lag features")
-    # a column with NULLs is never pruned: the assembler must reject it (Q8)
-    numeric = [c for c in NUMERIC_FEATURES if stats[f"var_{c}"] or int(stats[f"nn_{c}"]) < n]
-    categorical = [c for c in CATEGORICAL_FEATURES if levels[c] > 1]
-    width = len(numeric) + sum(levels[c] for c in categorical)
-    # The normal equations hold a width x width matrix on the driver (Spark
-    # caps them at 4,096 features); wider designs (M5: ~30k series one-hots)
-    # use distributed L-BFGS, whose internal label scaling is the sample sigma.
-    solver = "normal" if width <= normal_max_features else "l-bfgs"
-    sigma = float((stats["sd_pop"] if solver == "normal" else stats["sd_samp"]) or 0.0)
-    # A constant label gets zero coefficients and the mean as intercept.
-    reg = float(alpha) * sigma / n if sigma > 0 else 0.0
-    centers = {c: float(stats[f"mean_{c}"] or 0.0) for c in numeric}
-    stages = ridge_pipeline(reg, solver, numeric, categorical, centers).getStages()
-    # reuse the fitted indexer (it indexes all six; single-level ones are not encoded)
-    stages = [indexer if isinstance(st, StringIndexer) else st for st in stages]
-    return Pipeline(stages=stages).fit(train)
-
-
-def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """M4 + M5: ``id, d, y_true, y_pred``."""
-    return model.transform(test).select(
-        "id", "d", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred")
-    )
 
+@dataclass(frozen=True)
+class RidgeModel:
+    """``weights`` by feature name (``column=level`` for levels of the small
+    columns, with the intercept of the centred features), the ``centers`` of
+    the numeric features, and ``series``: ``id, effect`` as a table."""
 
-def coefficients(model: PipelineModel) -> list[tuple[str, float]]:
-    """(feature, coefficient) for every model feature plus ``(intercept)``.
+    weights: dict[str, float]
+    centers: dict[str, float]
+    series: DataFrame
 
-    One-hot coefficients are named ``<column>=<level>``; features left out
-    of the design as zero-variance report 0.0.
-    """
-    lr = model.stages[-1]
-    assembler = model.stages[-2]
-    indexers = [st for st in model.stages if hasattr(st, "labelsArray")]
-    indexer = indexers[0] if indexers else None
-    centers: dict[str, float] = {}
-    for st in model.stages:
-        if isinstance(st, SQLTransformer):
-            centers = _parse_centers(st.getStatement())
-    names: list[str] = []
-    for col in assembler.getInputCols():
-        if col.endswith("__oh"):
-            base = col[: -len("__oh")]
-            labels = indexer.labelsArray[indexer.getInputCols().index(base)]
-            names.extend(f"{base}={lab}" for lab in labels)
-        else:
-            names.append(col[: -len("__c")] if col.endswith("__c") else col)
-    coefs = dict(zip(names, lr.coefficients.toArray().tolist(), strict=True))
-    out = [(c, float(coefs.get(c, 0.0))) for c in NUMERIC_FEATURES]
-    used_cat = {n.split("=", 1)[0] for n in names if "=" in n}
-    for c in CATEGORICAL_FEATURES:
-        if c in used_cat:
-            out.extend((n, coefs[n]) for n in names if n.startswith(c + "="))
-        else:
-            out.append((f"{c}=*", 0.0))
-    # back to raw feature scale: b_raw = b - sum_j w_j * center_j
-    intercept = float(lr.intercept) - sum(coefs.get(c, 0.0) * m for c, m in centers.items())
-    return [*out, ("(intercept)", intercept)]
+    @property
+    def levels(self) -> dict[str, dict[str, float]]:
+        out: dict[str, dict[str, float]] = {}
+        for name, w in self.weights.items():
+            column, sep, level = name.partition("=")
+            if sep:
+                out.setdefault(column, {})[level] = w
+        return out
 
 
-def _parse_centers(statement: str) -> dict[str, float]:
-    import re
+def _centred(centers: dict[str, float]) -> dict[str, Column]:
+    return {c: F.col(c).cast("double") - F.lit(m) for c, m in centers.items()}
 
-    return {m.group(1): float(m.group(2)) for m in re.finditer(r"\(`(\w+)` - \(([^)]+)\)\)", statement)}
+
+def _products(vectors: DataFrame, weight: Column) -> DataFrame:
+    """``a, b, total``: weighted sums of products of the entries of arrays
+    ``v`` of ``(name, x)``, for names ``a <= b``.
+
+    A vector has as many entries as there are feature columns, not levels; its
+    products are made in the task that has it and added up there first.
+    """
+    pairs = F.flatten(F.transform("v", lambda a: F.transform(
+        F.filter("v", lambda b: a["name"] <= b["name"]), lambda b: F.struct(a["name"].alias("a"), b["name"].alias("b"), (a["x"] * b["x"] * weight).alias("x")))))
+    return vectors.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.sum("p.x").alias("total"))
+
+
+def _statistics(train: DataFrame) -> tuple[int, dict[str, float], list[str]]:
+    """Rows, means of the numeric features that vary, and the small columns
+    with more than one level with their number of levels checked."""
+    numbers = [F.count(F.lit(1)).alias("n")]
+    for c in NUMERIC_FEATURES:
+        numbers += [(F.max(c) > F.min(c)).alias(f"varies_{c}"), F.count(c).alias(f"known_{c}"), F.avg(c).alias(f"mean_{c}")]
+    row = train.agg(*numbers).first()
+    if not row["n"]:
+        raise ValueError("no training rows: all rows lack lag features or belong to the test days")
+    unknown = [c for c in NUMERIC_FEATURES if row[f"known_{c}"] < row["n"]]
+    if unknown:
+        raise ValueError(f"NULL values in the training rows' {unknown}")
+    centers = {c: float(row[f"mean_{c}"]) for c in NUMERIC_FEATURES if row[f"varies_{c}"]}
+    level = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in SMALL])).alias("x")
+    count = train.select(level).distinct().where("x.level is not null").groupBy("x.column").count().collect()
+    if sum(r["count"] for r in count) > MAX_LEVELS:
+        raise ValueError(f"{ {r['column']: r['count'] for r in count} } levels are more than the {MAX_LEVELS} that the reduced system may have")
+    several = {r["column"] for r in count if r["count"] > 1}
+    return int(row["n"]), centers, [c for c in SMALL if c in several]
+
+
+def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
+    """Fit the ridge baseline (X5's core)."""
+    spark = train.sparkSession
+    n, centers, small = _statistics(train)
+    x = _centred(centers)
+    numeric = list(x)
+    entry = lambda name, value: F.struct(name.alias("name"), value.cast("double").alias("x"))
+
+    # sums of each series' rows with the same levels: all products with a level come from these
+    path = scratch_path(spark, "ridge_groups")
+    sums = [F.count(F.lit(1)).cast("double").alias("n"), F.sum("label").alias("t"), *[F.sum(e).alias(f"s_{c}") for c, e in x.items()]]
+    train.groupBy(SERIES, *small).agg(*sums).write.parquet(path)
+    groups = spark.read.parquet(path)
+    named = {c: F.concat(F.lit(f"{c}="), F.col(c)) for c in small}
+    ones = [entry(name, F.lit(1.0)) for name in named.values()]
+    numbers = [entry(F.lit(c), F.col(f"s_{c}")) for c in numeric]
+    empty = "array<struct<name:string,x:double>>"
+    known = lambda v: F.filter(v, lambda e: e["name"].isNotNull())
+
+    def array(entries: list[Column]) -> Column:
+        return F.array(*entries).cast(empty) if entries else F.array().cast(empty)
+
+    total: dict[tuple[str, str], float] = {}
+
+    def add(a: str, b: str, value: float) -> None:
+        total[a, b] = total.get((a, b), 0.0) + value
+        if a != b:
+            total[b, a] = total.get((b, a), 0.0) + value
+
+    # Z'Z and Z'y: products of numbers over the rows, of levels over the groups
+    row = train.agg(*[F.sum(x[a] * x[b]).alias(f"{i}_{j}") for i, a in enumerate(numeric) for j, b in enumerate(numeric) if i <= j],
+                    *[F.sum(x[a] * F.col("label")).alias(f"y_{i}") for i, a in enumerate(numeric)],
+                    *[F.sum(x[a]).alias(f"sum_{i}") for i, a in enumerate(numeric)], F.sum("label").alias("y")).first()
+    right = {INTERCEPT: float(row["y"])} | {a: float(row[f"y_{i}"]) for i, a in enumerate(numeric)}
+    add(INTERCEPT, INTERCEPT, float(n))
+    for i, a in enumerate(numeric):
+        add(INTERCEPT, a, float(row[f"sum_{i}"]))
+        for j, b in enumerate(numeric):
+            if i <= j:
+                add(a, b, float(row[f"{i}_{j}"]))
+    if small:
+        levels = groups.withColumn("l", known(array(ones)))
+        both = _products(levels.select("n", F.col("l").alias("v")), F.col("n")).collect()
+        for r in both:
+            add(r["a"], r["b"], r["total"])
+        cross = levels.select("l", array([*numbers, entry(F.lit(INTERCEPT), F.col("n")), entry(F.lit("y"), F.col("t"))]).alias("z")).select(F.explode("l").alias("l"), "z").select("l", F.explode("z").alias("z"))
+        for r in cross.groupBy(F.col("l.name").alias("a"), F.col("z.name").alias("b")).agg(F.sum("z.x").alias("total")).collect():
+            if r["b"] == "y":
+                right[r["a"]] = r["total"]
+            else:
+                add(r["a"], r["b"], r["total"])
+
+    # what the series explain: sums over each series, one entry for each feature it has
+    features = known(array([entry(F.lit(INTERCEPT), F.col("n")), entry(F.lit("y"), F.col("t")), *numbers, *[entry(name, F.col("n")) for name in named.values()]]))
+    entries = groups.select(SERIES, F.explode(features).alias("f")).groupBy(SERIES, F.col("f.name").alias("name")).agg(F.sum("f.x").alias("x"))
+    series = entries.groupBy(SERIES).agg(F.collect_list(F.struct("name", "x")).alias("v"), F.max(F.when(F.col("name") == INTERCEPT, F.col("x"))).alias("n"))
+    path = scratch_path(spark, "ridge_series")
+    series.write.parquet(path)
+    series = spark.read.parquet(path)
+    several_series = series.limit(2).count() > 1
+    share = F.lit(1.0) / (F.col("n") + F.lit(float(alpha)))
+    if several_series:
+        for r in _products(series, share).collect():
+            if "y" in (r["a"], r["b"]):
+                other = r["b"] if r["a"] == "y" else r["a"]
+                if other != "y":
+                    right[other] -= r["total"]
+            else:
+                add(r["a"], r["b"], -r["total"])
+
+    names = [INTERCEPT, *numeric, *sorted(k for k in right if "=" in k)]
+    system = np.array([[total.get((a, b), 0.0) for b in names] for a in names])
+    system += np.diag([0.0] + [float(alpha)] * (len(names) - 1))
+    # both sides scaled to a unit diagonal, as features differ by orders of magnitude
+    scale = 1 / np.sqrt(np.maximum(np.diag(system), 1e-300))
+    weights = scale * np.linalg.solve(system * scale[:, None] * scale[None, :], np.array([right[a] for a in names]) * scale)
+    found = dict(zip(names, weights.tolist(), strict=True))
+
+    # one row for each feature: at most MAX_LEVELS and the numeric ones
+    table = spark.createDataFrame([*found.items(), ("y", -1.0)], "name string, w double")
+    left = series.select(SERIES, "n", F.explode("v").alias("e")).select(SERIES, "n", "e.name", "e.x").join(F.broadcast(table), "name")
+    effect = -F.sum(F.col("x") * F.col("w")) / (F.first("n") + F.lit(float(alpha)))
+    effects = left.groupBy(SERIES).agg((effect if several_series else F.lit(0.0)).alias("effect"))
+    return RidgeModel(found, centers, effects)
+
+
+def score(model: RidgeModel, rows: DataFrame) -> Column:
+    """The prediction for ``rows`` that carry the series' ``effect``; unseen
+    levels and series count nothing."""
+    out = F.lit(model.weights[INTERCEPT])
+    for c, e in _centred(model.centers).items():
+        out = out + F.lit(model.weights[c]) * e
+    for c in model.levels:
+        out = out + F.coalesce(F.col(f"_w_{c}"), F.lit(0.0))
+    return out + F.coalesce("effect", F.lit(0.0))
+
+
+def transform(model: RidgeModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``prediction`` (M4): an equi-join with the series' effects
+    and with the weights of each small column's levels."""
+    spark = rows.sparkSession
+    out = rows.join(model.series, SERIES, "left")
+    for c, weights in model.levels.items():
+        # at most MAX_LEVELS rows
+        table = spark.createDataFrame(list(weights.items()), f"`{c}` string, `_w_{c}` double")
+        out = out.join(F.broadcast(table), c, "left")
+    return out.withColumn("prediction", score(model, rows)).select(*rows.columns, "prediction")
+
+
+def predict(model: RidgeModel, test: DataFrame) -> DataFrame:
+    """M4 + M5: ``id, d, y_true, y_pred``."""
+    return transform(model, test).select("id", "d", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
+
+
+def coefficients(model: RidgeModel) -> DataFrame:
+    """``feature, coefficient``: every numeric feature, ``column=level`` for
+    every level, ``column=*`` with 0 for columns of a single level, and the
+    ``(intercept)`` of the features as they are."""
+    spark = model.series.sparkSession
+    w = model.weights
+    rows = [(c, w.get(c, 0.0)) for c in NUMERIC_FEATURES]
+    rows += [(k, v) for k, v in w.items() if "=" in k] + [(f"{c}=*", 0.0) for c in SMALL if c not in model.levels]
+    rows.append((INTERCEPT, w[INTERCEPT] - sum(w[c] * m for c, m in model.centers.items())))
+    own = spark.createDataFrame(rows, "feature string, coefficient double")
+    series = model.series.select(F.concat(F.lit("id="), F.col(SERIES)).alias("feature"), F.col("effect").alias("coefficient"))
+    return own.unionByName(series)
+
+
+def normal_residual(model: RidgeModel, train: DataFrame, alpha: float = DEFAULT_ALPHA, digits: int = 6) -> DataFrame:
+    """``feature, residual``: the normal equations ``x'(y - Xw - b) - alpha w``
+    of every feature per training row, rounded; all are 0 at the optimum."""
+    fitted = transform(model, train).withColumn("r", F.col("label") - F.col("prediction"))
+    x = {c: F.col(c).cast("double") - F.lit(m) for c, m in model.centers.items()}
+    numeric = fitted.agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("r"), *[F.sum(F.col("r") * e).alias(c) for c, e in x.items()])
+    w = model.weights
+    values = {INTERCEPT: F.col("r")} | {c: F.col(c) - F.lit(alpha * w[c]) if c in x else F.lit(0.0) for c in NUMERIC_FEATURES}
+    out = numeric.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), (v / F.col("n")).alias("value")) for c, v in values.items()])).alias("f")).select("f.*")
+    n = train.select(F.count(F.lit(1))).scalar()
+    table = coefficients(model)
+    for c in CATEGORICAL_FEATURES:
+        sums = fitted.groupBy(F.concat(F.lit(f"{c}="), F.col(c)).alias("feature")).agg(F.sum("r").alias("r"))
+        left = sums.join(table, "feature", "left")
+        out = out.unionByName(left.select("feature", ((F.col("r") - alpha * F.coalesce("coefficient", F.lit(0.0))) / n).alias("value")))
+    return out.select("feature", (F.round("value", digits) + F.lit(0.0)).alias("residual"))
 
 
 def train_summary(features: DataFrame, horizon: int) -> DataFrame:
@@ -228,14 +288,20 @@ def train_summary(features: DataFrame, horizon: int) -> DataFrame:
     ).select("n_rows", "n_train_used", F.lit(int(horizon)).cast("bigint").alias("horizon"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """S15 sink: Spark ML persistence (metadata + Parquet per stage), and a
-    marker after the last stage that says the model is whole."""
-    from pyspark.sql import SparkSession
-
-    model.write().overwrite().save(path)
-    create_marker(SparkSession.active(), f"{path.rstrip('/')}/{SAVED}")
+def save_model(model: RidgeModel, path: str) -> None:
+    """S15 sink: the weights and the series' effects as Parquet, and a marker
+    after both that says the model is whole."""
+    spark = model.series.sparkSession
+    base = path.rstrip("/")
+    rows = [(k, v, model.centers.get(k)) for k, v in model.weights.items()]
+    spark.createDataFrame(rows, "feature string, weight double, center double").write.mode("overwrite").parquet(f"{base}/weights")
+    model.series.write.mode("overwrite").parquet(f"{base}/series")
+    create_marker(spark, f"{base}/{SAVED}")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, spark: SparkSession | None = None) -> RidgeModel:
+    spark = spark or SparkSession.active()
+    base = path.rstrip("/")
+    rows = spark.read.parquet(f"{base}/weights").collect()  # one for each feature of the reduced system
+    centers = {r["feature"]: r["center"] for r in rows if r["center"] is not None}
+    return RidgeModel({r["feature"]: r["weight"] for r in rows}, centers, spark.read.parquet(f"{base}/series"))

@@ -407,8 +407,13 @@ def q_residual_histogram(spark, sf_dir):
 @query("ridge_coefficients")
 def q_ridge_coefficients(spark, sf_dir):
     """M1-M3: fitted ridge coefficients (S15: read back from the stored model)."""
-    pairs = md.coefficients(md.load_model(model_path(spark, sf_dir)))
-    return spark.createDataFrame(pairs, "feature string, coefficient double")
+    return md.coefficients(loaded_model(spark, sf_dir))
+
+
+@query("ridge_normal_residual")
+def q_ridge_normal_residual(spark, sf_dir):
+    """M3: the normal equations of every feature at the fitted coefficients."""
+    return md.normal_residual(loaded_model(spark, sf_dir), md.train_set(stored_features(spark, sf_dir)))
 
 
 @query("predictions")
@@ -419,11 +424,8 @@ def q_predictions(spark, sf_dir):
 
 @query("ridge_predict")
 def q_ridge_predict(spark, sf_dir):
-    """M4: the fitted pipeline applied to the test rows (one-hot + assembly +
-    linear predictor), with the assembled feature-vector width."""
-    model = loaded_model(spark, sf_dir)
-    out = model.transform(md.test_set(stored_features(spark, sf_dir)))
-    return out.select("id", "d", "label", "prediction", F.lit(model.stages[-1].numFeatures).alias("n_features"))
+    """M4: the stored model's prediction for every test row."""
+    return md.transform(loaded_model(spark, sf_dir), md.test_set(stored_features(spark, sf_dir))).select("id", "d", "label", "prediction")
 
 
 @query("ridge_eval_metrics")

