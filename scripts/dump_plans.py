@@ -29,9 +29,9 @@ def main() -> None:
     out = ["# Physical plans", "", f"Final adaptive plans at `{os.path.basename(sf_dir)}` on local[8], "
            "generated by `scripts/dump_plans.py` (attribute ids stripped).", "",
            "What to look for:", "",
-           "- store_daily: the lineitem scan reads 5 columns; a partial aggregate on (item, supplier, day)",
-           "  precedes the first shuffle; the supplier join happens on the pre-aggregated rows (AQE turns",
-           "  it into a broadcast join at this size; at scale it stays a sort-merge join).",
+           "- store_daily: the lineitem scan reads 5 columns; a partial aggregate on (part, supplier, day)",
+           "  precedes the first shuffle and every join; part and supplier are joined to the sums (AQE turns",
+           "  these into broadcast joins at this size; at scale they stay sort-merge joins).",
            "- features: the dense sales table is stored bucketed by `id`, so the scan already satisfies",
            "  the windows' distribution: no exchange at all, one sort, two Window nodes; the calendar is a",
            "  broadcast hash join, so the window output is not reshuffled.  (Over an unbucketed input the",

@@ -46,16 +46,16 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_features(spark, path)
 
 
-_LAKES: dict[tuple[str, str], Lake] = {}
+_LAKES: dict[tuple, Lake] = {}
 _LAKE_LOCK = threading.Lock()
 _STAGE_ORDER = ["landing", "bronze", "silver", "gold", "features", "train"]
-_DONE: dict[tuple[str, str], set[str]] = {}
+_DONE: dict[tuple, set[str]] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str, through: str = "silver") -> Lake:
     """A lakehouse built from the test tables, once per application and
     folder, up to stage ``through`` (stages run at most once)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = rf.data_key(spark, sf_dir)
     with _LAKE_LOCK:
         lk = _LAKES.get(key)
         if lk is None:
@@ -82,13 +82,13 @@ def lake(spark: SparkSession, sf_dir: str, through: str = "silver") -> Lake:
     return lk
 
 
-_MODELS: dict[tuple[str, str], str] = {}
+_MODELS: dict[tuple, str] = {}
 
 
 def model_path(spark: SparkSession, sf_dir: str) -> str:
     """Ridge baseline fitted on the feature table's training rows, stored in
     the shared scratch folder once per application and test-data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = rf.data_key(spark, sf_dir)
     with _LAKE_LOCK:
         path = _MODELS.get(key)
         if path is None:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import m5_wday, weekday_name
 from shelfcast.session import scratch_path
+from shelfcast.sources.files import changed_at
 from shelfcast.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -123,14 +124,24 @@ def store_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+SOURCE_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
+
+
+def data_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """What stored derivations are kept by: the application, the folder and
+    when its tables last changed, so that changed data are derived anew."""
+    base = sf_dir.rstrip("/")
+    return (spark.sparkContext.applicationId, base, *(changed_at(spark, f"{base}/{t}.parquet") for t in SOURCE_TABLES))
+
+
+_LANDED: dict[tuple, str] = {}
 _LOCK = threading.RLock()
 
 
 def landed_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """A folder below the shared checkpoint folder that ``write(path)`` filled,
     once per application, test-data folder and table name."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (*data_key(spark, sf_dir), name)
     with _LOCK:
         path = _LANDED.get(key)
         if path is None:
@@ -151,7 +162,7 @@ def landed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir, "store_daily", store_daily)
 
 
-_BUCKETED: dict[tuple[str, str], str] = {}
+_BUCKETED: dict[tuple, str] = {}
 
 
 def landed_dense_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +175,7 @@ def landed_dense_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     write time, instead of once per query.  The bucket count follows
     ``spark.sql.shuffle.partitions``.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = data_key(spark, sf_dir)
     with _LOCK:
         table = _BUCKETED.get(key)
         if table is None:
