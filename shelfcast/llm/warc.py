@@ -241,5 +241,7 @@ def look_up(keys: DataFrame, shards: DataFrame, index_folder: str, archive_folde
                             "record_type": head["WARC-Type"], "refers_to": None if page == "null" else int(page)})
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    # sorted keys, so that a task reads each directory and block once
-    return keys.select("key", "id", "copy").repartitionByRange("key").sortWithinPartitions("key").mapInArrow(read, RESULT)
+    # sorted keys, so that a task reads each directory and block once; the number of tasks is
+    # fixed, as a key is few bytes here but stands for a whole record to read
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return keys.select("key", "id", "copy").repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(read, RESULT)
