@@ -192,7 +192,10 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         # each node's larger neighbours move to its smallest neighbour; then the others
         both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
+        # joined by an expression of x: both sides are then shuffled for the join itself, which may
+        # split a node with very many neighbours, as it may not behind the aggregation's own shuffle
+        key = F.col("x").cast("decimal(20,0)").alias("key")
+        large = both.where("y > x").select(key, "y").join(least.select(key, "m"), "key").select(F.col("y").alias("v"), F.col("m").alias("u"))
         large = stored(large.where("u < v").distinct(), f"{name}-large")
         lower = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(lower, "v")
