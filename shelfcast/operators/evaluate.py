@@ -73,30 +73,32 @@ def residual_histogram(resid: DataFrame, column: str = "residual", bins: int = D
     x = F.col(column).cast("double")
     spark = resid.sparkSession
     span = resid.select(F.struct(F.min(x).alias("mn"), F.max(x).alias("mx"))).scalar()
-    mn, mx = span["mn"], span["mx"]
+    mn, mx = F.col("span.mn"), F.col("span.mx")
     # no values: numpy's default [0, 1]; equal values: half a unit to each side
     lo = F.when(mn.isNull(), F.lit(0.0)).when(mn == mx, mn - 0.5).otherwise(mn)
     hi = F.when(mn.isNull(), F.lit(1.0)).when(mn == mx, mx + 0.5).otherwise(mx)
-    step = (hi - lo) / nb
+
+    def ranged(df: DataFrame, own: str) -> DataFrame:
+        """``df`` with the range as columns, so that each step below names a
+        column and the subquery stands in the plan once."""
+        return df.withColumn("span", span).select(own, lo.alias("lo"), hi.alias("hi")).withColumn("step", (F.col("hi") - F.col("lo")) / nb)
 
     def edge(i):
-        return F.when(i >= nb, hi).otherwise(lo + i * step)
+        return F.when(i >= nb, F.col("hi")).otherwise(F.col("lo") + i * F.col("step"))
 
-    raw = F.floor((x - lo) * (F.lit(float(nb)) / (hi - lo)))
-    i0 = F.least(raw, F.lit(nb - 1))
-    i1 = F.when(x < edge(i0), i0 - 1).otherwise(i0)
-    i2 = F.when((x >= edge(i1 + 1)) & (i1 != nb - 1), i1 + 1).otherwise(i1)
+    x, i = F.col("x"), F.col("i")
+    raw = F.floor((x - F.col("lo")) * (F.lit(float(nb)) / (F.col("hi") - F.col("lo"))))
     counts = (
-        resid.where(x.isNotNull())
-        .select((i2 + 1).cast("int").alias("bin"))
+        ranged(resid.select(F.col(column).cast("double").alias("x")).where(x.isNotNull()), "x")
+        .withColumn("i", F.least(raw, F.lit(nb - 1)))
+        .withColumn("i", F.when(x < edge(i), i - 1).otherwise(i))
+        .withColumn("i", F.when((x >= edge(i + 1)) & (i != nb - 1), i + 1).otherwise(i))
+        .select((i + 1).cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    axis = (
-        spark.range(1, nb + 1, numPartitions=1)
-        .select(F.col("id").cast("int").alias("bin"))
-        .select("bin", edge(F.col("bin") - 1).alias("bin_lo"), edge(F.col("bin")).alias("bin_hi"))
-    )
+    bins_axis = spark.range(1, nb + 1, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
+    axis = ranged(bins_axis, "bin").select("bin", edge(F.col("bin") - 1).alias("bin_lo"), edge(F.col("bin")).alias("bin_hi"))
     # counts holds at most ``bins`` rows by construction (bin is clamped to
     # 1..bins): a proven bound, so it is broadcast to the axis.
     return axis.join(F.broadcast(counts), "bin", "left").select(
