@@ -47,7 +47,7 @@ SHARD_TOKENS = 500_000
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("head script style noscript template textarea select option button iframe object svg canvas audio video math title".split())
+SKIPPED = frozenset("head script style noscript template textarea select option iframe object svg canvas audio video annotation annotation-xml title".split())
 CHROME = frozenset("nav footer aside form dialog menu".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -62,19 +62,29 @@ _RAW = "script|style|noscript|template|textarea|iframe|title"
 _MARKUP = re.compile(
     rf"(?is)<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<end>/)?(?P<name>[a-z][^\s/>]*+)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)")
-_ATTRIBUTE = re.compile(r"""(?is)\b(class|id|role|hidden|aria-hidden|itemprop)\s*+(?:=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
+_READ = frozenset("class id role hidden aria-hidden itemprop".split())
 _HINT_WORDS = re.compile(r"[a-z]+").findall
 
 Blocks = list[tuple[str, str, bool]]
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """The attributes that are read, by whole names; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        if (name := name.lower()) in _READ:
+            found.setdefault(name, "".join(values).lower())
+    return found
+
+
 def _zone(name: str, attributes: str, inside: str, in_article: bool) -> str:
     """The zone of an element's content; ``inside`` is its parent's."""
     if inside in ("skipped", "chrome"):
         return inside
     if name in SKIPPED:
         return "skipped"
-    found = {m[0].lower(): (m[1] or m[2] or m[3]).lower() for m in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
+    found = _attributes(attributes) if attributes.strip() else {}
     if "hidden" in found or found.get("aria-hidden") == "true":
         return "skipped"
     if name in CHROME or found.get("role") in ROLES or name == "header" and not in_article:
@@ -92,7 +102,7 @@ def split_page(page: str) -> Blocks:
     out: Blocks = []
     stack: list[tuple[str, str]] = []  # open elements and their zones
     texts: list[str] = []
-    linked = 0  # characters of the block that are inside links
+    linked = 0  # characters of the block that are inside links and buttons
     links = articles = 0
     last = 0
 
@@ -119,7 +129,7 @@ def split_page(page: str) -> Blocks:
         if any(name in BLOCK for name, _ in stack[n:]):
             end_block()
         for name, _ in stack[n:]:
-            links -= name == "a"
+            links -= name in ("a", "button")
             articles -= name in ("article", "main")
         del stack[n:]
 
@@ -155,7 +165,7 @@ def split_page(page: str) -> Blocks:
             continue
         zone = _zone(name, m["attributes"], stack[-1][1] if stack else "plain", articles > 0)
         stack.append((name, zone))
-        links += name == "a"
+        links += name in ("a", "button")
         articles += name in ("article", "main")
     add(page[last:])
     end_block()

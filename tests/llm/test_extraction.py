@@ -35,6 +35,13 @@ def test_broken_markup():
     assert text(long).startswith("deep\n\nx")
 
 
+def test_attributes_are_read_by_whole_names():
+    page = """<body><div style="overflow:hidden" data-role="banner" data-id="menu"><article style='a: hidden' title="id=share class=ad">
+    <p data-class="ad">One <a href="/n?id=share&p=2">two</a> <math><mi>x</mi><annotation>tex</annotation></math></p><h3><button>Three</button></h3>
+    <p class=ad>no</p><p HIDDEN=''>no</p><p id = 'menu' id="x">no</p><p aria-hidden=true>no</p></article></div></body>"""
+    assert text(page) == "One two x\n\nThree"
+
+
 def test_repeats_decide_where_structure_does_not(spark):
     line = "Follow us on all the usual channels today"
     rows = [(i, "http://h.org/", f"<body><div>{line}</div><p>Story number {i} tells its own tale {i}</p><div>{line} unique{i}</div></body>") for i in range(4)]
