@@ -3,8 +3,9 @@
 A page is split into blocks of text, each in one of three zones: ``chrome``
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, told by
 element names and by words of class, id and role), ``article`` (inside an
-article or main element) and ``plain`` (neither).  Scripts, styles and markup
-are in no block.
+article or main element) and ``plain`` (neither).  Hint words, and a form, say
+nothing of a wrapper that holds an article or main element; articles inside an
+article are its parts.  Scripts, styles and markup are in no block.
 
 Structure decides wherever it says something: chrome goes, the blocks of an
 article stay even if other pages repeat them, as copies and quoted passages
@@ -78,32 +79,74 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _zone(name: str, attributes: str, inside: str, in_article: bool) -> str:
-    """The zone of an element's content; ``inside`` is its parent's."""
-    if inside in ("skipped", "chrome"):
-        return inside
+class _Element:
+    """An open element; its zone is known when the whole page is read."""
+
+    __slots__ = ("name", "parent", "kind", "is_article", "skipped", "shut", "holds", "holds_hinted", "zone")
+
+    def __init__(self, name: str, parent: _Element | None, kind: str, is_article: bool):
+        self.name, self.parent, self.kind, self.is_article = name, parent, kind, is_article
+        self.skipped = kind == "skipped" or parent is not None and parent.skipped
+        self.shut = kind in ("skipped", "chrome") or parent is not None and parent.shut
+        self.holds = self.holds_hinted = False  # an article, or one with a hint of its own
+        self.zone = "plain"
+
+
+def _kind(name: str, attributes: str, in_article: bool) -> tuple[str, bool]:
+    """What an element says of its content, and whether it is an article:
+    ``skipped``, ``chrome``, ``hinted`` (chrome unless it wraps an article),
+    ``article`` or nothing."""
     if name in SKIPPED:
-        return "skipped"
+        return "skipped", False
     found = _attributes(attributes) if attributes.strip() else {}
+    role = found.get("role")
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return "skipped"
-    if name in CHROME or found.get("role") in ROLES or name == "header" and not in_article:
-        return "chrome"
+        return "skipped", False
+    if name in CHROME and name != "form" or role in ROLES and role != "form" or name == "header" and not in_article:
+        return "chrome", False
+    is_article = name in ("article", "main") or role == "main" or found.get("itemprop") == "articlebody"
     words = set(_HINT_WORDS(found.get("class", "") + " " + found.get("id", "")))
-    if name not in ("html", "body", "main") and (words & HINTS or "header" in words and not in_article):
-        return "chrome"
-    if name in ("article", "main") or found.get("role") == "main" or found.get("itemprop") == "articlebody":
-        return "article"
-    return inside
+    if name == "form" or role == "form" or name not in ("html", "body", "main") and (words & HINTS or "header" in words and not in_article):
+        return "hinted", is_article
+    return "article" if is_article else "", is_article
+
+
+def _note_article(e: _Element) -> None:
+    """Tell the elements around an article that they hold one."""
+    hinted = e.kind == "hinted"
+    around = e.parent
+    while around is not None and not (around.holds_hinted if hinted else around.holds):
+        if hinted:
+            around.holds_hinted = True
+        else:
+            around.holds = True
+        around = around.parent
+
+
+def _set_zones(elements: list[_Element]) -> None:
+    """Zones from the elements' kinds, parents first.  Articles with hints of
+    their own count if the page has no other."""
+    only_hinted = not any(e.kind == "article" and not e.shut for e in elements)
+    for e in elements:
+        inside = e.parent.zone if e.parent else "plain"
+        if e.skipped:
+            e.zone = "skipped"
+        elif inside == "chrome" or e.kind == "chrome":
+            e.zone = "chrome"
+        elif e.kind == "hinted" and not (e.holds or only_hinted and (e.is_article or e.holds_hinted)):
+            e.zone = "chrome"
+        else:
+            e.zone = "article" if e.is_article else inside
 
 
 def split_page(page: str) -> Blocks:
     """``(zone, text, mostly links)`` of the blocks, in page order."""
-    out: Blocks = []
-    stack: list[tuple[str, str]] = []  # open elements and their zones
+    found: list[tuple[_Element | None, str, bool]] = []
+    stack: list[_Element] = []  # open elements
+    elements: list[_Element] = []
     texts: list[str] = []
     linked = 0  # characters of the block that are inside links and buttons
-    links = articles = 0
+    links = articles = bodies = 0
     last = 0
 
     def end_block() -> None:
@@ -111,13 +154,13 @@ def split_page(page: str) -> Blocks:
         if texts:
             text = " ".join("".join(texts).split())
             if text:
-                out.append((stack[-1][1] if stack else "plain", text, 2 * linked >= len(text)))
+                found.append((stack[-1] if stack else None, text, 2 * linked >= len(text)))
             texts.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw and not (stack and stack[-1][1] == "skipped"):
+        if raw and not (stack and stack[-1].skipped):
             text = entities.unescape(raw) if "&" in raw else raw
             texts.append(text)
             if links:
@@ -125,12 +168,13 @@ def split_page(page: str) -> Blocks:
 
     def close(n: int) -> None:
         """Close the elements from place ``n`` of the stack on."""
-        nonlocal links, articles
-        if any(name in BLOCK for name, _ in stack[n:]):
+        nonlocal links, articles, bodies
+        if any(e.name in BLOCK for e in stack[n:]):
             end_block()
-        for name, _ in stack[n:]:
-            links -= name in ("a", "button")
-            articles -= name in ("article", "main")
+        for e in stack[n:]:
+            links -= e.name in ("a", "button")
+            articles -= e.name in ("article", "main")
+            bodies -= e.name == "article"
         del stack[n:]
 
     for m in _MARKUP.finditer(page):
@@ -142,10 +186,10 @@ def split_page(page: str) -> Blocks:
         name = name.lower()
         if m["end"]:
             for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] == name:
+                if stack[n].name == name:
                     close(n)
                     break
-                if stack[n][0] in ("article", "main", "body") and name not in ("body", "html", "article", "main"):
+                if stack[n].name in ("article", "main", "body") and name not in ("body", "html", "article", "main"):
                     break  # an end tag without its start inside this part
             continue
         if name == "br":
@@ -153,7 +197,7 @@ def split_page(page: str) -> Blocks:
             continue
         # elements whose end tags may be left out
         for n in range(len(stack) - 1, -1, -1):
-            open_name = stack[n][0]
+            open_name = stack[n].name
             if name in ENDS.get(open_name, ()):
                 close(n)
                 break
@@ -163,13 +207,19 @@ def split_page(page: str) -> Blocks:
             end_block()
         if name in VOID or m["attributes"].rstrip().endswith("/") and name not in BLOCK and name != "a":
             continue
-        zone = _zone(name, m["attributes"], stack[-1][1] if stack else "plain", articles > 0)
-        stack.append((name, zone))
+        e = _Element(name, stack[-1] if stack else None, *_kind(name, m["attributes"], articles > 0))
+        # an article element inside another is a part of it, such as a comment
+        if e.is_article and not e.shut and not (name == "article" and bodies):
+            _note_article(e)
+        elements.append(e)
+        stack.append(e)
         links += name in ("a", "button")
         articles += name in ("article", "main")
+        bodies += name == "article"
     add(page[last:])
     end_block()
-    return out
+    _set_zones(elements)
+    return [(e.zone if e else "plain", text, mostly) for e, text, mostly in found]
 
 
 def host_of(url: str) -> str:

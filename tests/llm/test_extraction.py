@@ -42,6 +42,16 @@ def test_attributes_are_read_by_whole_names():
     assert text(page) == "One two x\n\nThree"
 
 
+def test_hinted_wrappers_of_articles():
+    full = "<div class=sidebar>Side</div><article><h1>Head</h1><p>Text</p><div id=comments><article>Nice!</article></div></article><div class='share'>Share</div>"
+    for start, end in [("<div class='layout has-sidebar'>", "</div>"), ("<div class='no-sidebar'><div>", "</div></div>"), ("<div id='modal-root'>", "</div>"), ("<form action=x>", "</form>"), ("<div role=form>", "</div>")]:
+        assert text(f"<body>{start}{full}{end}<footer>Foot</footer></body>") == "Head\n\nText", start
+        assert text(f"<body>{start}{full.replace('article>', 'main>', 1)}{end}</body>").startswith("Head\n\nText"), start
+    assert text("<article class='post no-comments'><p>Text</p></article>") == "Text"
+    assert text("<main><p>Text</p><ol id=comments><li><article class=comment>Nice!</article></ol></main>") == "Text"
+    assert text("<aside><article>Teaser</article></aside><div class=popup>No</div><div class=has-sidebar><article><p>Text</p></article></div>") == "Text"
+
+
 def test_repeats_decide_where_structure_does_not(spark):
     line = "Follow us on all the usual channels today"
     rows = [(i, "http://h.org/", f"<body><div>{line}</div><p>Story number {i} tells its own tale {i}</p><div>{line} unique{i}</div></body>") for i in range(4)]
