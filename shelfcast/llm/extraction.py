@@ -7,22 +7,29 @@ article or main element) and ``plain`` (neither).  Hint words, and a form, say
 nothing of a wrapper that holds an article or main element; articles inside an
 article are its parts.  Scripts, styles and markup are in no block.
 
-Structure decides wherever it says something: chrome goes, the blocks of an
-article stay even if other pages repeat them, as copies and quoted passages
-are text.  What it leaves open is decided by repetition on the host: plain
-blocks of pages without an article, and article blocks that are mostly links.
-For these the token streams of the host's pages (all blocks but an article's
-running text) are concatenated, and a suffix array finds the runs of
-``MIN_RUN`` tokens or more that at least ``MIN_PAGES`` pages with different
-streams share.  Tokens covered by such runs are boilerplate: a block that is
-all covered goes, others lose covered runs of that length and keep the rest.
+Structure decides first: chrome goes, and beside an article plain blocks that
+are mostly links.  The rest is decided by repetition on the host, by a suffix
+array over the pages' token streams.  A page has two streams: ``article``, the
+running text of its articles, and ``open``, everything else.  Plain blocks and
+article blocks that are mostly links lose the runs of ``MIN_RUN`` tokens or
+more that the open streams of at least ``MIN_PAGES`` different pages share.
+Running text loses only runs that the article streams of more than half of the
+host's pages, and of ``MIN_PAGES`` at least, share, as copies and quoted
+passages are text.  A block that is all covered goes, others lose covered runs
+of that length and keep the rest.
 
 A host may have any share of all pages, so its streams are dealt to shards of
 about ``SHARD_TOKENS`` tokens; each shard sorts its suffixes to depth
-``MIN_RUN`` and returns one count for each interval of equal prefixes, and
-counts of equal prefixes are added up over a host's shards: a run of the
+``MIN_RUN`` and returns counts for intervals of equal prefixes: a run of the
 minimum length or longer is repeated on the host if and only if its prefixes
-are.  Pages with equal streams (copies of a whole page) count once.
+are.  For open streams the counts are added up over a host's shards, on hosts
+that have open blocks.  A run in more than half of a host's pages is in more
+than half of the pages of some shard, so for article streams only those runs
+are returned, and the pages that hold them are then counted over the whole
+host.  Pages that are equal in every block count once.
+
+Pages are split once for the sizes of hosts, once for the streams and once for
+the result, which takes less disk than to store the blocks.
 
 A null html is an empty page, a null or relative URL has the empty host.
 Rows are independent: repeated rows and ids give repeated rows, an empty table
@@ -37,7 +44,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import by_batch, stored
@@ -222,28 +229,31 @@ def split_page(page: str) -> Blocks:
     return [(e.zone if e else "plain", text, mostly) for e, text, mostly in found]
 
 
-def host_of(url: str) -> str:
-    m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", url)
-    return m[1].rpartition("@")[2].lower() if m else ""
+def host_of(url: Column) -> Column:
+    return F.lower(F.substring_index(F.regexp_extract(F.coalesce(url, F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), "@", -1))
 
 
 def open_blocks(blocks: Blocks) -> list[bool]:
-    """Which blocks repetition decides."""
+    """Which blocks lose what the open streams of several pages share."""
     article = any(zone == "article" for zone, *_ in blocks)
-    return [links if zone == "article" else zone == "plain" and not article for zone, _, links in blocks]
+    return [links if zone == "article" else zone == "plain" and not (article and links) for zone, _, links in blocks]
 
 
-def kept_text(blocks: Blocks, covered: set[int]) -> str:
-    """The main text, given the places in the page's stream that are covered."""
-    article = any(zone == "article" for zone, *_ in blocks)
-    out, at = [], 0
+def kept_text(blocks: Blocks, covered: set[int], in_articles: set[int] | frozenset[int] = frozenset()) -> str:
+    """The main text, given the places in the page's streams that are covered."""
+    out, at, at_article = [], 0, 0
     for (zone, text, _), is_open in zip(blocks, open_blocks(blocks)):
-        words = text.split(" ")
-        if is_open:
-            text = " ".join(_unique(words, [at + i in covered for i in range(len(words))]))
-        if text and zone != "chrome" and (zone == "article" or not article):
+        n = text.count(" ") + 1
+        running = zone == "article" and not is_open
+        places, start = (in_articles, at_article) if running else (covered, at)
+        if (running or is_open) and places:
+            text = " ".join(_unique(text.split(" "), [start + i in places for i in range(n)]))
+        if text and (running or is_open):
             out.append(text)
-        at += len(words) if _streamed(zone, is_open) else 0
+        if running:
+            at_article += n
+        else:
+            at += n
     return "\n\n".join(out)
 
 
@@ -263,12 +273,12 @@ def _unique(words: list[str], covered: list[bool]) -> list[str]:
     return out[:-1]
 
 
-def _streamed(zone: str, is_open: bool) -> bool:
-    return zone != "article" or is_open
-
-
-def stream(blocks: Blocks) -> list[str]:
-    return [w for (zone, text, _), is_open in zip(blocks, open_blocks(blocks)) if _streamed(zone, is_open) for w in text.split(" ")]
+def streams(blocks: Blocks) -> tuple[str, str]:
+    """The open and the article stream of a page, words joined by spaces."""
+    parts: tuple[list[str], list[str]] = [], []
+    for (zone, text, _), is_open in zip(blocks, open_blocks(blocks)):
+        parts[zone == "article" and not is_open].append(text)
+    return " ".join(parts[0]), " ".join(parts[1])
 
 
 def _token(word: str) -> int:
@@ -277,6 +287,13 @@ def _token(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
+def _tokens(words: list[str]) -> np.ndarray:
+    """Hashes of the words; each different word is hashed once."""
+    coded = pa.array(words, pa.large_string()).dictionary_encode()
+    known = np.fromiter(map(_token, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    return known[coded.indices.to_numpy()] if words else known
+
+
 def prefixes(tokens: np.ndarray) -> np.ndarray:
     """Hashes of the first ``MIN_RUN`` tokens of all suffixes that have them."""
     n = len(tokens) - MIN_RUN + 1
@@ -303,82 +320,125 @@ def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
 
 def repeated_in(streams: list[list[str]]) -> list[tuple[int, int]]:
     """``(prefix hash, pages)`` of the intervals of a shard's suffix array."""
-    parts, page, ends = [], [], []
-    for i, words in enumerate(streams):
-        ids = np.fromiter((_token(w) for w in words), np.uint64, len(words))
-        parts += [ids, np.array([i], np.uint64)]  # a page number ends each stream; runs across it are left out
-        page.append(np.full(len(ids) + 1, i))
-        ends.append(np.concatenate([np.arange(len(ids), 0, -1), [0]]))
-    if not parts:
-        return []
-    tokens, page, left = np.concatenate(parts), np.concatenate(page), np.concatenate(ends)
+    run, pages = _intervals(streams)
+    return list(zip(run.tolist(), pages.tolist()))
+
+
+def _intervals(streams: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    none = np.zeros(0, np.int64)
+    if not streams:
+        return none, none
+    lengths = np.array([len(words) for words in streams])
+    at = np.arange(lengths.sum()) + np.repeat(np.arange(len(streams)), lengths)
+    tokens = np.zeros(lengths.sum() + len(streams), np.uint64)
+    tokens[at] = _tokens([w for words in streams for w in words])
+    page = np.repeat(np.arange(len(streams)), lengths + 1)
+    ends = np.cumsum(lengths + 1) - 1
+    tokens[ends] = np.arange(len(streams))  # a page number ends each stream; runs across it are left out
+    left = ends[page] - np.arange(len(tokens))
     order, same = suffix_array(tokens, MIN_RUN)
     inside = left[order] >= MIN_RUN
     interval = np.cumsum(~same)[inside]
     order = order[inside]
     if not len(order):
-        return []
+        return none, none
     # distinct pages of each interval
-    pairs = np.unique(np.stack([interval, page[order]], axis=1), axis=0)
-    _, pages = np.unique(pairs[:, 0], return_counts=True)
+    pairs = np.unique(interval * len(streams) + page[order])
+    _, pages = np.unique(pairs // len(streams), return_counts=True)
     start = order[np.unique(interval, return_index=True)[1]]
     window = np.zeros(len(start), np.uint64)
     for i in range(MIN_RUN):
         window = (window ^ (window >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + tokens[start + i]
-    return list(zip(window.view(np.int64).tolist(), pages.tolist()))
+    return window.view(np.int64), pages
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col, url_col, text, n_chars`` of every page."""
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    parsed = pa.struct([("zone", pa.string()), ("text", pa.string()), ("links", pa.bool_())])
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    rows = rows.withColumn("key", F.md5(F.concat(F.md5("host"), "html")))
 
-    def parse(batch: pa.RecordBatch) -> dict[str, list]:
+    def measure(batch: pa.RecordBatch) -> dict[str, list]:
         pages_ = [split_page(h) for h in batch.column("html").to_pylist()]
-        streams = [stream(b) for b in pages_]
-        undecided = [any(open_blocks(b)) for b in pages_]
-        return {c: batch.column(c) for c in ("row", "id", "url")} | {
-            "host": [host_of(u or "") for u in batch.column("url").to_pylist()], "stream": streams,
-            "same": [hashlib.md5("\n".join(s).encode()).digest() for s in streams],
-            "text": [None if u else kept_text(b, set()) for b, u in zip(pages_, undecided)],
-            "blocks": pa.array([[dict(zip(("zone", "text", "links"), x)) for x in b] if u else None for b, u in zip(pages_, undecided)], pa.list_(parsed))}
-
-    schema = "row long, id long, url string, host string, stream array<string>, same binary, text string, blocks array<struct<zone:string,text:string,links:boolean>>"
-    split = stored(by_batch(rows, parse, schema), "pages-split")
-    open_pages = split.where("text is null")
-    streams = split.where(F.size("stream") >= MIN_RUN).groupBy("host", "same").agg(F.any_value("stream").alias("stream"))
-    streams = streams.withColumn("n", F.size("stream"))
-    size = streams.groupBy("host").agg(F.ceil(F.sum("n") / SHARD_TOKENS).cast("int").alias("shards"))
-    dealt = streams.join(size, "host").withColumn("shard", F.pmod(F.xxhash64("same"), F.col("shards")).cast("int")).select("host", "shard", "stream")
+        return {"host": batch.column("host"), "n": [sum(text.count(" ") + 1 for _, text, _ in b) for b in pages_], "open": [any(open_blocks(b)) for b in pages_]}
 
-    def shard(table: pa.Table) -> pa.Table:
-        found = repeated_in(table.column("stream").to_pylist())
-        host = table.column("host")[0].as_py()
-        return pa.table({"host": pa.array([host] * len(found), pa.string()), "run": pa.array([f[0] for f in found], pa.int64()), "pages": pa.array([f[1] for f in found], pa.int64())})
+    sizes = by_batch(rows.select("host", "html"), measure, "host string, n long, open boolean").groupBy("host").agg(
+        F.greatest(F.ceil(F.sum("n") / SHARD_TOKENS), F.lit(1)).cast("int").alias("shards"), F.max("open").alias("open"))
+    sizes = stored(sizes, "pages-sizes")
 
-    counted = dealt.groupBy("host", "shard").applyInArrow(shard, "host string, run long, pages long")
-    repeated = counted.groupBy("host", "run").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= MIN_PAGES).select("host", "run")
-    repeated = stored(repeated, "pages-repeated")
+    def parse(batch: pa.RecordBatch) -> dict[str, list]:
+        out: dict[str, list] = {c: [] for c in ("host", "shard", "shards", "same", "open", "article")}
+        seen = set()
+        for host, html, shards, is_open in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "shards", "open"))):
+            blocks = split_page(html)
+            same = _same(blocks)
+            if (host, same) in seen:
+                continue
+            seen.add((host, same))
+            of_open, article = streams(blocks)
+            values = host, int.from_bytes(same[:4], "big") % shards, shards, same, of_open if is_open else None, article
+            for column, value in zip(out.values(), values):
+                column.append(value)
+        return out
+
+    dealt = by_batch(rows.select("host", "html").join(sizes, "host"), parse, "host string, shard int, shards int, same binary, open string, article string")
+
+    def shard(table: pa.Table) -> pa.Table:
+        different = {same: (o, a) for same, o, a in zip(*(table.column(c).to_pylist() for c in ("same", "open", "article")))}
+        host, alone = table.column("host")[0].as_py(), table.column("shards")[0].as_py() == 1
+        words = [[(s[k] or "").split() for s in different.values()] for k in (0, 1)]
+        run, n = _intervals(words[0])
+        keep = n >= (MIN_PAGES if alone else 1)
+        own_run, own_n = _intervals(words[1])
+        most = (2 * own_n > len(different)) & (own_n >= (MIN_PAGES if alone else 1))
+        run, n, own_run, own_n = run[keep], n[keep], own_run[most], own_n[most]
+        kinds = ["open"] * len(run) + ["article"] * len(own_run) + ["pages"]
+        return pa.table({"host": pa.array([host] * len(kinds), pa.string()), "kind": pa.array(kinds, pa.string()),
+                         "run": pa.array(np.concatenate([run, own_run, [0]]).astype(np.int64)), "pages": pa.array(np.concatenate([n, own_n, [len(different)]]).astype(np.int64))})
+
+    counted = dealt.groupBy("host", "shard").applyInArrow(shard, "host string, kind string, run long, pages long")
+    counted = stored(counted.groupBy("host", "kind", "run").agg(F.sum("pages").alias("pages")).where((F.col("kind") != "open") | (F.col("pages") >= MIN_PAGES)), "pages-counted")
+    candidates = stored(counted.where("kind != 'pages'").select("host", "kind", "run"), "pages-candidates")
+    hosts = stored(candidates.groupBy("host").agg(F.max(F.col("kind") == "open").alias("open"), F.max(F.col("kind") == "article").alias("article")), "pages-hosts")
 
     def runs(batch: pa.RecordBatch) -> dict[str, list]:
-        row, host, at, run = [], [], [], []
-        for r, h, words in zip(*(batch.column(c).to_pylist() for c in ("row", "host", "stream"))):
-            found = prefixes(np.fromiter((_token(w) for w in words), np.uint64, len(words))).view(np.int64).tolist()
-            row += [r] * len(found)
-            host += [h] * len(found)
-            at += range(len(found))
-            run += found
-        return {"row": row, "host": host, "at": at, "run": run}
-
-    places = by_batch(open_pages.select("row", "host", "stream"), runs, "row long, host string, at int, run long")
-    covered = places.join(repeated, ["host", "run"]).groupBy("row").agg(F.collect_list("at").alias("at"))
+        out: dict[str, list] = {c: [] for c in ("key", "same", "host", "kind", "at", "run")}
+        seen = set()
+        for key, host, html, *wanted in zip(*(batch.column(c).to_pylist() for c in ("key", "host", "html", "open", "article"))):
+            if key in seen:
+                continue
+            seen.add(key)
+            blocks = split_page(html)
+            wanted[0] = wanted[0] and any(open_blocks(blocks))
+            for kind, words, is_wanted in zip(("open", "article"), streams(blocks), wanted):
+                found = prefixes(_tokens(words.split())).view(np.int64).tolist() if is_wanted else []
+                for column, value in zip(("key", "same", "host", "kind"), (key, _same(blocks), host, kind)):
+                    out[column] += [value] * len(found)
+                out["at"] += range(len(found))
+                out["run"] += found
+        return out
+
+    places = by_batch(rows.select("key", "host", "html").join(hosts, "host"), runs, "key string, same binary, host string, kind string, at int, run long")
+    matched = stored(places.join(candidates, ["host", "kind", "run"]), "pages-matched")
+    # article runs on most pages of the whole host
+    total = counted.where("kind = 'pages'").select("host", F.col("pages").alias("total"))
+    most = matched.where("kind = 'article'").groupBy("host", "kind", "run").agg(F.count_distinct("same").alias("n")).join(total, "host")
+    most = most.where((2 * F.col("n") > F.col("total")) & (F.col("n") >= MIN_PAGES)).select("host", "kind", "run")
+    decided = matched.where("kind = 'open'").select("key", "kind", "at").unionByName(matched.join(most, ["host", "kind", "run"]).select("key", "kind", "at"))
+    at = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("at"))).alias(f"at_{kind}")
+    covered = stored(decided.groupBy("key").agg(at("open"), at("article")), "pages-covered")
 
     def finish(batch: pa.RecordBatch) -> dict[str, list]:
-        texts = []
-        for blocks, at in zip(batch.column("blocks").to_pylist(), batch.column("at").to_pylist()):
-            texts.append(kept_text([(b["zone"], b["text"], b["links"]) for b in blocks], {a + i for a in at or () for i in range(MIN_RUN)}))
-        return {"id": batch.column("id"), "url": batch.column("url"), "text": texts}
+        columns = (batch.column(c).to_pylist() for c in ("html", "at_open", "at_article"))
+        return {"id": batch.column("id"), "url": batch.column("url"), "text": [kept_text(split_page(h), _spread(o), _spread(a)) for h, o, a in zip(*columns)]}
 
-    decided = by_batch(open_pages.select("row", "id", "url", "blocks").join(covered, "row", "left"), finish, "id long, url string, text string")
-    out = split.where("text is not null").select("id", "url", "text").unionByName(decided)
+    out = by_batch(rows.join(covered, "key", "left").select("id", "url", "html", "at_open", "at_article"), finish, "id long, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def _same(blocks: Blocks) -> bytes:
+    """Equal for pages that are equal in every block."""
+    return hashlib.md5("\n".join(f"{zone} {links:d} {text}" for zone, text, links in blocks).encode("utf-8", "surrogatepass")).digest()
+
+
+def _spread(at: list[int] | None) -> set[int]:
+    return {a + i for a in at or () for i in range(MIN_RUN)}

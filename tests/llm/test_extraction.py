@@ -64,6 +64,21 @@ def test_repeats_decide_where_structure_does_not(spark):
     assert got[20] == line and got[22].startswith(line)
 
 
+def test_repeats_decide_beside_and_inside_articles(spark, monkeypatch):
+    notice, note, quote = "Please accept our terms before you read on", "All rights of this text are with its author", "to be or not to be that is the question"
+    # the pages' plain text is their own, the teaser is the same everywhere
+    rows = [(i, "http://a.org/", f"<article><a href=x>Teaser of day {i}</a></article><div>{notice}</div><div>Main text number {i} in plain blocks {i}</div><div><a href=y>All other stories {i}</a></div>") for i in range(4)]
+    rows += [(10 + i, "http://b.org/", f"<main><p>{note}</p><p>Story {i} is told here {i}</p>{f'<p>{quote}</p>' if i < 3 else ''}<p>{note} own{i}</p></main>") for i in range(7)]
+    # pages with the same open stream are different pages
+    rows += [(20 + i, "http://c.org/", f"<div>{notice}</div><article><p>Only the article {i} is different on these pages</p></article>") for i in range(3)]
+    for tokens in (x.SHARD_TOKENS, 40):
+        monkeypatch.setattr(x, "SHARD_TOKENS", tokens)
+        got = run(spark, rows)
+        assert all(got[i] == f"Teaser of day {i}\n\nMain text number {i} in plain blocks {i}" for i in range(4))
+        assert all(got[10 + i] == f"Story {i} is told here {i}" + f"\n\n{quote}" * (i < 3) + f"\n\nown{i}" for i in range(7))
+        assert all(got[20 + i] == f"Only the article {i} is different on these pages" for i in range(3))
+
+
 def test_whole_copies_are_one_page(spark):
     page = "<p>These pages are copies of one another in every word</p>"
     assert set(run(spark, [(i, "http://h.org/x", page) for i in range(9)]).values()) == {"These pages are copies of one another in every word"}
