@@ -15,11 +15,14 @@ strings and long numbers.  ``WINDOWS`` bounds the set.  Without base spans in
 the sample nothing is learned and only base spans are returned.
 
 Finding: an added span must hold a digit, an ``@`` or a bracketed ``at``, so
-every such place opens a region of ``REACH`` characters around it; regions
-that touch are one.  Regions are read in windows of ``WIDTH`` characters that
-overlap by half and may reach beyond the region.  Each window is decoded; then each character takes its tag
-from the window in which it lies farthest from an edge, and spans are read
-from the reconciled tags of the whole region.  An added span must have the
+every such place opens a region of ``REACH`` characters around it, and around
+the address that goes on from a bracketed ``at``; regions that touch are one.
+Regions are read in windows of ``WIDTH`` characters that overlap by half and
+may reach beyond the region.  Each window is decoded; then each character takes
+its tag from the window in which it lies farthest from an edge, and spans are
+read from the reconciled tags of the whole region.  A region whose span touches
+its edge is made longer, by steps that double, and read again, so no span ends
+because the region does.  An added span must have the
 form of its kind (a valid check sum, octets, a number of digits) and may not
 touch a base span.
 
@@ -55,6 +58,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _PLACE = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]")
 _SPELLED = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[{] ?at ?[)\]}] ?[A-Za-z0-9-]+(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?)[A-Za-z0-9-]+)+")
+_SPELLED_DOMAIN = re.compile(r" ?[A-Za-z0-9-]+(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?)[A-Za-z0-9-]+)*")
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -277,14 +281,20 @@ class Tagger:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Maximal stretches within ``REACH`` of a place that can open a span."""
+    """Maximal stretches within ``REACH`` of a place that can open a span, or
+    of the spelled-out address it is in."""
     out: list[tuple[int, int]] = []
     for m in _PLACE.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b)
-        else:
-            out.append((a, b))
+        a, b = m.span()
+        if b - a > 1:
+            a -= text[a - 1 : a] == " "
+            while a and text[a - 1] in _LOCAL:
+                a -= 1
+            b = d.end() if (d := _SPELLED_DOMAIN.match(text, b)) else b
+        a, b = max(0, a - REACH), min(len(text), b + REACH)
+        while out and a <= out[-1][1]:
+            a, b = min(a, out[-1][0]), max(b, out.pop()[1])
+        out.append((a, b))
     return out
 
 
@@ -326,18 +336,52 @@ def read_tags(tags: np.ndarray) -> list[Span]:
     return out
 
 
-def added_spans(texts: list[str], base: list[list[Span]], model: Tagger) -> list[list[Span]]:
-    """The model's spans of each text that are well formed and touch no base span."""
-    jobs = [(n, a, b, starts(a, b)) for n, text in enumerate(texts) for a, b in regions(text)]
-    where = [(n, s) for n, _, b, at in jobs for s in at]
+Part = tuple[int, int, np.ndarray | None]  # a region, and its tags once they are read
+
+
+def _read_parts(texts: list[str], jobs: list[tuple[int, int, int]], model: Tagger) -> list[np.ndarray]:
+    """The reconciled tags of regions ``(text, start, end)``."""
+    at = [starts(a, b) for _, a, b in jobs]
+    where = [(n, s) for (n, *_), some in zip(jobs, at) for s in some]
     tags = np.empty((len(where), WIDTH), np.int64)
     for i in range(0, len(where), READ_AT_ONCE):
         some = range(i, min(i + READ_AT_ONCE, len(where)))
         tags[i : i + READ_AT_ONCE] = model.decode(np.stack([encoded(texts[where[k][0]][where[k][1] : where[k][1] + WIDTH]) for k in some]))
+    out, i = [], 0
+    for (_, a, b), some in zip(jobs, at):
+        out.append(reconcile(a, b, some, tags[i : i + len(some)]))
+        i += len(some)
+    return out
+
+
+def _longer(parts: list[Part], length: int, step: int) -> list[Part]:
+    """The regions of a text, those with a span at an edge longer by ``step``
+    and joined with what they reach; these have to be read again."""
+    out: list[Part] = []
+    for a, b, tags in parts:
+        left, right = max(0, a - step) if tags[0] else a, min(length, b + step) if tags[-1] else b
+        if (left, right) != (a, b):
+            tags = None
+        while out and left <= out[-1][1]:
+            other = out.pop()
+            left, right, tags = min(left, other[0]), max(right, other[1]), None
+        out.append((left, right, tags))
+    return out
+
+
+def added_spans(texts: list[str], base: list[list[Span]], model: Tagger) -> list[list[Span]]:
+    """The model's spans of each text that are well formed and touch no base span."""
+    parts: list[list[Part]] = [[(a, b, None) for a, b in regions(text)] for text in texts]
+    step = REACH
+    unread = range(len(texts))
+    while unread := [n for n in unread if any(tags is None for *_, tags in parts[n])]:
+        read = iter(_read_parts(texts, [(n, a, b) for n in unread for a, b, tags in parts[n] if tags is None], model))
+        for n in unread:
+            parts[n] = _longer([(a, b, next(read) if tags is None else tags) for a, b, tags in parts[n]], len(texts[n]), step)
+        step *= 2
     out: list[list[Span]] = [[] for _ in texts]
-    i = 0
-    for n, a, b, at in jobs:
-        for kind, s, e in read_tags(reconcile(a, b, at, tags[i : i + len(at)])):
+    for n, a, tags in ((n, a, tags) for n, some in enumerate(parts) for a, _, tags in some):
+        for kind, s, e in read_tags(tags):
             s, e = s + a, e + a
             value = texts[n][s:e]
             trimmed = value.strip(" \n.,;:")
@@ -345,7 +389,6 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Tagger) -> list
             if trimmed and well_formed(kind, trimmed) and not any(x < e and s < y for _, x, y in base[n]):
                 if not re.match(r"[0-9]", texts[n][e : e + 1]) and not re.match(r"[0-9]", texts[n][s - 1 : s] if s else "") or kind == 0:
                     out[n].append((kind, s, e))
-        i += len(at)
     return out
 
 

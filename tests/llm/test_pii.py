@@ -97,6 +97,31 @@ def test_added_spans_keep_base_and_form(spark, model):
     assert rows[5]["spans"] == rows[2]["spans"] == rows[4]["spans"] == ""
 
 
+class _Lines:
+    """Tags every line as an address."""
+
+    def decode(self, ids):
+        return np.where((ids == pii._class("\n")) | (ids == pii.PAD), 0, 2)
+
+
+def test_no_span_ends_because_its_region_does():
+    long = "local-part." * 30 + "name [at] " + "department [dot] " * 20 + "edu"
+    for address in ("jane (at) mathematics [dot] university [dot] edu", "a.very-long.local_part.of.an.address(at)b.org", long, "x" * 500 + " (at) b.c"):
+        for text in (address, f"word\n{address}\nword 7 word\n{address}\n" + "word " * 50):
+            got = pii.added_spans([text], [[]], _Lines())[0]
+            assert [text[s:e] for _, s, e in got] == [address] * text.count(address)
+    # a span beyond what the regions foresee: they grow until it ends
+    text = "word\n" + "y" * 300 + "@" + "d." * 200 + "e\n" + "word " * 50
+    assert [text[s:e] for _, s, e in pii.added_spans([text], [[]], _Lines())[0]] == [text.split("\n")[1]]
+    assert pii.regions("z" * 90 + "(at)" + "q" * 90 + " 5") == [(90 - 90, 90 + 4 + 90 + 2)]
+
+
+def test_long_spelled_out_addresses(model):
+    address = "jane (at) mathematics [dot] university [dot] edu"
+    text = f"The words before it. Write to {address} for more of them."
+    assert [text[s:e] for _, s, e in pii.added_spans([text], [[]], model)[0]] == [address]
+
+
 def test_nothing_to_learn(spark):
     d = docs(spark, [(1, "no such thing"), (None, None), (2, "n 5")])
     assert pii.train(d) is None and pii.train(d.limit(0)) is None
