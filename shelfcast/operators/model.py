@@ -14,8 +14,19 @@ the numeric features and the levels of the small columns,
 where ``s_i`` and ``t_i`` are the sums of features and label over series
 ``i``.  Spark computes both sums of products by grouped aggregates with
 map-side partials, the driver solves the system, and the effects of the
-series are computed from it as a table.  One method serves any number of
-series.  Scoring joins the effects by ``id``.
+series are computed from it as a table.
+
+Items grow with the data as series do.  An item whose series have no other item
+(``id`` names item and store, so that is the rule) has a diagonal block too
+once the series are eliminated,
+
+    d_j = alpha + sum_i n_i alpha / (n_i + alpha),    a_j = sum_i s_i alpha / (n_i + alpha)
+
+over its series ``i``, and is eliminated likewise: the system loses
+``a_j a_j' / d_j`` and the weights of the items are a table.  Only items that
+share a series with another one stay in the driver's system.  One method
+serves any number of series and of such items.  Scoring joins effects by
+``id`` and weights by ``item_id``.
 
 Numeric features are centred by their training means, and columns without
 variance (a constant number, a single level) are left out; ridge gives them a
@@ -45,9 +56,10 @@ CATEGORICAL_FEATURES = ["id", "item_id", "dept_id", "cat_id", "store_id", "state
 MODEL_FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 DEFAULT_ALPHA = 1.0
 SERIES = "id"
+ITEM = "item_id"
 SMALL = [c for c in CATEGORICAL_FEATURES if c != SERIES]
-#: Levels that the columns of SMALL may have together; the driver solves a
-#: dense system of about this width.
+#: Levels that the columns of SMALL may have together, of items only those that
+#: share a series; the driver solves a dense system of about this width.
 MAX_LEVELS = 8_192
 INTERCEPT = "(intercept)"
 
@@ -78,11 +90,14 @@ def test_set(features: DataFrame) -> DataFrame:
 class RidgeModel:
     """``weights`` by feature name (``column=level`` for levels of the small
     columns, with the intercept of the centred features), the ``centers`` of
-    the numeric features, and ``series``: ``id, effect`` as a table."""
+    the numeric features, and as tables ``series``: ``id, effect``, and
+    ``items``: ``item_id, weight`` of the items that are not in ``weights``
+    (None if there are none)."""
 
     weights: dict[str, float]
     centers: dict[str, float]
     series: DataFrame
+    items: DataFrame | None = None
 
     @property
     def levels(self) -> dict[str, dict[str, float]]:
@@ -112,7 +127,7 @@ def _products(vectors: DataFrame, weight: Column) -> DataFrame:
 
 def _statistics(train: DataFrame) -> tuple[int, dict[str, float], list[str]]:
     """Rows, means of the numeric features that vary, and the small columns
-    with more than one level with their number of levels checked."""
+    with more than one level; the number of levels, but for items, is checked."""
     numbers = [F.count(F.lit(1)).alias("n")]
     for c in NUMERIC_FEATURES:
         numbers += [(F.max(c) > F.min(c)).alias(f"varies_{c}"), F.count(c).alias(f"known_{c}"), F.avg(c).alias(f"mean_{c}")]
@@ -125,12 +140,26 @@ def _statistics(train: DataFrame) -> tuple[int, dict[str, float], list[str]]:
     centers = {c: float(row[f"mean_{c}"]) for c in NUMERIC_FEATURES if row[f"varies_{c}"]}
     level = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in SMALL])).alias("x")
     count = train.select(level).distinct().where("x.level is not null").groupBy("x.column").count().collect()
-    if sum(r["count"] for r in count) > MAX_LEVELS:
-        raise ValueError(f"{ {r['column']: r['count'] for r in count} } levels are more than the {MAX_LEVELS} that the reduced system may have")
+    _check_levels({r["column"]: r["count"] for r in count if r["column"] != ITEM})
     several = {r["column"] for r in count if r["count"] > 1}
     return int(row["n"]), centers, [c for c in SMALL if c in several]
 
 
+def _check_levels(count: dict[str, int]) -> None:
+    if sum(count.values()) > MAX_LEVELS:
+        raise ValueError(f"{count} levels are more than the {MAX_LEVELS} that the reduced system may have")
+
+
+def _split_items(groups: DataFrame) -> DataFrame:
+    """``groups`` with ``own``, the item if all its series have it alone;
+    ``item_id`` keeps the others."""
+    lone = F.min(ITEM).eqNullSafe(F.max(ITEM)) & ((F.count(ITEM) == 0) | (F.count(ITEM) == F.count(F.lit(1))))
+    mixed_series = groups.groupBy(SERIES).agg(lone.alias("lone")).where(~F.col("lone")).select(SERIES)
+    mixed = groups.join(mixed_series, SERIES, "left_semi").select(ITEM).dropna().distinct().withColumn("mixed", F.lit(True))
+    out = groups.join(mixed, ITEM, "left")
+    return out.withColumn("own", F.when(F.col("mixed").isNull(), F.col(ITEM))).withColumn(ITEM, F.when(F.col("mixed"), F.col(ITEM))).drop("mixed")
+
+
 def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
     """Fit the ridge baseline (X5's core)."""
     spark = train.sparkSession
@@ -144,6 +173,13 @@ def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
     sums = [F.count(F.lit(1)).cast("double").alias("n"), F.sum("label").alias("t"), *[F.sum(e).alias(f"s_{c}") for c, e in x.items()]]
     train.groupBy(SERIES, *small).agg(*sums).write.parquet(path)
     groups = spark.read.parquet(path)
+    if ITEM in small:
+        path = scratch_path(spark, "ridge_items_split")
+        _split_items(groups).write.parquet(path)
+        groups = spark.read.parquet(path)
+        _check_levels({r["column"]: r["n"] for r in groups.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in small])).alias("x")).groupBy("x.column").agg(F.count_distinct("x.level").alias("n")).collect()})
+    else:
+        groups = groups.withColumn("own", F.lit(None).cast("string"))
     named = {c: F.concat(F.lit(f"{c}="), F.col(c)) for c in small}
     ones = [entry(name, F.lit(1.0)) for name in named.values()]
     numbers = [entry(F.lit(c), F.col(f"s_{c}")) for c in numeric]
@@ -185,15 +221,16 @@ def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
 
     # what the series explain: sums over each series, one entry for each feature it has
     features = known(array([entry(F.lit(INTERCEPT), F.col("n")), entry(F.lit("y"), F.col("t")), *numbers, *[entry(name, F.col("n")) for name in named.values()]]))
-    entries = groups.select(SERIES, F.explode(features).alias("f")).groupBy(SERIES, F.col("f.name").alias("name")).agg(F.sum("f.x").alias("x"))
-    series = entries.groupBy(SERIES).agg(F.collect_list(F.struct("name", "x")).alias("v"), F.max(F.when(F.col("name") == INTERCEPT, F.col("x"))).alias("n"))
+    entries = groups.select(SERIES, "own", F.explode(features).alias("f")).groupBy(SERIES, F.col("f.name").alias("name")).agg(F.max("own").alias("own"), F.sum("f.x").alias("x"))
+    series = entries.groupBy(SERIES).agg(F.max("own").alias("own"), F.collect_list(F.struct("name", "x")).alias("v"), F.max(F.when(F.col("name") == INTERCEPT, F.col("x"))).alias("n"))
     path = scratch_path(spark, "ridge_series")
     series.write.parquet(path)
     series = spark.read.parquet(path)
     several_series = series.limit(2).count() > 1
     share = F.lit(1.0) / (F.col("n") + F.lit(float(alpha)))
-    if several_series:
-        for r in _products(series, share).collect():
+
+    def eliminate(vectors: DataFrame, weight: Column) -> None:
+        for r in _products(vectors, weight).collect():
             if "y" in (r["a"], r["b"]):
                 other = r["b"] if r["a"] == "y" else r["a"]
                 if other != "y":
@@ -201,6 +238,18 @@ def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
             else:
                 add(r["a"], r["b"], -r["total"])
 
+    if several_series:
+        eliminate(series, share)
+    items = None
+    if ITEM in small:
+        # what the items explain of the rest
+        parts = series.where("own is not null").select("own", F.explode("v").alias("e"), (F.lit(float(alpha)) * share).alias("k"))
+        parts = parts.groupBy("own", F.col("e.name").alias("name")).agg(F.sum(F.col("e.x") * F.col("k")).alias("x"))
+        path = scratch_path(spark, "ridge_items")
+        parts.groupBy("own").agg(F.collect_list(F.struct("name", "x")).alias("v"), (F.lit(float(alpha)) + F.max(F.when(F.col("name") == INTERCEPT, F.col("x")))).alias("d")).write.parquet(path)
+        items = spark.read.parquet(path)
+        eliminate(items, F.lit(1.0) / F.col("d"))
+
     names = [INTERCEPT, *numeric, *sorted(k for k in right if "=" in k)]
     system = np.array([[total.get((a, b), 0.0) for b in names] for a in names])
     system += np.diag([0.0] + [float(alpha)] * (len(names) - 1))
@@ -211,28 +260,44 @@ def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
 
     # one row for each feature: at most MAX_LEVELS and the numeric ones
     table = spark.createDataFrame([*found.items(), ("y", -1.0)], "name string, w double")
-    left = series.select(SERIES, "n", F.explode("v").alias("e")).select(SERIES, "n", "e.name", "e.x").join(F.broadcast(table), "name")
-    effect = -F.sum(F.col("x") * F.col("w")) / (F.first("n") + F.lit(float(alpha)))
-    effects = left.groupBy(SERIES).agg((effect if several_series else F.lit(0.0)).alias("effect"))
-    return RidgeModel(found, centers, effects)
+    dot = F.sum(F.col("e.x") * F.col("w"))
+    if items is not None:
+        left = items.select("own", "d", F.explode("v").alias("e")).join(F.broadcast(table), F.col("e.name") == F.col("name"))
+        path = scratch_path(spark, "ridge_item_weights")
+        left.groupBy("own").agg((-dot / F.first("d")).alias("weight")).select(F.col("own").alias(ITEM), "weight").write.parquet(path)
+        items = spark.read.parquet(path)
+    left = series.select(SERIES, "own", "n", F.explode("v").alias("e")).join(F.broadcast(table), F.col("e.name") == F.col("name"))
+    effects = left.groupBy(SERIES).agg(F.first("own").alias("own"), F.first("n").alias("n"), dot.alias("dot"))
+    if items is not None:
+        effects = effects.join(items.withColumnRenamed(ITEM, "own"), "own", "left")
+    item = F.coalesce(F.col("weight"), F.lit(0.0)) if items is not None else F.lit(0.0)
+    effect = -(F.col("dot") + F.col("n") * item) / (F.col("n") + F.lit(float(alpha)))
+    path = scratch_path(spark, "ridge_effects")
+    effects.select(SERIES, (effect if several_series else F.lit(0.0)).alias("effect")).write.parquet(path)
+    effects = spark.read.parquet(path)
+    return RidgeModel(found, centers, effects, None if items is None or items.isEmpty() else items)
 
 
 def score(model: RidgeModel, rows: DataFrame) -> Column:
-    """The prediction for ``rows`` that carry the series' ``effect``; unseen
+    """The prediction for ``rows`` that carry the weights; unseen
     levels and series count nothing."""
     out = F.lit(model.weights[INTERCEPT])
     for c, e in _centred(model.centers).items():
         out = out + F.lit(model.weights[c]) * e
     for c in model.levels:
         out = out + F.coalesce(F.col(f"_w_{c}"), F.lit(0.0))
+    if model.items is not None:
+        out = out + F.coalesce("_w_items", F.lit(0.0))
     return out + F.coalesce("effect", F.lit(0.0))
 
 
 def transform(model: RidgeModel, rows: DataFrame) -> DataFrame:
-    """``rows`` with ``prediction`` (M4): an equi-join with the series' effects
-    and with the weights of each small column's levels."""
+    """``rows`` with ``prediction`` (M4): equi-joins with the series' effects,
+    with the items' weights and with the weights of each small column's levels."""
     spark = rows.sparkSession
     out = rows.join(model.series, SERIES, "left")
+    if model.items is not None:
+        out = out.join(model.items.withColumnRenamed("weight", "_w_items"), ITEM, "left")
     for c, weights in model.levels.items():
         # at most MAX_LEVELS rows
         table = spark.createDataFrame(list(weights.items()), f"`{c}` string, `_w_{c}` double")
@@ -252,10 +317,12 @@ def coefficients(model: RidgeModel) -> DataFrame:
     spark = model.series.sparkSession
     w = model.weights
     rows = [(c, w.get(c, 0.0)) for c in NUMERIC_FEATURES]
-    rows += [(k, v) for k, v in w.items() if "=" in k] + [(f"{c}=*", 0.0) for c in SMALL if c not in model.levels]
+    rows += [(k, v) for k, v in w.items() if "=" in k] + [(f"{c}=*", 0.0) for c in SMALL if c not in model.levels and not (c == ITEM and model.items is not None)]
     rows.append((INTERCEPT, w[INTERCEPT] - sum(w[c] * m for c, m in model.centers.items())))
     own = spark.createDataFrame(rows, "feature string, coefficient double")
     series = model.series.select(F.concat(F.lit("id="), F.col(SERIES)).alias("feature"), F.col("effect").alias("coefficient"))
+    if model.items is not None:
+        own = own.unionByName(model.items.select(F.concat(F.lit(f"{ITEM}="), F.col(ITEM)).alias("feature"), F.col("weight").alias("coefficient")))
     return own.unionByName(series)
 
 
@@ -289,13 +356,15 @@ def train_summary(features: DataFrame, horizon: int) -> DataFrame:
 
 
 def save_model(model: RidgeModel, path: str) -> None:
-    """S15 sink: the weights and the series' effects as Parquet, and a marker
-    after both that says the model is whole."""
+    """S15 sink: the weights, the series' effects and the items' weights as
+    Parquet, and a marker after them that says the model is whole."""
     spark = model.series.sparkSession
     base = path.rstrip("/")
     rows = [(k, v, model.centers.get(k)) for k, v in model.weights.items()]
     spark.createDataFrame(rows, "feature string, weight double, center double").write.mode("overwrite").parquet(f"{base}/weights")
     model.series.write.mode("overwrite").parquet(f"{base}/series")
+    items = model.items if model.items is not None else spark.createDataFrame([], f"{ITEM} string, weight double")
+    items.write.mode("overwrite").parquet(f"{base}/items")
     create_marker(spark, f"{base}/{SAVED}")
 
 
@@ -304,4 +373,5 @@ def load_model(path: str, spark: SparkSession | None = None) -> RidgeModel:
     base = path.rstrip("/")
     rows = spark.read.parquet(f"{base}/weights").collect()  # one for each feature of the reduced system
     centers = {r["feature"]: r["center"] for r in rows if r["center"] is not None}
-    return RidgeModel({r["feature"]: r["weight"] for r in rows}, centers, spark.read.parquet(f"{base}/series"))
+    items = spark.read.parquet(f"{base}/items")
+    return RidgeModel({r["feature"]: r["weight"] for r in rows}, centers, spark.read.parquet(f"{base}/series"), None if items.isEmpty() else items)

@@ -143,6 +143,39 @@ def test_too_many_levels_are_refused(spark, monkeypatch):
         md.fit_ridge(md.train_set(_smoke_fixture(spark)))
 
 
+@pytest.mark.parametrize("shared", [False, True])
+def test_any_number_of_items(spark, monkeypatch, shared):
+    """Items are no part of the driver's system unless they share a series."""
+    from shelfcast.session import scratch_path
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(900):
+        k = i % 30
+        item = "I1" if shared and k == 0 and i > 400 else f"I{k // 2}"
+        lags = rng.normal(5, 2, 5)
+        y = 3 + 0.5 * lags[0] + k * 0.1 + rng.normal(0, 0.5)
+        rows.append((f"S{k}", f"d_{i}", float(y), i, i >= 870, item, f"D{k // 10}", "C", f"T{k % 2}", "ST", *[float(v) for v in lags], 11101 + i // 7, i % 7 + 1, i % 12 + 1, 2011 + i // 365, i % 2, 0, 1))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _smoke_fixture(spark).schema).replace("smallint", "int").replace("tinyint", "int")
+    feats = spark.createDataFrame(rows, schema)
+    monkeypatch.setattr(md, "MAX_LEVELS", 9)  # 15 items, 7 levels of the other columns, 2 items of one series
+    train = md.train_set(feats)
+    exp_w, exp_b = _closed_form(train.toPandas())
+    model = md.fit_ridge(train)
+    assert model.items.count() == (13 if shared else 15)
+    got = dict(map(tuple, md.coefficients(model).collect()))
+    for name, val in exp_w.items():
+        key = name if name in got else name.split("=")[0] + "=*"
+        assert got[key] == pytest.approx(val, rel=1e-7, abs=1e-9), name
+    assert got["(intercept)"] == pytest.approx(exp_b, rel=1e-7)
+    assert all(r["residual"] == 0 for r in md.normal_residual(model, train, digits=8).collect())
+    path = scratch_path(spark, "ridge_items_saved")
+    md.save_model(model, path)
+    a, b = (sorted(map(tuple, md.predict(m, md.test_set(feats)).collect())) for m in (model, md.load_model(path)))
+    assert len(a) == 30 and [r[:3] for r in a] == [r[:3] for r in b]
+    assert [r[3] for r in a] == pytest.approx([r[3] for r in b], rel=1e-12)
+
+
 def test_saved_model_predicts_the_same(spark):
     from shelfcast.session import scratch_path
     from shelfcast.sources.files import is_committed
