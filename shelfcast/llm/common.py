@@ -6,6 +6,7 @@ import heapq
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -49,6 +50,19 @@ def by_batch(df: DataFrame, func: Callable[[pa.RecordBatch], dict[str, list]], s
     return df.mapInArrow(run, fields)
 
 
+def slices(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch`` of about ``size`` bytes of text each; a
+    longer row is one by itself."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+        if held and held + n > size:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def merge(symbols: list, rank: dict) -> list:
     """Byte-pair merging: again and again join the neighbours whose union has
     the lowest rank, the leftmost of equals.
