@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import alignment, bpe, extraction, jaccard, lines, pii, quality, resampling, secrets, tiling, token_counts, warc
+from shelfcast.llm import alignment, bpe, extraction, jaccard, lines, neighbours, pii, quality, resampling, secrets, tiling, token_counts, warc
 from shelfcast.llm.common import read
 from shelfcast.session import scratch_path
 
@@ -78,6 +78,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbours.search(neighbours.build(vectors), vectors.where("vec_id % 20 = 0"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return alignment.linked(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
@@ -90,7 +95,7 @@ def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_extraction, op2_token_counts, op3_pii, op4_warc, op5_jaccard, op6_bpe, op7_quality, op8_line_dedup, op9_secrets,
-              op10_decontamination, op12_alignment, op13_resampling)
+              op10_decontamination, op11_neighbours, op12_alignment, op13_resampling)
 }
 
 ORACLE_SQL: dict[str, str] = {
