@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import by_batch, slices, stored
 
-BLOCK = 4 << 20  # bytes of text aligned at once
+BLOCK = 1 << 20  # bytes of text aligned at once
 LANE = 128  # A tokens after which a document gets another position in the state vector
 MANY = 64  # links of a group beyond which equal ids of it are counted before they are paired
 MARK = "▁"
@@ -76,8 +76,6 @@ class ByteLevel(Side):
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         to_byte = _byte_alphabet()
         vocabulary = spec["model"]["vocab"]
         strings = {i: bytes(to_byte[c] for c in token) for token, i in vocabulary.items()}
@@ -86,6 +84,10 @@ class ByteLevel(Side):
         super().__init__([strings.get(i, b"") for i in range(max(strings) + 1)])
         self.quick = self._same_by_ranks(spec, to_byte, vocabulary)
         self.spells = self.quick is not None
+        self.library = None
+        if not self.spells:
+            self.library = Tokenizer.from_file(path)
+            self.library.encode_special_tokens = True
         self.written = self.names("|")
 
     @staticmethod
@@ -309,8 +311,7 @@ def linked(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", te
     link's id pair; ``n_best`` counts the links whose pair has the highest such
     number among the pairs of its A id, ties included.
     """
-    def blocks(batch: pa.RecordBatch) -> list[dict]:
-        out = []
+    def blocks(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in slices(batch, block):
             a_side, b_side = sides(a_file, b_file)
             m = Aligned(part.column("text").to_pylist(), a_side, b_side)
@@ -318,13 +319,12 @@ def linked(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", te
             of, pair, times = m.by_document(len(b_side.bytes))
             pairs, which = np.unique(pair, return_inverse=True)
             starts = np.searchsorted(of, np.arange(docs_in + 1)).astype("<i8")
-            out.append({
+            yield {
                 "ids": part.column("id").to_pylist(), "n_a": m.n_a, "n_b": m.n_b, "n_groups": np.bincount(m.cut_of(), minlength=docs_in),
                 "n_links": np.bincount(m.link_of, m.link_n, docs_in).astype(np.int64),
                 "groups_sha256": [sha256(g.encode()).hexdigest() if n else "" for g, n in zip(m.written(a_side, b_side), m.n_a)],
                 "pairs": pairs, "holders": np.bincount(which, minlength=len(pairs)),
-                "starts": starts.tobytes(), "which": which.astype("<i4").tobytes(), "times": _small(times)})
-        return out
+                "starts": starts.tobytes(), "which": which.astype("<i4").tobytes(), "times": _small(times)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, pa.list_(pa.int64())) for n in ("ids", "n_a", "n_b", "n_groups", "n_links")] + [("groups_sha256", pa.list_(pa.string()))]
