@@ -2,10 +2,13 @@
 
 A page is split into blocks of text, each in one of three zones: ``chrome``
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, told by
-element names and by words of class, id and role), ``article`` (inside an
-article or main element) and ``plain`` (neither).  Hint words, and a form, say
-nothing of a wrapper that holds an article or main element; articles inside an
-article are its parts.  Scripts, styles and markup are in no block.
+element names, by roles and by class names and ids that as a whole name such a part), ``article`` (inside an
+article or main element) and ``plain`` (neither).  Such names, and a form, say
+nothing of a wrapper that holds the page's main article (its largest, and not
+one among comments or adverts if there is another); articles inside an article
+are its parts.  An element so named that holds most of the page's text outside
+of links is plain, unless it is named for comments, adverts or the like.
+Scripts, styles, markup and buttons (but as headings) are in no block.
 
 Structure decides first: chrome goes, and beside an article plain blocks that
 are mostly links.  The rest is decided by repetition on the host, by a suffix
@@ -22,8 +25,9 @@ A host may have any share of all pages, so its streams are dealt to shards of
 about ``SHARD_TOKENS`` tokens; each shard sorts its suffixes to depth
 ``MIN_RUN`` and returns counts for intervals of equal prefixes: a run of the
 minimum length or longer is repeated on the host if and only if its prefixes
-are.  For open streams the counts are added up over a host's shards, on hosts
-that have open blocks.  A run in more than half of a host's pages is in more
+are.  The shards of a host follow from the bytes of its pages.  For open streams
+the counts are added up over a host's shards; they are used on hosts that have
+open blocks.  A run in more than half of a host's pages is in more
 than half of the pages of some shard, so for article streams only those runs
 are returned, and the pages that hold them are then counted over the whole
 host.  Pages that are equal in every block count once.
@@ -64,6 +68,13 @@ ENDS = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td":
 HINTS = frozenset("""ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer
     menu modal nav navbar navigation newsletter notice pagination pager popup promo promoted related share sharing sidebar social sponsor sponsored
     subscribe toolbar widget""".split())
+# Hints that no amount of text speaks against.
+FIRM = frozenset("ad ads advert adverts advertisement comment comments consent cookie cookies disqus pagination promo promoted related sponsor sponsored".split())
+# Words that stand beside a hint in the name of such a part; before a hint, the second ones say that the element is something else.
+BESIDE = frozenset("""area bar block bottom box button buttons container content desktop fixed form global group icon icons inner item items left
+    link links list main mobile outer overlay page panel post posts primary right secondary section signup site slot sticky stories text title
+    toggle top unit wrap wrapper""".split())
+BEFORE = frozenset("has hide is no not show with without".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _RAW = "script|style|noscript|template|textarea|iframe|title"
@@ -72,7 +83,7 @@ _MARKUP = re.compile(
     r"|<(?P<end>/)?(?P<name>[a-z][^\s/>]*+)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 _READ = frozenset("class id role hidden aria-hidden itemprop".split())
-_HINT_WORDS = re.compile(r"[a-z]+").findall
+_NAME_WORDS = re.compile(r"[a-z0-9]+").findall
 
 Blocks = list[tuple[str, str, bool]]
 
@@ -89,21 +100,39 @@ def _attributes(text: str) -> dict[str, str]:
 class _Element:
     """An open element; its zone is known when the whole page is read."""
 
-    __slots__ = ("name", "parent", "kind", "is_article", "skipped", "shut", "holds", "holds_hinted", "zone")
+    __slots__ = ("name", "parent", "kind", "is_article", "is_part", "skipped", "shut", "firm", "size", "spared", "zone")
 
-    def __init__(self, name: str, parent: _Element | None, kind: str, is_article: bool):
-        self.name, self.parent, self.kind, self.is_article = name, parent, kind, is_article
+    def __init__(self, name: str, parent: _Element | None, kind: str, is_article: bool, is_part: bool):
+        self.name, self.parent, self.kind, self.is_article, self.is_part = name, parent, kind, is_article, is_part
         self.skipped = kind == "skipped" or parent is not None and parent.skipped
         self.shut = kind in ("skipped", "chrome") or parent is not None and parent.shut
-        self.holds = self.holds_hinted = False  # an article, or one with a hint of its own
+        self.firm = kind == "firm" or parent is not None and parent.firm
+        self.size = 0  # characters outside of links
+        self.spared = False  # holds, or is, the page's main article
         self.zone = "plain"
 
 
-def _kind(name: str, attributes: str, in_article: bool) -> tuple[str, bool]:
+def _hint(names: list[str], slug: bool, hints: frozenset[str]) -> str:
+    """The hint among whole names of parts of a page: one word, or up to three
+    of which the last is a hint or the first with others that stand beside it.
+    A ``slug`` (an id may be a headline) needs such others in any case."""
+    for name in names:
+        words = _NAME_WORDS(name)
+        if not words or len(words) > 3 or words[0] in BEFORE:
+            continue
+        first, last = words[0] in hints, words[-1] in hints
+        if len(words) == 1 and first or first and all(w in BESIDE or w in hints for w in words[1:]):
+            return words[0]
+        if last and (not slug or all(w in BESIDE or w in hints for w in words[:-1])):
+            return words[-1]
+    return ""
+
+
+def _kind(name: str, attributes: str, in_article: bool, in_heading: bool) -> tuple[str, bool]:
     """What an element says of its content, and whether it is an article:
-    ``skipped``, ``chrome``, ``hinted`` (chrome unless it wraps an article),
-    ``article`` or nothing."""
-    if name in SKIPPED:
+    ``skipped``, ``chrome``, ``firm`` or ``hinted`` (chrome unless it holds the
+    main article or, if not firm, most of the page), ``article`` or nothing."""
+    if name in SKIPPED or name == "button" and not in_heading:
         return "skipped", False
     found = _attributes(attributes) if attributes.strip() else {}
     role = found.get("role")
@@ -112,36 +141,37 @@ def _kind(name: str, attributes: str, in_article: bool) -> tuple[str, bool]:
     if name in CHROME and name != "form" or role in ROLES and role != "form" or name == "header" and not in_article:
         return "chrome", False
     is_article = name in ("article", "main") or role == "main" or found.get("itemprop") == "articlebody"
-    words = set(_HINT_WORDS(found.get("class", "") + " " + found.get("id", "")))
-    if name == "form" or role == "form" or name not in ("html", "body", "main") and (words & HINTS or "header" in words and not in_article):
-        return "hinted", is_article
+    if name not in ("html", "body", "main"):
+        hints = HINTS if in_article else HINTS | {"header"}
+        hint = _hint(found.get("class", "").split(), False, hints) or _hint(found.get("id", "").split(), True, hints)
+        if hint or name == "form" or role == "form":
+            return "firm" if hint in FIRM else "hinted", is_article
     return "article" if is_article else "", is_article
 
 
-def _note_article(e: _Element) -> None:
-    """Tell the elements around an article that they hold one."""
-    hinted = e.kind == "hinted"
-    around = e.parent
-    while around is not None and not (around.holds_hinted if hinted else around.holds):
-        if hinted:
-            around.holds_hinted = True
-        else:
-            around.holds = True
-        around = around.parent
-
-
-def _set_zones(elements: list[_Element]) -> None:
-    """Zones from the elements' kinds, parents first.  Articles with hints of
-    their own count if the page has no other."""
-    only_hinted = not any(e.kind == "article" and not e.shut for e in elements)
+def _set_zones(elements: list[_Element], outside: int) -> None:
+    """Zones from the elements' kinds, sizes and parents; ``outside`` is the
+    size of the text in no element."""
+    for e in reversed(elements):  # parents come first
+        if e.parent is not None:
+            e.parent.size += e.size
+    total = outside + sum(e.size for e in elements if e.parent is None)
+    articles = [e for e in elements if e.is_article and not e.shut and not e.is_part]
+    for likely in ([e for e in articles if e.kind == "article" and not e.firm], [e for e in articles if not e.firm], articles):
+        if likely:
+            around = max(likely, key=lambda e: e.size)
+            while around is not None:
+                around.spared, around = True, around.parent
+            break
     for e in elements:
         inside = e.parent.zone if e.parent else "plain"
         if e.skipped:
             e.zone = "skipped"
         elif inside == "chrome" or e.kind == "chrome":
             e.zone = "chrome"
-        elif e.kind == "hinted" and not (e.holds or only_hinted and (e.is_article or e.holds_hinted)):
-            e.zone = "chrome"
+        elif e.kind in ("firm", "hinted") and not e.spared:
+            # repetition decides on what is most of the page
+            e.zone = "plain" if e.kind == "hinted" and 2 * e.size > total else "chrome"
         else:
             e.zone = "article" if e.is_article else inside
 
@@ -153,15 +183,21 @@ def split_page(page: str) -> Blocks:
     elements: list[_Element] = []
     texts: list[str] = []
     linked = 0  # characters of the block that are inside links and buttons
-    links = articles = bodies = 0
+    links = articles = bodies = headings = 0
+    outside = 0
     last = 0
 
     def end_block() -> None:
-        nonlocal linked
+        nonlocal linked, outside
         if texts:
             text = " ".join("".join(texts).split())
             if text:
                 found.append((stack[-1] if stack else None, text, 2 * linked >= len(text)))
+                size = max(0, len(text) - linked)
+                if stack:
+                    stack[-1].size += size
+                else:
+                    outside += size
             texts.clear()
         linked = 0
 
@@ -175,13 +211,14 @@ def split_page(page: str) -> Blocks:
 
     def close(n: int) -> None:
         """Close the elements from place ``n`` of the stack on."""
-        nonlocal links, articles, bodies
+        nonlocal links, articles, bodies, headings
         if any(e.name in BLOCK for e in stack[n:]):
             end_block()
         for e in stack[n:]:
             links -= e.name in ("a", "button")
             articles -= e.name in ("article", "main")
             bodies -= e.name == "article"
+            headings -= e.name in HEADING
         del stack[n:]
 
     for m in _MARKUP.finditer(page):
@@ -214,18 +251,17 @@ def split_page(page: str) -> Blocks:
             end_block()
         if name in VOID or m["attributes"].rstrip().endswith("/") and name not in BLOCK and name != "a":
             continue
-        e = _Element(name, stack[-1] if stack else None, *_kind(name, m["attributes"], articles > 0))
         # an article element inside another is a part of it, such as a comment
-        if e.is_article and not e.shut and not (name == "article" and bodies):
-            _note_article(e)
+        e = _Element(name, stack[-1] if stack else None, *_kind(name, m["attributes"], articles > 0, headings > 0), name == "article" and bodies > 0)
         elements.append(e)
         stack.append(e)
         links += name in ("a", "button")
         articles += name in ("article", "main")
         bodies += name == "article"
+        headings += name in HEADING
     add(page[last:])
     end_block()
-    _set_zones(elements)
+    _set_zones(elements, outside)
     return [(e.zone if e else "plain", text, mostly) for e, text, mostly in found]
 
 
@@ -357,30 +393,26 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumn("key", F.md5(F.concat(F.md5("host"), "html")))
 
-    def measure(batch: pa.RecordBatch) -> dict[str, list]:
-        pages_ = [split_page(h) for h in batch.column("html").to_pylist()]
-        return {"host": batch.column("host"), "n": [sum(text.count(" ") + 1 for _, text, _ in b) for b in pages_], "open": [any(open_blocks(b)) for b in pages_]}
-
-    sizes = by_batch(rows.select("host", "html"), measure, "host string, n long, open boolean").groupBy("host").agg(
-        F.greatest(F.ceil(F.sum("n") / SHARD_TOKENS), F.lit(1)).cast("int").alias("shards"), F.max("open").alias("open"))
-    sizes = stored(sizes, "pages-sizes")
+    # a token and the space behind it are two bytes at least
+    tokens = F.sum(F.octet_length("html") / F.lit(2) + F.lit(1))
+    sizes = rows.groupBy("host").agg(F.ceil(tokens / SHARD_TOKENS).cast("int").alias("shards"))
 
     def parse(batch: pa.RecordBatch) -> dict[str, list]:
-        out: dict[str, list] = {c: [] for c in ("host", "shard", "shards", "same", "open", "article")}
+        out: dict[str, list] = {c: [] for c in ("host", "shard", "shards", "same", "has_open", "open", "article")}
         seen = set()
-        for host, html, shards, is_open in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "shards", "open"))):
+        for host, html, shards in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "shards"))):
             blocks = split_page(html)
             same = _same(blocks)
             if (host, same) in seen:
                 continue
             seen.add((host, same))
             of_open, article = streams(blocks)
-            values = host, int.from_bytes(same[:4], "big") % shards, shards, same, of_open if is_open else None, article
+            values = host, int.from_bytes(same[:4], "big") % shards, shards, same, any(open_blocks(blocks)), of_open, article
             for column, value in zip(out.values(), values):
                 column.append(value)
         return out
 
-    dealt = by_batch(rows.select("host", "html").join(sizes, "host"), parse, "host string, shard int, shards int, same binary, open string, article string")
+    dealt = by_batch(rows.select("host", "html").join(sizes, "host"), parse, "host string, shard int, shards int, same binary, has_open boolean, open string, article string")
 
     def shard(table: pa.Table) -> pa.Table:
         different = {same: (o, a) for same, o, a in zip(*(table.column(c).to_pylist() for c in ("same", "open", "article")))}
@@ -391,13 +423,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         own_run, own_n = _intervals(words[1])
         most = (2 * own_n > len(different)) & (own_n >= (MIN_PAGES if alone else 1))
         run, n, own_run, own_n = run[keep], n[keep], own_run[most], own_n[most]
-        kinds = ["open"] * len(run) + ["article"] * len(own_run) + ["pages"]
+        has_open = [False, *table.column("has_open").to_pylist()]
+        kinds = ["open"] * len(run) + ["article"] * len(own_run) + ["pages", "has_open"]
         return pa.table({"host": pa.array([host] * len(kinds), pa.string()), "kind": pa.array(kinds, pa.string()),
-                         "run": pa.array(np.concatenate([run, own_run, [0]]).astype(np.int64)), "pages": pa.array(np.concatenate([n, own_n, [len(different)]]).astype(np.int64))})
+                         "run": pa.array(np.concatenate([run, own_run, [0, 0]]).astype(np.int64)), "pages": pa.array(np.concatenate([n, own_n, [len(different), any(has_open)]]).astype(np.int64))})
 
     counted = dealt.groupBy("host", "shard").applyInArrow(shard, "host string, kind string, run long, pages long")
     counted = stored(counted.groupBy("host", "kind", "run").agg(F.sum("pages").alias("pages")).where((F.col("kind") != "open") | (F.col("pages") >= MIN_PAGES)), "pages-counted")
-    candidates = stored(counted.where("kind != 'pages'").select("host", "kind", "run"), "pages-candidates")
+    # runs of open streams matter on hosts that have open blocks
+    with_open = counted.where("kind = 'has_open' and pages > 0").select("host")
+    candidates = counted.where("kind = 'article'").unionByName(counted.where("kind = 'open'").join(with_open, "host", "left_semi"))
+    candidates = stored(candidates.select("host", "kind", "run"), "pages-candidates")
     hosts = stored(candidates.groupBy("host").agg(F.max(F.col("kind") == "open").alias("open"), F.max(F.col("kind") == "article").alias("article")), "pages-hosts")
 
     def runs(batch: pa.RecordBatch) -> dict[str, list]:

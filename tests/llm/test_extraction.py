@@ -52,6 +52,36 @@ def test_hinted_wrappers_of_articles():
     assert text("<aside><article>Teaser</article></aside><div class=popup>No</div><div class=has-sidebar><article><p>Text</p></article></div>") == "Text"
 
 
+def test_names_are_read_as_a_whole():
+    """Slugs as ids and layout words as classes are no names of page parts."""
+    body = "<h1>Head</h1><p>Text of the story</p>"
+    for start in ("<section id='share-prices-fall'>", "<section id='the-menu-of-tomorrow'>", "<p id=menu>", "<div class='no-sidebar'>", "<div class='layout has-sidebar'>",
+                  "<div class='layout-with-comments-off x'>", "<section id='comment-on-this'>", "<div id='our-menu'>", "<div class='sidebar'>", "<form>"):
+        end = f"</{start[1:].split()[0].rstrip('>')}>"
+        assert text(f"<article>{start}{body}{end}</article>") == "Head\n\nText of the story", start
+        assert text(f"<body><nav>Menu</nav><div>{start}<div>{body}</div>{end}</div><div class='site-footer'>Foot</div></body>") == "Head\n\nText of the story", start
+    for small in ("<div class='main-nav'>", "<div id='page-footer'>", "<div class='sidebar-left'>", "<ul class='top menu'>", "<div class='post__share'>", "<div id=newsletter-signup>", "<div class='card ad-slot'>"):
+        end = f"</{small[1:].split()[0]}>"
+        assert text(f"<article>{body}{small}No{end}</article>") == "Head\n\nText of the story", small
+
+
+def test_comments_and_teasers_as_articles():
+    main = "<article><h1>Head</h1><p>Text</p></article>"
+    comment = "<article><p>A very long comment of a reader, longer than all of the article itself</p></article>"
+    for section in ("<section class='comments'>", "<section id=comments>", "<div class='comment-list'>", "<section class='related'>", "<div class='related-posts'>"):
+        end = f"</{section[1:].split()[0]}>"
+        assert text(f"<body>{main}{section}{comment * 2}{end}</body>") == "Head\n\nText", section
+        assert text(f"<main>{main}{section}{comment * 2}{end}</main>") == "Head\n\nText", section
+        assert text(f"<div class='has-sidebar'>{section}{comment}{end}{main}</div>") == "Head\n\nText", section
+        assert text(f"<div>{section}<p>{'Many words of readers. ' * 9}</p>{end}<p>Text</p></div>") == "Text", section
+    assert text(f"<div class=sidebar><article>Teaser</article></div>{main}") == "Head\n\nText"
+    assert text(f"<div class=widget>{main}</div><div class=sidebar><article>Teaser</article></div>") == "Head\n\nText"
+
+
+def test_buttons():
+    assert text("<article><p>text<button>Click</button></p><h2><button>Part one</button></h2><p><button>Go</button></p></article>") == "text\n\nPart one"
+
+
 def test_repeats_decide_where_structure_does_not(spark):
     line = "Follow us on all the usual channels today"
     rows = [(i, "http://h.org/", f"<body><div>{line}</div><p>Story number {i} tells its own tale {i}</p><div>{line} unique{i}</div></body>") for i in range(4)]
