@@ -10,9 +10,11 @@ Training: from the documents with the smallest hashes of their ids, ``SAMPLE``
 at most, come windows around base spans and around other places with digits;
 base spans label the windows.  Copies of them get the span replaced by other
 spellings of its kind (phones without a plus, cards behind other numbers,
-spelled-out addresses) and, as counter-examples, by dates, versions, hexadecimal
-strings and long numbers.  ``WINDOWS`` bounds the set.  Without base spans in
-the sample nothing is learned and only base spans are returned.
+addresses spelled out, with domains of several parts) and, as counter-examples, by dates, versions, hexadecimal
+strings and long numbers.  ``WINDOWS`` bounds the set, as do ``PER_KIND`` spans of a kind from a document
+and ``GATHERED`` spans for each sampled document on average.  Without base spans
+in the sample nothing is learned and only base spans are returned.  Weights
+and sums are of double precision.
 
 Finding: an added span must hold a digit, an ``@`` or a bracketed ``at``, so
 every such place opens a region of ``REACH`` characters around it, and around
@@ -45,7 +47,8 @@ from shelfcast.llm.common import by_batch
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 4_096
-WINDOWS = 1_536
+WINDOWS = 2_304
+PER_KIND, GATHERED = 4, 8
 WIDTH, REACH = 64, 24
 HIDDEN, EPOCHS, BATCH, RATE = 20, 12, 64, 0.02
 READ_AT_ONCE = 512
@@ -153,24 +156,24 @@ class Tagger:
 
     def __init__(self, seed: int = 11):
         rng = np.random.default_rng(seed)
-        draw = lambda *shape, by: (rng.standard_normal(shape) * by).astype(np.float32)
+        draw = lambda *shape, by: (rng.standard_normal(shape) * by).astype(np.float64)
         self.p = {}
         for d in "fb":
             self.p[f"x{d}"] = draw(CLASSES, 4 * HIDDEN, by=0.3)
             self.p[f"h{d}"] = draw(HIDDEN, 4 * HIDDEN, by=HIDDEN**-0.5)
-            bias = np.zeros(4 * HIDDEN, np.float32)
+            bias = np.zeros(4 * HIDDEN, np.float64)
             bias[HIDDEN : 2 * HIDDEN] = 1  # remember at first
             self.p[f"c{d}"] = bias
         self.p["out"] = draw(2 * HIDDEN, TAGS, by=0.2)
-        self.p["bias"] = np.zeros(TAGS, np.float32)
-        self.p["move"] = np.zeros((TAGS, TAGS), np.float32)
+        self.p["bias"] = np.zeros(TAGS, np.float64)
+        self.p["move"] = np.zeros((TAGS, TAGS), np.float64)
 
     def _direction(self, ids: np.ndarray, d: str, keep: bool):
         """Hidden states of one direction, and what its gradient needs."""
         n, width = ids.shape
         x, wh = self.p[f"x{d}"][ids] + self.p[f"c{d}"], self.p[f"h{d}"]
-        h = c = np.zeros((n, HIDDEN), np.float32)
-        hidden, kept = np.empty((n, width, HIDDEN), np.float32), []
+        h = c = np.zeros((n, HIDDEN), np.float64)
+        hidden, kept = np.empty((n, width, HIDDEN), np.float64), []
         for t in range(width) if d == "f" else range(width - 1, -1, -1):
             a = x[:, t] + h @ wh
             gates = _sigmoid(a[:, : 3 * HIDDEN])
@@ -219,11 +222,11 @@ class Tagger:
         grad["out"] = both.reshape(-1, 2 * HIDDEN).T @ de.reshape(-1, TAGS)
         grad["bias"] = de.sum((0, 1))
         dboth = de @ self.p["out"].T
-        one_hot = np.eye(CLASSES, dtype=np.float32)[ids.ravel()]
+        one_hot = np.eye(CLASSES, dtype=np.float64)[ids.ravel()]
         for k, d in enumerate("fb"):
             dh_out, wh = dboth[:, :, k * HIDDEN : (k + 1) * HIDDEN], self.p[f"h{d}"]
-            da = np.empty((n, width, 4 * HIDDEN), np.float32)
-            dh = dc = np.zeros((n, HIDDEN), np.float32)
+            da = np.empty((n, width, 4 * HIDDEN), np.float64)
+            dh = dc = np.zeros((n, HIDDEN), np.float64)
             dwh = np.zeros_like(wh)
             for t, i, f, o, g, before, tc, h_before in reversed(runs[d][1]):
                 dh = dh + dh_out[:, t]
@@ -256,7 +259,7 @@ class Tagger:
                     g = g * min(1.0, 5.0 / max(size, 1e-6))
                     first[k] += 0.1 * (g - first[k])
                     second[k] += 0.01 * (g * g - second[k])
-                    self.p[k] -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+                    self.p[k] -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float64)
             losses.append(float(np.mean(loss)))
         return losses
 
@@ -404,12 +407,22 @@ def _card(rng: np.random.Generator) -> str:
     return body + next(c for c in "0123456789" if luhn(body + c))
 
 
+def _word(rng: np.random.Generator) -> str:
+    return "".join("abcdefghijklmnopqrstuvwxyz"[i] for i in rng.integers(0, 26, int(rng.integers(2, 13))))
+
+
 def variant(kind: int, value: str, rng: np.random.Generator) -> tuple[str, int, int]:
     """Another spelling of a value, and where the span lies in it."""
     pick = lambda *x: x[int(rng.integers(len(x)))]
     if kind == 0:
         local, _, domain = value.rpartition("@")
-        new = pick(f"{local}@{domain}", f"{local} (at) {domain}", f"{local} [at] {domain.replace('.', ' [dot] ')}", f"{local}(at){domain}")
+        parts = domain.split(".")
+        if rng.random() < 0.6:  # domains of more parts, and local parts of one word, than the sample may have
+            parts = [_word(rng) for _ in range(int(rng.integers(0, 3)))] + [_word(rng), pick("edu", "org", "com", "net", parts[-1])]
+            local = pick(local, _word(rng), f"{_word(rng)}.{_word(rng)}", f"{_word(rng)}{_number(rng, 2)}")
+        a, b = pick("()", "[]", "()", "{}")
+        dotted, spelled = ".".join(parts), f" {a}dot{b} ".join(parts)
+        new = pick(f"{local}@{dotted}", f"{local} {a}at{b} {dotted}", f"{local}{a}at{b}{dotted}", f"{local} {a}at{b} {spelled}", f"{local} {a}at{b} {spelled}")
     elif kind == 1:
         new = ".".join(str(x) for x in rng.integers(0, 256, 4))
     elif kind == 2:
@@ -436,6 +449,13 @@ def other(rng: np.random.Generator) -> str:
 
 def _example(before: str, value: str, after: str, kind: int | None, s: int, e: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """A window with the value at a random place, and its tags."""
+    if kind is not None and e - s > WIDTH // 2 and rng.random() < 0.4:
+        # as a window that starts, or starts again, within a long span
+        cut = int(rng.integers(1, e - s - 8))
+        value, before = value[s + cut :], ""
+        tags = np.zeros(WIDTH, np.int64)
+        tags[: e - s - cut] = 2 + 2 * kind
+        return encoded((value + after)[:WIDTH]), tags
     lead = int(rng.integers(0, max(1, WIDTH - min(len(value), WIDTH - 8))))
     before = before[len(before) - min(lead, len(before)) :]
     if rng.random() < 0.15:  # as at the end of a text
@@ -494,11 +514,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
 
     def gather(batch: pa.RecordBatch) -> dict[str, list]:
         # at most a few of each kind and document, and so of all: this is a bounded sample
-        found = [x for t in batch.column("_text").to_pylist() for k in (*range(len(KINDS)), None) for x in [s for s in samples_of(t) if s[0] == k][:4]]
+        found = [x for t in batch.column("_text").to_pylist() for k in (*range(len(KINDS)), None) for x in [s for s in samples_of(t) if s[0] == k][:PER_KIND]]
         return {"kind": [s[0] for s in found]} | {name: [s[i] for s in found] for i, name in ((1, "before"), (2, "value"), (3, "after"))}
 
     rows = by_batch(few, gather, "kind int, before string, value string, after string")
-    rows = rows.orderBy(F.xxhash64("before", "value", "after"), "before", "value", "after").limit(8 * sample).collect()
+    rows = rows.orderBy(F.xxhash64("before", "value", "after"), "before", "value", "after").limit(GATHERED * sample).collect()
     ids_, tags = training_set([tuple(r) for r in rows])
     if not len(ids_):
         return None

@@ -69,6 +69,11 @@ def test_held_out_accuracy(spark, model):
     ids, tags = pii.training_set(samples, seed=77)
     got = model.decode(ids)
     assert (got == tags).mean() > 0.96 and (got == tags)[tags > 0].mean() > 0.8
+    # whole spans of each kind, not only tags of all kinds together
+    for kind, name in enumerate(pii.KINDS):
+        want = [(n, x) for n, t in enumerate(tags) for x in pii.read_tags(t) if x[0] == kind]
+        found = {(n, x) for n, t in enumerate(got) for x in pii.read_tags(t)}
+        assert len(want) > 100 and np.mean([w in found for w in want]) > 0.75, name
     # nothing is added to clean texts
     clean = [t for t in rows if not pii.base_spans(t)][:1500]
     assert sum(map(len, pii.added_spans(clean, [[] for _ in clean], model))) <= 2
@@ -122,6 +127,22 @@ def test_long_spelled_out_addresses(model):
     assert [text[s:e] for _, s, e in pii.added_spans([text], [[]], model)[0]] == [address]
 
 
+def test_recall_of_spelled_out_addresses(spark, model):
+    """Addresses in texts, read as ``find`` reads them."""
+    rng = np.random.default_rng(123)
+    words = [w for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(40).collect() for w in r.text.split() if w.isalpha()]
+    found = total = 0
+    for i in range(120):
+        address, s, e = pii.variant(0, f"some.name@host{i}.org", rng)
+        if "@" in address:
+            continue
+        lead = " ".join(rng.choice(words, 9))
+        text = f"{lead} {address[s:e]} {' '.join(rng.choice(words, 9))}."
+        total += 1
+        found += (0, len(lead) + 1, len(lead) + 1 + e - s) in pii.added_spans([text], [[]], model)[0]
+    assert total > 60 and found / total > 0.8
+
+
 def test_nothing_to_learn(spark):
     d = docs(spark, [(1, "no such thing"), (None, None), (2, "n 5")])
     assert pii.train(d) is None and pii.train(d.limit(0)) is None
