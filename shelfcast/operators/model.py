@@ -1,36 +1,38 @@
 """Ridge baseline.
 
 Minimises ``||y - Xw - b||^2 + alpha ||w||^2`` with an unpenalised intercept
-over 13 numeric features and the one-hot levels of six categorical columns.
-
-The series column ``id`` has as many levels as there are series, so its part
-of the normal equations is never formed.  Given all other coefficients, the
-effect of a series with ``n`` rows is ``(sum of its residuals) / (n + alpha)``:
-the block is diagonal and is eliminated.  What is left is a dense system over
-the numeric features and the levels of the small columns,
-
-    (Z'Z + alpha I - sum_i s_i s_i' / (n_i + alpha)) w = Z'y - sum_i s_i t_i / (n_i + alpha)
-
-where ``s_i`` and ``t_i`` are the sums of features and label over series
-``i``.  Spark computes both sums of products by grouped aggregates with
-map-side partials, the driver solves the system, and the effects of the
-series are computed from it as a table.
-
-Items grow with the data as series do.  An item whose series have no other item
-(``id`` names item and store, so that is the rule) has a diagonal block too
-once the series are eliminated,
-
-    d_j = alpha + sum_i n_i alpha / (n_i + alpha),    a_j = sum_i s_i alpha / (n_i + alpha)
-
-over its series ``i``, and is eliminated likewise: the system loses
-``a_j a_j' / d_j`` and the weights of the items are a table.  Only items that
-share a series with another one stay in the driver's system.  One method
-serves any number of series and of such items.  Scoring joins effects by
-``id`` and weights by ``item_id``.
+over 13 numeric features and the one-hot levels of six categorical columns, at
+any number of levels.
+
+Three blocks of the normal equations are treated each in its own way:
+
+* the series column ``id``: given all else, the effect of a series with ``n``
+  rows is ``(sum of its residuals) / (n + alpha)``.  The block is diagonal and
+  is eliminated; effects come out as a table;
+* the intercept and the numeric features, 14 numbers: their block is dense and
+  small, and is eliminated by the driver;
+* the levels of the other columns, any number of them: what is left is solved
+  by conjugate gradients with a diagonal preconditioner.  Weights, residuals
+  and directions are tables with one row a level, and so is everything that is
+  known of a level beside them.
+
+A step of the iteration multiplies by the level block without forming it.  The
+training rows enter as sums for each series and combination of levels
+(``groups``, made once).  With the direction joined to the levels of a group, a
+group of series ``i`` has ``q`` = the sum over its levels, and every level gets
+back, summed over its groups, ``n (q - sum_i(n q) / (n_i + alpha))``.  That is an
+equi-join, one exchange by series and one by level; the scalars of a step are
+aggregates.  The table of a step is written to the shared folder, so lineage
+does not grow and a lost executor repeats one step.
+
+The iteration ends when the residual has fallen by ``TOLERANCE``.  The residual
+that counts is then computed anew from the solution; if it is above, the
+iteration starts again from there, and a system that does not converge in
+``MAX_STEPS`` is an error.
 
 Numeric features are centred by their training means, and columns without
 variance (a constant number, a single level) are left out; ridge gives them a
-zero coefficient.
+zero coefficient.  A NULL level is no level.
 """
 
 from __future__ import annotations
@@ -38,14 +40,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import require_columns
 from shelfcast.operators.features import FEATURE_COLUMNS
 from shelfcast.operators.quality import REQUIRED_COLUMNS
 from shelfcast.session import scratch_path
-from shelfcast.sources.files import SAVED, create_marker
+from shelfcast.sources.files import SAVED, create_marker, path_exists
 
 # Fixed feature contract: 13 numeric (passed through unscaled) then 6 categorical.
 NUMERIC_FEATURES = [
@@ -56,11 +58,10 @@ CATEGORICAL_FEATURES = ["id", "item_id", "dept_id", "cat_id", "store_id", "state
 MODEL_FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 DEFAULT_ALPHA = 1.0
 SERIES = "id"
-ITEM = "item_id"
-SMALL = [c for c in CATEGORICAL_FEATURES if c != SERIES]
-#: Levels that the columns of SMALL may have together, of items only those that
-#: share a series; the driver solves a dense system of about this width.
-MAX_LEVELS = 8_192
+#: The columns whose levels are solved for by iteration.
+LEVELED = [c for c in CATEGORICAL_FEATURES if c != SERIES]
+TOLERANCE = 1e-12
+MAX_STEPS = 2_000
 INTERCEPT = "(intercept)"
 
 
@@ -88,49 +89,43 @@ def test_set(features: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RidgeModel:
-    """``weights`` by feature name (``column=level`` for levels of the small
-    columns, with the intercept of the centred features), the ``centers`` of
-    the numeric features, and as tables ``series``: ``id, effect``, and
-    ``items``: ``item_id, weight`` of the items that are not in ``weights``
-    (None if there are none)."""
+    """``weights`` of the intercept (of centred features) and of the numeric
+    features that vary, whose training means are ``centers``; tables ``levels``
+    (``column, level, weight``) and ``series`` (``id, effect``)."""
 
     weights: dict[str, float]
     centers: dict[str, float]
+    levels: DataFrame
     series: DataFrame
-    items: DataFrame | None = None
-
-    @property
-    def levels(self) -> dict[str, dict[str, float]]:
-        out: dict[str, dict[str, float]] = {}
-        for name, w in self.weights.items():
-            column, sep, level = name.partition("=")
-            if sep:
-                out.setdefault(column, {})[level] = w
-        return out
 
 
 def _centred(centers: dict[str, float]) -> dict[str, Column]:
     return {c: F.col(c).cast("double") - F.lit(m) for c, m in centers.items()}
 
 
-def _products(vectors: DataFrame, weight: Column) -> DataFrame:
-    """``a, b, total``: weighted sums of products of the entries of arrays
-    ``v`` of ``(name, x)``, for names ``a <= b``.
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, "ridge", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _dot(a: Column, b: list[float]) -> Column:
+    return sum((F.element_at(a, i + 1) * F.lit(float(x)) for i, x in enumerate(b)), F.lit(0.0))
 
-    A vector has as many entries as there are feature columns, not levels; its
-    products are made in the task that has it and added up there first.
-    """
-    pairs = F.flatten(F.transform("v", lambda a: F.transform(
-        F.filter("v", lambda b: a["name"] <= b["name"]), lambda b: F.struct(a["name"].alias("a"), b["name"].alias("b"), (a["x"] * b["x"] * weight).alias("x")))))
-    return vectors.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.sum("p.x").alias("total"))
 
+def _sums(column: Column, n: int, sign: Column | None = None) -> list[Column]:
+    """Sums over the ``n`` entries of an array column."""
+    return [F.sum(F.element_at(column, i + 1) * sign if sign is not None else F.element_at(column, i + 1)) for i in range(n)]
 
-def _statistics(train: DataFrame) -> tuple[int, dict[str, float], list[str]]:
-    """Rows, means of the numeric features that vary, and the small columns
-    with more than one level; the number of levels, but for items, is checked."""
+
+def _statistics(train: DataFrame) -> tuple[int, dict[str, float], list[str], bool]:
+    """Rows, means of the numeric features that vary, the leveled columns with
+    more than one level, and whether there are several series."""
     numbers = [F.count(F.lit(1)).alias("n")]
     for c in NUMERIC_FEATURES:
         numbers += [(F.max(c) > F.min(c)).alias(f"varies_{c}"), F.count(c).alias(f"known_{c}"), F.avg(c).alias(f"mean_{c}")]
+    numbers += [(F.max(c) > F.min(c)).alias(f"several_{c}") for c in CATEGORICAL_FEATURES]
     row = train.agg(*numbers).first()
     if not row["n"]:
         raise ValueError("no training rows: all rows lack lag features or belong to the test days")
@@ -138,171 +133,148 @@ def _statistics(train: DataFrame) -> tuple[int, dict[str, float], list[str]]:
     if unknown:
         raise ValueError(f"NULL values in the training rows' {unknown}")
     centers = {c: float(row[f"mean_{c}"]) for c in NUMERIC_FEATURES if row[f"varies_{c}"]}
-    level = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in SMALL])).alias("x")
-    count = train.select(level).distinct().where("x.level is not null").groupBy("x.column").count().collect()
-    _check_levels({r["column"]: r["count"] for r in count if r["column"] != ITEM})
-    several = {r["column"] for r in count if r["count"] > 1}
-    return int(row["n"]), centers, [c for c in SMALL if c in several]
-
-
-def _check_levels(count: dict[str, int]) -> None:
-    if sum(count.values()) > MAX_LEVELS:
-        raise ValueError(f"{count} levels are more than the {MAX_LEVELS} that the reduced system may have")
-
-
-def _split_items(groups: DataFrame) -> DataFrame:
-    """``groups`` with ``own``, the item if all its series have it alone;
-    ``item_id`` keeps the others."""
-    lone = F.min(ITEM).eqNullSafe(F.max(ITEM)) & ((F.count(ITEM) == 0) | (F.count(ITEM) == F.count(F.lit(1))))
-    mixed_series = groups.groupBy(SERIES).agg(lone.alias("lone")).where(~F.col("lone")).select(SERIES)
-    mixed = groups.join(mixed_series, SERIES, "left_semi").select(ITEM).dropna().distinct().withColumn("mixed", F.lit(True))
-    out = groups.join(mixed, ITEM, "left")
-    return out.withColumn("own", F.when(F.col("mixed").isNull(), F.col(ITEM))).withColumn(ITEM, F.when(F.col("mixed"), F.col(ITEM))).drop("mixed")
+    return int(row["n"]), centers, [c for c in LEVELED if row[f"several_{c}"]], bool(row[f"several_{SERIES}"])
+
+
+class _Reduced:
+    """The normal equations after the series are eliminated: ``groups`` (one
+    row for each series, combination of levels and level), the ``dense`` block
+    of the intercept and the numbers with its ``right`` side, and for each
+    level its right side ``r0``, its ``diagonal`` and its products ``b`` with
+    the dense block."""
+
+    def __init__(self, train: DataFrame, alpha: float, x: dict[str, Column], leveled: list[str], n: int, several_series: bool):
+        self.alpha, self.width = alpha, 1 + len(x)
+        numeric = list(x.values())
+        vector = lambda entries: F.array(*entries).cast("array<double>")
+        sums = [F.count(F.lit(1)).cast("double").alias("n"), F.sum("label").alias("t"), *[F.sum(e).alias(f"s{i}") for i, e in enumerate(numeric)]]
+        groups = train.groupBy(SERIES, *leveled).agg(*sums)
+        groups = groups.select(SERIES, *leveled, "n", "t", vector([F.col("n"), *[F.col(f"s{i}") for i in range(len(x))]]).alias("v"))
+        groups = _stored(groups.withColumn("g", F.monotonically_increasing_id()), "groups")
+        share = F.lit(1.0) / (F.sum("n") + F.lit(float(alpha))) if several_series else F.lit(0.0)
+        self.series = _stored(groups.groupBy(SERIES).agg(
+            F.sum("n").alias("n"), F.sum("t").alias("total"), vector(_sums(F.col("v"), self.width)).alias("total_v"), share.alias("share")), "series")
+
+        # products of the numbers over all rows, less what the series explain
+        at = range(self.width)
+        ones = [F.lit(1.0), *numeric]
+        whole = train.agg(*[F.sum(ones[i] * ones[j]).alias(f"a{i}_{j}") for i in at for j in at if i <= j], *[F.sum(ones[i] * F.col("label")).alias(f"y{i}") for i in at]).first()
+        total_v = lambda i: F.element_at("total_v", i + 1)
+        told = self.series.agg(*[F.sum(total_v(i) * total_v(j) * F.col("share")).alias(f"a{i}_{j}") for i in at for j in at if i <= j],
+                               *[F.sum(total_v(i) * F.col("total") * F.col("share")).alias(f"y{i}") for i in at]).first()
+        self.dense = np.array([[whole[f"a{min(i, j)}_{max(i, j)}"] - told[f"a{min(i, j)}_{max(i, j)}"] for j in at] for i in at])
+        self.dense += np.diag([0.0] + [float(alpha)] * len(x))
+        self.right = np.array([whole[f"y{i}"] - told[f"y{i}"] for i in at])
+        self.levels = None
+        if not leveled:
+            return
+        level = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in leveled])).alias("l")
+        of_series = groups.join(self.series.select(SERIES, "share", "total", "total_v"), SERIES)
+        rows = of_series.select(SERIES, "g", "n", "t", "v", "share", "total", "total_v", level).where("l.level is not null").select("*", "l.column", "l.level").drop("l")
+        own = F.col("n") * F.col("share")
+        facts = rows.groupBy("column", "level").agg(
+            F.sum(F.col("t") - own * F.col("total")).alias("r0"), (F.sum(F.col("n") * (F.lit(1.0) - own)) + F.lit(float(alpha))).alias("diagonal"),
+            vector([F.sum(F.element_at("v", i + 1) - own * F.element_at("total_v", i + 1)) for i in at]).alias("b"))
+        self.levels = _stored(facts, "levels")
+        self.groups = _stored(rows.select(SERIES, "g", "n", "share", "column", "level"), "entries")
+
+    def solve_dense(self, right: np.ndarray) -> np.ndarray:
+        # scaled to a unit diagonal, as features differ by orders of magnitude
+        scale = 1 / np.sqrt(np.maximum(np.diag(self.dense), 1e-300))
+        return scale * np.linalg.solve(self.dense * scale[:, None] * scale[None, :], right * scale)
+
+    def times(self, levels: DataFrame, column: str) -> tuple[DataFrame, dict[str, float]]:
+        """``levels`` with ``product``, the level block times their ``column``
+        before the dense block is eliminated, and sums over all levels: of
+        ``column * product`` (``pp``) and of ``column`` times ``b``."""
+        joined = self.groups.join(levels.select("column", "level", F.col(column).alias("p")), ["column", "level"])
+        series = Window.partitionBy(SERIES)
+        joined = joined.withColumn("q", F.sum("p").over(Window.partitionBy(SERIES, "g")))
+        joined = joined.withColumn("all", F.sum(F.col("n") * F.col("p")).over(series))
+        back = joined.groupBy("column", "level").agg(F.sum(F.col("n") * (F.col("q") - F.col("all") * F.col("share"))).alias("own"))
+        out = levels.join(back, ["column", "level"]).withColumn("product", F.col("own") + F.lit(float(self.alpha)) * F.col(column)).drop("own")
+        seen = Observation()
+        b = [F.sum(F.col(column) * F.element_at("b", i + 1)).alias(f"b{i}") for i in range(self.width)]
+        out = _stored(out.observe(seen, F.sum(F.col(column) * F.col("product")).alias("pp"), *b), "step")
+        return out, seen.get
+
+    def _sum_b(self, sums: dict[str, float]) -> np.ndarray:
+        return np.array([sums[f"b{i}"] for i in range(self.width)])
+
+    def residual(self, levels: DataFrame) -> DataFrame:
+        """``levels`` with the residual ``r`` of their weights ``x``."""
+        out, sums = self.times(levels, "x")
+        dense = self.solve_dense(self.right - self._sum_b(sums))
+        return out.withColumn("r", F.col("r0") - F.col("product") - _dot(F.col("b"), dense)).drop("product")
+
+    def solve(self) -> tuple[np.ndarray, DataFrame | None]:
+        """Weights of the dense block, and of the levels as a table."""
+        if self.levels is None:
+            return self.solve_dense(self.right), None
+        size = lambda df: float(df.agg(F.sum(F.col("r") * F.col("r") / F.col("diagonal"))).first()[0] or 0.0)
+        start = self.solve_dense(self.right)
+        levels = _stored(self.levels.withColumn("x", F.lit(0.0)).withColumn("r", F.col("r0") - _dot(F.col("b"), start)), "start")
+        # what the right side is made of, before it cancels
+        scale = float(levels.agg(F.sum(F.col("r0") * F.col("r0") / F.col("diagonal"))).first()[0] or 0.0)
+        goal, steps = TOLERANCE**2 * scale, 0
+        now = size(levels)
+        while now > goal:
+            before, begun = None, now
+            state = levels.withColumn("p", F.col("r") / F.col("diagonal"))
+            while now > goal:
+                steps += 1
+                if steps > MAX_STEPS:
+                    raise ArithmeticError(f"ridge: the residual is {(now / scale) ** 0.5:.1e} of the right side after {MAX_STEPS} steps")
+                made, sums = self.times(state, "p")
+                along = self.solve_dense(self._sum_b(sums))
+                step = now / (sums["pp"] - float(self._sum_b(sums) @ along))
+                made = made.withColumn("x", F.col("x") + F.lit(step) * F.col("p"))
+                made = made.withColumn("r", F.col("r") - F.lit(step) * (F.col("product") - _dot(F.col("b"), along.tolist()))).drop("product")
+                before, now = now, size(made)
+                state = made.withColumn("p", F.col("r") / F.col("diagonal") + F.lit(now / before) * F.col("p"))
+            # the residual of the solution itself, not of the recurrence
+            levels = _stored(self.residual(state.drop("p", "r")), "solution")
+            now = size(levels)
+            if now > 0.25 * begun:
+                if now > 1e4 * goal:
+                    raise ArithmeticError(f"ridge: the residual stays at {(now / scale) ** 0.5:.1e} of the right side")
+                break  # as far as double precision goes
+        sums = levels.agg(*[F.sum(F.col("x") * F.element_at("b", i + 1)).alias(f"b{i}") for i in range(self.width)]).first().asDict()
+        return self.solve_dense(self.right - self._sum_b(sums)), levels.select("column", "level", F.col("x").alias("weight"))
 
 
 def fit_ridge(train: DataFrame, alpha: float = DEFAULT_ALPHA) -> RidgeModel:
     """Fit the ridge baseline (X5's core)."""
-    spark = train.sparkSession
-    n, centers, small = _statistics(train)
+    n, centers, leveled, several_series = _statistics(train)
     x = _centred(centers)
-    numeric = list(x)
-    entry = lambda name, value: F.struct(name.alias("name"), value.cast("double").alias("x"))
-
-    # sums of each series' rows with the same levels: all products with a level come from these
-    path = scratch_path(spark, "ridge_groups")
-    sums = [F.count(F.lit(1)).cast("double").alias("n"), F.sum("label").alias("t"), *[F.sum(e).alias(f"s_{c}") for c, e in x.items()]]
-    train.groupBy(SERIES, *small).agg(*sums).write.parquet(path)
-    groups = spark.read.parquet(path)
-    if ITEM in small:
-        path = scratch_path(spark, "ridge_items_split")
-        _split_items(groups).write.parquet(path)
-        groups = spark.read.parquet(path)
-        _check_levels({r["column"]: r["n"] for r in groups.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in small])).alias("x")).groupBy("x.column").agg(F.count_distinct("x.level").alias("n")).collect()})
+    reduced = _Reduced(train, alpha, x, leveled, n, several_series)
+    dense, levels = reduced.solve()
+    effects = reduced.series
+    dot = _dot(F.col("total_v"), dense.tolist())
+    if levels is None:
+        levels = train.sparkSession.createDataFrame([], "column string, level string, weight double")
     else:
-        groups = groups.withColumn("own", F.lit(None).cast("string"))
-    named = {c: F.concat(F.lit(f"{c}="), F.col(c)) for c in small}
-    ones = [entry(name, F.lit(1.0)) for name in named.values()]
-    numbers = [entry(F.lit(c), F.col(f"s_{c}")) for c in numeric]
-    empty = "array<struct<name:string,x:double>>"
-    known = lambda v: F.filter(v, lambda e: e["name"].isNotNull())
-
-    def array(entries: list[Column]) -> Column:
-        return F.array(*entries).cast(empty) if entries else F.array().cast(empty)
-
-    total: dict[tuple[str, str], float] = {}
-
-    def add(a: str, b: str, value: float) -> None:
-        total[a, b] = total.get((a, b), 0.0) + value
-        if a != b:
-            total[b, a] = total.get((b, a), 0.0) + value
-
-    # Z'Z and Z'y: products of numbers over the rows, of levels over the groups
-    row = train.agg(*[F.sum(x[a] * x[b]).alias(f"{i}_{j}") for i, a in enumerate(numeric) for j, b in enumerate(numeric) if i <= j],
-                    *[F.sum(x[a] * F.col("label")).alias(f"y_{i}") for i, a in enumerate(numeric)],
-                    *[F.sum(x[a]).alias(f"sum_{i}") for i, a in enumerate(numeric)], F.sum("label").alias("y")).first()
-    right = {INTERCEPT: float(row["y"])} | {a: float(row[f"y_{i}"]) for i, a in enumerate(numeric)}
-    add(INTERCEPT, INTERCEPT, float(n))
-    for i, a in enumerate(numeric):
-        add(INTERCEPT, a, float(row[f"sum_{i}"]))
-        for j, b in enumerate(numeric):
-            if i <= j:
-                add(a, b, float(row[f"{i}_{j}"]))
-    if small:
-        levels = groups.withColumn("l", known(array(ones)))
-        both = _products(levels.select("n", F.col("l").alias("v")), F.col("n")).collect()
-        for r in both:
-            add(r["a"], r["b"], r["total"])
-        cross = levels.select("l", array([*numbers, entry(F.lit(INTERCEPT), F.col("n")), entry(F.lit("y"), F.col("t"))]).alias("z")).select(F.explode("l").alias("l"), "z").select("l", F.explode("z").alias("z"))
-        for r in cross.groupBy(F.col("l.name").alias("a"), F.col("z.name").alias("b")).agg(F.sum("z.x").alias("total")).collect():
-            if r["b"] == "y":
-                right[r["a"]] = r["total"]
-            else:
-                add(r["a"], r["b"], r["total"])
-
-    # what the series explain: sums over each series, one entry for each feature it has
-    features = known(array([entry(F.lit(INTERCEPT), F.col("n")), entry(F.lit("y"), F.col("t")), *numbers, *[entry(name, F.col("n")) for name in named.values()]]))
-    entries = groups.select(SERIES, "own", F.explode(features).alias("f")).groupBy(SERIES, F.col("f.name").alias("name")).agg(F.max("own").alias("own"), F.sum("f.x").alias("x"))
-    series = entries.groupBy(SERIES).agg(F.max("own").alias("own"), F.collect_list(F.struct("name", "x")).alias("v"), F.max(F.when(F.col("name") == INTERCEPT, F.col("x"))).alias("n"))
-    path = scratch_path(spark, "ridge_series")
-    series.write.parquet(path)
-    series = spark.read.parquet(path)
-    several_series = series.limit(2).count() > 1
-    share = F.lit(1.0) / (F.col("n") + F.lit(float(alpha)))
-
-    def eliminate(vectors: DataFrame, weight: Column) -> None:
-        for r in _products(vectors, weight).collect():
-            if "y" in (r["a"], r["b"]):
-                other = r["b"] if r["a"] == "y" else r["a"]
-                if other != "y":
-                    right[other] -= r["total"]
-            else:
-                add(r["a"], r["b"], -r["total"])
-
-    if several_series:
-        eliminate(series, share)
-    items = None
-    if ITEM in small:
-        # what the items explain of the rest
-        parts = series.where("own is not null").select("own", F.explode("v").alias("e"), (F.lit(float(alpha)) * share).alias("k"))
-        parts = parts.groupBy("own", F.col("e.name").alias("name")).agg(F.sum(F.col("e.x") * F.col("k")).alias("x"))
-        path = scratch_path(spark, "ridge_items")
-        parts.groupBy("own").agg(F.collect_list(F.struct("name", "x")).alias("v"), (F.lit(float(alpha)) + F.max(F.when(F.col("name") == INTERCEPT, F.col("x")))).alias("d")).write.parquet(path)
-        items = spark.read.parquet(path)
-        eliminate(items, F.lit(1.0) / F.col("d"))
-
-    names = [INTERCEPT, *numeric, *sorted(k for k in right if "=" in k)]
-    system = np.array([[total.get((a, b), 0.0) for b in names] for a in names])
-    system += np.diag([0.0] + [float(alpha)] * (len(names) - 1))
-    # both sides scaled to a unit diagonal, as features differ by orders of magnitude
-    scale = 1 / np.sqrt(np.maximum(np.diag(system), 1e-300))
-    weights = scale * np.linalg.solve(system * scale[:, None] * scale[None, :], np.array([right[a] for a in names]) * scale)
-    found = dict(zip(names, weights.tolist(), strict=True))
-
-    # one row for each feature: at most MAX_LEVELS and the numeric ones
-    table = spark.createDataFrame([*found.items(), ("y", -1.0)], "name string, w double")
-    dot = F.sum(F.col("e.x") * F.col("w"))
-    if items is not None:
-        left = items.select("own", "d", F.explode("v").alias("e")).join(F.broadcast(table), F.col("e.name") == F.col("name"))
-        path = scratch_path(spark, "ridge_item_weights")
-        left.groupBy("own").agg((-dot / F.first("d")).alias("weight")).select(F.col("own").alias(ITEM), "weight").write.parquet(path)
-        items = spark.read.parquet(path)
-    left = series.select(SERIES, "own", "n", F.explode("v").alias("e")).join(F.broadcast(table), F.col("e.name") == F.col("name"))
-    effects = left.groupBy(SERIES).agg(F.first("own").alias("own"), F.first("n").alias("n"), dot.alias("dot"))
-    if items is not None:
-        effects = effects.join(items.withColumnRenamed(ITEM, "own"), "own", "left")
-    item = F.coalesce(F.col("weight"), F.lit(0.0)) if items is not None else F.lit(0.0)
-    effect = -(F.col("dot") + F.col("n") * item) / (F.col("n") + F.lit(float(alpha)))
-    path = scratch_path(spark, "ridge_effects")
-    effects.select(SERIES, (effect if several_series else F.lit(0.0)).alias("effect")).write.parquet(path)
-    effects = spark.read.parquet(path)
-    return RidgeModel(found, centers, effects, None if items is None or items.isEmpty() else items)
-
-
-def score(model: RidgeModel, rows: DataFrame) -> Column:
-    """The prediction for ``rows`` that carry the weights; unseen
-    levels and series count nothing."""
-    out = F.lit(model.weights[INTERCEPT])
-    for c, e in _centred(model.centers).items():
-        out = out + F.lit(model.weights[c]) * e
-    for c in model.levels:
-        out = out + F.coalesce(F.col(f"_w_{c}"), F.lit(0.0))
-    if model.items is not None:
-        out = out + F.coalesce("_w_items", F.lit(0.0))
-    return out + F.coalesce("effect", F.lit(0.0))
+        levels = _stored(levels, "weights")
+        told = reduced.groups.join(levels, ["column", "level"]).groupBy(SERIES).agg(F.sum(F.col("n") * F.col("weight")).alias("told"))
+        effects = effects.join(told, SERIES, "left")
+        dot = dot + F.coalesce("told", F.lit(0.0))
+    effects = _stored(effects.select(SERIES, ((F.col("total") - dot) * F.col("share")).alias("effect")), "effects")
+    return RidgeModel(dict(zip([INTERCEPT, *x], dense.tolist(), strict=True)), centers, levels, effects)
 
 
 def transform(model: RidgeModel, rows: DataFrame) -> DataFrame:
-    """``rows`` with ``prediction`` (M4): equi-joins with the series' effects,
-    with the items' weights and with the weights of each small column's levels."""
-    spark = rows.sparkSession
+    """``rows`` with ``prediction`` (M4): equi-joins with the series' effects
+    and with the weights of each column's levels; the planner broadcasts what
+    is small.  Unseen levels and series count nothing."""
     out = rows.join(model.series, SERIES, "left")
-    if model.items is not None:
-        out = out.join(model.items.withColumnRenamed("weight", "_w_items"), ITEM, "left")
-    for c, weights in model.levels.items():
-        # at most MAX_LEVELS rows
-        table = spark.createDataFrame(list(weights.items()), f"`{c}` string, `_w_{c}` double")
-        out = out.join(F.broadcast(table), c, "left")
-    return out.withColumn("prediction", score(model, rows)).select(*rows.columns, "prediction")
+    value = F.lit(model.weights[INTERCEPT]) + F.coalesce("effect", F.lit(0.0))
+    for c, e in _centred(model.centers).items():
+        value = value + F.lit(model.weights[c]) * e
+    for c in LEVELED:
+        own = model.levels.where(F.col("column") == c).select(F.col("level").alias(c), F.col("weight").alias(f"_w_{c}"))
+        out = out.join(own, c, "left")
+        value = value + F.coalesce(f"_w_{c}", F.lit(0.0))
+    return out.withColumn("prediction", value).select(*rows.columns, "prediction")
 
 
 def predict(model: RidgeModel, test: DataFrame) -> DataFrame:
@@ -317,13 +289,25 @@ def coefficients(model: RidgeModel) -> DataFrame:
     spark = model.series.sparkSession
     w = model.weights
     rows = [(c, w.get(c, 0.0)) for c in NUMERIC_FEATURES]
-    rows += [(k, v) for k, v in w.items() if "=" in k] + [(f"{c}=*", 0.0) for c in SMALL if c not in model.levels and not (c == ITEM and model.items is not None)]
     rows.append((INTERCEPT, w[INTERCEPT] - sum(w[c] * m for c, m in model.centers.items())))
     own = spark.createDataFrame(rows, "feature string, coefficient double")
+    leveled = model.levels.select(F.concat_ws("=", "column", "level").alias("feature"), F.col("weight").alias("coefficient"))
+    single = spark.createDataFrame([(c,) for c in LEVELED], "column string").join(model.levels, "column", "left_anti")
+    single = single.select(F.concat("column", F.lit("=*")).alias("feature"), F.lit(0.0).alias("coefficient"))
     series = model.series.select(F.concat(F.lit("id="), F.col(SERIES)).alias("feature"), F.col("effect").alias("coefficient"))
-    if model.items is not None:
-        own = own.unionByName(model.items.select(F.concat(F.lit(f"{ITEM}="), F.col(ITEM)).alias("feature"), F.col("weight").alias("coefficient")))
-    return own.unionByName(series)
+    return own.unionByName(leveled).unionByName(single).unionByName(series)
+
+
+def predict_by_coefficients(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """M4 a second way: ``id, d, y_pred`` from the ``feature, coefficient``
+    table alone.  Every row is unpivoted to its features and values, joined to
+    the coefficients and summed."""
+    one = lambda name, value: F.struct(name.alias("feature"), value.cast("double").alias("value"))
+    entries = [one(F.lit(c), F.col(c)) for c in NUMERIC_FEATURES] + [one(F.concat(F.lit(f"{c}="), F.col(c)), F.lit(1.0)) for c in CATEGORICAL_FEATURES]
+    entries.append(one(F.lit(INTERCEPT), F.lit(1.0)))
+    long = rows.select("id", "d", F.inline(F.array(*entries)))
+    # rows of one feature are many: both sides get an exchange for the join, which may split them
+    return long.join(table, "feature").groupBy("id", "d").agg(F.sum(F.col("value") * F.col("coefficient")).alias("y_pred"))
 
 
 def normal_residual(model: RidgeModel, train: DataFrame, alpha: float = DEFAULT_ALPHA, digits: int = 6) -> DataFrame:
@@ -356,22 +340,23 @@ def train_summary(features: DataFrame, horizon: int) -> DataFrame:
 
 
 def save_model(model: RidgeModel, path: str) -> None:
-    """S15 sink: the weights, the series' effects and the items' weights as
-    Parquet, and a marker after them that says the model is whole."""
+    """S15 sink: the weights, the levels' weights and the series' effects as
+    Parquet, and a marker after them that says the model is whole.  A folder
+    that is there already, whoever wrote it, is not touched."""
     spark = model.series.sparkSession
     base = path.rstrip("/")
+    if path_exists(spark, base):
+        raise FileExistsError(f"{base} is there already")
     rows = [(k, v, model.centers.get(k)) for k, v in model.weights.items()]
-    spark.createDataFrame(rows, "feature string, weight double, center double").write.mode("overwrite").parquet(f"{base}/weights")
-    model.series.write.mode("overwrite").parquet(f"{base}/series")
-    items = model.items if model.items is not None else spark.createDataFrame([], f"{ITEM} string, weight double")
-    items.write.mode("overwrite").parquet(f"{base}/items")
+    spark.createDataFrame(rows, "feature string, weight double, center double").write.parquet(f"{base}/weights")
+    model.levels.write.parquet(f"{base}/levels")
+    model.series.write.parquet(f"{base}/series")
     create_marker(spark, f"{base}/{SAVED}")
 
 
 def load_model(path: str, spark: SparkSession | None = None) -> RidgeModel:
     spark = spark or SparkSession.active()
     base = path.rstrip("/")
-    rows = spark.read.parquet(f"{base}/weights").collect()  # one for each feature of the reduced system
+    rows = spark.read.parquet(f"{base}/weights").collect()  # one for each number
     centers = {r["feature"]: r["center"] for r in rows if r["center"] is not None}
-    items = spark.read.parquet(f"{base}/items")
-    return RidgeModel({r["feature"]: r["weight"] for r in rows}, centers, spark.read.parquet(f"{base}/series"), None if items.isEmpty() else items)
+    return RidgeModel({r["feature"]: r["weight"] for r in rows}, centers, spark.read.parquet(f"{base}/levels"), spark.read.parquet(f"{base}/series"))

@@ -137,15 +137,13 @@ def test_levels_across_series_match_closed_form(spark):
     assert all(r["residual"] == 0 for r in left) and len(left) == 14 + 7 + 3 + 1 + 1 + 2 + 1
 
 
-def test_too_many_levels_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(md, "MAX_LEVELS", 1)
-    with pytest.raises(ValueError, match="levels"):
-        md.fit_ridge(md.train_set(_smoke_fixture(spark)))
+SCHEMA = ("id string, d string, sales double, d_num bigint, is_test boolean, item_id string, dept_id string, cat_id string, store_id string, state_id string, "
+          "lag_1 double, lag_7 double, lag_28 double, roll_mean_7 double, roll_mean_28 double, wm_yr_wk int, wday int, month int, year int, snap_CA int, snap_TX int, snap_WI int")
 
 
 @pytest.mark.parametrize("shared", [False, True])
-def test_any_number_of_items(spark, monkeypatch, shared):
-    """Items are no part of the driver's system unless they share a series."""
+def test_levels_that_series_share(spark, shared):
+    """Levels of a series may change, and NULL is no level."""
     from shelfcast.session import scratch_path
 
     rng = np.random.default_rng(5)
@@ -156,24 +154,51 @@ def test_any_number_of_items(spark, monkeypatch, shared):
         lags = rng.normal(5, 2, 5)
         y = 3 + 0.5 * lags[0] + k * 0.1 + rng.normal(0, 0.5)
         rows.append((f"S{k}", f"d_{i}", float(y), i, i >= 870, item, f"D{k // 10}", "C", f"T{k % 2}", "ST", *[float(v) for v in lags], 11101 + i // 7, i % 7 + 1, i % 12 + 1, 2011 + i // 365, i % 2, 0, 1))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _smoke_fixture(spark).schema).replace("smallint", "int").replace("tinyint", "int")
-    feats = spark.createDataFrame(rows, schema)
-    monkeypatch.setattr(md, "MAX_LEVELS", 9)  # 15 items, 7 levels of the other columns, 2 items of one series
+    feats = spark.createDataFrame(rows, SCHEMA)
     train = md.train_set(feats)
     exp_w, exp_b = _closed_form(train.toPandas())
     model = md.fit_ridge(train)
-    assert model.items.count() == (13 if shared else 15)
+    assert model.levels.where("column = 'item_id'").count() == 15
     got = dict(map(tuple, md.coefficients(model).collect()))
     for name, val in exp_w.items():
         key = name if name in got else name.split("=")[0] + "=*"
         assert got[key] == pytest.approx(val, rel=1e-7, abs=1e-9), name
     assert got["(intercept)"] == pytest.approx(exp_b, rel=1e-7)
     assert all(r["residual"] == 0 for r in md.normal_residual(model, train, digits=8).collect())
-    path = scratch_path(spark, "ridge_items_saved")
+    path = scratch_path(spark, "ridge_levels_saved")
     md.save_model(model, path)
     a, b = (sorted(map(tuple, md.predict(m, md.test_set(feats)).collect())) for m in (model, md.load_model(path)))
     assert len(a) == 30 and [r[:3] for r in a] == [r[:3] for r in b]
     assert [r[3] for r in a] == pytest.approx([r[3] for r in b], rel=1e-12)
+    with pytest.raises(FileExistsError):
+        md.save_model(model, path)
+    # the coefficients alone predict the same
+    c = sorted(map(tuple, md.predict_by_coefficients(md.coefficients(model), md.test_set(feats)).collect()))
+    assert [r[:2] for r in c] == [r[:2] for r in a] and [r[2] for r in c] == pytest.approx([r[3] for r in a], rel=1e-9)
+
+
+def test_twenty_thousand_stores(spark):
+    """More levels than a dense system on one machine could have."""
+    n = 20_000
+    rows = spark.range(3 * n).select(
+        F.expr(f"concat('S', id % {n})").alias("id"), F.expr("concat('d_', id)").alias("d"),
+        F.expr(f"cast(2 + (id % {n}) * 0.0001 + (id % 11) * 0.3 + (xxhash64(id) % 1000) / 1000 as double)").alias("sales"), F.expr(f"id div {n} + 1").alias("d_num"), F.lit(False).alias("is_test"),
+        F.expr(f"concat('I', (id % {n}) % 11)").alias("item_id"), F.expr(f"concat('D', (id % {n}) % 3)").alias("dept_id"), F.lit("C").alias("cat_id"),
+        F.expr(f"concat('T', id % {n})").alias("store_id"), F.expr(f"concat('ST', (id % {n}) % 7)").alias("state_id"),
+        *[F.expr(f"cast(xxhash64(id, {k}) % 100 as double) / 50").alias(c) for k, c in enumerate(md.NUMERIC_FEATURES[:5])],
+        F.lit(11101).alias("wm_yr_wk"), F.expr("cast(id % 7 as int)").alias("wday"), F.lit(1).alias("month"), F.lit(2011).alias("year"), F.lit(0).alias("snap_CA"), F.lit(0).alias("snap_TX"), F.lit(1).alias("snap_WI"))
+    train = md.train_set(spark.createDataFrame(rows.toPandas()))
+    model = md.fit_ridge(train)
+    assert model.levels.groupBy("column").count().where("column = 'store_id'").first()["count"] == n
+    left = md.normal_residual(model, train, digits=9).where("abs(residual) > 1e-9").count()
+    assert left == 0
+
+
+def test_a_system_that_does_not_converge_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(md, "MAX_STEPS", 1)
+    rows = [(f"S{i % 6}", f"d_{i}", float(i % 5), i, False, f"I{i % 2}", f"D{i % 3}", "C", "T", "ST", *[float((i * k) % 7) for k in range(1, 6)], 11101, 1, 1, 2011, 0, 0, 1) for i in range(60)]
+    with pytest.raises(ArithmeticError, match="1 steps"):
+        md.fit_ridge(md.train_set(spark.createDataFrame(rows, SCHEMA)))
 
 
 def test_saved_model_predicts_the_same(spark):
