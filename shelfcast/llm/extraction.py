@@ -395,7 +395,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     # a token and the space behind it are two bytes at least
     tokens = F.sum(F.octet_length("html") / F.lit(2) + F.lit(1))
-    sizes = rows.groupBy("host").agg(F.ceil(tokens / SHARD_TOKENS).cast("int").alias("shards"))
+    sizes = stored(rows.groupBy("host").agg(F.ceil(tokens / SHARD_TOKENS).cast("int").alias("shards")), "pages-sizes")
 
     def parse(batch: pa.RecordBatch) -> dict[str, list]:
         out: dict[str, list] = {c: [] for c in ("host", "shard", "shards", "same", "has_open", "open", "article")}
