@@ -11,22 +11,21 @@ A node of the partition tree is split by what a bounded sample of its vectors
    bisection along its slowest mode and exchanges of vectors between the halves
    that cut fewer edges;
 2. a small classifier (one hidden layer) learns from a vector to tell in which
-   parts its neighbours lie;
-3. sampled vectors held out from the training tell how much probability is to
-   be visited: ``part`` of their true neighbours must lie in the parts that
-   are visited.
+   parts its neighbours lie.
 
 The classifier then deals *every* vector of the node to its most probable
 part.  The number of levels follows from the number of vectors, so that a leaf
 has about ``LEAF`` of them; all nodes of a level are fitted in parallel, and
-every vector is indexed.  A query visits, at each node, the most probable parts
-until the visited probability is reached, and is compared in double precision
-with all vectors of the leaves that it arrives at.
+every vector is indexed.
 
-Recall, not exactness, is what the tree may lose; ``RECALL`` is its target over
-all levels, and tests and README measure it against brute force.  Vectors
-without structure need most leaves for that, which the held-out share finds by
-itself; nothing is capped.
+The probability of a leaf is the product along its path.  A query goes to the
+leaves of at least a certain probability (and to its most probable one) and is
+compared in double precision with all their vectors.  That probability is
+measured, not set: ``TRIALS`` of the indexed vectors are searched exactly, in one
+pass over all vectors, and all but ``1 - RECALL`` of their neighbours must lie
+in leaves that probable.  Vectors without structure need many leaves, which
+this finds by itself; nothing is capped, and no query visits more leaves than
+one over the probability.
 
 Copies: equal vectors are one entry with the ``k + 1`` smallest of their ids
 (more cannot be among ``k`` neighbours), limited in every task before the
@@ -45,12 +44,14 @@ from __future__ import annotations
 
 import math
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from shelfcast.llm.common import by_batch, stored
 
@@ -58,7 +59,8 @@ SAMPLE = 4_096  # vectors that a node is fitted on
 LEAF = 1_024  # vectors that a leaf is to have
 BRANCH = 32  # parts that a node has at most
 CELL = 4_096  # vectors, and queries, that one task compares at once
-RECALL = 0.97
+RECALL = 0.95
+TRIALS = 256  # vectors that are searched exactly to measure what is to be visited
 GRAPH = 10  # neighbours in the graph
 NEAR = 20  # neighbours that are to be found again
 HIDDEN = 64
@@ -156,28 +158,26 @@ def _bisect(x: np.ndarray, y: np.ndarray, n: int, size: int) -> np.ndarray:
 
 @dataclass
 class Router:
-    """The classifier of a node and the probability that a query visits."""
+    """The classifier of a node."""
 
     w1: np.ndarray
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
-    mass: float
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
+    def logs(self, x: np.ndarray) -> np.ndarray:
+        """Logarithms of the parts' probabilities."""
         z = np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        return z / z.sum(axis=1, keepdims=True)
+        z -= z.max(axis=1, keepdims=True)
+        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
-    def visited(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and parts to visit: by falling probability, until enough lies before."""
-        order = np.argsort(-p, axis=1, kind="stable")
-        rows, at = np.nonzero(_above(np.take_along_axis(p, order, 1)) <= self.mass)
-        return rows, order[rows, at]
 
-
-def _above(falling: np.ndarray) -> np.ndarray:
-    return np.cumsum(falling, axis=1) - falling
+def visits(logs: np.ndarray, first: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and parts to visit, and which of them are on the row's most
+    probable path, as those in ``first`` are up to here."""
+    best = first[:, None] & (np.arange(logs.shape[1]) == logs.argmax(axis=1)[:, None])
+    row, part = np.nonzero((logs >= least) | best)
+    return row, part, best[row, part]
 
 
 def train_router(inputs: np.ndarray, wanted: np.ndarray, parts: int) -> Router:
@@ -202,29 +202,20 @@ def train_router(inputs: np.ndarray, wanted: np.ndarray, parts: int) -> Router:
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.999 * v[i] + 0.001 * g * g
                 w[i] = w[i] - 0.004 * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
-    return Router(*w, mass=1.0)
+    return Router(*w)
 
 
-def fit_node(candidates: np.ndarray, queries: np.ndarray, parts: int, recall: float) -> Router:
+def fit_node(candidates: np.ndarray, queries: np.ndarray, parts: int) -> Router:
     """A router for a node from its sample: each row both as candidate and as query."""
     n = len(candidates)
     if parts < 2 or n < 4 * parts:
-        return Router(np.zeros((candidates.shape[1], 1)), np.zeros(1), np.zeros((1, parts)), -40.0 * np.arange(parts), 1.0)
+        return Router(np.zeros((candidates.shape[1], 1)), np.zeros(1), np.zeros((1, parts)), -40.0 * np.arange(parts))
     part = balanced_parts(nearest(candidates, candidates, min(GRAPH, n - 1), np.arange(n)), parts)
     near = nearest(queries, candidates, min(NEAR, n - 1), np.arange(n))
     wanted = np.stack([(part[near] == c).mean(axis=1) for c in range(parts)], axis=1)
-    held = np.arange(n) % 5 == 0
     # a candidate is to lie where its graph part is, a query to go where its neighbours are
     own = 0.5 * np.eye(parts)[part] + 0.5 * wanted
-    router = train_router(np.concatenate([candidates[~held], queries[~held]]), np.concatenate([own[~held], wanted[~held]]), parts)
-    dealt = router.probabilities(candidates).argmax(axis=1)
-    p = router.probabilities(queries[held])
-    order = np.argsort(-p, axis=1, kind="stable")
-    above = np.empty_like(p)
-    np.put_along_axis(above, order, _above(np.take_along_axis(p, order, 1)), 1)
-    needed = np.take_along_axis(above, dealt[near[held]], 1)
-    router.mass = float(np.quantile(needed, recall, method="higher"))
-    return router
+    return train_router(np.concatenate([candidates, queries]), np.concatenate([own, wanted]), parts)
 
 
 # --- the tree, in Spark ----------------------------------------------------------
@@ -232,7 +223,8 @@ def fit_node(candidates: np.ndarray, queries: np.ndarray, parts: int, recall: fl
 
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``id, vec, norm``: rows that take part, each once; ``vec`` is the
-    components as little-endian doubles."""
+    components as little-endian floats or doubles, as the table has them."""
+    single = isinstance(df.schema[vec_col].dataType, ArrayType) and isinstance(df.schema[vec_col].dataType.elementType, FloatType)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(
         F.expr("id is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x != 0)"))
     length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
@@ -240,7 +232,8 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
     def pack(batch: pa.RecordBatch) -> dict[str, list]:
         v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) + 0.0  # -0.0 is 0.0
-        return {"id": batch.column("id"), "vec": [x.tobytes() for x in v], "norm": np.sqrt((v * v).sum(axis=1))}
+        mark = b"f" if single else b"d"
+        return {"id": batch.column("id"), "vec": [mark + x.tobytes() for x in v.astype("<f4" if single else "<f8")], "norm": np.sqrt((v * v).sum(axis=1))}
 
     packed = by_batch(rows.where(F.size("v") == n), pack, "id long, vec binary, norm double")
     return packed.groupBy("id", "vec").agg(F.max("norm").alias("norm"))
@@ -254,8 +247,12 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The vectors of a column, in double precision."""
     raw = column.to_pylist()
-    return np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+    if not raw:
+        return np.zeros((0, 0))
+    data = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)[:, 1:].tobytes()
+    return np.frombuffer(data, "<f4" if raw[0][:1] == b"f" else "<f8").reshape(len(raw), -1).astype(np.float64)
 
 
 def _candidates(v: np.ndarray, largest: float) -> np.ndarray:
@@ -271,13 +268,14 @@ def _queries(v: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """``members`` (``entry, vec, ids, node``) and the routers of each level (``node, router``)."""
+    """``members`` (``entry, vec, ids, node``), the routers of each level
+    (``node, router``) and the logarithm of the probability to visit."""
 
     members: DataFrame
     levels: list[DataFrame]
     parts: int
-    largest: float
     ids: int
+    least: float = 0.0
 
 
 def _in_cells(rows: DataFrame, key: str) -> DataFrame:
@@ -303,31 +301,77 @@ def _routed(rows: DataFrame, level: DataFrame, key: str, route, schema: str) ->
 def build(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, leaf: int = LEAF, branch: int = BRANCH,
           sample: int = SAMPLE, recall: float = RECALL) -> Index:
     """Index of every vector that takes part, for searches of ``k`` neighbours."""
-    entries = stored(distinct_vectors(valid_vectors(vectors, id_col, vec_col), k + 1), "neighbours-entries")
+    entries = distinct_vectors(valid_vectors(vectors, id_col, vec_col), k + 1).withColumn("node", F.lit(0).cast("long"))
+    entries = stored(entries, "neighbours-entries")
     n, largest = entries.agg(F.count(F.lit(1)), F.max("norm")).first()
     leaves = max(1, math.ceil(n / leaf))
     depth = math.ceil(math.log(leaves) / math.log(branch) - 1e-9)
     parts = math.ceil(leaves ** (1 / depth) - 1e-9) if depth else 1
-    members = entries.select("entry", "vec", "ids", F.lit(0).cast("long").alias("node"))
-    each = recall ** (1 / max(1, depth))
-    levels = []
+    members = entries.select("entry", "vec", "ids", "node")
+    index = Index(members, [], parts, k + 1)
 
     def fit(some: pa.Table) -> pa.Table:
         v = _matrix(some.sort_by("entry").column("vec"))
-        router = fit_node(_candidates(v, largest), _queries(v), parts, each)
-        return pa.table({"node": some.column("node").slice(0, 1), "router": pa.array([pickle.dumps(router)], pa.binary())})
+        return pa.table({"node": some.column("node").slice(0, 1), "router": pa.array([pickle.dumps(fit_node(_candidates(v, largest), _queries(v), parts))], pa.binary())})
 
     def deal(some: pa.Table, router: Router) -> pa.Table:
-        part = router.probabilities(_candidates(_matrix(some.column("vec")), largest)).argmax(axis=1)
+        part = router.logs(_candidates(_matrix(some.column("vec")), largest)).argmax(axis=1)
         node = some.column("node").to_numpy() * parts + part
         return pa.table({"entry": some.column("entry"), "vec": some.column("vec"), "ids": some.column("ids"), "node": pa.array(node, pa.int64())})
 
     for level in range(depth):
-        order = Window.partitionBy("node").orderBy(F.xxhash64("vec"), "entry")
-        few = members.select("node", "entry", "vec").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
-        levels.append(stored(few.groupBy("node").applyInArrow(fit, "node long, router binary"), f"neighbours-level{level}"))
-        members = stored(_routed(members, levels[-1], "entry", deal, "entry long, vec binary, ids array<long>, node long"), f"neighbours-members{level}")
-    return Index(members, levels, parts, largest or 1.0, k + 1)
+        # somewhat more than the sample of each node by the hash, then exactly as many at most
+        share = members.groupBy("node").agg((F.lit(1.2 * sample) / F.count(F.lit(1))).alias("share"))
+        few = members.select("node", "entry", "vec", F.xxhash64("vec").alias("hash")).join(share, "node")
+        few = few.where(F.pmod("hash", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+        order = Window.partitionBy("node").orderBy("hash", "entry")
+        few = few.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("node", "entry", "vec")
+        index.levels.append(stored(few.groupBy("node").applyInArrow(fit, "node long, router binary"), f"neighbours-level{level}"))
+        members = stored(_routed(members, index.levels[-1], "entry", deal, "entry long, vec binary, ids array<long>, node long"), f"neighbours-members{level}")
+    index.members = members
+    if depth:
+        index.least = _least(index, entries, k, recall)
+    return index
+
+
+def _least(index: Index, entries: DataFrame, k: int, recall: float) -> float:
+    """The logarithm of the probability of leaves that hold ``recall`` of the
+    true neighbours of some indexed vectors."""
+    trials = entries.orderBy(F.xxhash64("vec", F.lit(7)), "entry").select("entry", "vec").limit(TRIALS).collect()
+    numbers, asked = np.array([r["entry"] for r in trials]), _matrix(pa.array([bytes(r["vec"]) for r in trials], pa.binary()))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, node = np.full((len(asked), 0), 0.0), np.full((len(asked), 0), 0)
+        for batch in batches:
+            near = asked @ _matrix(batch.column("vec")).T if batch.num_rows else np.zeros((len(asked), 0))
+            near[numbers[:, None] == batch.column("entry").to_numpy()[None, :]] = -np.inf
+            score, node = np.concatenate([score, near], axis=1), np.concatenate([node, np.broadcast_to(batch.column("node").to_numpy(), near.shape)], axis=1)
+            if score.shape[1] > k:
+                top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                score, node = np.take_along_axis(score, top, 1), np.take_along_axis(node, top, 1)
+        row, _ = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_pydict({"q": pa.array(row, pa.int64()), "score": pa.array(score[score > -np.inf]), "leaf": pa.array(node[score > -np.inf], pa.int64())})
+
+    # k rows for each trial and task
+    near = index.members.select("entry", "vec", "node").mapInArrow(best, "q long, score double, leaf long")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "leaf")
+    near = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).groupBy("q", "leaf").agg(F.count(F.lit(1)).alias("n"))
+    near = stored(near, "neighbours-trials").withColumn("logp", F.lit(0.0))
+    depth, parts = len(index.levels), index.parts
+
+    def along(some: pa.Table, router: Router) -> pa.Table:
+        logs = router.logs(_queries(asked[some.column("q").to_numpy()]))
+        part = some.column("leaf").to_numpy() // parts ** (depth - 1 - some.column("level")[0].as_py()) % parts
+        logp = some.column("logp").to_numpy() + logs[np.arange(len(part)), part]
+        return some.select(["q", "leaf", "n"]).append_column("logp", pa.array(logp))
+
+    for level, routers in enumerate(index.levels):
+        rows = near.withColumn("node", F.expr(f"leaf div {parts ** (depth - level)}")).withColumn("level", F.lit(level))
+        near = stored(_routed(rows, routers, "q", along, "q long, leaf long, n long, logp double"), f"neighbours-along{level}")
+    found = np.array([(r["logp"], r["n"]) for r in near.select("logp", "n").collect()]).reshape(-1, 2)  # at most k a trial
+    found = found[np.argsort(-found[:, 0])]
+    share = np.cumsum(found[:, 1]) / max(1.0, found[:, 1].sum())
+    return float(found[min(int(np.searchsorted(share, recall)), len(found) - 1), 0]) if len(found) else -np.inf
 
 
 def search(index: Index, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20) -> DataFrame:
@@ -338,15 +382,19 @@ def search(index: Index, queries: DataFrame, id_col: str = "vec_id", vec_col: st
     parts, ids = index.parts, index.ids
     rows = stored(valid_vectors(queries, id_col, vec_col), "neighbours-queries")
     asked = stored(rows.groupBy("vec").agg(F.lit(0).cast("long").alias("node")).withColumn("q", F.monotonically_increasing_id()), "neighbours-asked")
-    at = asked
+
+    least = index.least - 1e-9
 
     def send(some: pa.Table, router: Router) -> pa.Table:
-        row, part = router.visited(router.probabilities(_queries(_matrix(some.column("vec")))))
+        logs = some.column("logp").to_numpy()[:, None] + router.logs(_queries(_matrix(some.column("vec"))))
+        row, part, first = visits(logs, some.column("first").to_numpy(zero_copy_only=False), least)
+        taken = some.select(["q", "vec"]).take(pa.array(row))
         node = some.column("node").to_numpy()[row] * parts + part
-        return pa.table({"q": some.column("q").take(pa.array(row)), "vec": some.column("vec").take(pa.array(row)), "node": pa.array(node, pa.int64())})
+        return taken.append_column("node", pa.array(node, pa.int64())).append_column("logp", pa.array(logs[row, part])).append_column("first", pa.array(first))
 
+    at = asked.withColumn("logp", F.lit(0.0)).withColumn("first", F.lit(True))
     for level in index.levels:
-        at = _routed(at.select("q", "vec", "node"), level, "q", send, "q long, vec binary, node long")
+        at = _routed(at.select("q", "vec", "node", "logp", "first"), level, "q", send, "q long, vec binary, node long, logp double, first boolean")
     at = stored(at.select("q", "vec", "node"), "neighbours-visits")
     # a leaf's vectors and queries meet in cells of both
     there, here = _in_cells(index.members, "entry"), _in_cells(at, "q")
@@ -358,7 +406,8 @@ def search(index: Index, queries: DataFrame, id_col: str = "vec_id", vec_col: st
     here = here.select("node", "v_cell", F.col("cell").alias("q_cell"), "q", "vec")
 
     def compare(some: pa.Table, members: pa.Table) -> pa.Table:
-        out = [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64()), pa.array([], pa.bool_())]
+        """The best of a cell's vectors for each of its queries, best first."""
+        found: list[list[dict]] = [[] for _ in range(some.num_rows)]
         if some.num_rows and members.num_rows:
             q, v = _matrix(some.column("vec")), _matrix(members.column("vec"))
             row, entry, score = nearest_scored(q, v, ids)
@@ -371,15 +420,15 @@ def search(index: Index, queries: DataFrame, id_col: str = "vec_id", vec_col: st
             row, score, same = (np.repeat(x, n[entry]) for x in (row, score, same))
             order = np.lexsort((every, -score, row))
             order = order[_places(row[order]) < ids]
-            out = [some.column("q").take(pa.array(row[order])), pa.array(every[order]), pa.array(score[order]), pa.array(same[order].astype(bool))]
-        return pa.table(dict(zip(("q", "vec_id", "score", "same"), out)))
+            for r, e, s, o in zip(row[order].tolist(), every[order].tolist(), score[order].tolist(), same[order].tolist()):
+                found[r].append({"less": -s, "vec_id": e, "same": bool(o)})
+        return pa.table({"q": some.column("q"), "best": pa.array(found, pa.list_(pa.struct([("less", pa.float64()), ("vec_id", pa.int64()), ("same", pa.bool_())])))})
 
     cell = ["node", "v_cell", "q_cell"]
-    found = here.groupBy(*cell).cogroup(there.groupBy(*cell)).applyInArrow(compare, "q long, vec_id long, score double, same boolean")
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "same")
-    found = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= ids)
-    lists = found.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("nth", "vec_id", "score", "same"))).alias("found"))
+    best = here.groupBy(*cell).cogroup(there.groupBy(*cell)).applyInArrow(compare, "q long, best array<struct<less:double,vec_id:long,same:boolean>>")
+    # a query has as many lists as it visits cells
+    lists = best.groupBy("q").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, ids).alias("found"))
     told = asked.select("q", "vec").join(lists, "q").select("vec", "found")
     other = F.filter("found", lambda f: ~(f["same"] & (f["vec_id"] == F.col("id"))))
     out = rows.select("id", "vec").join(told, "vec").select(F.col("id").alias("query_id"), F.posexplode(F.slice(other, 1, k)))
-    return out.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "col.vec_id", "col.score")
+    return out.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "col.vec_id", (-F.col("col.less")).alias("score"))

@@ -118,7 +118,11 @@ def test_parts_are_balanced_and_follow_the_graph():
     assert len(sizes) == 7 and sizes.max() - sizes.min() <= 7
 
 
-def test_router_visits_until_enough():
-    router = nb.Router(np.zeros((2, 1)), np.zeros(1), np.zeros((1, 3)), np.log([0.6, 0.3, 0.1]), 0.6)
-    rows, parts = router.visited(router.probabilities(np.ones((2, 2))))
-    assert list(zip(rows.tolist(), parts.tolist())) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+def test_visits():
+    router = nb.Router(np.zeros((2, 1)), np.zeros(1), np.zeros((1, 3)), np.log([0.6, 0.3, 0.1]))
+    logs = router.logs(np.ones((2, 2)))
+    assert np.allclose(np.exp(logs), [[0.6, 0.3, 0.1]] * 2)
+    row, part, first = nb.visits(logs, np.array([True, False]), np.log(0.25))
+    assert list(zip(row.tolist(), part.tolist(), first.tolist())) == [(0, 0, True), (0, 1, False), (1, 0, False), (1, 1, False)]
+    row, part, first = nb.visits(logs, np.array([True, False]), np.log(0.9))  # the most probable path is always followed
+    assert list(zip(row.tolist(), part.tolist(), first.tolist())) == [(0, 0, True)]
