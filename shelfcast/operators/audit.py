@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as _dt
+from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,47 +48,72 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-FINGERPRINT_MODULUS = 1_000_000_007
+def _value_text(x: str, data_type: T.DataType) -> str:
+    """SQL for the canonical text of the value ``x``."""
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        x = f"CAST({x} AS DOUBLE)"
+        text = (f"CASE WHEN isnan({x}) THEN 'nan' WHEN abs({x}) >= 4611686018427387904 THEN IF({x} > 0, 'huge', '-huge') "
+                f"ELSE concat(CAST(CAST(floor({x}) AS BIGINT) AS STRING), '+', CAST(CAST(floor(({x} - floor({x})) * 4503599627370496D) AS BIGINT) AS STRING)) END")
+    elif isinstance(data_type, T.TimestampType):
+        text = f"CAST(unix_micros({x}) AS STRING)"
+    else:
+        text = f"CAST({x} AS STRING)"
+    return f"coalesce(concat(char_length({text}), ':', {text}), '-')"
+
+
+def row_digest(df: DataFrame) -> Column:
+    """MD5 of a row's canonical text, which any engine can write alike: for
+    each column the length of its value's text, a colon and the text; ``-`` for
+    NULL.
+
+    A floating-point number is its integer part and 52 binary digits of its
+    fraction, both exact; beyond 2^62 only its sign counts.  Timestamps are
+    microseconds.  Neighbouring columns of one type are one array in the
+    expression, so that a table of 2,000 day columns has a small plan.
+    """
+    from shelfcast.functions.columns import quote
 
+    runs = [list(run) for _, run in groupby(df.schema.fields, lambda f: f.dataType)]
+    texts = [f"array_join(transform(array({', '.join(quote(f.name) for f in run)}), x -> {_value_text('x', run[0].dataType)}), '')" for run in runs]
+    return F.expr(f"md5(concat({', '.join(texts)}))")
 
-def fingerprint_aggregates(columns: list[str]) -> list:
-    """``n_rows``, ``xor_hash``, ``sum_hash`` aggregate columns over a 64-bit
-    row hash of ``columns`` (written as one SQL expression so that a
-    ~2,000-column table costs one JVM call to plan)."""
-    from shelfcast.functions.columns import quote
 
-    h = F.expr("xxhash64(" + ", ".join(quote(c) for c in columns) + ")")
-    return [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.bit_xor(h).alias("xor_hash"),
-        F.sum(F.pmod(h, F.lit(FINGERPRINT_MODULUS))).alias("sum_hash"),
-    ]
+def _hash_sums(digest: str) -> list[Column]:
+    """``n_rows`` and the sums of the two halves of a column of MD5s."""
+    half = lambda start: F.expr(f"sum(CAST(conv(substr({digest}, {start}, 16), 16, 10) AS DECIMAL(28, 0)))")
+    return [F.count(F.lit(1)).alias("n_rows"), half(1).alias("hash_hi"), half(17).alias("hash_lo")]
 
 
 def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """An order-independent content fingerprint of a table.
+    """A content fingerprint of a table that does not depend on the order
+    of rows and that other engines can compute: ``n_rows`` and, as text, the
+    sums ``hash_hi`` and ``hash_lo`` over rows of the halves of the row's
+    digest.  Sums of parts add up; repeated rows count.  One aggregate pass
+    with map-side partial results."""
+    df = df.select(*columns) if columns else df
+    sums = df.select(row_digest(df).alias("_digest")).agg(*_hash_sums("_digest"))
+    return sums.select("n_rows", *[F.coalesce(F.col(c), F.lit(0)).cast("string").alias(c) for c in ("hash_hi", "hash_lo")])
 
-    ``n_rows``, ``xor_hash`` = bit_xor of a 64-bit row hash, and
-    ``sum_hash`` = sum of the row hash modulo a prime (xor alone cancels
-    duplicate row pairs).  One aggregate pass with map-side partial results.
-    """
-    return df.agg(*fingerprint_aggregates(columns or df.columns))
+
+def fingerprint_text(hashes: dict) -> str:
+    return f"{hashes['n_rows']}:{hashes['hash_hi']}:{hashes['hash_lo']}"
 
 
-def fingerprint_text(n_rows, xor_hash, sum_hash) -> str:
-    return f"{int(n_rows)}:{int(xor_hash or 0) & 0xFFFFFFFFFFFFFFFF:016x}:{int(sum_hash or 0)}"
+def add_hashes(a: dict, b: dict) -> dict:
+    """The fingerprint of two parts together."""
+    return {"n_rows": a["n_rows"] + b["n_rows"]} | {c: str(int(a[c]) + int(b[c])) for c in ("hash_hi", "hash_lo")}
 
 
-def observed_write(writer_fn, df: DataFrame, name: str) -> tuple[int, str]:
-    """Run ``writer_fn(observed_df)`` and return the rows written and their
-    fingerprint, gathered by ``DataFrame.observe`` during the write itself
-    (no second pass over the data)."""
+def observed_write(writer_fn, df: DataFrame, name: str) -> dict:
+    """Run ``writer_fn(observed_df)`` and return the fingerprint of the rows
+    written, gathered by ``DataFrame.observe`` during the write itself (no
+    second pass over the data)."""
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    writer_fn(df.observe(obs, *fingerprint_aggregates(df.columns)))
+    writer_fn(df.withColumn("_digest", row_digest(df)).observe(obs, *_hash_sums("_digest")).drop("_digest"))
     m = obs.get
-    return int(m["n_rows"]), fingerprint_text(m["n_rows"], m["xor_hash"], m["sum_hash"])
+    return {"n_rows": int(m["n_rows"])} | {c: str(int(m[c] or 0)) for c in ("hash_hi", "hash_lo")}
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

@@ -15,10 +15,12 @@ straggler task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import day_number, require_columns
+from shelfcast.sources.fs import path_exists
+from shelfcast.sources.versions import Draft, current, version_folder
 
 # Fixed values of the feature contract.
 LAGS = [1, 7, 28]
@@ -123,12 +125,79 @@ def features_for_write(features: DataFrame) -> DataFrame:
     return features.repartition("id").sortWithinPartitions("id", "d_num")
 
 
-def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_features(features: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Store the feature table in folders by ``is_test``: what reads the last
     ``horizon`` days of each series then reads only them."""
     features_for_write(features).write.mode(mode).partitionBy("is_test").parquet(path)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """A stored feature table; filters on ``is_test`` select folders."""
-    return spark.read.parquet(path).withColumn("is_test", F.col("is_test").cast("boolean"))
+    """A stored feature table, published or a plain folder; filters on
+    ``is_test`` select folders."""
+    now = current(spark, path)
+    if now is None:
+        out = spark.read.parquet(path)
+    else:
+        by_version: dict[str, list[str]] = {}
+        for part in now.parts:
+            by_version.setdefault(version_folder(path, part), []).append(part)
+        out = None
+        for folder, parts in by_version.items():
+            one = spark.read.option("basePath", folder).parquet(*parts)
+            out = one if out is None else out.unionByName(one)
+    return out.withColumn("is_test", F.col("is_test").cast("boolean"))
+
+
+# --- new days ----------------------------------------------------------------------
+
+STATE = "_state"
+
+
+def last_rows(sales: DataFrame, n: int = max(LAGS + ROLLING_WINDOWS)) -> DataFrame:
+    """The last ``n`` rows of each series: all that features of later days see."""
+    place = Window.partitionBy("id").orderBy(F.desc("_day"))
+    rows = sales.withColumn("_day", day_number("d")).withColumn("_nth", F.row_number().over(place))
+    return rows.where(F.col("_nth") <= n).drop("_day", "_nth")
+
+
+def new_features(state: DataFrame, new_sales: DataFrame, calendar: DataFrame, horizon: int = DEFAULT_HORIZON) -> DataFrame:
+    """Features of ``new_sales``, given the last rows of each series.
+
+    A new row must lie after all rows of its series, else lags would have to
+    change that are stored already: an error.
+    """
+    both = state.withColumn("_new", F.lit(False)).unionByName(new_sales.select(*state.columns).withColumn("_new", F.lit(True)))
+    out = build_features(both, calendar, horizon, check_unique=True)
+    late = F.max(F.when(~F.col("_new"), F.col("d_num"))).over(Window.partitionBy("id")) > F.col("d_num")
+    message = F.concat(F.lit("series "), F.col("id"), F.lit(": day "), F.col("d"), F.lit(" lies before stored days"))
+    out = out.withColumn("d_num", F.when(F.col("_new") & late, F.raise_error(message).cast("bigint")).otherwise(F.col("d_num")))
+    return out.where("_new").drop("_new")
+
+
+def extend_features(spark: SparkSession, path: str, new_sales: DataFrame, calendar: DataFrame, horizon: int = DEFAULT_HORIZON) -> int:
+    """Carry a published feature table forward by new days; returns the rows
+    written.
+
+    The version before keeps its training folders.  The new one adds the new
+    rows and, as the last ``horizon`` days have moved, the rows that were test
+    rows: some now belong to the training rows.  The last rows of each series
+    are stored beside the data for the next time; the first time they are
+    taken from the table.
+    """
+    before = current(spark, path)
+    if before is None:
+        raise FileNotFoundError(f"no published feature table at {path}")
+    stored = read_features(spark, path)
+    columns = [c for c in new_sales.columns if c in stored.columns]
+    state_at = f"{before.parts[-1]}/{STATE}"
+    state = spark.read.parquet(state_at) if path_exists(spark, state_at) else last_rows(stored.select(*columns))
+    draft = Draft(spark, path)
+    # the new state is written first and read by none of what follows
+    last_rows(state.select(*columns).unionByName(new_sales.select(*columns))).write.parquet(f"{draft.folder}/{STATE}")
+    added = new_features(state.select(*columns), new_sales, calendar, horizon)
+    moving = stored.where("is_test").unionByName(added).drop("is_test").withColumn("is_test", test_flag(horizon)).select(*stored.columns)
+    seen = Observation()
+    write_features(moving.observe(seen, F.count(F.lit(1)).alias("n")), draft.folder, mode="append")
+    train = [p if p.endswith("/is_test=false") else f"{p}/is_test=false" for p in before.parts]
+    draft.publish(before.notes | {"horizon": horizon}, [p for p in train if path_exists(spark, p)])
+    return int(seen.get["n"])

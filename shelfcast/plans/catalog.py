@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.functions.columns import day_number
 from shelfcast.operators import audit as au
 from shelfcast.operators import evaluate as ev
 from shelfcast.operators import gold as gd
@@ -25,7 +26,10 @@ from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import RAW_TABLES, Lake
 from shelfcast.session import scratch_path
 from shelfcast.sources.csv import read_csv, write_csv
+from shelfcast.sources.first_rows import first_rows
 from shelfcast.sources.files import file_manifest, guarded_write, input_completeness, register_view
+from shelfcast.sources.lines import wide_lines_to_long
+from shelfcast.sources.versions import read_table
 from shelfcast.streaming.landing import incremental_csv_to_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,7 +161,6 @@ def q_train_test_split(spark, sf_dir):
 
 @query("day_number")
 def q_day_number(spark, sf_dir):
-    from shelfcast.functions.columns import day_number
     return rf.landed_dense_sales(spark, sf_dir).select("id", "d", day_number("d").alias("d_num"))
 
 
@@ -196,55 +199,55 @@ def q_not_null_tests(spark, sf_dir):
 
 @query("dim_calendar")
 def q_dim_calendar(spark, sf_dir):
-    return gd.dim_calendar(spark.read.parquet(lake(spark, sf_dir).silver("calendar")))
+    return gd.dim_calendar(read_table(spark, lake(spark, sf_dir).silver("calendar")))
 
 
 @query("dim_series")
 def q_dim_series(spark, sf_dir):
-    return gd.dim_series(spark.read.parquet(lake(spark, sf_dir).silver("sales_train_validation")))
+    return gd.dim_series(read_table(spark, lake(spark, sf_dir).silver("sales_train_validation")))
 
 
 @query("fact_sell_prices")
 def q_fact_sell_prices(spark, sf_dir):
-    return gd.fact_sell_prices(spark.read.parquet(lake(spark, sf_dir).silver("sell_prices")))
+    return gd.fact_sell_prices(read_table(spark, lake(spark, sf_dir).silver("sell_prices")))
 
 
 @query("sales_long_full")
 def q_sales_long_full(spark, sf_dir):
-    wide = spark.read.parquet(lake(spark, sf_dir).silver("sales_train_validation"))
+    wide = read_table(spark, lake(spark, sf_dir).silver("sales_train_validation"))
     return gd.sales_long(wide, sample_n_series=None, sample_days=None)
 
 
 @query("sales_long_sample")
 def q_sales_long_sample(spark, sf_dir):
     """The sampling operator itself: first 20 series x last 365 days."""
-    wide = spark.read.parquet(lake(spark, sf_dir).silver("sales_train_validation"))
+    wide = read_table(spark, lake(spark, sf_dir).silver("sales_train_validation"))
     return gd.sales_long(wide, gd.DEFAULT_SAMPLE_SERIES, gd.DEFAULT_SAMPLE_DAYS)
 
 
 @query("silver_calendar")
 def q_silver_calendar(spark, sf_dir):
-    return spark.read.parquet(lake(spark, sf_dir).silver("calendar"))
+    return read_table(spark, lake(spark, sf_dir).silver("calendar"))
 
 
 @query("silver_sell_prices")
 def q_silver_sell_prices(spark, sf_dir):
-    return spark.read.parquet(lake(spark, sf_dir).silver("sell_prices"))
+    return read_table(spark, lake(spark, sf_dir).silver("sell_prices"))
 
 
 @query("silver_sales_wide")
 def q_silver_sales_wide(spark, sf_dir):
-    return spark.read.parquet(lake(spark, sf_dir).silver("sales_train_validation"))
+    return read_table(spark, lake(spark, sf_dir).silver("sales_train_validation"))
 
 
 @query("silver_sales_evaluation")
 def q_silver_sales_evaluation(spark, sf_dir):
-    return spark.read.parquet(lake(spark, sf_dir).silver("sales_train_evaluation"))
+    return read_table(spark, lake(spark, sf_dir).silver("sales_train_evaluation"))
 
 
 @query("silver_submission")
 def q_silver_submission(spark, sf_dir):
-    return spark.read.parquet(lake(spark, sf_dir).silver("sample_submission"))
+    return read_table(spark, lake(spark, sf_dir).silver("sample_submission"))
 
 
 @query("parse_date")
@@ -264,19 +267,19 @@ def q_csv_scan(spark, sf_dir):
 @query("bronze_csv_to_parquet")
 def q_bronze(spark, sf_dir):
     """The bronze copy of the calendar, read back from Parquet."""
-    return spark.read.parquet(lake(spark, sf_dir, "bronze").bronze("calendar"))
+    return read_table(spark, lake(spark, sf_dir, "bronze").bronze("calendar"))
 
 
 @query("bronze_sell_prices")
 def q_bronze_sell_prices(spark, sf_dir):
     """S3 on prices; bronze holds doubles, the raw values are floats."""
-    bronze = spark.read.parquet(lake(spark, sf_dir, "bronze").bronze("sell_prices"))
+    bronze = read_table(spark, lake(spark, sf_dir, "bronze").bronze("sell_prices"))
     return bronze.withColumn("sell_price", F.col("sell_price").cast("float"))
 
 
 @query("bronze_sales_wide")
 def q_bronze_sales_wide(spark, sf_dir):
-    return spark.read.parquet(lake(spark, sf_dir, "bronze").bronze("sales_train_validation"))
+    return read_table(spark, lake(spark, sf_dir, "bronze").bronze("sales_train_validation"))
 
 
 @query("bronze_incremental")
@@ -294,13 +297,13 @@ def q_bronze_incremental(spark, sf_dir):
 def q_guarded_write(spark, sf_dir):
     """A second guarded write of the same table keeps the first output."""
     lk = lake(spark, sf_dir)
-    dim = gd.dim_calendar(spark.read.parquet(lk.silver("calendar")))
+    dim = gd.dim_calendar(read_table(spark, lk.silver("calendar")))
     path = scratch_path(spark, "guarded_dim_calendar")
     first = guarded_write(dim, path, policy="skip")
     second = guarded_write(dim.limit(0), path, policy="skip")
     if (first, second) != ("ok", "exists"):
         raise AssertionError(f"guarded write statuses {first}, {second}")
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 @query("guarded_write_fail")
@@ -308,7 +311,7 @@ def q_guarded_write_fail(spark, sf_dir):
     """Without force an existing table, whoever wrote it, stays and the
     second write is an error."""
     lk = lake(spark, sf_dir)
-    dim = gd.dim_calendar(spark.read.parquet(lk.silver("calendar")))
+    dim = gd.dim_calendar(read_table(spark, lk.silver("calendar")))
     path = scratch_path(spark, "guarded_fail")
     dim.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     try:
@@ -318,11 +321,83 @@ def q_guarded_write_fail(spark, sf_dir):
     raise AssertionError("an existing table was replaced without force")
 
 
+@query("forced_write_survives_failure")
+def q_forced_write_survives_failure(spark, sf_dir):
+    """A forced write that dies half-way leaves the old rows."""
+    prices = read_table(spark, lake(spark, sf_dir).silver("sell_prices"))
+    path = scratch_path(spark, "forced_prices")
+    guarded_write(prices, path)
+    broken = prices.withColumn("sell_price", F.when(F.col("wm_yr_wk") % 2 == 0, F.raise_error(F.lit("lost")).cast("float")).otherwise(F.col("sell_price")))
+    try:
+        guarded_write(broken, path, force=True)
+    except Exception as exc:
+        if "lost" not in str(exc):
+            raise
+        return read_table(spark, path)
+    raise AssertionError("a failing write was published")
+
+
+def _arriving(df: DataFrame, path: str, rows) -> None:
+    """Add the files of ``df`` that ``rows`` selects to a plain folder."""
+    df.where(rows).write.mode("append").parquet(path)
+
+
+@query("silver_incremental")
+def q_silver_incremental(spark, sf_dir):
+    """Bronze files that arrive are typed alone; the result is the whole table."""
+    bronze = read_table(spark, lake(spark, sf_dir, "bronze").bronze("sell_prices"))
+    lk = Lake(scratch_path(spark, "silver_incremental"))
+    for early in (True, False):
+        _arriving(bronze, lk.bronze("sell_prices"), (F.col("wm_yr_wk") % 3 > 0) == F.lit(early))
+        jobs.run_silver(spark, lk, strict=False)
+    return read_table(spark, lk.silver("sell_prices"))
+
+
+@query("gold_incremental")
+def q_gold_incremental(spark, sf_dir):
+    """Series that arrive in a new silver file are unpivoted alone."""
+    silver = lake(spark, sf_dir)
+    lk = Lake(scratch_path(spark, "gold_incremental"))
+    for name in ("calendar", "sell_prices"):
+        read_table(spark, silver.silver(name)).write.parquet(lk.silver(name))
+    wide = read_table(spark, silver.silver("sales_train_validation"))
+    for early in (True, False):
+        _arriving(wide, lk.silver("sales_train_validation"), (F.crc32("id") % 3 > 0) == F.lit(early))
+        jobs.run_gold(spark, lk)
+    return read_table(spark, lk.gold("fact_sales_long"))
+
+
+@query("sales_long_from_lines")
+def q_sales_long_from_lines(spark, sf_dir):
+    """The wide landed CSV read as lines, straight to long form."""
+    return wide_lines_to_long(spark, lake(spark, sf_dir, "landing").landing("sales_train_validation"), gd.SERIES_COLUMNS)
+
+
+@query("first_rows_in_file_order")
+def q_first_rows_in_file_order(spark, sf_dir):
+    """The first 1,000 rows of stored files; few files are opened."""
+    path = rf.landed_path(spark, sf_dir, "ordered_sales", lambda p: rf.landed_dense_sales(spark, sf_dir).repartitionByRange(16, "id", "d").sortWithinPartitions("id", "d").write.parquet(p))
+    return first_rows(spark, path, 1000)
+
+
+@query("features_extended")
+def q_features_extended(spark, sf_dir):
+    """The table of all but the last 7 days, carried forward by them."""
+    sales, cal = rf.landed_dense_sales(spark, sf_dir), rf.landed_calendar(spark, sf_dir)
+    last = sales.select(F.max(day_number("d"))).scalar()
+    lk = Lake(scratch_path(spark, "features_extended"))
+    sales.where(day_number("d") <= last - 7).write.parquet(lk.gold("fact_sales_long"))
+    cal.write.parquet(lk.gold("dim_calendar"))
+    jobs.run_features(spark, lk, check_unique=False)
+    jobs.run_extend_features(spark, lk, sales.where(day_number("d") > last - 7))
+    return read_features(spark, lk.features)
+
+
 @query("table_profile")
 def q_table_profile(spark, sf_dir):
     """S7 over the stored gold tables (row counts from Parquet metadata)."""
     lk = lake(spark, sf_dir, "gold")
-    return au.table_profile({n: spark.read.parquet(lk.gold(n)) for n in jobs.GOLD_TABLES})
+    return au.table_profile({n: read_table(spark, lk.gold(n)) for n in jobs.GOLD_TABLES})
 
 
 @query("table_fingerprint")
@@ -330,7 +405,7 @@ def q_table_fingerprint(spark, sf_dir):
     """Content fingerprint of every stored gold table."""
     lk = lake(spark, sf_dir, "gold")
     parts = [
-        au.table_fingerprint(spark.read.parquet(lk.gold(n))).select(F.lit(n).alias("table_name"), "*")
+        au.table_fingerprint(read_table(spark, lk.gold(n))).select(F.lit(n).alias("table_name"), "*")
         for n in jobs.GOLD_TABLES
     ]
     out = parts[0]
@@ -428,6 +503,16 @@ def q_ridge_predict(spark, sf_dir):
     return md.transform(loaded_model(spark, sf_dir), md.test_set(stored_features(spark, sf_dir))).select("id", "d", "label", "prediction")
 
 
+@query("prediction_difference")
+def q_prediction_difference(spark, sf_dir):
+    """The stored model's predictions less those that the
+    coefficient table alone gives; all are 0."""
+    model, test = loaded_model(spark, sf_dir), md.test_set(stored_features(spark, sf_dir))
+    other = md.predict_by_coefficients(md.coefficients(model), test).withColumnRenamed("y_pred", "other")
+    both = md.predict(model, test).join(other, ["id", "d"], "full")
+    return both.select("id", "d", (F.round(F.col("y_pred") - F.col("other"), 6) + F.lit(0.0)).alias("difference"))
+
+
 @query("ridge_eval_metrics")
 def q_ridge_eval_metrics(spark, sf_dir):
     return ev.metrics_long(ev.regression_metrics(_ridge_predictions(spark, sf_dir)))
@@ -435,8 +520,8 @@ def q_ridge_eval_metrics(spark, sf_dir):
 
 @query("predictions_csv")
 def q_predictions_csv(spark, sf_dir):
-    """Predictions written as CSV by the executors and read back."""
-    preds = _ridge_predictions(spark, sf_dir)
+    """Predictions (``lag_7``) written as CSV by the executors and read back."""
+    preds = _lag7_predictions(spark, sf_dir)
     path = scratch_path(spark, "predictions_csv")
     write_csv(preds, path)
     return read_csv(spark, path, schema="id string, d string, y_true double, y_pred double")

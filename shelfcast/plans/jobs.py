@@ -4,6 +4,11 @@ Each stage reads the previous stage's stored tables and writes its own, so a
 stage boundary is also a lineage cut: a lost executor re-reads Parquet
 instead of recomputing earlier stages.  Each stage returns its audit entries
 (one per table) and appends them to the lake's audit log.
+
+Outputs are published as versions (``shelfcast.sources.versions``): a stage
+that dies leaves the last good tables, and what somebody else put at an
+output's place is never replaced.  Silver and gold tables know the files that
+they were made from; what arrived since is added, the rest is not read again.
 """
 
 from __future__ import annotations
@@ -15,14 +20,16 @@ from pyspark.sql import types as T
 from shelfcast.operators import evaluate as ev
 from shelfcast.operators import gold as gd
 from shelfcast.operators import model as md
-from shelfcast.operators.audit import append_audit, audit_rows, observed_write, stored_bytes, utc_now
-from shelfcast.operators.features import DEFAULT_HORIZON, build_features, read_features, write_features
+from shelfcast.operators.audit import add_hashes, append_audit, audit_rows, fingerprint_text, observed_write, stored_bytes, utc_now
+from shelfcast.operators.features import DEFAULT_HORIZON, build_features, extend_features, read_features, write_features
 from shelfcast.operators.quality import run_gate
 from shelfcast.operators.typing import type_table
 from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import GOLD_TABLES, RAW_TABLES, Lake
 from shelfcast.sources.csv import csv_header, read_csv, wide_schema, write_csv
-from shelfcast.sources.files import changed_at, guarded_write, is_committed, is_input, overall_status, path_exists
+from shelfcast.sources.files import is_committed, is_input, overall_status
+from shelfcast.sources.fs import path_exists
+from shelfcast.sources.versions import Draft, current, data_files, increment, is_taken, location, publish, read_table, write_ledger
 from shelfcast.streaming.landing import incremental_csv_to_parquet
 
 # Bronze schemas: what CSV type inference yields for the raw M5 files, fixed
@@ -99,25 +106,55 @@ def land_raw_tables(spark: SparkSession, sf_dir: str, lake: Lake, force: bool =
     for name, df in tables.items():
         started = utc_now()
         path = lake.landing(name)
-        if force or not is_committed(spark, path):
-            write_csv(df, path, mode="overwrite")
-            status = "ok"
-        else:
+        status = "ok"
+        if force or not path_exists(spark, path):
+            write_csv(df, path, mode="overwrite" if force else "errorifexists")
+        elif is_committed(spark, path):
             status = "exists"
+        else:
+            raise FileExistsError(f"{path} is there and not complete; pass force=True to replace it")
         out.append(_entry(name, status, path, n_columns=len(df.columns), started=started))
     append_audit(audit_rows(spark, "landing", out), lake.audit)
     return out
 
 
 def _kept(spark: SparkSession, name: str, path: str, started: str) -> dict:
-    """The entry of an output that a job leaves as it is, with its counts."""
-    df = spark.read.parquet(path)
-    return _entry(name, "exists", path, df.count(), len(df.columns), started, nbytes=stored_bytes(spark, path))
-
-
-def _is_current(spark: SparkSession, path: str, *inputs: str) -> bool:
-    """Whether an output is committed and none of its inputs has changed since."""
-    return is_committed(spark, path) and changed_at(spark, path) >= max((changed_at(spark, i) for i in inputs), default=0)
+    """The entry of an output that a job leaves as it is, with its counts if
+    it can be read (what somebody else put there may not be Parquet)."""
+    try:
+        df = read_table(spark, path)
+        counts = df.count(), len(df.columns)
+    except Exception as exc:
+        return _entry(name, "exists", path, started=started, unreadable=str(exc).split("\n")[0])
+    return _entry(name, "exists", path, *counts, started, nbytes=stored_bytes(spark, path))
+
+
+def _carry(spark: SparkSession, stage: str, name: str, src: str, dst: str, make, started: str, force: bool,
+           by_row: bool = True, notes: dict | None = None) -> dict:
+    """Bring ``dst = make(src)`` up to date and return its entry.
+
+    Where ``make`` works row by row, files that arrived in ``src`` since are
+    read alone and become one more part of ``dst``; changed or removed files,
+    other ``notes`` or ``force`` make the whole table again.
+    """
+    before = current(spark, dst)
+    if before is None and is_taken(spark, dst) and not force:
+        return _kept(spark, name, dst, started)
+    lacks = increment(spark, src, dst, notes)
+    if lacks.kind == "none" and not force:
+        return _kept(spark, name, dst, started)
+    added = lacks.kind == "new" and by_row and not force
+    draft = Draft(spark, dst)
+    # the ledger is written first and says which files are read
+    write_ledger(lacks.files if added else data_files(spark, src), draft.folder)
+    files = [r["path"] for r in spark.read.parquet(f"{draft.folder}/_ledger").select("path").collect()]
+    whole = read_table(spark, src)
+    df = make(spark.read.schema(whole.schema).parquet(*files) if files else whole.limit(0))
+    hashes = observed_write(lambda d: d.write.mode("append").parquet(draft.folder), df, f"{stage}_{name}")
+    if added:
+        hashes = add_hashes(hashes, before.notes["hashes"])
+    draft.publish((notes or {}) | {"hashes": hashes}, list(before.parts) if added else None)
+    return _entry(name, "ok", dst, hashes["n_rows"], len(df.columns), started, fingerprint_text(hashes), stored_bytes(spark, dst), read_files=len(files))
 
 
 def _checked(stage: str, entries: list[dict], strict: bool) -> list[dict]:
@@ -158,6 +195,8 @@ def run_bronze(
             out.append(_entry(name, "missing", dst, started=started))
             continue
         if incremental:
+            if is_taken(spark, dst) and not path_exists(spark, f"{dst}/_spark_metadata"):
+                raise FileExistsError(f"{dst} was not filled by an incremental copy")
             incremental_csv_to_parquet(
                 spark, src, dst, bronze_schema(spark, name, src), checkpoint=lake.checkpoint(f"bronze_{name}")
             )
@@ -165,12 +204,14 @@ def run_bronze(
             out.append(_entry(name, "ok", dst, stored.count(), len(stored.columns), started,
                               nbytes=stored_bytes(spark, dst)))
             continue
-        if is_committed(spark, dst) and not force:
+        if is_taken(spark, dst) and not force:
             out.append(_kept(spark, name, dst, started))
             continue
         df = read_csv(spark, src, schema=bronze_schema(spark, name, src))
-        n, fp = observed_write(lambda d: d.write.mode("overwrite").parquet(dst), df, f"bronze_{name}")
-        out.append(_entry(name, "ok", dst, n, len(df.columns), started, fp, stored_bytes(spark, dst),
+        draft = Draft(spark, dst)
+        hashes = observed_write(lambda d: d.write.parquet(draft.folder), df, f"bronze_{name}")
+        draft.publish({"hashes": hashes})
+        out.append(_entry(name, "ok", dst, hashes["n_rows"], len(df.columns), started, fingerprint_text(hashes), stored_bytes(spark, dst),
                           input_bytes=stored_bytes(spark, src)))
     _checked("bronze", out, False)
     append_audit(audit_rows(spark, "bronze", out), lake.audit)
@@ -178,9 +219,10 @@ def run_bronze(
 
 
 def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: bool = True) -> list[dict]:
-    """Type every bronze table; a failing table is recorded as ``error``
-    and the others continue.  Errors surface at the write (Spark is lazy),
-    so the ``try`` wraps the write action."""
+    """Type every bronze table; files that arrived in bronze since the last
+    run are typed alone.  A failing table is recorded as ``error`` and the
+    others continue.  Errors surface at the write (Spark is lazy), so the
+    ``try`` wraps the write action."""
     out = []
     for name in RAW_TABLES:
         started = utc_now()
@@ -188,13 +230,8 @@ def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
         if not is_committed(spark, src):
             out.append(_entry(name, "missing", dst, started=started))
             continue
-        if not force and _is_current(spark, dst, src):
-            out.append(_kept(spark, name, dst, started))
-            continue
         try:
-            typed = type_table(name, spark.read.parquet(src))
-            n, fp = observed_write(lambda d: d.write.mode("overwrite").parquet(dst), typed, f"silver_{name}")
-            out.append(_entry(name, "ok", dst, n, len(typed.columns), started, fp, stored_bytes(spark, dst)))
+            out.append(_carry(spark, "silver", name, src, dst, lambda df, name=name: type_table(name, df), started, force))
         except Exception as exc:  # recorded per table, the stage goes on
             out.append(_entry(name, "error", dst, started=started, error=str(exc)))
     append_audit(audit_rows(spark, "silver", out), lake.audit)
@@ -207,6 +244,19 @@ def run_silver(spark: SparkSession, lake: Lake, force: bool = False, strict: boo
 GOLD_INPUTS = ["calendar", "sell_prices", "sales_train_validation"]
 
 
+def _gold_rules(sample_n_series: int | None, sample_days: int | None) -> dict[str, tuple]:
+    """Of each gold table: its silver table, what makes it, whether row by row,
+    and the arguments that it depends on."""
+    sampled = sample_n_series is not None
+    return {
+        "dim_calendar": ("calendar", gd.dim_calendar, True, {}),
+        "dim_series": ("sales_train_validation", gd.dim_series, False, {}),
+        "fact_sell_prices": ("sell_prices", gd.fact_sell_prices, True, {}),
+        "fact_sales_long": ("sales_train_validation", lambda wide: gd.sales_long(wide, sample_n_series, sample_days), not sampled,
+                            {"sample_n_series": sample_n_series, "sample_days": sample_days}),
+    }
+
+
 def gold_tables(
     spark: SparkSession,
     lake: Lake,
@@ -218,15 +268,8 @@ def gold_tables(
     Defaults keep ALL series and days; the sample arguments reproduce the
     small first-N-series / last-N-days extract.
     """
-    cal = spark.read.parquet(lake.silver("calendar"))
-    prices = spark.read.parquet(lake.silver("sell_prices"))
-    wide = spark.read.parquet(lake.silver("sales_train_validation"))
-    return {
-        "dim_calendar": gd.dim_calendar(cal),
-        "dim_series": gd.dim_series(wide),
-        "fact_sell_prices": gd.fact_sell_prices(prices),
-        "fact_sales_long": gd.sales_long(wide, sample_n_series, sample_days),
-    }
+    rules = _gold_rules(sample_n_series, sample_days)
+    return {name: make(read_table(spark, lake.silver(source))) for name, (source, make, *_) in rules.items()}
 
 
 def run_gold(
@@ -237,7 +280,8 @@ def run_gold(
     sample_days: int | None = None,
     strict: bool = True,
 ) -> list[dict]:
-    """The gold tables; an output older than a silver input is rebuilt."""
+    """The gold tables.  What arrived in silver since the last run is added;
+    other sample arguments than the last run's make the sales anew."""
     started = utc_now()
     absent = [t for t in GOLD_INPUTS if not is_committed(spark, lake.silver(t))]
     if absent:
@@ -246,28 +290,17 @@ def run_gold(
         append_audit(audit_rows(spark, "gold", out), lake.audit)
         return _checked("gold", out, strict)
     out = []
-    for name, df in gold_tables(spark, lake, sample_n_series, sample_days).items():
-        started = utc_now()
-        dst = lake.gold(name)
-        result = {}
-
-        def write(d, dst=dst, result=result):
-            result["status"] = guarded_write(d, dst, policy="skip", force=True)
-
-        if not force and _is_current(spark, dst, *map(lake.silver, GOLD_INPUTS)):
-            out.append(_kept(spark, name, dst, started))
-            continue
-        n, fp = observed_write(write, df, f"gold_{name}")
-        out.append(_entry(name, result["status"], dst, n, len(df.columns), started, fp, stored_bytes(spark, dst)))
+    for name, (source, make, by_row, notes) in _gold_rules(sample_n_series, sample_days).items():
+        out.append(_carry(spark, "gold", name, lake.silver(source), lake.gold(name), make, utc_now(), force, by_row, notes))
     append_audit(audit_rows(spark, "gold", out), lake.audit)
     return out
 
 
 def _refuse_existing(spark: SparkSession, force: bool, *paths: str) -> None:
     """Before any work: outputs that are there are only replaced by force."""
-    there = [] if force else [p for p in paths if path_exists(spark, p)]
+    there = [] if force else [p for p in paths if is_taken(spark, p)]
     if there:
-        raise FileExistsError(f"already there: {', '.join(there)}; pass force=True to replace")
+        raise FileExistsError(f"already there: {', '.join(there)}; pass force=True to publish anew")
 
 
 def run_features(
@@ -283,10 +316,10 @@ def run_features(
     order)."""
     started = utc_now()
     _refuse_existing(spark, force, lake.features)
-    sales = spark.read.parquet(lake.gold("fact_sales_long"))
-    cal = spark.read.parquet(lake.gold("dim_calendar"))
+    sales = read_table(spark, lake.gold("fact_sales_long"))
+    cal = read_table(spark, lake.gold("dim_calendar"))
     feats = build_features(sales, cal, horizon, check_unique=check_unique)
-    write_features(feats, lake.features)
+    publish(spark, lake.features, lambda folder: write_features(feats, folder), force=True, notes={"horizon": horizon})
     stored = read_features(spark, lake.features)
     stats = stored.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).first()
     out = [_entry("fact_sales_features", "ok", lake.features, int(stats["n"]), len(stored.columns), started,
@@ -295,6 +328,21 @@ def run_features(
     return out
 
 
+def run_extend_features(spark: SparkSession, lake: Lake, new_sales: DataFrame, horizon: int = DEFAULT_HORIZON) -> list[dict]:
+    """X4 for new days: carry the stored feature table forward.
+
+    ``new_sales`` has the columns of the gold sales fact and only days after
+    those that a series has.  Read are the new rows, the last rows of each
+    series and the test rows, not the history.
+    """
+    started = utc_now()
+    cal = read_table(spark, lake.gold("dim_calendar"))
+    n = extend_features(spark, lake.features, new_sales, cal, horizon)
+    out = [_entry("fact_sales_features", "ok", lake.features, None, None, started, horizon=horizon, written_rows=n)]
+    append_audit(audit_rows(spark, "extend_features", out), lake.audit)
+    return out
+
+
 def run_dq(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, enforce: bool = True) -> dict:
     """Gate on the stored feature table."""
     started = utc_now()
@@ -311,11 +359,10 @@ def run_train(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, f
     """Fit the ridge baseline on the training rows and store the model.
     The output check happens BEFORE fitting."""
     started = utc_now()
-    if is_committed(spark, lake.model):  # a half-written model is redone
-        _refuse_existing(spark, force, lake.model)
+    _refuse_existing(spark, force, lake.model)  # a half-written model is none
     feats = read_features(spark, lake.features)
     model = md.fit_ridge(md.train_set(feats), alpha)
-    md.save_model(model, lake.model)
+    publish(spark, lake.model, lambda folder: md.save_model(model, folder), force=True)
     summary = md.train_summary(feats, horizon).first().asDict()
     append_audit(audit_rows(spark, "train", [_entry("model", "ok", lake.model, summary["n_train_used"], None,
                                                     started, total_rows=summary["n_rows"], horizon=horizon)]),
@@ -334,19 +381,24 @@ def run_eval(spark: SparkSession, lake: Lake, horizon: int = DEFAULT_HORIZON, fo
     test = md.test_set(feats)
     if test.isEmpty():
         raise ValueError("After dropping NULL features the test set is empty")
-    model = md.load_model(lake.model)
+    model = md.load_model(location(spark, lake.model))
     preds = md.predict(model, test)
-    mode = "overwrite" if force else "errorifexists"
-    preds.write.mode(mode).parquet(lake.output("predictions.parquet"))
-    stored = spark.read.parquet(lake.output("predictions.parquet"))
-    write_csv(stored, lake.output("eval_predictions.csv"), mode=mode)
+    # all outputs are written before the first is published
+    drafts = {name: Draft(spark, lake.output(name)) for name in names}
+    preds.write.parquet(drafts["predictions.parquet"].folder)
+    stored = spark.read.parquet(drafts["predictions.parquet"].folder)
+    write_csv(stored, drafts["eval_predictions.csv"].folder)
     metrics = ev.regression_metrics(stored)
-    write_csv(ev.metrics_long(metrics), lake.output("eval_metrics.csv"), mode=mode)
-    hist = ev.residual_histogram(ev.residuals(stored))
-    hist.write.mode(mode).parquet(lake.output("residual_histogram.parquet"))
+    write_csv(ev.metrics_long(metrics), drafts["eval_metrics.csv"].folder)
+    ev.residual_histogram(ev.residuals(stored)).write.parquet(drafts["residual_histogram.parquet"].folder)
+    for draft in drafts.values():
+        draft.publish()
     m = metrics.first().asDict()
-    append_audit(audit_rows(spark, "eval", [_entry("predictions", "ok", lake.output("predictions.parquet"),
-                                                   None, None, started, **m)]), lake.audit)
+    counts = {"predictions.parquet": stored, "eval_predictions.csv": stored, "eval_metrics.csv": ev.metrics_long(metrics),
+              "residual_histogram.parquet": spark.read.parquet(drafts["residual_histogram.parquet"].folder)}
+    entries = [_entry(name.split(".")[0], "ok", lake.output(name), df.count(), len(df.columns), started,
+                      nbytes=stored_bytes(spark, drafts[name].folder), **m) for name, df in counts.items()]
+    append_audit(audit_rows(spark, "eval", entries), lake.audit)
     return m
 
 

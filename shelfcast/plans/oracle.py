@@ -184,6 +184,22 @@ _DIM_CAL = """SELECT *, COALESCE(weekday IN ('Saturday', 'Sunday'), false) AS is
   event_name_1 IS NOT NULL AS is_event_day FROM calendar"""
 
 
+def _fingerprint(table: str, sql: str, columns: list[str], floats: tuple[str, ...]) -> str:
+    """The multiset hash of a table: sums of the halves of MD5s of canonical row texts."""
+
+    def text(c: str) -> str:
+        col = f'"{c}"'
+        t = f"CAST({col} AS VARCHAR)"
+        if c in floats:
+            x = f"CAST({col} AS DOUBLE)"
+            t = f"CAST(CAST(floor({x}) AS BIGINT) AS VARCHAR) || '+' || CAST(CAST(floor(({x} - floor({x})) * 4503599627370496) AS BIGINT) AS VARCHAR)"
+        return f"coalesce(length({t}) || ':' || {t}, '-')"
+
+    half = lambda start: f"CAST(coalesce(sum(CAST(CAST('0x' || substr(h, {start}, 16) AS UBIGINT) AS HUGEINT)), 0) AS VARCHAR)"
+    return (f"SELECT '{table}' AS table_name, count(*) AS n_rows, {half(1)} AS hash_hi, {half(17)} AS hash_lo "
+            f"FROM (SELECT md5({' || '.join(map(text, columns))}) AS h FROM ({sql}))")
+
+
 def statements() -> dict[str, str]:
     q: dict[str, str] = {}
     q["features"] = FEATURES + "\nSELECT * FROM features"
@@ -246,6 +262,12 @@ SELECT id, {_SUB_COLS} FROM nd, m WHERE n > mx - {rf.SUBMISSION_DAYS} GROUP BY i
     q["bronze_incremental"] = q["csv_scan"]
     q["guarded_write"] = q["dim_calendar"]
     q["guarded_write_fail"] = q["dim_calendar"]
+    q["forced_write_survives_failure"] = q["silver_sell_prices"]
+    q["silver_incremental"] = q["silver_sell_prices"]
+    q["gold_incremental"] = q["sales_long_full"]
+    q["sales_long_from_lines"] = q["sales_long_full"]
+    q["features_extended"] = q["features"]
+    q["first_rows_in_file_order"] = with_base() + "\nSELECT * FROM dense ORDER BY id, d LIMIT 1000"
     q["input_completeness"] = with_base() + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, 'ok' AS status, 'ok' AS overall_status FROM bounds" for t in RAW_TABLES
     )
@@ -276,6 +298,11 @@ SELECT 'dim_calendar' AS table_name, count(*) AS n_rows, 16 AS n_columns FROM ca
 UNION ALL SELECT 'dim_series', count(*), 6 FROM (SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM dense)
 UNION ALL SELECT 'fact_sell_prices', count(*), 4 FROM prices
 UNION ALL SELECT 'fact_sales_long', count(*), 8 FROM dense"""
+    tables = {"dim_calendar": (_DIM_CAL, [*rf.CALENDAR_COLUMNS, "is_weekend", "is_event_day"], ()),
+              "dim_series": ("SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM dense", rf.META_COLUMNS, ()),
+              "fact_sell_prices": ("SELECT * FROM prices", ["store_id", "item_id", "wm_yr_wk", "sell_price"], ("sell_price",)),
+              "fact_sales_long": ("SELECT * FROM dense", [*rf.META_COLUMNS, "d", "sales"], ())}
+    q["table_fingerprint"] = with_base() + "\n" + "\nUNION ALL\n".join(_fingerprint(name, *t) for name, t in tables.items())
     q["stg_features_view"] = q["features"]
     # model inputs and evaluation
     num = ", ".join(_NUMERIC)
@@ -292,6 +319,9 @@ SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT is_test AND {_ALL_LAGS_PRE
         [f"SELECT '{c}' AS feature, CAST(0.0 AS DOUBLE) AS residual FROM bounds" for c in plain]
         + [f"SELECT DISTINCT '{c}=' || {c}, CAST(0.0 AS DOUBLE) FROM features WHERE NOT is_test AND {_ALL_LAGS_PRESENT}" for c in ["id", *_CATEG]]
     )
+    q["prediction_difference"] = FEATURES + f"""
+SELECT id, d, CAST(0.0 AS DOUBLE) AS difference FROM features WHERE is_test AND {_ALL_LAGS_PRESENT}"""
+    q["predictions_csv"] = with_base(_features(), _LAG7_PRED) + "\nSELECT id, d, y_true, y_pred FROM preds"
     q["residuals"] = with_base(_features(), _LAG7_PRED) + (
         "\nSELECT id, d, y_true, y_pred, y_true - y_pred AS residual FROM preds"
     )

@@ -9,47 +9,29 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.sources.fs import fs_and_path, modified_at, path_exists, qualified
+from shelfcast.sources.versions import current, publish, published_at, read_table
 
 MANIFEST_PIECE = 8 << 20
-
-
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence through the Hadoop FileSystem of the path (local, HDFS, S3...)."""
-    fs, hpath = _fs_and_path(spark, path)
-    return bool(fs.exists(hpath))
-
-
 SAVED = "_SAVED"
 
 
 def create_marker(spark: SparkSession, path: str) -> None:
     """An empty file at ``path``."""
-    fs, hpath = _fs_and_path(spark, path)
+    fs, hpath = fs_and_path(spark, path)
     fs.create(hpath, True).close()
 
 
-def drop_marker(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs_and_path(spark, path)
-    fs.delete(hpath, False)
-
-
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a COMMITTED output.
 
-    Spark's commit protocol writes ``_SUCCESS`` only when the whole job
-    commits, a streaming file sink commits through its ``_spark_metadata``
-    log.  An ML model is written stage by stage, its metadata first, so
-    ``save_model`` adds a marker of its own after the last stage.
+    A published output has a version record.  Of plain folders, Spark's commit
+    protocol writes ``_SUCCESS`` only when the whole job commits, a streaming
+    file sink commits through its ``_spark_metadata`` log, and ``save_model``
+    adds a marker of its own after its last part.
     """
     base = path.rstrip("/")
-    return any(path_exists(spark, f"{base}/{name}") for name in ("_SUCCESS", SAVED, "_spark_metadata/0"))
+    return current(spark, base) is not None or any(path_exists(spark, f"{base}/{name}") for name in ("_SUCCESS", SAVED, "_spark_metadata/0"))
 
 
 def is_input(spark: SparkSession, path: str) -> bool:
@@ -58,20 +40,10 @@ def is_input(spark: SparkSession, path: str) -> bool:
 
 
 def changed_at(spark: SparkSession, path: str) -> int:
-    """When an output was last written, in milliseconds: the newest change of
-    its folder and commit records."""
-    base, newest = path.rstrip("/"), 0
-    for place in (base, f"{base}/_SUCCESS", f"{base}/_spark_metadata"):
-        fs, hpath = _fs_and_path(spark, place)
-        if fs.exists(hpath):
-            newest = max(newest, int(fs.getFileStatus(hpath).getModificationTime()))
-    return newest
-
-
-def _in_progress(path: str) -> str:
-    """The marker beside an output that a guarded write of ours has begun."""
-    folder, _, name = path.rstrip("/").rpartition("/")
-    return f"{folder}/_{name}.writing"
+    """When an output was last written, in milliseconds: its newest version, or
+    the newest change of a plain folder and its commit records."""
+    base = path.rstrip("/")
+    return published_at(spark, base) or max(modified_at(spark, p) for p in (base, f"{base}/_SUCCESS", f"{base}/_spark_metadata"))
 
 
 def guarded_write(
@@ -81,37 +53,17 @@ def guarded_write(
     force: bool = False,
     fmt: str = "parquet",
 ) -> str:
-    """Write unless the output exists (S13 ``skip``, S14 ``fail``).
+    """Publish ``df`` unless the output exists (S13 ``skip``, S14 ``fail``).
 
-    * ``force``            -> overwrite, status ``ok``
+    * ``force``            -> a new version, status ``ok``
     * exists and ``skip``  -> keep the existing output, status ``exists``
     * exists and ``fail``  -> ``FileExistsError``
     * otherwise            -> write, status ``ok``
 
-    Whatever lies at ``path`` exists, whoever wrote it, and is only replaced
-    by ``force``.  The one exception is a leftover of this function: a write
-    is announced by a marker beside the path, which goes when it commits, so
-    an interrupted write is redone by the next call.
+    Whatever lies at ``path`` exists, whoever wrote it; only a folder that
+    holds nothing but versions that were never finished does not.
     """
-    if policy not in ("skip", "fail"):
-        raise ValueError(f"unknown policy {policy!r}")
-    spark = df.sparkSession
-    marker = _in_progress(path)
-    ours = path_exists(spark, marker) and not is_committed(spark, path)
-    if path_exists(spark, path) and not force and not ours:
-        if policy == "fail":
-            raise FileExistsError(f"{path} is there already; pass force=True to replace it")
-        return "exists"
-    create_marker(spark, marker)
-    df.write.format(fmt).mode("overwrite").save(path)
-    drop_marker(spark, marker)
-    return "ok"
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """Fully qualified form of ``path`` (``file:/...``, ``hdfs://...``)."""
-    fs, hpath = _fs_and_path(spark, path)
-    return str(fs.makeQualified(hpath).toString())
+    return publish(df.sparkSession, path, lambda folder: df.write.format(fmt).save(folder), policy, force)
 
 
 def file_manifest(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
@@ -185,6 +137,6 @@ def input_completeness(manifest: DataFrame, expected: Iterable[str], name_col: s
 
 def register_view(spark: SparkSession, source: str | DataFrame, name: str = "stg_gold") -> DataFrame:
     """Named view over a Parquet path or a DataFrame."""
-    df = spark.read.parquet(source) if isinstance(source, str) else source
+    df = read_table(spark, source) if isinstance(source, str) else source
     df.createOrReplaceTempView(name)
     return spark.table(name)

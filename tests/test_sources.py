@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from shelfcast.functions.columns import cast_columns, day_columns
 from shelfcast.functions.dates import parse_date
 from shelfcast.operators import gold as gd
-from shelfcast.operators.audit import table_fingerprint, table_profile
+from shelfcast.operators.audit import add_hashes, table_fingerprint, table_profile
 from shelfcast.operators.typing import type_calendar, type_table
 from shelfcast.session import scratch_path
 from shelfcast.sources.csv import read_csv, write_csv
 from shelfcast.sources.files import file_manifest, guarded_write, input_completeness
+from shelfcast.sources.first_rows import first_rows
+from shelfcast.sources.lines import wide_lines_to_long
+from shelfcast.sources.versions import read_table
 
 
 def test_csv_dialect_roundtrip_and_blank_is_null(spark):
@@ -93,11 +96,11 @@ def test_guarded_write_policies(spark):
     path = scratch_path(spark, "guard")
     assert guarded_write(df, path, policy="skip") == "ok"
     assert guarded_write(spark.range(10), path, policy="skip") == "exists"
-    assert spark.read.parquet(path).count() == 3
+    assert read_table(spark, path).count() == 3
     with pytest.raises(FileExistsError):
         guarded_write(df, path, policy="fail")
     assert guarded_write(spark.range(5), path, policy="fail", force=True) == "ok"
-    assert spark.read.parquet(path).count() == 5
+    assert read_table(spark, path).count() == 5
 
 
 def test_manifest_sha256_and_completeness(spark):
@@ -125,7 +128,14 @@ def test_profile_and_fingerprint(spark):
     fa, fb = table_fingerprint(a).first(), table_fingerprint(b).first()
     assert fa == fb and fa["n_rows"] == 3
     c = spark.createDataFrame([(1, "x")], "k int, v string")
-    assert table_fingerprint(c).first()["sum_hash"] != fa["sum_hash"]
+    assert table_fingerprint(c).first()["hash_hi"] != fa["hash_hi"]
+    # parts add up; NULL, empty text and the text of NULL's mark differ
+    one, two = (table_fingerprint(df).first().asDict() for df in (a.where("k = 1"), a.where("k = 2")))
+    assert add_hashes(one, two) == fa.asDict()
+    texts = [table_fingerprint(spark.createDataFrame([r], "a string, b string")).first() for r in ((None, "x"), ("", "x"), ("-", "x"), ("x", None), ("1:x", ""))]
+    assert len(set(texts)) == len(texts)
+    numbers = [table_fingerprint(spark.createDataFrame([(x,)], "x double")).first() for x in (0.1, 0.1 + 2**-52, -0.1, 1e19, -1e19, float("nan"), float("inf"), None)]
+    assert len(set(numbers)) == len(numbers) - 1 and numbers[3] == numbers[6]
     prof = {r["table_name"]: (r["n_rows"], r["n_columns"]) for r in table_profile({"a": a, "c": c}).collect()}
     assert prof == {"a": (3, 2), "c": (1, 2)}
 
@@ -141,7 +151,8 @@ def _local(path):
 
 
 def test_guarded_write_redoes_only_its_own_leftover(spark):
-    from shelfcast.sources.files import _in_progress, create_marker, is_committed
+    from shelfcast.sources.files import is_committed
+    from shelfcast.sources.versions import Draft
 
     path = scratch_path(spark, "leftover")
     spark.range(3).write.parquet(path)
@@ -151,11 +162,91 @@ def test_guarded_write_redoes_only_its_own_leftover(spark):
             assert guarded_write(spark.range(7), path, policy=policy) == "exists"
         except FileExistsError:
             assert policy == "fail"
-        assert spark.read.parquet(path).count() == 3
-    create_marker(spark, _in_progress(path))  # as if our own write had died before its commit
-    assert guarded_write(spark.range(7), path, policy="fail") == "ok"
-    assert spark.read.parquet(path).count() == 7 and is_committed(spark, path)
-    assert guarded_write(spark.range(1), path, policy="skip") == "exists"
+        assert read_table(spark, path).count() == 3
+    # force publishes beside it and leaves it whole
+    assert guarded_write(spark.range(7), path, force=True) == "ok"
+    assert read_table(spark, path).count() == 7 and spark.read.parquet(path).count() == 3
+    other = scratch_path(spark, "own_leftover")
+    spark.range(9).write.parquet(Draft(spark, other).folder)  # as if our own write had died before its record
+    assert not is_committed(spark, other)
+    assert guarded_write(spark.range(7), other, policy="fail") == "ok"
+    assert read_table(spark, other).count() == 7 and is_committed(spark, other)
+    assert guarded_write(spark.range(1), other, policy="skip") == "exists"
+
+
+def test_versions(spark):
+    from shelfcast.sources import versions as vs
+
+    path = scratch_path(spark, "versions")
+    assert vs.current(spark, path) is None and not vs.is_taken(spark, path)
+    for n in range(1, 5):
+        assert vs.publish(spark, path, lambda f, n=n: spark.range(n).write.parquet(f), force=True, notes={"n": n}) == "ok"
+    now = vs.current(spark, path)
+    assert now.number == 4 and now.notes == {"n": 4} and vs.location(spark, path) == now.parts[0]
+    kept = [x for x in os.listdir(_local(path)) if not x.startswith(".")]
+    assert len([x for x in kept if x.startswith("_version-")]) == len(os.listdir(os.path.join(_local(path), vs.HOME))) == vs.KEEP
+    # a failed write leaves the version, and the next one is not held up
+    with pytest.raises(Exception, match="lost"):
+        vs.publish(spark, path, lambda f: spark.range(9).select(F.raise_error(F.lit("lost"))).write.parquet(f), force=True)
+    assert vs.current(spark, path) == now and read_table(spark, path).count() == 4
+    # parts of the version before stay
+    draft = vs.Draft(spark, path)
+    spark.range(2).write.parquet(draft.folder)
+    draft.publish(keep_parts=list(now.parts))
+    assert read_table(spark, path).count() == 6
+    with pytest.raises(ValueError, match="2 folders"):
+        vs.location(spark, path)
+    # of two that were begun together the second is refused
+    one, two = vs.Draft(spark, path), vs.Draft(spark, path)
+    for d in (one, two):
+        spark.range(1).write.parquet(d.folder)
+    one.publish()
+    with pytest.raises(FileExistsError, match="meanwhile"):
+        two.publish()
+    assert read_table(spark, path).count() == 1
+    file = scratch_path(spark, "a_file")
+    os.makedirs(os.path.dirname(_local(file)), exist_ok=True)
+    open(_local(file), "w").close()
+    with pytest.raises(FileExistsError, match="is a file"):
+        guarded_write(spark.range(1), file, force=True)
+
+
+def test_wide_lines_to_long(spark):
+    d = tempfile.mkdtemp(prefix="shelfcast-lines-")
+
+    def write(name, *lines):
+        with open(os.path.join(d, name), "w", newline="") as f:
+            f.write("\n".join(lines) + "\n")
+
+    write("a.csv", "id,item,d_1,note,d_10,d_2", 'A,"x, ""y""",1,n,2,3', "", 'B,,4,"",,-6\r')
+    write("b.csv", "id,item,d_1,note,d_10,d_2")
+    got = sorted(map(tuple, wide_lines_to_long(spark, d, ["id", "item"]).collect()), key=repr)
+    by_columns = read_csv(spark, d, schema="id string, item string, d_1 int, note string, d_10 int, d_2 int").where("id is not null")
+    want = by_columns.unpivot(["id", "item"], ["d_1", "d_10", "d_2"], "d", "sales")
+    assert got == sorted(map(tuple, want.collect()), key=repr) and len(got) == 6
+    for bad, why in (("C,z,1,n,2", "not 6 fields"), ("C,z,1,n,2,3,4", "not 6 fields"), ("C,z,1x,n,2,3", "CAST_INVALID|1x"), ("C,z, 1,n,2,3", "a cell"),
+                     ('C,"z,1,n,2,3', "quotes|fields"), ("id,item,d_2,note,d_10,d_1", "another header")):
+        write("c.csv", "id,item,d_1,note,d_10,d_2", bad)
+        with pytest.raises(Exception, match=why):
+            wide_lines_to_long(spark, d, ["id", "item"]).collect()
+    with pytest.raises(ValueError, match="shop"):
+        wide_lines_to_long(spark, d, ["shop"])
+    plan = wide_lines_to_long(spark, d, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan and "Generate posexplode" in plan and "Exchange" not in plan
+
+
+def test_first_rows_open_few_files(spark):
+    path = scratch_path(spark, "first_rows")
+    spark.range(1000).repartitionByRange(10, "id").sortWithinPartitions("id").write.parquet(path)
+    for n, files in ((1, 1), (100, 1), (101, 2), (450, 5), (5000, 10)):
+        out = first_rows(spark, path, n)
+        assert [r["id"] for r in out.collect()] == list(range(min(n, 1000)))
+        assert len(out.inputFiles()) == files
+    with pytest.raises(ValueError, match="at least 1"):
+        first_rows(spark, path, 0)
+    empty = scratch_path(spark, "first_rows_empty")
+    spark.range(0).write.parquet(empty)
+    assert first_rows(spark, empty, 3).count() == 0
 
 
 def test_sample_in_file_order(spark):
