@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -33,6 +34,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``key``, such that adaptive execution
+    can split a hot key.
+
+    A side that comes out of an aggregation by the key brings its partitioning
+    along and could not be split.  Joined by an expression of the key, both
+    sides get an exchange for this join alone.
+    """
+    kind = left.schema[key].dataType.simpleString()
+    part = F.hex(key) if kind == "binary" else F.col(key).cast("decimal(20,0)") if kind in ("bigint", "int") else F.concat(F.lit("="), F.col(key))
+    return left.withColumn("_on", part).join(right.withColumn("_on", part).drop(key), "_on", how).drop("_on")
+
+
 def by_batch(df: DataFrame, func: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
     """``func`` turns a batch of rows into the columns of ``schema``.
 
