@@ -57,3 +57,42 @@ def test_no_samples_and_empty(spark):
     assert secrets.train(d) is None and secrets.train(d.limit(0)) is None
     assert [r["added"] for r in secrets.find_secrets(d, None).collect()] == [[], []]
     assert secrets.find_secrets(d.limit(0), None).count() == 0
+
+
+def test_long_tokens_and_many_matches_take_seconds(spark):
+    import random
+    import time
+
+    rng = random.Random(4)
+    token = "".join(rng.choices("GHIJKLMNOPghijklmnop0123456789", k=1_000_000))
+    many = " ".join(f"token=abc{i:06d}x {'0123456789abcdef' * 2} thing_{i}_of_2_and_more_things" for i in range(34_000))
+    ratios = secrets.train(corpus(spark))
+    began = time.time()
+    rows = {r["doc_id"]: r for r in secrets.find_secrets(docs(spark, [(1, f"x {token} y"), (2, many)]), ratios).select("doc_id", "base", "added").collect()}
+    assert time.time() - began < 60
+    assert [(s["start"], s["end"]) for s in rows[1]["added"]] == [(2, 1_000_002)]
+    assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in rows[2]["base"]] == brute(many) and len(rows[2]["base"]) == 68_000
+    places = {(s["start"], s["end"]) for s in rows[2]["base"]}
+    assert all(not (a < t["end"] and t["start"] < b) for t in rows[2]["added"][:50] for a, b in places)
+
+
+def test_running_totals_and_free_tokens(spark):
+    from pyspark.sql import functions as F
+
+    for n in (0, 1, 2, secrets.PIECE, secrets.PIECE + 1, 3 * secrets.PIECE + 7):
+        got = spark.createDataFrame([(list(range(1, n + 1)),)], "x array<int>").select(secrets._running(F.col("x"))).first()[0]
+        assert got == [i * (i + 1) // 2 for i in range(1, n + 1)]
+    span = lambda a, b: (a, 0, "k", b, "")
+    rng = __import__("random").Random(9)
+    tokens = [span(5 * i, 5 * i + rng.randint(1, 5)) for i in range(900)]
+    base = sorted(span(a := rng.randint(0, 4600), a + rng.randint(1, 30)) for _ in range(120))
+    df = spark.createDataFrame([(tokens, base), (tokens, []), ([], base)], f"t {secrets.SPAN}, b {secrets.SPAN}")
+    got = [[tuple(x) for x in r[0]] for r in df.select(secrets._free(F.col("t"), F.col("b"))).collect()]
+    assert got == [[t for t in tokens if not any(b[0] < t[3] and t[0] < b[3] for b in base)], tokens, []]
+
+
+def test_clashing_columns_are_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="base"):
+        secrets.find_secrets(spark.createDataFrame([("a", 1)], "text string, base int"), None)
