@@ -44,7 +44,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored
+from shelfcast.llm.common import split_join, stored
 
 BLOCK = 512
 FILE_BYTES = 256 << 20
@@ -57,11 +57,28 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path)) if re.match(r"\w+:", path) else (pafs.LocalFileSystem(), path)
 
 
-def read_range(path: str, at: int, size: int) -> bytes:
-    fs, place = _open(path)
-    with fs.open_input_file(place) as f:
-        f.seek(at)
-        return f.read(size)
+class Files:
+    """Ranges of files; the last few files that were read stay open."""
+
+    OPEN = 4
+
+    def __init__(self):
+        self.held: dict[str, pa.NativeFile] = {}
+
+    def read(self, path: str, at: int, size: int) -> bytes:
+        file = self.held.pop(path, None)
+        if file is None:
+            fs, place = _open(path)
+            file = fs.open_input_file(place)
+            if len(self.held) == self.OPEN:
+                self.held.pop(next(iter(self.held))).close()
+        self.held[path] = file  # the last one read is the last to go
+        file.seek(at)
+        return file.read(size)
+
+    def close(self) -> None:
+        while self.held:
+            self.held.popitem()[1].close()
 
 
 def url_key(url: str) -> str:
@@ -114,7 +131,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
     # one count per task and digest is shuffled, so a very common payload is no large group
     equal = rows.where(F.octet_length("payload") >= smallest).groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("first"))
-    marked = rows.join(equal.where("n > 1").drop("n").withColumn("dup", F.lit(True)), "sha", "left").withColumn("revisit", F.col("dup").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")))
+    marked = split_join(rows, equal.where("n > 1").drop("n").withColumn("dup", F.lit(True)), "sha", "left").withColumn("revisit", F.col("dup").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")))
     marked = marked.select(F.monotonically_increasing_id().alias("copy"), "id", "url", "payload", "first", "revisit")
     arrow = pa.schema([("key", pa.string()), ("id", pa.int64()), ("copy", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("size", pa.int64())])
 
@@ -188,6 +205,7 @@ class Index:
     def __init__(self, shards: list[tuple[str, str, int, int]], index_folder: str, archive_folder: str):
         self.shards, self.index_folder, self.archive_folder = sorted(shards), index_folder, archive_folder
         self.firsts = [s[0] for s in self.shards]
+        self.files = Files()
         self.file = self.block = None
 
     def find(self, key: str) -> dict | None:
@@ -198,14 +216,14 @@ class Index:
         if self.file != n:
             _, name, at, size = self.shards[n]
             self.file, self.block = n, None
-            self.directory = json.loads(zlib.decompress(read_range(f"{self.index_folder}/{name}", at, size)))
+            self.directory = json.loads(zlib.decompress(self.files.read(f"{self.index_folder}/{name}", at, size)))
             self.starts = [d[0] for d in self.directory]
         b = bisect.bisect_right(self.starts, key) - 1
         if b < 0:
             return None
         if self.block != b:
             _, at, size = self.directory[b]
-            lines = zlib.decompress(read_range(f"{self.index_folder}/{self.shards[n][1]}", at, size)).decode().split("\n")
+            lines = zlib.decompress(self.files.read(f"{self.index_folder}/{self.shards[n][1]}", at, size)).decode().split("\n")
             self.block, self.lines = b, [x.rpartition(" {")[::2] for x in lines]
         i = bisect.bisect_left(self.lines, key, key=lambda x: x[0])
         return json.loads("{" + self.lines[i][1]) if i < len(self.lines) and self.lines[i][0] == key else None
@@ -213,7 +231,7 @@ class Index:
     def get(self, key: str) -> tuple[dict[str, str], bytes] | None:
         """Header and payload of the record of a key."""
         line = self.find(key)
-        return line and parse(read_range(f"{self.archive_folder}/{line['file']}", line["at"], line["size"]))
+        return line and parse(self.files.read(f"{self.archive_folder}/{line['file']}", line["at"], line["size"]))
 
 
 def look_up(keys: DataFrame, shards: DataFrame, index_folder: str, archive_folder: str) -> DataFrame:
@@ -240,6 +258,7 @@ def look_up(keys: DataFrame, shards: DataFrame, index_folder: str, archive_folde
                 out.append({"id": r["id"], "copy": r["copy"], "payload_bytes": int(head["WARC-Payload-Length"]), "payload_digest": sha,
                             "record_type": head["WARC-Type"], "refers_to": None if page == "null" else int(page)})
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
+        index.files.close()
 
     # sorted keys, so that a task reads each directory and block once; the number of tasks is
     # fixed, as a key is few bytes here but stands for a whole record to read
