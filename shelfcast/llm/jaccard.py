@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import WORD, by_batch, stored
+from shelfcast.llm.common import WORD, by_batch, split_join, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -192,10 +192,8 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         # each node's larger neighbours move to its smallest neighbour; then the others
         both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        # joined by an expression of x: both sides are then shuffled for the join itself, which may
-        # split a node with very many neighbours, as it may not behind the aggregation's own shuffle
-        key = F.col("x").cast("decimal(20,0)").alias("key")
-        large = both.where("y > x").select(key, "y").join(least.select(key, "m"), "key").select(F.col("y").alias("v"), F.col("m").alias("u"))
+        # a node may have very many neighbours
+        large = split_join(both.where("y > x"), least, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
         large = stored(large.where("u < v").distinct(), f"{name}-large")
         lower = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(lower, "v")
@@ -231,10 +229,10 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     # candidate groups: sets of representatives connected by common keys
     keyed = own.select("node", F.explode("keys").alias("key"))
     meet = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
-    groups = connected(keyed.join(meet, "key").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")), "jaccard-groups")
+    groups = connected(split_join(keyed, meet, "key").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")), "jaccard-groups")
     members = groups.join(own.drop("keys"), "node")
     sides = members.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / CELL_SHINGLES)).cast("int").alias("sides"))
-    members = members.join(sides, "root").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
+    members = split_join(members, sides, "root").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
     texts = rows.join(members, rows["id"].eqNullSafe(members["rep"]))
 
     def describe(batch: pa.RecordBatch) -> dict[str, list]:
@@ -277,6 +275,6 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     told = own.drop("keys").join(links, "node", "left").join(classes, "node", "left")
     told = stored(told.select("digest", F.col("rep").alias("text_class"), F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "jaccard-told")
     least_id = told.groupBy("root").agg(F.min("text_class").alias("class_id"))
-    told = told.join(least_id, "root").select("digest", "text_class", "class_id", "n_links")
+    told = split_join(told, least_id, "root").select("digest", "text_class", "class_id", "n_links")
     out = sketches.select("id", "digest").join(told, "digest", "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("text_class", "id").alias("text_class"))
