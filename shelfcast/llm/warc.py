@@ -81,6 +81,15 @@ class Files:
             self.held.popitem()[1].close()
 
 
+def read_range(path: str, at: int, size: int) -> bytes:
+    """One range of a file."""
+    files = Files()
+    try:
+        return files.read(path, at, size)
+    finally:
+        files.close()
+
+
 def url_key(url: str) -> str:
     """The URL with its host in reverse order, without scheme, ``www``, user
     or default port."""
