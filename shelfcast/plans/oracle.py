@@ -30,7 +30,8 @@ stores AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 li AS (
-  SELECT p.p_type AS item_id, st.store_id, st.state_id, CAST(l.l_shipdate AS DATE) AS dt,
+  SELECT CASE WHEN p.p_partkey < {rf.PARTS_PER_ITEM} THEN p.p_type
+              ELSE p.p_type || '_' || CAST(p.p_partkey // {rf.PARTS_PER_ITEM} AS VARCHAR) END AS item_id, st.store_id, st.state_id, CAST(l.l_shipdate AS DATE) AS dt,
          l.l_quantity AS qty, l.l_extendedprice / l.l_quantity AS unit_price
   FROM lineitem l
   JOIN part p ON l.l_partkey = p.p_partkey
@@ -46,7 +47,7 @@ series AS (SELECT DISTINCT item_id, store_id, state_id FROM observed),
 dense_dt AS (
   SELECT s.item_id || '_' || s.store_id AS id,
          s.item_id AS item_id,
-         CASE WHEN s.item_id IN ({_SIZED}) THEN 'SIZED' ELSE 'RANGE' END AS dept_id,
+         CASE WHEN split_part(s.item_id, '_', 1) IN ({_SIZED}) THEN 'SIZED' ELSE 'RANGE' END AS dept_id,
          '{rf.CATEGORY}' AS cat_id,
          s.store_id AS store_id,
          s.state_id AS state_id,

@@ -4,7 +4,9 @@ The library's operators consume M5-style tables: a calendar, weekly sell
 prices, a WIDE daily sales table (one ``d_*`` column per day) and a forecast
 submission.  The test data is a TPC-H-like star, so this module maps it:
 
-* a *series* is (item = ``p_type``, store = ``n_name``, state = ``r_name``),
+* a *series* is (item, store = ``n_name``, state = ``r_name``); an item is a
+  ``p_type`` of a block of ``PARTS_PER_ITEM`` parts, so items and series grow
+  with the parts (the first block's items are named by the type alone),
 * daily sales are ``sum(l_quantity)`` of the line items shipped that day,
 * a weekly sell price is the highest ``l_extendedprice / l_quantity``.
 
@@ -44,7 +46,8 @@ from shelfcast.sources.tables import read_table
 # SNAP rules).  They must be identical in the DuckDB oracle SQL.
 EPOCH = "1995-01-01"  # d_n is the day n days after this date
 FIRST_WEEK = 11101  # wm_yr_wk of days 0..6; one week per 7 days after
-SIZED_ITEMS = ["SMALL", "MEDIUM", "LARGE"]  # dept_id SIZED, every other item RANGE
+SIZED_ITEMS = ["SMALL", "MEDIUM", "LARGE"]  # types with dept_id SIZED, every other RANGE
+PARTS_PER_ITEM = 10_000
 CATEGORY = "GOODS"  # the single cat_id
 EVENTS = [("12-25", "Christmas", "Religious"), ("07-04", "IndependenceDay", "National")]
 SERIES_KEYS = ["item_id", "store_id", "state_id"]
@@ -91,6 +94,12 @@ def supplier_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_of(part_type: Column, part: Column) -> Column:
+    """The item of a part: its type, with the number of its block but for the first."""
+    block = F.floor(part / PARTS_PER_ITEM).cast("bigint")
+    return F.when(block == 0, part_type).otherwise(F.concat(part_type, F.lit("_"), block.cast("string")))
+
+
 def item_supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items aggregated to (item_id, l_suppkey, dt).
 
@@ -108,7 +117,7 @@ def item_supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("dt"),
     )
     part = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("item_id")
+        F.col("p_partkey").alias("l_partkey"), item_of(F.col("p_type"), F.col("p_partkey")).alias("item_id")
     )
     by_part = li.groupBy("l_partkey", "l_suppkey", "dt").agg(*measures)
     return by_part.join(part, "l_partkey").groupBy("item_id", "l_suppkey", "dt").agg(*measures)
@@ -210,7 +219,7 @@ def _series_meta() -> list[Column]:
     return [
         F.concat(item, F.lit("_"), F.col("store_id")).alias("id"),
         item,
-        F.when(item.isin(*SIZED_ITEMS), F.lit("SIZED")).otherwise(F.lit("RANGE")).alias("dept_id"),
+        F.when(F.split_part(item, F.lit("_"), F.lit(1)).isin(*SIZED_ITEMS), F.lit("SIZED")).otherwise(F.lit("RANGE")).alias("dept_id"),
         F.lit(CATEGORY).alias("cat_id"),
         F.col("store_id"),
         F.col("state_id"),
