@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import SPACE, split_join
+from shelfcast.llm.common import SPACE, split_join, stored
 
 OWN = ("_row", "_of", "_same", "_drop", "_lines")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,6 +51,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line = rows.select(F.col(id_col).alias("_doc"), "_row", F.posexplode(_lines(F.col(text_col))).alias("_at", "_line"))
     key = line.select("_doc", "_row", "_at", _key(F.col("_line")).alias("_key")).where(F.char_length("_key") >= min_chars)
     held = key.groupBy("_doc", "_row", F.unhex(F.md5("_key")).alias("_hash")).agg(F.collect_list("_at").alias("_places"))
+    held = stored(held, "lines-held")  # read twice below
     # a document of null id counts, but is never the largest
     counted = held.select("_doc", "_hash").distinct().groupBy("_hash").agg(F.count(F.lit(1)).alias("n"), F.max("_doc").alias("_last"))
     common = split_join(held, counted.where(F.col("n") >= min_docs).drop("n"), "_hash").where(~F.col("_doc").eqNullSafe(F.col("_last")))
