@@ -1,14 +1,26 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are streams of lower-case word tokens.  Items
-are cut into blocks of at most ``BLOCK_TOKENS`` tokens (a longer item is a
-block of its own); for each block, one pass over all documents joins them to
-the items by shared seeds, the runs of ``MIN_MATCH`` tokens, looked up by
-their Karp-Rabin hashes.  A block is what is broadcast, so its size is bounded
-whatever the size of the benchmark.  Each pair of a document and an item that
-share a seed is tiled: runs of tokens that neither side has used yet are
-compared by running hashes of falling lengths and token by token, and the
-longest match is marked first, until no match of ``MIN_MATCH`` tokens is left.
+Documents and benchmark items are streams of lower-case word tokens, held as
+63-bit hashes.  A seed is a run of ``MIN_MATCH`` tokens (of an item's own
+length, if that is less), known by its Karp-Rabin hash.  The steps:
+
+1. items are tokenised, equal ones are one from here on, and their seeds are
+   a table;
+2. one pass over the documents hashes their runs and keeps those that may be
+   seeds.  What decides is a bitmap of ``BITS`` bits, of one size for any
+   benchmark: a large benchmark fills it and lets more runs through, it never
+   holds a seed back.  Only the runs kept leave the task, with a digest of the
+   text, and equal texts are one;
+3. seeds of documents and items are joined on their hashes by Spark, sides
+   split where a seed is hot.  Each pair of a text and an item gets the places
+   of the seeds it shares; a pair whose seeds could not cover ``threshold`` of
+   the item, each of them covering its own tokens only, ends here;
+4. the pairs left are tiled: runs of tokens that neither side has used yet are
+   compared by running hashes of falling lengths and token by token, and the
+   longest match is marked first, until no match of ``MIN_MATCH`` tokens is
+   left.  The text is not needed for that: a match lies inside runs that seeds
+   cover, and these have the item's tokens.
+
 Matches may come in any order, so reordered passages count as well.  A pair is
 contaminated if tiles cover at least ``threshold`` of the item's tokens.
 
@@ -21,6 +33,7 @@ null.  Empty tables give an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import defaultdict
 
@@ -29,11 +42,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import by_batch
+from shelfcast.llm.common import by_batch, split_join, stored
 
 MIN_MATCH = 5
 THRESHOLD = 0.6
-BLOCK_TOKENS = 1_000_000
+#: Size of the bitmap of seeds, which every task holds: 8 MB.
+BITS = 1 << 26
 _BASE = 0x2545F4914F6CDD1D
 
 tokens = re.compile(r"\w+").findall
@@ -100,113 +114,151 @@ def _runs(x: list[int], used: list[bool], k: int) -> list[tuple[int, int]]:
     return out
 
 
-class Block:
-    """Some items, their vocabulary and their seeds."""
-
-    def __init__(self, items: list[tuple[int, list[str]]], shortest: int):
-        self.vocabulary: dict[str, int] = {}
-        self.items = [(i, [self.vocabulary.setdefault(t, len(self.vocabulary)) for t in ts], min(shortest, len(ts))) for i, ts in items]
-        # seeds by their length: as long as the shortest match, or a shorter item as a whole
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in {k for *_, k in self.items}:
-            pairs = [np.unique(_sums(np.array(ids, np.int64), k)) for _, ids, own in self.items if own == k]
-            of = np.repeat([n for n, x in enumerate(self.items) if x[2] == k], [len(p) for p in pairs])
-            seeds = np.concatenate(pairs)
-            order = np.argsort(seeds, kind="stable")
-            self.seeds[k] = (seeds[order], of[order])
-
-    def shared(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """Item numbers with the places of their seeds in ``ids``."""
-        found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        known = ids >= 0
-        for k, (seeds, of) in self.seeds.items():
-            if len(ids) < k:
-                continue
-            inside = np.flatnonzero(np.convolve(known, np.ones(k, np.int64), "valid") == k)
-            if not len(inside):
-                continue
-            sums = np.zeros(len(inside), np.int64)
-            for i in range(k):
-                sums = sums * np.int64(_BASE) + ids[inside + i]
-            low, high = np.searchsorted(seeds, sums, "left"), np.searchsorted(seeds, sums, "right")
-            for at, a, b in zip(*(x[high > low].tolist() for x in (inside, low, high))):
-                for n in of[a:b].tolist():
-                    found[n].append((at, at + k))
-        return found
-
-    def covered(self, words: list[str]) -> list[tuple[int, int, int]]:
-        """``(item id, tokens of the item, tokens covered)`` of the items that
-        share a seed with a document."""
-        get = self.vocabulary.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        out = []
-        for n, spans in self.shared(ids).items():
-            item_id, item, k = self.items[n]
-            # matches lie inside runs of the document that seeds cover
-            part: list[int] = []
-            last = 0
-            for a, b in sorted(spans):
-                if a >= last and part:
-                    part.append(-1)
-                part += ids[max(a, last) : b].tolist()
-                last = max(last, b)
-            tiles = tile(part, item, k)
-            out.append((item_id, len(item), sum(t[2] for t in tiles)))
+def token_hashes(text: str, known: dict[str, int]) -> np.ndarray:
+    """63-bit hashes of the tokens; ``known`` keeps those of earlier texts."""
+    import xxhash
+
+    words = tokens(text.lower())
+    h = xxhash.xxh3_64_intdigest
+    return np.fromiter((known[w] if w in known else known.setdefault(w, h(w) >> 1) for w in words), np.int64, len(words))
+
+
+def seed_hashes(x: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` tokens, of other values for every ``k``."""
+    h = _sums(x, k).view(np.uint64) + np.uint64(k)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h ^ (h >> np.uint64(27))).view(np.int64)
+
+
+def parts(places: list[tuple[int, int]], item: list[int], k: int) -> list[int]:
+    """The runs of a text that seeds cover, in the text's order with -1
+    between them, from the ``places`` of the seeds in text and item."""
+    out: list[int] = []
+    last = 0
+    for at, first in sorted(places):
+        if at >= last and out:
+            out.append(-1)
+        out += item[first + max(last - at, 0) : first + k]
+        last = at + k
+    return out
+
+
+def _item_rows(items: DataFrame, item_col: str, text_col: str, min_match: int) -> DataFrame:
+    """``item, key, k, tokens`` of the items that have tokens; ``key`` tells
+    different items apart."""
+
+    def tokenise(batch: pa.RecordBatch) -> dict[str, list]:
+        known: dict[str, int] = {}
+        found = [(i, token_hashes(t or "", known)) for i, t in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist())]
+        found = [(i, x) for i, x in found if len(x)]
+        return {"item": [i for i, _ in found], "key": [hashlib.md5(x.tobytes()).digest() for _, x in found],
+                "k": [min(min_match, len(x)) for _, x in found], "tokens": [x for _, x in found]}
+
+    rows = items.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
+    return stored(by_batch(rows, tokenise, "item long, key binary, k int, tokens array<long>"), "tiling-items")
+
+
+def _seed_rows(unique: DataFrame) -> DataFrame:
+    """``h, key, k, n_tokens, first, times``: the seeds of each item, their
+    first place in it and how often it has them."""
+
+    def seeds(batch: pa.RecordBatch) -> dict[str, list]:
+        out: dict[str, list] = {c: [] for c in ("h", "key", "k", "n_tokens", "first", "times")}
+        for key, k, tokens_ in zip(*(batch.column(c).to_pylist() for c in ("key", "k", "tokens"))):
+            h, first, times = np.unique(seed_hashes(np.array(tokens_, np.int64), k), return_index=True, return_counts=True)
+            for name, values in (("h", h.tolist()), ("first", first.tolist()), ("times", times.tolist())):
+                out[name] += values
+            for name, value in (("key", key), ("k", k), ("n_tokens", len(tokens_))):
+                out[name] += [value] * len(h)
         return out
 
+    return stored(by_batch(unique, seeds, "h long, key binary, k int, n_tokens long, first int, times int"), "tiling-seeds")
+
+
+def _bitmap(seeds: DataFrame, bits: int) -> np.ndarray:
+    """One bit for the lowest bits of each seed; at most ``bits / 64`` rows
+    come to the driver."""
+    words = seeds.select((F.col("h").bitwiseAND(F.lit(bits - 1))).alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63L AS int))")).alias("mask")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    return out.view(np.uint64)
+
+
+def _places(rows: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
+    """``doc, digest, h, at`` of the rows with runs that may be seeds: arrays
+    of the runs' hashes and places."""
+    lengths = sorted(r["k"] for r in seeds.select("k").distinct().collect())  # at most min_match
+    bitmap = rows.sparkSession.sparkContext.broadcast(_bitmap(seeds, bits))
+
+    def scan(batch: pa.RecordBatch) -> dict[str, list]:
+        known: dict[str, int] = {}
+        table, low = bitmap.value, np.uint64(bits - 1)
+        out: dict[str, list] = {c: [] for c in ("doc", "digest", "h", "at")}
+        for doc, digest, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "digest", "text"))):
+            x = token_hashes(text, known)
+            hits = []
+            for k in lengths:
+                h = seed_hashes(x, k)
+                bit = h.view(np.uint64) & low
+                at = np.flatnonzero(table[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1))
+                hits.append((h[at], at))
+            if any(len(at) for _, at in hits):
+                for name, value in (("doc", doc), ("digest", digest), ("h", np.concatenate([h for h, _ in hits])), ("at", np.concatenate([a for _, a in hits]))):
+                    out[name].append(value)
+        return out
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, shortest: int, most: int):
-    """Blocks of items, one at a time; what the driver holds is one block."""
-    block, size = [], 0
-    for row in items.select(F.col(id_col), F.col(text_col)).orderBy(id_col, text_col).toLocalIterator():
-        ts = tokens((row[1] or "").lower())
-        if not ts:
-            continue
-        if block and size + len(ts) > most:
-            yield Block(block, shortest)
-            block, size = [], 0
-        block.append((row[0], ts))
-        size += len(ts)
-    if block:
-        yield Block(block, shortest)
+    return stored(by_batch(rows, scan, "doc long, digest binary, h array<long>, at array<int>"), "tiling-places")
+
+
+def _covered(docs: DataFrame, items: DataFrame, threshold: float, min_match: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``digest, key, n_tokens, n_covered`` of the pairs of different texts
+    and items that reach the threshold, and the rows of ``docs`` (``doc,
+    text``) that may be part of one (``doc, digest``)."""
+    unique = items.groupBy("key").agg(F.any_value("k").alias("k"), F.any_value("tokens").alias("tokens"))
+    seeds = _seed_rows(unique)
+    rows = docs.where("text is not null").select("doc", F.unhex(F.md5("text")).alias("digest"), "text")
+    found = _places(rows, seeds, bits)
+    texts = found.groupBy("digest").agg(F.any_value(F.struct("h", "at")).alias("s"))
+    texts = texts.select("digest", F.explode(F.arrays_zip("s.h", "s.at")).alias("s")).select("digest", "s.h", "s.at")
+    pairs = split_join(texts, seeds, "h").groupBy("digest", "key").agg(
+        F.any_value("k").alias("k"), F.any_value("n_tokens").alias("n_tokens"), F.sum("times").alias("shared"),
+        F.collect_list(F.struct("at", "first")).alias("places"))
+    pairs = pairs.where(F.col("k") * F.col("shared") >= threshold * F.col("n_tokens")).select("digest", "key", "k", "places")
+    pairs = split_join(pairs, unique.select("key", "tokens"), "key")
+
+    def cover(batch: pa.RecordBatch) -> dict[str, list]:
+        n_tokens, n_covered = [], []
+        for k, places, tokens_ in zip(*(batch.column(c).to_pylist() for c in ("k", "places", "tokens"))):
+            item = np.unique(np.array(tokens_, np.int64), return_inverse=True)[1].tolist()
+            tiles = tile(parts([(p["at"], p["first"]) for p in places], item, k), item, k)
+            n_tokens.append(len(item))
+            n_covered.append(sum(t[2] for t in tiles))
+        return {"digest": batch.column("digest"), "key": batch.column("key"), "n_tokens": n_tokens, "n_covered": n_covered}
+
+    tiled = by_batch(pairs, cover, "digest binary, key binary, n_tokens long, n_covered long")
+    hits = stored(tiled.where(F.col("n_covered") >= threshold * F.col("n_tokens")), "tiling-hits")
+    return hits, found.select("doc", "digest")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min_match: int = MIN_MATCH,
                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                 block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                 bits: int = BITS) -> DataFrame:
     """``id_col, item_col, n_tokens, n_covered, coverage`` of the pairs of a
     document and an item whose coverage reaches ``threshold``."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("text is not null")
-    schema = "doc long, item long, n_tokens long, n_covered long"
-    out = spark.createDataFrame([], schema)
-    for block in _blocks(items, item_col, item_text_col, min_match, block_tokens):
-        shared = spark.sparkContext.broadcast(block)
-
-        def scan(batch: pa.RecordBatch, shared=shared) -> dict[str, list]:
-            found = [(d, *hit) for d, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist())
-                     for hit in shared.value.covered(tokens(text.lower())) if hit[2] >= threshold * hit[1]]
-            return {name: [f[i] for f in found] for i, name in enumerate(("doc", "item", "n_tokens", "n_covered"))}
-
-        out = out.unionByName(by_batch(rows, scan, schema))
+    known = _item_rows(items, item_col, item_text_col, min_match)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    hits, found = _covered(rows, known, threshold, min_match, bits)
+    out = split_join(split_join(found, hits, "digest"), known.select("item", "key"), "key")
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_tokens", "n_covered",
                       F.round(F.col("n_covered") / F.col("n_tokens"), 6).alias("coverage"))
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min_match: int = MIN_MATCH, text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The rows of ``docs`` that are contaminated by no item, unchanged.
-
-    Rows are judged where they are, block after block, without a shuffle.
-    """
-    out = docs
-    for block in _blocks(items, item_col, item_text_col, min_match, block_tokens):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def keep(batches, shared=shared):
-            for batch in batches:
-                covered = [shared.value.covered(tokens((t or "").lower())) for t in batch.column(text_col).to_pylist()]
-                yield batch.filter(pa.array([not any(n >= threshold * of for _, of, n in c) for c in covered], pa.bool_()))
-
-        out = out.mapInArrow(keep, docs.schema)
-    return out
+               item_col: str = "item_id", item_text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that are contaminated by no item, unchanged."""
+    known = _item_rows(items, item_col, item_text_col, min_match)
+    rows = docs.select(F.lit(None).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    hits, _ = _covered(rows, known, threshold, min_match, bits)
+    bad = stored(hits.select("digest").distinct(), "tiling-texts")
+    return docs.join(bad, F.unhex(F.md5(docs[text_col].cast("string"))) == bad["digest"], "left_anti")

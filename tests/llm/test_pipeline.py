@@ -2,10 +2,11 @@ import os
 
 import corpus_pipeline
 import __spark_entry__
-from shelfcast.llm import jaccard, quality, queries, tiling
+from shelfcast.llm import jaccard, quality, queries
 from shelfcast.llm.common import read
 from tests.llm.test_jaccard import brute as brute_classes
 from tests.llm.test_lines import brute as brute_lines
+from tests.llm.test_tiling import brute as brute_contaminated
 
 NAMES = ["op1_extraction", "op2_token_counts", "op3_pii", "op4_warc", "op5_jaccard", "op6_bpe", "op7_quality", "op8_line_dedup", "op9_secrets", "op10_decontamination"]
 
@@ -40,8 +41,8 @@ def test_stages_against_brute_force(spark, sf_small):
     kept = [(i, t) for i, t, *_ in brute_lines(kept)]
     classes = {eval(x)[0]: eval(x)[1] for x in brute_classes(kept)}  # noqa: S307  own tuples
     kept = [(i, t) for i, t in kept if classes[i] == i]
-    block = tiling.Block([(r["item_id"], tiling.tokens(r["text"].lower())) for r in read(spark, sf_small, "benchmark").collect()], 5)
-    kept = [i for i, t in kept if not any(n >= 0.6 * of for _, of, n in block.covered(tiling.tokens(t.lower())))]
+    dirty = {d for d, *_ in brute_contaminated(kept, [(r["item_id"], r["text"]) for r in read(spark, sf_small, "benchmark").collect()])}
+    kept = [i for i, _ in kept if i not in dirty]
     got = corpus_pipeline.run(spark, sf_small)
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(kept) and kept
 

@@ -43,26 +43,69 @@ def test_reordered_passages_and_short_items(spark):
     assert clean.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r["doc_id"] for r in clean.collect()} == {3, 4, 5, 6}
 
 
-def test_blocks_do_not_change_the_result(spark, sf_small):
+def test_a_full_bitmap_does_not_change_the_result(spark, sf_small):
     d, b = (spark.read.parquet(f"{sf_small}/{n}.parquet") for n in ("documents", "benchmark"))
-    whole, parts = (sorted(map(tuple, t.contaminated(d, b, threshold=0.1, block_tokens=n).collect())) for n in (10**6, 200))
-    assert whole == parts and whole
+    whole, full = (sorted(map(tuple, t.contaminated(d, b, threshold=0.1, bits=n).collect())) for n in (t.BITS, 64))
+    assert whole == full and whole
+
+
+def test_copies_of_texts_and_items(spark):
+    rows = [(n % 3, f"x {ITEM}") for n in range(30)] + [(7, None), (8, ITEM.upper())]
+    got = t.contaminated(docs(spark, rows), items(spark, [(1, ITEM), (1, ITEM), (2, f"{ITEM}!"), (3, "lone words")])).collect()
+    assert len(got) == 31 * 3 and all(r["coverage"] == 1 for r in got)
+    assert sum(r["doc_id"] == 8 and r["item_id"] == 1 for r in got) == 2
+    kept = t.clean_rows(docs(spark, rows), items(spark, [(1, ITEM)]))
+    assert [r["doc_id"] for r in kept.collect()] == [7]
+
+
+def test_one_long_text_and_one_repeated_token(spark):
+    rng = random.Random(2)
+    item = " ".join(f"i{n}" for n in range(40))
+    long = " ".join(f"w{rng.randrange(1000)}" for _ in range(200_000))
+    rows = [(1, f"{long} {item} {long}"), (2, long), (3, "na " * 50_000)]
+    got = t.contaminated(docs(spark, rows), items(spark, [(1, item), (2, "na " * 30)])).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_covered"]) for r in got} == {(1, 1, 40), (3, 2, 30)}
+
+
+def test_clashing_columns_pass_through(spark):
+    d = spark.createDataFrame([(1, ITEM, b"a", 2, 3), (2, "clean", None, 4, 5)], "doc_id long, text string, digest binary, h long, doc long")
+    kept = t.clean_rows(d, items(spark, [(1, ITEM)]))
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == [(2, "clean", None, 4, 5)]
+
+
+def test_hot_seeds_can_be_split(spark):
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        plan = t.contaminated(docs(spark, [(1, ITEM)]), items(spark, [(1, ITEM)]))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning(_on") == 4
+
+
+def brute(documents, benchmark):
+    """``(doc_id, item_id, covered)`` of contaminated pairs, pair by pair."""
+    out = set()
+    texts = [(d, t.tokens((text or "").lower())) for d, text in documents]
+    for item_id, text in benchmark:
+        item = t.tokens(text.lower())
+        k = min(5, len(item))
+        seeds = {tuple(item[i : i + k]) for i in range(len(item) - k + 1)}
+        for doc_id, doc in texts:
+            if any(tuple(doc[i : i + k]) in seeds for i in range(len(doc) - k + 1)):
+                n = sum(z[2] for z in t.tile([hash(w) & 0xFFFFFFFF for w in doc], [hash(w) & 0xFFFFFFFF for w in item], k))
+                if n >= 0.6 * len(item):
+                    out.add((doc_id, item_id, n))
+    return out
 
 
 def test_corpus_against_brute_force(spark, sf_small):
-    d, b = (spark.read.parquet(f"{sf_small}/{n}.parquet").collect() for n in ("documents", "benchmark"))
-    want = set()
-    for x in b:
-        item = t.tokens(x["text"].lower())
-        seeds = {tuple(item[i : i + 5]) for i in range(len(item) - 4)}
-        for y in d:
-            doc = t.tokens(y["text"].lower())
-            if any(tuple(doc[i : i + 5]) in seeds for i in range(len(doc) - 4)):
-                n = sum(z[2] for z in t.tile([hash(w) & 0xFFFFFFFF for w in doc], [hash(w) & 0xFFFFFFFF for w in item], 5))
-                if n >= 0.6 * len(item):
-                    want.add((y["doc_id"], x["item_id"], n))
-    got = t.contaminated(spark.read.parquet(f"{sf_small}/documents.parquet"), spark.read.parquet(f"{sf_small}/benchmark.parquet")).collect()
-    assert {(r["doc_id"], r["item_id"], r["n_covered"]) for r in got} == want and want
+    d, b = (spark.read.parquet(f"{sf_small}/{n}.parquet") for n in ("documents", "benchmark"))
+    want = brute([(r["doc_id"], r["text"]) for r in d.collect()], [(r["item_id"], r["text"]) for r in b.collect()])
+    assert {(r["doc_id"], r["item_id"], r["n_covered"]) for r in t.contaminated(d, b).collect()} == want and want
 
 
 def test_empty_tables(spark):
