@@ -7,10 +7,15 @@ its smallest id as representative.  The steps:
 1. every document gets a digest of its shingle set and ``BANDS`` keys, each
    from ``ROWS`` MinHash values; digests are counted, so that copies cost one
    row per task from here on;
-2. representatives that share a key with another are linked to the smallest
-   representative of that key, and the connected sets of these links are the
-   candidate groups: documents of different groups have no key in common.  A
-   pair at the threshold misses all 32 keys with a probability of 5e-8;
+2. representatives that share a key are its bucket; buckets of the same
+   members count once, large ones are cut into cells of about ``BUCKET``
+   members a side.  In a cell the last eight bits of the MinHash values are
+   compared as in step 3, without shingles, and a forest joins those whose
+   pairs survive.  The connected sets of the forests are the candidate groups,
+   so that texts which share a key but are unlike (a common passage) do not
+   chain groups.  Eight bits match whenever the values do: nothing is dropped
+   that whole values would keep.  A pair at the threshold misses all 32 keys
+   with a probability of 5e-8;
 3. each group is cut into cells of about ``CELL`` members and
    ``CELL_SHINGLES`` shingles a side, and every pair of members meets in exactly one cell.  There MinHash values are
    compared ``STEP`` at a time; after each step pairs are dropped whose
@@ -50,6 +55,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 STEP = 16
 TOLERANCE = 1e-9
+BUCKET = 4_096
 CELL = 256
 CELL_SHINGLES = 2_000_000
 
@@ -139,6 +145,29 @@ def candidates(a: np.ndarray, b: np.ndarray, same: bool, least: list[int]) -> tu
     return x, y
 
 
+def joined(low: np.ndarray, least: list[int]) -> list[tuple[int, int]]:
+    """A forest over the rows of ``low`` that joins all pairs which survive
+    every step: from each row found, those not yet found are compared."""
+    left, out = np.arange(len(low)), []
+    while len(left) > 1:
+        found, left = [int(left[0])], left[1:]
+        while found and len(left):
+            x = found.pop()
+            alive, matches = left, np.zeros(len(left), np.int64)
+            for n, bound in enumerate(least):
+                part = slice(n * STEP, (n + 1) * STEP)
+                matches = matches + np.count_nonzero(low[alive, part] == low[x, part], axis=1)
+                keep = matches >= bound
+                alive, matches = alive[keep], matches[keep]
+                if not len(alive):
+                    break
+            if len(alive):
+                out += [(x, y) for y in alive.tolist()]
+                found += alive.tolist()
+                left = left[~np.isin(left, alive, assume_unique=True)]
+    return out
+
+
 def verified(x: np.ndarray, y: np.ndarray, left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which of the pairs reach the threshold, by their shingles."""
     if not len(x):
@@ -208,6 +237,33 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
     return after.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(roots)
 
 
+def _groups(own: DataFrame, least: list[int]) -> DataFrame:
+    """``node, root``: the candidate groups of representatives (``node, keys,
+    low``); those without a candidate are left out."""
+    keyed = own.select("node", F.explode("keys").alias("key"))
+    met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"), F.max("node").alias("last"), F.bit_xor(F.xxhash64("node")).alias("all"))
+    met = met.where("n > 1").groupBy("n", "first", "last", "all").agg(F.min("key").alias("key"))
+    met = met.select("key", F.ceil(F.col("n") / BUCKET).cast("int").alias("sides"))
+    rows = split_join(keyed, met, "key").join(own.select("node", "low"), "node")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
+    cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    cells = cells.groupBy("key", F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b"))
+    cells = cells.agg(F.collect_list(F.struct("node", "low")).alias("members")).select("members")
+
+    def join(batch: pa.RecordBatch) -> dict[str, list]:
+        members, out = batch.column("members"), []
+        flat = members.flatten()
+        nodes = flat.field("node").to_pylist()
+        low = np.frombuffer(b"".join(flat.field("low").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        at = 0
+        for n in members.value_lengths().to_pylist():
+            out += [(nodes[at + x], nodes[at + y]) for x, y in joined(low[at : at + n], least)]
+            at += n
+        return {"a": [x for x, _ in out], "b": [y for _, y in out]}
+
+    return connected(by_batch(cells, join, "a long, b long"), "jaccard-groups")
+
+
 def similar(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col, class_id, n_links, text_class``.
 
@@ -217,20 +273,19 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
+    least = [least_matches(threshold, n, TOLERANCE) for n in range(STEP, BANDS * ROWS + 1, STEP)]
+
     def sketch(batch: pa.RecordBatch) -> dict[str, list]:
         sets = [shingles(t or "") for t in batch.column("text").to_pylist()]
+        sigs = [signature(s) if len(s) else None for s in sets]
         return {"id": batch.column("id"), "digest": [_digest(s) for s in sets], "n": [len(s) for s in sets],
-                "keys": [band_keys(signature(s)) if len(s) else [] for s in sets]}
+                "keys": [[] if s is None else band_keys(s) for s in sigs], "low": [None if s is None else s.astype(np.uint8).tobytes() for s in sigs]}
 
-    sketches = stored(by_batch(rows, sketch, "id long, digest binary, n long, keys array<long>"), "jaccard-sketches")
-    own = sketches.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"))
+    sketches = stored(by_batch(rows, sketch, "id long, digest binary, n long, keys array<long>, low binary"), "jaccard-sketches")
+    own = sketches.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), *(F.any_value(c).alias(c) for c in ("n", "keys", "low")))
     own = stored(own.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
-
-    # candidate groups: sets of representatives connected by common keys
-    keyed = own.select("node", F.explode("keys").alias("key"))
-    meet = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
-    groups = connected(split_join(keyed, meet, "key").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")), "jaccard-groups")
-    members = groups.join(own.drop("keys"), "node")
+    groups = _groups(own, least)
+    members = groups.join(own.drop("keys", "low"), "node")
     sides = members.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CELL, F.sum("n") / CELL_SHINGLES)).cast("int").alias("sides"))
     members = split_join(members, sides, "root").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
     texts = rows.join(members, rows["id"].eqNullSafe(members["rep"]))
@@ -245,7 +300,6 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     described = by_batch(texts.select("node", "root", "side", "sides", "copies", "digest", "text"), describe, "node long, root long, side int, sides int, copies long, sig binary, shingles binary")
     cells = described.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).select(
         "root", F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b"), "side", "node", "copies", "sig", "shingles")
-    least = [least_matches(threshold, n, TOLERANCE) for n in range(STEP, BANDS * ROWS + 1, STEP)]
 
     def compare(cell: pa.Table) -> pa.Table:
         a, b = cell.column("a")[0].as_py(), cell.column("b")[0].as_py()
@@ -272,7 +326,7 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     found = stored(cells.groupBy("root", "a", "b").applyInArrow(compare, "node long, linked long, links long"), "jaccard-links")
     links = found.where("linked is null").groupBy("node").agg(F.sum("links").alias("links"))
     classes = connected(found.where("linked is not null").select(F.col("node").alias("a"), F.col("linked").alias("b")), "jaccard-linked")
-    told = own.drop("keys").join(links, "node", "left").join(classes, "node", "left")
+    told = own.drop("keys", "low").join(links, "node", "left").join(classes, "node", "left")
     told = stored(told.select("digest", F.col("rep").alias("text_class"), F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "jaccard-told")
     least_id = told.groupBy("root").agg(F.min("text_class").alias("class_id"))
     told = split_join(told, least_id, "root").select("digest", "text_class", "class_id", "n_links")

@@ -68,6 +68,43 @@ def test_many_cells(spark, monkeypatch):
     check(spark, near(random.Random(9), 2, 40))
 
 
+def test_many_cells_of_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(j, "BUCKET", 4)
+    check(spark, near(random.Random(10), 3, 30))
+
+
+def test_forest_joins_what_pairs_join():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, (5, j.BANDS * j.ROWS)).astype(np.uint8)
+    low = base[rng.integers(0, 5, 60)]
+    low = np.where(rng.random(low.shape) < rng.random((60, 1)) * 0.5, rng.integers(0, 256, low.shape), low).astype(np.uint8)
+    least = [j.least_matches(0.8, n, j.TOLERANCE) for n in range(j.STEP, j.BANDS * j.ROWS + 1, j.STEP)]
+    x, y = j.candidates(low, low, True, least)
+
+    def sets(edges):
+        root = list(range(len(low)))
+        for a, b in edges:
+            old, new = root[b], root[a]
+            root = [new if r == old else r for r in root]
+        return {frozenset(i for i in range(len(low)) if root[i] == r) for r in root}
+
+    forest = j.joined(low, least)
+    assert sets(forest) == sets(zip(x.tolist(), y.tolist())) and 0 < len(forest) < len(low)
+
+
+def test_a_common_passage_does_not_chain_groups(spark):
+    # neighbours share half of their words: many have a key in common, none is a candidate
+    parts = [" ".join(f"p{n}x{i}" for i in range(60)) for n in range(60)]
+    rows = docs(spark, [(n, f"{parts[n]} {parts[n + 1]}") for n in range(59)])
+    sets = [j.signature(j.shingles(r["text"])) for r in rows.collect()]
+    keys = [set(j.band_keys(s)) for s in sets]
+    assert sum(bool(a & b) for a, b in zip(keys, keys[1:])) > 5
+    own = spark.createDataFrame([(n, list(k), s.astype(np.uint8).tobytes()) for n, (k, s) in enumerate(zip(keys, sets))], "node long, keys array<long>, low binary")
+    least = [j.least_matches(0.8, n, j.TOLERANCE) for n in range(j.STEP, j.BANDS * j.ROWS + 1, j.STEP)]
+    assert j._groups(own, least).count() <= 2
+    check(spark, [(r["doc_id"], r["text"]) for r in rows.collect()])
+
+
 def test_repeated_and_null_ids(spark):
     text = " ".join(f"t{i}" for i in range(60))
     check(spark, [(1, text), (1, text), (1, "another text of some words here"), (None, text), (None, "lone words without any copy"), (4, text + " more")])
