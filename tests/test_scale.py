@@ -44,3 +44,18 @@ def test_partitions_follow_the_rows(spark, monkeypatch):
     few = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert session.partitions_for(spark, 0) == few
     assert session.partitions_for(spark, 400 * session.TASK_ROWS + 1) == 401
+
+
+def test_a_query_of_one_raw_table_builds_that_alone(spark, sf_small, tmp_path):
+    import shutil
+
+    sf = str(tmp_path / "sf")
+    shutil.copytree(sf_small, sf)
+    assert catalog.queries()["dim_calendar"](spark, sf).count() > 0
+    lk = catalog.lake(spark, sf, "landing", ["calendar"])
+    there = lambda place: [t for t in RAW_TABLES if jobs.path_exists(spark, place(t))]
+    assert there(lk.landing) == there(lk.bronze) == there(lk.silver) == ["calendar"]
+    lk = catalog.lake(spark, sf)
+    assert there(lk.landing) == there(lk.bronze) == there(lk.silver) == RAW_TABLES
+    log = spark.read.schema(au.AUDIT_SCHEMA).json(lk.audit)
+    assert sorted(map(tuple, log.select("pipeline", "table_name", "status").collect())) == sorted((s, t, "ok") for s in ("landing", "bronze", "silver") for t in RAW_TABLES)
