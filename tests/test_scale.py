@@ -46,6 +46,22 @@ def test_partitions_follow_the_rows(spark, monkeypatch):
     assert session.partitions_for(spark, 400 * session.TASK_ROWS + 1) == 401
 
 
+def test_stored_features_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    lk = Lake(scratch_path(spark, "dealt"))
+    days = spark.range(60).select(F.concat(F.lit("d_"), F.col("id") + 1).alias("d"))
+    series = spark.range(40).select(F.concat(F.lit("X_"), "id").alias("id"))
+    sales = series.crossJoin(days).select("id", *[F.lit("x").alias(c) for c in ("item_id", "dept_id", "cat_id", "store_id", "state_id")], "d", F.lit(1).alias("sales"))
+    cal = days.select("d", *[F.lit(1).alias(c) for c in ("wm_yr_wk", "wday", "month", "year", "snap_CA", "snap_TX", "snap_WI")])
+    sales.write.parquet(lk.gold("fact_sales_long"))
+    cal.write.parquet(lk.gold("dim_calendar"))
+    jobs.run_features(spark, lk)
+    stored = read_features(spark, lk.features)
+    assert stored.count() == 2_400 and stored.groupBy("id").agg(F.count_if("is_test").alias("n")).where("n != 28").isEmpty()
+    files = {f.rsplit("/", 1)[-1] for f in stored.inputFiles()}
+    assert len(files) > int(spark.conf.get("spark.sql.shuffle.partitions"))  # 24 partitions by the rows
+
+
 def test_a_query_of_one_raw_table_builds_that_alone(spark, sf_small, tmp_path):
     import shutil
 
