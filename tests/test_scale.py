@@ -75,3 +75,13 @@ def test_a_query_of_one_raw_table_builds_that_alone(spark, sf_small, tmp_path):
     assert there(lk.landing) == there(lk.bronze) == there(lk.silver) == RAW_TABLES
     log = spark.read.schema(au.AUDIT_SCHEMA).json(lk.audit)
     assert sorted(map(tuple, log.select("pipeline", "table_name", "status").collect())) == sorted((s, t, "ok") for s in ("landing", "bronze", "silver") for t in RAW_TABLES)
+
+
+def test_digest_of_few_columns_needs_no_arrays(spark):
+    df = spark.createDataFrame([("a", None, 1.5, 2), (None, "b:", float("nan"), None)], "a string, b string, x double, n int")
+    written = au.row_digest(df)
+    assert "transform" not in df.select(written)._jdf.queryExecution().analyzed().toString()
+    got = [r[0] for r in df.select(written).collect()]
+    import hashlib
+
+    assert got == [hashlib.md5(t.encode()).hexdigest() for t in (f"1:a-{len(f'1+{1 << 51}')}:1+{1 << 51}1:2", "-2:b:3:nan-")]
