@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import session
 from shelfcast.operators import audit as au
-from shelfcast.operators.features import read_features
+from shelfcast.operators.features import add_series_features, last_rows, last_stored_rows, read_features, rolling_mean_feature, write_features
 from shelfcast.plans import catalog, jobs
 from shelfcast.plans import retail_fixture as rf
 from shelfcast.plans.lake import RAW_TABLES, Lake
@@ -85,3 +85,39 @@ def test_digest_of_few_columns_needs_no_arrays(spark):
     import hashlib
 
     assert got == [hashlib.md5(t.encode()).hexdigest() for t in (f"1:a-{len(f'1+{1 << 51}')}:1+{1 << 51}1:2", "-2:b:3:nan-")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_rolling_means_of_whole_numbers_take_one_step_a_row(spark):
+    sales = "case when id % 11 = 3 then null else cast(id * 7919 % 23 - 9 as int) end"
+    df = spark.range(240).selectExpr("concat('S', id % 3) id", "concat('d_', id * 2) d", f"{sales} sales")
+    whole, real = add_series_features(df, 5), add_series_features(df.withColumn("sales", F.col("sales").cast("double")), 5)
+    assert "rowframe, -28, -1" in _plan(real) and "rowframe, -28, -1" not in _plan(whole) and "rowframe, -7, -1" not in _plan(whole)
+    assert sorted(whole.columns) == sorted(real.columns) and [t for t in whole.dtypes if t[0] != "sales"] == [t for t in real.dtypes if t[0] != "sales"]
+    same = real.withColumn("sales", F.col("sales").cast("int")).select(*whole.columns)
+    assert whole.exceptAll(same).isEmpty() and same.exceptAll(whole).isEmpty() and whole.count() == 240
+    known = whole.withColumn("again", rolling_mean_feature(7)).where("not (roll_mean_7 <=> again)")
+    assert known.isEmpty() and not whole.where("roll_mean_7 is not null").isEmpty() and not whole.where("roll_mean_7 is null and d_num > 100").isEmpty()
+
+
+def test_last_rows_come_from_the_test_rows(spark):
+    rows = [("A", f"d_{n}", n) for n in range(1, 61)] + [("B", f"d_{n}", n) for n in range(1, 11)]
+    columns = ["id", "d", "sales"]
+
+    def stored(rows):
+        path = scratch_path(spark, "last_rows")
+        df = add_series_features(spark.createDataFrame(rows, "id string, d string, sales int"), 28)
+        write_features(df, path)
+        return read_features(spark, path)
+
+    table = stored(rows)
+    state = last_stored_rows(table, columns)
+    assert _plan(state).count("relation [") == 1 and "semi" not in _plan(state)  # no history is read
+    assert sorted(map(tuple, state.collect())) == sorted(r for r in rows if r[0] == "B" or r[2] > 32)
+    # gaps: the last 28 days of C hold three rows, D has a single day in them
+    gaps = rows + [("C", f"d_{n * 10}", n) for n in range(1, 41)] + [("D", "d_5", 1), ("D", "d_900", 2)]
+    table = stored(gaps)
+    assert sorted(map(tuple, last_stored_rows(table, columns).collect())) == sorted(map(tuple, last_rows(table.select(*columns)).collect()))
