@@ -121,3 +121,29 @@ def test_last_rows_come_from_the_test_rows(spark):
     gaps = rows + [("C", f"d_{n * 10}", n) for n in range(1, 41)] + [("D", "d_5", 1), ("D", "d_900", 2)]
     table = stored(gaps)
     assert sorted(map(tuple, last_stored_rows(table, columns).collect())) == sorted(map(tuple, last_rows(table.select(*columns)).collect()))
+
+
+def test_fingerprints_are_sums_of_digest_halves_without_decimals(spark):
+    import hashlib
+
+    df = spark.createDataFrame([("a", 1), (None, -2), ("b", None), ("a", 1)], "s string, n int")
+    texts = ["1:a1:1", "-2:-2", "1:b-", "1:a1:1"]
+    digests = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    want = (4, str(sum(int(d[:16], 16) for d in digests)), str(sum(int(d[16:], 16) for d in digests)))
+    found = au.table_fingerprint(df)
+    assert tuple(found.first()) == want and [t for _, t in found.dtypes] == ["bigint", "string", "string"]
+    seen = []
+    got = au.observed_write(lambda d: seen.append((d.columns, _plan(d), d.collect())), df, "small")
+    assert (got["n_rows"], got["hash_hi"], got["hash_lo"]) == want
+    assert seen[0][0] == ["s", "n"] and "decimal" not in seen[0][1]
+    assert tuple(au.table_fingerprint(df.limit(0)).first()) == (0, "0", "0")
+
+
+def test_digest_of_many_columns_casts_them_once(spark):
+    import hashlib
+
+    names = [f"c{i}" for i in range(20)]
+    df = spark.createDataFrame([("x", *range(19), None)], "s string, " + ", ".join(f"{c} int" for c in names))
+    digest = au.row_digest(df)
+    assert "as array<string>" in df.select(digest)._jdf.queryExecution().analyzed().toString().lower()
+    assert df.select(digest).first()[0] == hashlib.md5(("1:x" + "".join(f"{len(str(i))}:{i}" for i in range(19)) + "-").encode()).hexdigest()
