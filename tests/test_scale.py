@@ -147,3 +147,18 @@ def test_digest_of_many_columns_casts_them_once(spark):
     digest = au.row_digest(df)
     assert "as array<string>" in df.select(digest)._jdf.queryExecution().analyzed().toString().lower()
     assert df.select(digest).first()[0] == hashlib.md5(("1:x" + "".join(f"{len(str(i))}:{i}" for i in range(19)) + "-").encode()).hexdigest()
+
+
+def test_features_of_the_stored_sales_are_written_from_their_buckets(spark, monkeypatch, sf_small, tmp_path):
+    import shutil
+
+    sf = str(tmp_path / "sf")
+    shutil.copytree(sf_small, sf)
+    rows = rf.landed_dense_sales(spark, sf_small).count()
+    monkeypatch.setattr(session, "TASK_ROWS", rows // 20)
+    stored = catalog.stored_features(spark, sf)
+    written = {f.rsplit("/", 1)[-1].split("-")[1] for f in stored.inputFiles()}
+    assert stored.count() == rows and max(map(int, written)) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert stored.groupBy("id").agg(F.count_if("is_test").alias("n")).where("n != 28").isEmpty()
+    plan = catalog.features(spark, sf).repartition(session.partitions_for(spark, rows), "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 0
